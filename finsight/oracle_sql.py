@@ -336,3 +336,241 @@ def build(key: str) -> str:
 
 def all_queries() -> dict[str, str]:
     return {k: build(k) for k in FINAL}
+
+
+# ---------------------------------------------------------------- aggregates
+cte("ta", f"""
+SELECT client_key,
+       count(DISTINCT transaction_id) AS nb_transactions_total,
+       sum(montant_eur) AS montant_total_transactions,
+       CAST(sum(montant_eur) AS DOUBLE) / count(montant_eur) AS montant_moyen_transaction,
+       max(date_transaction) AS date_derniere_transaction,
+       min(date_transaction) AS date_premiere_transaction,
+       count(DISTINCT transaction_id) FILTER (WHERE date_transaction >= {D} - 30) AS nb_transactions_30j,
+       sum(CASE WHEN date_transaction >= {D} - 30 THEN montant_eur ELSE 0 END) AS montant_transactions_30j,
+       count(DISTINCT transaction_id) FILTER (WHERE date_transaction >= {D} - 90) AS nb_transactions_90j,
+       sum(CASE WHEN date_transaction >= {D} - 90 THEN montant_eur ELSE 0 END) AS montant_transactions_90j,
+       count(DISTINCT transaction_id) FILTER (WHERE canal_std = 'Web') AS nb_trans_web,
+       count(DISTINCT transaction_id) FILTER (WHERE canal_std = 'Mobile') AS nb_trans_mobile,
+       count(DISTINCT transaction_id) FILTER (WHERE canal_std = 'Agence') AS nb_trans_agence,
+       count(DISTINCT transaction_id) FILTER (WHERE is_nocturne) AS nb_trans_nocturnes,
+       count(DISTINCT transaction_id) FILTER (WHERE is_international) AS nb_trans_internationales
+FROM stg_transactions GROUP BY client_key""")
+
+cte("cp", """
+SELECT client_key,
+       count(DISTINCT contrat_id) AS nb_contrats_total,
+       count(DISTINCT contrat_id) FILTER (WHERE is_actif) AS nb_contrats_actifs,
+       count(DISTINCT contrat_id) FILTER (WHERE is_resilie) AS nb_contrats_resilies,
+       sum(CASE WHEN is_actif THEN prime_mensuelle ELSE 0 END) AS prime_mensuelle_totale,
+       sum(CASE WHEN is_actif THEN capital_assure ELSE 0 END) AS capital_total_assure,
+       count(DISTINCT contrat_id) FILTER (WHERE type_produit_std = 'Auto' AND is_actif) AS nb_contrats_auto,
+       count(DISTINCT contrat_id) FILTER (WHERE type_produit_std = 'Habitation' AND is_actif) AS nb_contrats_habitation,
+       count(DISTINCT contrat_id) FILTER (WHERE type_produit_std = 'Santé' AND is_actif) AS nb_contrats_sante,
+       count(DISTINCT contrat_id) FILTER (WHERE type_produit_std = 'Vie' AND is_actif) AS nb_contrats_vie,
+       CAST(sum(anciennete_mois) FILTER (WHERE is_actif) AS DOUBLE)
+         / NULLIF(count(anciennete_mois) FILTER (WHERE is_actif), 0) AS anciennete_moyenne_contrats_mois,
+       max(date_souscription) AS date_dernier_contrat
+FROM stg_contrats GROUP BY client_key""")
+
+cte("sh", f"""
+SELECT client_key,
+       count(DISTINCT sinistre_id) AS nb_sinistres_total,
+       sum(montant_declare) AS montant_total_sinistres_declares,
+       sum(montant_indemnise) AS montant_total_indemnise,
+       count(DISTINCT sinistre_id) FILTER (WHERE date_declaration >= {D} - INTERVAL 12 MONTH) AS nb_sinistres_12m,
+       count(DISTINCT sinistre_id) FILTER (WHERE is_rejete) AS nb_sinistres_rejetes,
+       CAST(sum(delai_traitement_jours) AS DOUBLE) / NULLIF(count(delai_traitement_jours), 0) AS delai_moyen_traitement,
+       max(date_declaration) AS date_dernier_sinistre
+FROM stg_sinistres GROUP BY client_key""")
+
+cte("sa_base", """
+SELECT contrat_key,
+       count(DISTINCT sinistre_id) AS nb_sinistres,
+       sum(montant_declare) AS montant_total_sinistres_declares,
+       sum(montant_indemnise) AS montant_total_indemnise,
+       CAST(sum(montant_indemnise) AS DOUBLE) / NULLIF(count(montant_indemnise), 0) AS montant_moyen_indemnise,
+       max(date_declaration) AS date_dernier_sinistre,
+       CAST(sum(delai_traitement_jours) AS DOUBLE) / NULLIF(count(delai_traitement_jours), 0) AS delai_moyen_traitement,
+       min(date_survenance) AS date_premier_sinistre,
+       CAST(count(*) FILTER (WHERE is_clos AND NOT is_rejete) AS DOUBLE) / NULLIF(count(*), 0) AS taux_acceptation
+FROM stg_sinistres GROUP BY contrat_key""")
+
+_AGE_FIRST = f"age(CAST({D} AS TIMESTAMP), CAST(date_premier_sinistre AS TIMESTAMP))"
+cte("sa", f"""
+SELECT *, CASE WHEN date_premier_sinistre IS NULL THEN 0.0
+               ELSE CAST(nb_sinistres AS DOUBLE) / NULLIF(CAST(date_part('year', {_AGE_FIRST}) AS DOUBLE)
+                                                          + CAST(date_part('month', {_AGE_FIRST}) AS DOUBLE) / 12.0, 0.0)
+          END AS frequence_sinistres_annuelle
+FROM sa_base""")
+
+cte("pa", """
+SELECT contrat_key,
+       count(DISTINCT prime_id) AS nb_echeances,
+       sum(montant_prime) AS montant_total_primes,
+       sum(CASE WHEN is_paye THEN montant_prime ELSE 0 END) AS montant_primes_payees,
+       count(*) FILTER (WHERE is_impaye) AS nb_impayes,
+       count(*) FILTER (WHERE is_retard) AS nb_retards,
+       CAST(count(*) FILTER (WHERE is_paye) AS DOUBLE) / NULLIF(count(*), 0) AS taux_paiement,
+       CAST(count(*) FILTER (WHERE is_paiement_a_temps) AS DOUBLE) / NULLIF(count(*), 0) AS taux_paiement_a_temps
+FROM stg_primes GROUP BY contrat_key""")
+
+cte("cs30", f"""
+SELECT client_key,
+       CAST(sum(montant_eur) AS DOUBLE) / count(montant_eur) AS avg_montant_30j,
+       stddev_samp(CAST(montant_eur AS DOUBLE)) AS std_montant_30j,
+       CAST(count(DISTINCT transaction_id) AS DOUBLE) / NULLIF(count(DISTINCT date_transaction), 0) AS avg_trans_par_jour,
+       max(montant_eur) AS max_montant_historique,
+       CAST(count(*) FILTER (WHERE is_international) AS DOUBLE) / NULLIF(count(*), 0) AS taux_trans_internationales
+FROM stg_transactions WHERE date_transaction >= {D} - 30 GROUP BY client_key""")
+
+cte("cps", """
+SELECT client_key, pays_beneficiaire, count(*) AS nb_trans_pays
+FROM stg_transactions GROUP BY client_key, pays_beneficiaire""")
+
+
+def _round_doubles(rel: str, cols: list[str]) -> str:
+    return f"SELECT * REPLACE ({', '.join(f'round({c}, 6) AS {c}' for c in cols)}) FROM {rel}"
+
+
+final("trans_activity", _round_doubles("ta", ["montant_moyen_transaction"]))
+final("contrats_portfolio", _round_doubles("cp", ["anciennete_moyenne_contrats_mois"]))
+final("sinistres_history", _round_doubles("sh", ["delai_moyen_traitement"]))
+final("sinistres_agg", _round_doubles("sa", ["montant_moyen_indemnise", "delai_moyen_traitement",
+                                             "taux_acceptation", "frequence_sinistres_annuelle"]))
+final("primes_agg", _round_doubles("pa", ["taux_paiement", "taux_paiement_a_temps"]))
+final("client_stats_30d", _round_doubles("cs30", ["avg_montant_30j", "std_montant_30j", "avg_trans_par_jour",
+                                                  "taux_trans_internationales"]))
+final("client_pays_stats", "SELECT * FROM cps")
+
+# ---------------------------------------------------------------- windows
+cte("win", """
+SELECT transaction_id, client_key,
+       count(*) OVER (PARTITION BY client_key, date_transaction) AS nb_transactions_client_jour,
+       CAST(date_diff('microsecond',
+                      lag(timestamp_transaction) OVER (PARTITION BY client_key
+                                                       ORDER BY timestamp_transaction NULLS LAST, transaction_id),
+                      timestamp_transaction) AS DOUBLE) / 1000000.0 AS delai_depuis_derniere_sec,
+       percent_rank() OVER (PARTITION BY client_key ORDER BY montant_eur) AS percentile_montant_client,
+       count(*) OVER (PARTITION BY client_key, pays_beneficiaire) AS nb_trans_pays
+FROM stg_transactions""")
+
+final("win_count_client_day", "SELECT transaction_id, nb_transactions_client_jour FROM win")
+final("win_lag_seconds", "SELECT transaction_id, round(delai_depuis_derniere_sec, 6) AS delai_depuis_derniere_sec FROM win")
+final("win_percent_rank", "SELECT transaction_id, round(percentile_montant_client, 6) AS percentile_montant_client FROM win")
+final("win_ranged_all", """
+SELECT transaction_id, nb_transactions_client_jour, round(delai_depuis_derniere_sec, 6) AS delai_depuis_derniere_sec,
+       round(percentile_montant_client, 6) AS percentile_montant_client, nb_trans_pays FROM win""")
+
+# ---------------------------------------------------------------- intermediate (literal joins)
+cte("itf", """
+SELECT t.transaction_key, t.transaction_id, t.client_key, t.client_id, t.date_transaction, t.heure_transaction,
+       t.timestamp_transaction, t.montant_eur, t.type_transaction_std, t.canal_std, t.categorie_std,
+       t.pays_beneficiaire, t.is_international, t.is_nocturne, t.is_weekend, t.plage_horaire,
+       cs.avg_montant_30j, cs.std_montant_30j, cs.avg_trans_par_jour, cs.max_montant_historique,
+       cs.taux_trans_internationales,
+       CASE WHEN cs.std_montant_30j > 0
+            THEN (CAST(t.montant_eur AS DOUBLE) - cs.avg_montant_30j) / cs.std_montant_30j ELSE 0.0 END AS z_score_montant,
+       CASE WHEN cs.avg_montant_30j > 0 THEN CAST(t.montant_eur AS DOUBLE) / cs.avg_montant_30j ELSE 1.0 END
+         AS ratio_vs_moyenne_client,
+       count(*) OVER (PARTITION BY t.client_key, t.date_transaction) AS nb_transactions_client_jour,
+       CAST(date_diff('microsecond',
+                      lag(t.timestamp_transaction) OVER (PARTITION BY t.client_key
+                                                         ORDER BY t.timestamp_transaction NULLS LAST, t.transaction_id),
+                      t.timestamp_transaction) AS DOUBLE) / 1000000.0 AS delai_depuis_derniere_sec,
+       (cps.nb_trans_pays IS NULL OR cps.nb_trans_pays = 1) AS is_pays_inhabituel,
+       percent_rank() OVER (PARTITION BY t.client_key ORDER BY t.montant_eur) AS percentile_montant_client
+FROM stg_transactions t
+LEFT JOIN cs30 cs ON t.client_key = cs.client_key
+LEFT JOIN cps ON t.client_key = cps.client_key AND t.pays_beneficiaire = cps.pays_beneficiaire""")
+
+ITF_DOUBLES = ["avg_montant_30j", "std_montant_30j", "avg_trans_par_jour", "taux_trans_internationales",
+               "z_score_montant", "ratio_vs_moyenne_client", "delai_depuis_derniere_sec", "percentile_montant_client"]
+final("int_transaction_features", _round_doubles("itf", ITF_DOUBLES))
+
+cte("ica", f"""
+SELECT c.client_key, c.client_id, c.segment_client, c.age, c.anciennete_mois AS anciennete_client_mois,
+       coalesce(t.nb_transactions_total, 0) AS nb_transactions_total,
+       coalesce(t.montant_total_transactions, 0) AS montant_total_transactions,
+       coalesce(t.montant_moyen_transaction, 0.0) AS montant_moyen_transaction,
+       coalesce(t.nb_transactions_30j, 0) AS nb_transactions_30j,
+       coalesce(t.montant_transactions_30j, 0) AS montant_transactions_30j,
+       coalesce(t.nb_transactions_90j, 0) AS nb_transactions_90j,
+       coalesce(t.montant_transactions_90j, 0) AS montant_transactions_90j,
+       CAST({D} - t.date_derniere_transaction AS INTEGER) AS days_since_last_transaction,
+       coalesce(cp.nb_contrats_total, 0) AS nb_contrats_total,
+       coalesce(cp.nb_contrats_actifs, 0) AS nb_contrats_actifs,
+       coalesce(cp.nb_contrats_resilies, 0) AS nb_contrats_resilies,
+       coalesce(cp.prime_mensuelle_totale, 0) AS prime_mensuelle_totale,
+       coalesce(cp.capital_total_assure, 0) AS capital_total_assure,
+       coalesce(cp.nb_contrats_auto, 0) AS nb_contrats_auto,
+       coalesce(cp.nb_contrats_habitation, 0) AS nb_contrats_habitation,
+       coalesce(cp.nb_contrats_sante, 0) AS nb_contrats_sante,
+       coalesce(cp.nb_contrats_vie, 0) AS nb_contrats_vie,
+       coalesce(s.nb_sinistres_total, 0) AS nb_sinistres_total,
+       coalesce(s.nb_sinistres_12m, 0) AS nb_sinistres_12m,
+       coalesce(s.montant_total_indemnise, 0) AS montant_total_indemnise,
+       coalesce(s.nb_sinistres_rejetes, 0) AS nb_sinistres_rejetes,
+       CASE WHEN coalesce(cp.prime_mensuelle_totale, 0) > 0
+            THEN CAST(coalesce(s.montant_total_indemnise, 0) AS DOUBLE) / (CAST(cp.prime_mensuelle_totale AS DOUBLE) * 12)
+            ELSE 0.0 END AS ratio_sinistres_primes_client,
+       CASE WHEN coalesce(t.nb_transactions_30j, 0) > 0 AND coalesce(cp.nb_contrats_actifs, 0) > 0 THEN 'Actif'
+            WHEN coalesce(t.nb_transactions_90j, 0) > 0 OR coalesce(cp.nb_contrats_actifs, 0) > 0 THEN 'Modere'
+            ELSE 'Dormant' END AS statut_engagement,
+       coalesce(cp.prime_mensuelle_totale, 0) * 12 * 3 - coalesce(s.montant_total_indemnise, 0) AS ltv_estimee_3ans,
+       CASE WHEN t.nb_trans_mobile >= t.nb_trans_web AND t.nb_trans_mobile >= t.nb_trans_agence THEN 'Mobile'
+            WHEN t.nb_trans_web >= t.nb_trans_mobile AND t.nb_trans_web >= t.nb_trans_agence THEN 'Web'
+            WHEN t.nb_trans_agence >= t.nb_trans_mobile AND t.nb_trans_agence >= t.nb_trans_web THEN 'Agence'
+            ELSE 'Mixte' END AS canal_prefere
+FROM stg_clients c
+LEFT JOIN ta t ON c.client_key = t.client_key
+LEFT JOIN cp ON c.client_key = cp.client_key
+LEFT JOIN sh s ON c.client_key = s.client_key""")
+
+final("int_client_activity", _round_doubles("ica", ["montant_moyen_transaction", "ratio_sinistres_primes_client"]))
+
+_REM = f"greatest(0, date_part('month', age(CAST(c.date_echeance AS TIMESTAMP), CAST({D} AS TIMESTAMP))))"
+cte("icp", f"""
+SELECT c.contrat_key, c.contrat_id, c.client_key, c.client_id, c.type_produit_std, c.categorie_produit,
+       c.date_souscription, c.date_effet, c.date_echeance, c.anciennete_mois, c.prime_mensuelle, c.capital_assure,
+       c.is_actif,
+       coalesce(p.montant_total_primes, 0) AS primes_collectees,
+       coalesce(p.montant_primes_payees, 0) AS primes_payees,
+       coalesce(p.nb_impayes, 0) AS nb_impayes,
+       coalesce(p.taux_paiement, 1.0) AS taux_paiement,
+       coalesce(s.nb_sinistres, 0) AS nb_sinistres,
+       coalesce(s.montant_total_indemnise, 0) AS montant_total_indemnise,
+       coalesce(s.frequence_sinistres_annuelle, 0.0) AS frequence_sinistres,
+       coalesce(s.delai_moyen_traitement, 0.0) AS delai_moyen_traitement,
+       CASE WHEN coalesce(p.montant_primes_payees, 0) > 0
+            THEN CAST(coalesce(s.montant_total_indemnise, 0) AS DOUBLE) / CAST(p.montant_primes_payees AS DOUBLE) * 100
+            ELSE 0.0 END AS ratio_sp_pct,
+       CAST(coalesce(s.nb_sinistres, 0) AS DOUBLE) / NULLIF(CAST(c.anciennete_mois AS DOUBLE) / 12.0, 0.0)
+         AS frequence_par_annee,
+       CASE WHEN coalesce(s.nb_sinistres, 0) > 0
+            THEN CAST(coalesce(s.montant_total_indemnise, 0) AS DOUBLE) / CAST(s.nb_sinistres AS DOUBLE) ELSE 0.0 END
+         AS cout_moyen_sinistre,
+       coalesce(p.montant_primes_payees, 0) - coalesce(s.montant_total_indemnise, 0) AS marge_technique,
+       CAST(c.prime_mensuelle AS DOUBLE) * CAST({_REM} AS DOUBLE)
+         - coalesce(s.montant_moyen_indemnise, 0.0) * coalesce(s.frequence_sinistres_annuelle, 0.0) AS ltv_restante,
+       CASE WHEN coalesce(p.montant_primes_payees, 0) - coalesce(s.montant_total_indemnise, 0) > c.prime_mensuelle * 12
+              THEN 'Tres_Profitable'
+            WHEN coalesce(p.montant_primes_payees, 0) > coalesce(s.montant_total_indemnise, 0) THEN 'Profitable'
+            WHEN coalesce(p.montant_primes_payees, 0) = coalesce(s.montant_total_indemnise, 0) THEN 'Equilibre'
+            ELSE 'Deficitaire' END AS statut_rentabilite,
+       CASE WHEN coalesce(p.nb_impayes, 0) = 0 AND coalesce(p.taux_paiement_a_temps, 1.0) > 0.9 THEN 'Excellent'
+            WHEN coalesce(p.nb_impayes, 0) <= 1 THEN 'Bon'
+            WHEN coalesce(p.nb_impayes, 0) <= 3 THEN 'Moyen' ELSE 'Mauvais' END AS qualite_paiement,
+       CASE WHEN coalesce(s.nb_sinistres, 0) = 0 THEN 'Sans_Sinistre'
+            WHEN coalesce(p.montant_primes_payees, 0) <= 0 THEN 'Faible'
+            WHEN coalesce(s.montant_total_indemnise, 0) * 100 < 50 * p.montant_primes_payees THEN 'Faible'
+            WHEN coalesce(s.montant_total_indemnise, 0) * 100 < 75 * p.montant_primes_payees THEN 'Normale'
+            WHEN coalesce(s.montant_total_indemnise, 0) * 100 < 100 * p.montant_primes_payees THEN 'Elevee'
+            ELSE 'Critique' END AS niveau_sinistralite
+FROM stg_contrats c
+LEFT JOIN sa s ON c.contrat_key = s.contrat_key
+LEFT JOIN pa p ON c.contrat_key = p.contrat_key""")
+
+ICP_DOUBLES = ["taux_paiement", "frequence_sinistres", "delai_moyen_traitement", "ratio_sp_pct",
+               "frequence_par_annee", "cout_moyen_sinistre", "ltv_restante"]
+final("int_contrat_performance", _round_doubles("icp", ICP_DOUBLES))

@@ -39,3 +39,211 @@ def _stg(name: str):
 
 for _name in staging.STAGING:
     QUERIES[f"stg_{_name}"] = _stg(_name)
+
+
+# ---------------------------------------------------------------- shared model builders
+from pyspark.sql import functions as F  # noqa: E402
+
+from finsight.operators import aggregates as agg  # noqa: E402
+from finsight.operators import features, windows  # noqa: E402
+from finsight.plans import marts  # noqa: E402
+
+
+def published(df: DataFrame) -> DataFrame:
+    return agg.publish(df, agg.double_columns(df))
+
+
+def keyed(df: DataFrame, id_col: str, key_col: str) -> DataFrame:
+    """Replace the grouping id by its surrogate key (the published grain of the aggregate)."""
+    return published(agg.with_key(df, id_col, key_col).drop(id_col))
+
+
+class Models:
+    """Lazily built model DataFrames for one (spark, sf_dir, params); each model is built once
+    per instance so that a mart and its upstream share one logical plan."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, p: Params | None = None):
+        self.spark, self.sf_dir, self.p = spark, sf_dir, p or Params()
+        self._cache: dict[str, DataFrame] = {}
+
+    def _get(self, name, build):
+        if name not in self._cache:
+            self._cache[name] = build()
+        return self._cache[name]
+
+    @property
+    def raw(self) -> dict[str, DataFrame]:
+        return self._get("raw", lambda: raw(self.spark, self.sf_dir, self.p))
+
+    def stg(self, name: str) -> DataFrame:
+        return self._get(f"stg_{name}", lambda: staging.STAGING[name](self.raw[name], self.p))
+
+    def transaction_features(self) -> DataFrame:
+        return self._get("itf", lambda: features.transaction_features(self.stg("transactions"), self.p))
+
+    def client_activity(self) -> DataFrame:
+        return self._get("ica", lambda: features.client_activity(
+            self.stg("clients"), self.stg("transactions"), self.stg("contrats"), self.stg("sinistres"), self.p))
+
+    def contrat_performance(self) -> DataFrame:
+        return self._get("icp", lambda: features.contrat_performance(
+            self.stg("contrats"), self.stg("sinistres"), self.stg("primes"), self.p))
+
+    def anomalies(self) -> DataFrame:
+        return self._get("fat", lambda: marts.fct_anomalies_transactions(self.transaction_features(), self.p))
+
+    def churn(self) -> DataFrame:
+        return self._get("fcp", lambda: marts.fct_churn_predictions(self.client_activity(), self.p))
+
+
+def _m(spark, sf_dir, **kw) -> Models:
+    return Models(spark, sf_dir, Params(**kw) if kw else None)
+
+
+# ---------------------------------------------------------------- aggregates (E)
+@query("trans_activity")
+def q_trans_activity(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return keyed(agg.trans_activity(m.stg("transactions"), m.p), "client_id", "client_key")
+
+
+@query("contrats_portfolio")
+def q_contrats_portfolio(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return keyed(agg.contrats_portfolio(m.stg("contrats"), m.p), "client_id", "client_key")
+
+
+@query("sinistres_history")
+def q_sinistres_history(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return keyed(agg.sinistres_history(m.stg("sinistres"), m.p), "client_id", "client_key")
+
+
+@query("sinistres_agg")
+def q_sinistres_agg(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return keyed(agg.sinistres_agg(m.stg("sinistres"), m.p), "contrat_id", "contrat_key")
+
+
+@query("primes_agg")
+def q_primes_agg(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return keyed(agg.primes_agg(m.stg("primes"), m.p), "contrat_id", "contrat_key")
+
+
+@query("client_stats_30d")
+def q_client_stats_30d(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return keyed(agg.client_stats_30d(m.stg("transactions"), m.p), "client_id", "client_key")
+
+
+@query("client_pays_stats")
+def q_client_pays_stats(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return keyed(agg.client_pays_stats(m.stg("transactions"), m.p), "client_id", "client_key")
+
+
+# ---------------------------------------------------------------- windows (F)
+def _windows(spark, sf_dir, **kw) -> DataFrame:
+    m = _m(spark, sf_dir, **kw)
+    t = m.stg("transactions").select(windows.K, windows.TS, windows.ID, windows.AMT, windows.DAY, windows.PAYS)
+    return windows.client_windows(t, m.p)
+
+
+@query("win_count_client_day")
+def q_win_count_client_day(spark, sf_dir):
+    return _windows(spark, sf_dir).select("transaction_id", "nb_transactions_client_jour")
+
+
+@query("win_lag_seconds")
+def q_win_lag_seconds(spark, sf_dir):
+    return published(_windows(spark, sf_dir).select("transaction_id", "delai_depuis_derniere_sec"))
+
+
+@query("win_percent_rank")
+def q_win_percent_rank(spark, sf_dir):
+    return published(_windows(spark, sf_dir).select("transaction_id", "percentile_montant_client"))
+
+
+@query("win_ranged_all")
+def q_win_ranged_all(spark, sf_dir):
+    """All four per-client windows through the skew (range-partitioned) path for every client."""
+    return published(_windows(spark, sf_dir, hot_key_rows=0).select(
+        "transaction_id", "nb_transactions_client_jour", "delai_depuis_derniere_sec",
+        "percentile_montant_client", "nb_trans_pays"))
+
+
+# ---------------------------------------------------------------- intermediate (I)
+@query("int_transaction_features")
+def q_int_transaction_features(spark, sf_dir):
+    return published(_m(spark, sf_dir).transaction_features())
+
+
+@query("int_client_activity")
+def q_int_client_activity(spark, sf_dir):
+    return published(_m(spark, sf_dir).client_activity())
+
+
+@query("int_contrat_performance")
+def q_int_contrat_performance(spark, sf_dir):
+    return published(_m(spark, sf_dir).contrat_performance())
+
+
+# ---------------------------------------------------------------- marts
+@query("anomaly_score")
+def q_anomaly_score(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    scored = marts.classify_anomalies(m.transaction_features(), m.p)
+    return published(scored.select("transaction_id", "is_anomalie_montant", "is_anomalie_frequence",
+                                   "is_anomalie_geographique", "is_anomalie_horaire",
+                                   "is_anomalie_comportementale", "score_anomalie",
+                                   "type_anomalie_principal", "niveau_severite", "is_anomalie"))
+
+
+@query("fct_anomalies_transactions")
+def q_fct_anomalies_transactions(spark, sf_dir):
+    return published(_m(spark, sf_dir).anomalies())
+
+
+@query("fct_anomalies_summary")
+def q_fct_anomalies_summary(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return published(marts.fct_anomalies_summary(m.anomalies(), m.p))
+
+
+@query("churn_score")
+def q_churn_score(spark, sf_dir):
+    return _m(spark, sf_dir).churn().select("client_key", "score_baisse_activite", "score_inactivite",
+                                            "score_resiliation", "score_insatisfaction_sinistres",
+                                            "score_faible_valeur", "score_churn")
+
+
+@query("fct_churn_predictions")
+def q_fct_churn_predictions(spark, sf_dir):
+    return published(_m(spark, sf_dir).churn())
+
+
+@query("dim_client_segments")
+def q_dim_client_segments(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return published(marts.dim_client_segments(m.churn(), m.p))
+
+
+@query("fct_performance_contrats")
+def q_fct_performance_contrats(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return published(marts.fct_performance_contrats(m.contrat_performance(), m.p))
+
+
+@query("fct_sinistralite")
+def q_fct_sinistralite(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return published(marts.fct_sinistralite(m.stg("contrats"), m.stg("clients"), m.stg("sinistres"),
+                                            m.stg("primes"), m.p))
+
+
+@query("fct_kpis_portefeuille")
+def q_fct_kpis_portefeuille(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return published(marts.fct_kpis_portefeuille(m.stg("clients"), m.stg("contrats"), m.stg("sinistres"),
+                                                 m.stg("primes"), m.churn(), m.p))
