@@ -574,3 +574,198 @@ LEFT JOIN pa p ON c.contrat_key = p.contrat_key""")
 ICP_DOUBLES = ["taux_paiement", "frequence_sinistres", "delai_moyen_traitement", "ratio_sp_pct",
                "frequence_par_annee", "cout_moyen_sinistre", "ltv_restante"]
 final("int_contrat_performance", _round_doubles("icp", ICP_DOUBLES))
+
+# ---------------------------------------------------------------- marts
+cte("scored", """
+SELECT *,
+       least(100.0,
+             CASE WHEN abs(z_score_montant) > 5 THEN 40.0 WHEN abs(z_score_montant) > 4 THEN 30.0
+                  WHEN abs(z_score_montant) > 3 THEN 20.0 ELSE abs(z_score_montant) * 5 END
+           + CASE WHEN nb_transactions_client_jour > 10 THEN 20 WHEN nb_transactions_client_jour > 7 THEN 15
+                  WHEN nb_transactions_client_jour > 5 THEN 10 ELSE 0 END
+           + CASE WHEN is_international AND is_pays_inhabituel THEN 20 WHEN is_international THEN 10 ELSE 0 END
+           + CASE WHEN is_nocturne THEN 10 WHEN is_weekend THEN 5 ELSE 0 END
+           + CASE WHEN delai_depuis_derniere_sec IS NOT NULL AND delai_depuis_derniere_sec < 60 THEN 10
+                  WHEN delai_depuis_derniere_sec IS NOT NULL AND delai_depuis_derniere_sec < 300 THEN 5 ELSE 0 END
+       ) AS score_anomalie,
+       coalesce(abs(z_score_montant) > 3, FALSE) AS is_anomalie_montant,
+       coalesce(nb_transactions_client_jour > 5, FALSE) AS is_anomalie_frequence,
+       coalesce(is_international AND is_pays_inhabituel, FALSE) AS is_anomalie_geographique,
+       coalesce(is_nocturne AND montant_eur > 1000, FALSE) AS is_anomalie_horaire,
+       coalesce(delai_depuis_derniere_sec IS NOT NULL AND delai_depuis_derniere_sec < 60 AND montant_eur > 500, FALSE)
+         AS is_anomalie_comportementale
+FROM itf""")
+
+cte("classified", f"""
+SELECT {_sk('transaction_key')} AS anomalie_key, transaction_key, transaction_id, client_key, client_id,
+       date_transaction, timestamp_transaction, montant_eur, type_transaction_std, canal_std, pays_beneficiaire,
+       is_anomalie_montant, is_anomalie_frequence, is_anomalie_geographique, is_anomalie_horaire,
+       is_anomalie_comportementale, score_anomalie, z_score_montant, ratio_vs_moyenne_client,
+       nb_transactions_client_jour, is_nocturne, is_international,
+       CASE WHEN is_anomalie_montant THEN 'Montant' WHEN is_anomalie_frequence THEN 'Frequence'
+            WHEN is_anomalie_geographique THEN 'Geographique' WHEN is_anomalie_horaire THEN 'Horaire'
+            WHEN is_anomalie_comportementale THEN 'Comportement' ELSE 'Normal' END AS type_anomalie_principal,
+       CASE WHEN score_anomalie >= 80 THEN 'Critique' WHEN score_anomalie >= 60 THEN 'Eleve'
+            WHEN score_anomalie >= 40 THEN 'Moyen' WHEN score_anomalie >= 20 THEN 'Faible' ELSE 'Normal' END
+         AS niveau_severite,
+       'Nouveau' AS statut_investigation,
+       score_anomalie >= 20 AS is_anomalie,
+       {D} AS date_detection
+FROM scored""")
+
+cte("fat", "SELECT * FROM classified WHERE is_anomalie")
+
+final("anomaly_score", """
+SELECT transaction_id, is_anomalie_montant, is_anomalie_frequence, is_anomalie_geographique, is_anomalie_horaire,
+       is_anomalie_comportementale, round(score_anomalie, 6) AS score_anomalie, type_anomalie_principal,
+       niveau_severite, is_anomalie
+FROM classified""")
+final("fct_anomalies_transactions", _round_doubles("fat", ["score_anomalie", "z_score_montant",
+                                                           "ratio_vs_moyenne_client"]))
+final("fct_anomalies_summary", """
+SELECT date_detection AS "date", type_anomalie_principal AS type_anomalie, niveau_severite,
+       count(DISTINCT anomalie_key) AS nb_anomalies_detectees,
+       count(DISTINCT client_key) AS nb_clients_concernes,
+       sum(montant_eur) AS montant_total_suspect,
+       round(CAST(sum(montant_eur) AS DOUBLE) / count(montant_eur), 6) AS montant_moyen_suspect,
+       round(avg(score_anomalie), 6) AS score_moyen,
+       round(max(score_anomalie), 6) AS score_max
+FROM fat GROUP BY date_detection, type_anomalie_principal, niveau_severite""")
+
+cte("churn_f", """
+SELECT *,
+       CASE WHEN nb_transactions_90j = 0 THEN 30
+            WHEN nb_transactions_30j = 0 AND nb_transactions_90j > 0 THEN 20
+            WHEN nb_transactions_30j < nb_transactions_90j * 0.5 THEN 15 ELSE 0 END AS score_baisse_activite,
+       CASE WHEN days_since_last_transaction > 180 THEN 20 WHEN days_since_last_transaction > 90 THEN 15
+            WHEN days_since_last_transaction > 60 THEN 10 WHEN days_since_last_transaction > 30 THEN 5 ELSE 0 END
+         AS score_inactivite,
+       CASE WHEN nb_contrats_actifs = 0 AND nb_contrats_resilies > 0 THEN 20
+            WHEN nb_contrats_resilies >= 2 THEN 15 WHEN nb_contrats_resilies = 1 THEN 10 ELSE 0 END AS score_resiliation,
+       CASE WHEN nb_sinistres_rejetes >= 2 THEN 15 WHEN nb_sinistres_rejetes = 1 THEN 10
+            WHEN nb_sinistres_12m > 3 THEN 5 ELSE 0 END AS score_insatisfaction_sinistres,
+       CASE WHEN prime_mensuelle_totale = 0 THEN 15 WHEN prime_mensuelle_totale < 50 THEN 10
+            WHEN prime_mensuelle_totale < 100 THEN 5 ELSE 0 END AS score_faible_valeur
+FROM ica""")
+
+cte("churn", f"""
+SELECT {_sk('client_key')} AS prediction_key, client_key, client_id, segment_client, age, anciennete_client_mois,
+       nb_transactions_30j, nb_transactions_90j, days_since_last_transaction, nb_contrats_actifs,
+       nb_contrats_resilies, prime_mensuelle_totale, nb_sinistres_rejetes, statut_engagement, ltv_estimee_3ans,
+       score_baisse_activite, score_inactivite, score_resiliation, score_insatisfaction_sinistres,
+       score_faible_valeur, score_churn,
+       CASE WHEN score_churn >= 80 THEN 0.90 WHEN score_churn >= 60 THEN 0.70 WHEN score_churn >= 40 THEN 0.50
+            WHEN score_churn >= 20 THEN 0.30 ELSE 0.10 END AS probabilite_churn_30j,
+       CASE WHEN score_churn >= 70 THEN 0.95 WHEN score_churn >= 50 THEN 0.75 WHEN score_churn >= 30 THEN 0.55
+            WHEN score_churn >= 15 THEN 0.35 ELSE 0.15 END AS probabilite_churn_90j,
+       CASE WHEN score_churn >= 70 THEN 'Critique' WHEN score_churn >= 50 THEN 'Eleve'
+            WHEN score_churn >= 30 THEN 'Moyen' ELSE 'Faible' END AS segment_risque,
+       CASE WHEN score_inactivite >= greatest(score_baisse_activite, score_resiliation,
+                                             score_insatisfaction_sinistres, score_faible_valeur) THEN 'Inactivite'
+            WHEN score_baisse_activite >= greatest(score_inactivite, score_resiliation,
+                                                  score_insatisfaction_sinistres, score_faible_valeur) THEN 'Baisse_Activite'
+            WHEN score_resiliation >= greatest(score_inactivite, score_baisse_activite,
+                                              score_insatisfaction_sinistres, score_faible_valeur) THEN 'Resiliation'
+            WHEN score_insatisfaction_sinistres >= greatest(score_inactivite, score_baisse_activite,
+                                                           score_resiliation, score_faible_valeur) THEN 'Insatisfaction'
+            ELSE 'Faible_Valeur' END AS facteur_principal,
+       CASE WHEN score_churn >= 70 AND nb_contrats_actifs > 0 THEN 'Contact_Urgent_Retention'
+            WHEN score_churn >= 70 AND nb_contrats_actifs = 0 THEN 'Tentative_Reactivation'
+            WHEN score_churn >= 50 THEN 'Offre_Personnalisee' WHEN score_churn >= 30 THEN 'Campagne_Engagement'
+            ELSE 'Suivi_Normal' END AS action_recommandee,
+       CASE WHEN score_churn >= 80 AND prime_mensuelle_totale > 200 THEN 1 WHEN score_churn >= 70 THEN 2
+            WHEN score_churn >= 50 THEN 3 WHEN score_churn >= 30 THEN 4 ELSE 5 END AS priorite_contact,
+       {D} AS date_prediction
+FROM (SELECT *, least(100, score_baisse_activite + score_inactivite + score_resiliation
+                           + score_insatisfaction_sinistres + score_faible_valeur) AS score_churn FROM churn_f)""")
+
+final("churn_score", """
+SELECT client_key, score_baisse_activite, score_inactivite, score_resiliation, score_insatisfaction_sinistres,
+       score_faible_valeur, score_churn FROM churn""")
+final("fct_churn_predictions", "SELECT * FROM churn")
+final("dim_client_segments", f"""
+SELECT {_sk('client_key')} AS segment_key, client_key, client_id,
+       CASE WHEN prime_mensuelle_totale >= 300 THEN 'Platinum' WHEN prime_mensuelle_totale >= 150 THEN 'Gold'
+            WHEN prime_mensuelle_totale >= 75 THEN 'Silver' ELSE 'Bronze' END AS segment_valeur,
+       statut_engagement AS segment_comportement, segment_risque AS segment_risque_churn,
+       ltv_estimee_3ans AS ltv_estimee, {D} AS date_segmentation
+FROM churn""")
+
+final("fct_performance_contrats", f"""
+SELECT {_sk('contrat_key', D)} AS performance_key, contrat_key, contrat_id, client_key, client_id,
+       type_produit_std, categorie_produit, anciennete_mois, prime_mensuelle,
+       primes_collectees AS prime_totale_periode, primes_collectees AS prime_cumulee_ytd,
+       round(taux_paiement, 6) AS taux_paiement_a_temps, nb_impayes, nb_sinistres,
+       montant_total_indemnise AS montant_sinistres_indemnises,
+       round(ratio_sp_pct, 6) AS ratio_sinistres_primes, round(ratio_sp_pct, 6) AS ratio_combined,
+       marge_technique, statut_rentabilite, is_actif, anciennete_mois AS anciennete_contrat_mois,
+       round(ltv_restante, 6) AS ltv_a_date, round(ltv_restante, 6) AS ltv_projetee,
+       CAST(date_trunc('month', {D}) AS DATE) AS periode_mois
+FROM icp""")
+
+cte("sin_by_ct", """
+SELECT contrat_key, count(DISTINCT sinistre_id) AS nb_sinistres, sum(montant_declare) AS total_sinistres_declares,
+       sum(montant_indemnise) AS total_sinistres_indemnises
+FROM stg_sinistres GROUP BY contrat_key""")
+cte("prm_by_ct", """
+SELECT contrat_key, sum(CASE WHEN is_paye THEN montant_prime ELSE 0 END) AS total_primes_collectees
+FROM stg_primes GROUP BY contrat_key""")
+cte("sinistralite", f"""
+SELECT CAST(date_trunc('month', {D}) AS DATE) AS periode_mois, c.type_produit_std AS type_produit,
+       coalesce(cl.segment_client, 'Unknown') AS segment_client,
+       count(DISTINCT c.contrat_id) FILTER (WHERE c.is_actif) AS nb_contrats_actifs,
+       sum(coalesce(s.nb_sinistres, 0)) AS nb_sinistres,
+       sum(coalesce(p.total_primes_collectees, 0)) AS total_primes_collectees,
+       sum(coalesce(s.total_sinistres_declares, 0)) AS total_sinistres_declares,
+       sum(coalesce(s.total_sinistres_indemnises, 0)) AS total_sinistres_indemnises
+FROM stg_contrats c
+LEFT JOIN stg_clients cl ON c.client_key = cl.client_key
+LEFT JOIN sin_by_ct s ON c.contrat_key = s.contrat_key
+LEFT JOIN prm_by_ct p ON c.contrat_key = p.contrat_key
+GROUP BY 1, 2, 3""")
+final("fct_sinistralite", f"""
+SELECT {_sk('periode_mois', 'type_produit', 'segment_client')} AS sinistralite_key,
+       periode_mois, type_produit, segment_client, nb_contrats_actifs, CAST(nb_sinistres AS BIGINT) AS nb_sinistres,
+       round(CAST(nb_sinistres AS DOUBLE) / NULLIF(nb_contrats_actifs, 0), 6) AS frequence_sinistres,
+       total_primes_collectees, total_sinistres_declares, total_sinistres_indemnises,
+       CASE WHEN nb_sinistres > 0
+            THEN round(CAST(total_sinistres_indemnises AS DOUBLE) / CAST(nb_sinistres AS DOUBLE), 6) END
+         AS cout_moyen_sinistre,
+       round(CAST(total_sinistres_indemnises AS DOUBLE) / NULLIF(CAST(total_primes_collectees AS DOUBLE), 0) * 100, 6)
+         AS ratio_sp_periode,
+       round(CAST(total_sinistres_indemnises AS DOUBLE) / NULLIF(CAST(total_primes_collectees AS DOUBLE), 0) * 100, 6)
+         AS ratio_sp_ytd,
+       round(CAST(total_sinistres_indemnises AS DOUBLE) / NULLIF(CAST(total_primes_collectees AS DOUBLE), 0) * 100, 6)
+         AS ratio_sp_12m_glissant,
+       CAST(NULL AS DECIMAL(38,6)) AS evolution_vs_mois_precedent,
+       CAST(NULL AS DECIMAL(38,6)) AS evolution_vs_annee_precedente
+FROM sinistralite""")
+
+# literal five-way LEFT JOIN (fan-out: claims x instalments per contract)
+final("fct_kpis_portefeuille", f"""
+SELECT {_sk(f"CAST({D} AS VARCHAR)")} AS kpi_key, {D} AS "date",
+       count(DISTINCT c.client_id) AS nb_clients_actifs,
+       count(DISTINCT ct.contrat_id) FILTER (WHERE ct.is_actif) AS nb_contrats_actifs,
+       count(DISTINCT c.client_id) FILTER (WHERE c.is_nouveau_client) AS nb_nouveaux_clients,
+       count(DISTINCT ct.contrat_id) FILTER (WHERE ct.is_resilie) AS nb_contrats_resilies,
+       sum(CASE WHEN p.is_paye THEN p.montant_prime ELSE 0 END) AS total_primes_collectees,
+       sum(s.montant_indemnise) AS total_sinistres_payes,
+       sum(CASE WHEN ct.is_actif THEN ct.capital_assure ELSE 0 END) AS encours_total,
+       round(CAST(sum(s.montant_indemnise) AS DOUBLE)
+             / NULLIF(CAST(sum(CASE WHEN p.is_paye THEN p.montant_prime ELSE 0 END) AS DOUBLE), 0) * 100, 6)
+         AS ratio_sp_global,
+       sum(CASE WHEN p.is_paye THEN p.montant_prime ELSE 0 END) - sum(s.montant_indemnise) AS marge_nette,
+       round(CAST(sum(ch.ltv_estimee_3ans) AS DOUBLE) / NULLIF(count(ch.ltv_estimee_3ans), 0), 6) AS ltv_moyenne_client,
+       100 AS acquisition_cost_moyen,
+       round(CAST(sum(ch.ltv_estimee_3ans) AS DOUBLE) / NULLIF(count(ch.ltv_estimee_3ans), 0), 6)
+         AS customer_lifetime_value,
+       75 AS nps_score,
+       round(CAST(count(DISTINCT c.client_id) FILTER (WHERE ct.is_actif) AS DOUBLE)
+             / NULLIF(count(DISTINCT c.client_id), 0) * 100, 6) AS taux_retention,
+       round(CAST(count(DISTINCT c.client_id) FILTER (WHERE ch.score_churn >= 70) AS DOUBLE)
+             / NULLIF(count(DISTINCT c.client_id), 0) * 100, 6) AS taux_churn
+FROM stg_clients c
+LEFT JOIN stg_contrats ct ON c.client_key = ct.client_key
+LEFT JOIN stg_sinistres s ON ct.contrat_key = s.contrat_key
+LEFT JOIN stg_primes p ON ct.contrat_key = p.contrat_key
+LEFT JOIN churn ch ON c.client_key = ch.client_key""")
