@@ -769,3 +769,177 @@ LEFT JOIN stg_contrats ct ON c.client_key = ct.client_key
 LEFT JOIN stg_sinistres s ON ct.contrat_key = s.contrat_key
 LEFT JOIN stg_primes p ON ct.contrat_key = p.contrat_key
 LEFT JOIN churn ch ON c.client_key = ch.client_key""")
+
+# ---------------------------------------------------------------- column functions
+final("surrogate_key", f"""
+SELECT transaction_id, {_sk('transaction_id')} AS key_1, {_sk('client_id', 'date_transaction')} AS key_2,
+       {_sk('transaction_id', 'pays_beneficiaire', 'montant')} AS key_3
+FROM raw_transactions""")
+final("pg_initcap", f"""
+SELECT client_id, {_initcap('nom')} AS nom_initcap, {_initcap('prenom')} AS prenom_initcap,
+       {_initcap('ville')} AS ville_initcap, {_initcap('email')} AS email_initcap
+FROM raw_clients""")
+final("age_months", f"""
+SELECT contrat_id, {_age_months('date_echeance', 'date_effet')} AS months_term,
+       {_age_months(D, 'date_effet')} AS months_since_start,
+       {_age_months('date_effet', 'date_echeance')} AS months_reversed,
+       {_age_month_part('date_echeance', D)} AS month_part_remaining,
+       {_age_years('date_echeance', D)} AS year_part_remaining
+FROM raw_contrats""")
+_REF = "TIMESTAMP '2023-11-30 12:00:00'"
+final("age_months_ts", f"""
+SELECT transaction_id, {_age_months('timestamp_transaction', _REF)} AS months_after_ref,
+       {_age_months(_REF, 'timestamp_transaction')} AS months_before_ref,
+       {_age_month_part('timestamp_transaction', _REF)} AS month_part
+FROM stg_transactions""")
+
+# ---------------------------------------------------------------- schedule, joins
+final("prime_schedule", f"""
+SELECT contrat_id,
+       CAST(unnest(generate_series(CAST(date_effet AS TIMESTAMP), CAST(least(date_echeance, {D}) AS TIMESTAMP),
+                                   INTERVAL 30 DAY)) AS DATE) AS date_echeance,
+       prime_mensuelle AS montant_prime
+FROM stg_contrats""")
+final("join_left_unknown_segment", """
+SELECT c.contrat_id, coalesce(cl.segment_client, 'Unknown') AS segment_client
+FROM stg_contrats c LEFT JOIN stg_clients cl ON c.client_key = cl.client_key""")
+final("join_fanout", """
+SELECT c.client_key, count(*) AS nb_rows,
+       sum(CASE WHEN p.is_paye THEN p.montant_prime ELSE 0 END) AS primes_payees_fanout,
+       sum(s.montant_indemnise) AS indemnites_fanout
+FROM stg_clients c
+LEFT JOIN stg_contrats ct ON c.client_key = ct.client_key
+LEFT JOIN stg_sinistres s ON ct.contrat_key = s.contrat_key
+LEFT JOIN stg_primes p ON ct.contrat_key = p.contrat_key
+GROUP BY c.client_key""")
+
+# ---------------------------------------------------------------- data checks
+cte("fpc", f"SELECT {_sk('contrat_key', D)} AS performance_key, * FROM icp")
+cte("fsin", f"SELECT {_sk('periode_mois', 'type_produit', 'segment_client')} AS sinistralite_key, * FROM sinistralite")
+
+_REL = {"clients": "raw_clients", "transactions": "raw_transactions", "contrats": "raw_contrats",
+        "sinistres": "raw_sinistres", "primes": "raw_primes", "int_client_activity": "ica",
+        "int_transaction_features": "itf", "int_contrat_performance": "icp", "fct_anomalies_transactions": "fat",
+        "fct_churn_predictions": "churn", "fct_performance_contrats": "fpc", "fct_sinistralite": "fsin"}
+
+
+def _rel(model: str) -> str:
+    return _REL.get(model, model)
+
+
+def _lit(v) -> str:
+    return "'" + str(v).replace("'", "''") + "'" if isinstance(v, str) else repr(v)
+
+
+def _failing_sql(ch) -> str:
+    t, c = _rel(ch.model), ch.column
+    if ch.kind == "unique":
+        return f"SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1"
+    if ch.kind == "not_null":
+        return f"SELECT * FROM {t} WHERE {c} IS NULL"
+    if ch.kind == "accepted_values":
+        vals = ", ".join(_lit(v) for v in ch.values)
+        return f"SELECT {c} FROM {t} WHERE {c} NOT IN ({vals}) GROUP BY {c}"
+    if ch.kind == "relationships":
+        return (f"SELECT child.{c} FROM {t} AS child LEFT JOIN {_rel(ch.to_model)} AS parent "
+                f"ON child.{c} = parent.{ch.to_column} WHERE child.{c} IS NOT NULL AND parent.{ch.to_column} IS NULL")
+    if ch.kind == "accepted_range":
+        conds = []
+        if ch.min_value is not None:
+            conds.append(f"{c} {'>=' if ch.inclusive else '>'} {ch.min_value}")
+        if ch.max_value is not None:
+            conds.append(f"{c} {'<=' if ch.inclusive else '<'} {ch.max_value}")
+        return f"SELECT * FROM {t} WHERE NOT ({' AND '.join(conds)})"
+    raise ValueError(ch.kind)
+
+
+def _checks_sql(kind: str) -> str:
+    from finsight.operators.quality import ALL_CHECKS
+    parts = [f"SELECT {_lit(ch.test_id)} AS test_id, {_lit(ch.kind)} AS kind, {_lit(ch.model)} AS model, "
+             f"{_lit(ch.column)} AS column_name, (SELECT count(*) FROM ({_failing_sql(ch)})) AS failures"
+             for ch in ALL_CHECKS if ch.kind == kind]
+    return "\nUNION ALL\n".join(parts)
+
+
+for _kind, _key in [("unique", "test_unique"), ("not_null", "test_not_null"),
+                    ("accepted_values", "test_accepted_values"), ("accepted_range", "test_accepted_range"),
+                    ("relationships", "orphan_check")]:
+    final(_key, _checks_sql(_kind))
+
+
+def _constraints_sql() -> str:
+    from finsight import schemas
+    parts = []
+    for table in schemas.LOAD_ORDER:
+        t, pk = f"raw_{table}", schemas.PRIMARY_KEYS[table]
+        q = [("primary_key_unique", pk, f"SELECT {pk} FROM {t} WHERE {pk} IS NOT NULL GROUP BY {pk} HAVING count(*) > 1"),
+             ("primary_key_not_null", pk, f"SELECT * FROM {t} WHERE {pk} IS NULL")]
+        for col, parent, pcol in schemas.FOREIGN_KEYS.get(table, []):
+            q.append(("foreign_key", col, f"SELECT a.{col} FROM {t} a LEFT JOIN raw_{parent} b ON a.{col} = b.{pcol} "
+                                          f"WHERE a.{col} IS NOT NULL AND b.{pcol} IS NULL"))
+        for col, n in schemas.MAX_LENGTHS[table].items():
+            q.append((f"max_length_{n}", col, f"SELECT * FROM {t} WHERE length({col}) > {n}"))
+        for f in schemas.RAW_SCHEMAS[table].fields:
+            if f.dataType.typeName() == "decimal":
+                bound = 10 ** (f.dataType.precision - f.dataType.scale)
+                q.append((f"precision_{f.dataType.simpleString()}", f.name,
+                          f"SELECT * FROM {t} WHERE abs({f.name}) >= {bound}"))
+        for name, col, sql in q:
+            parts.append(f"SELECT '{table}' AS table_name, '{name}' AS constraint_name, '{col}' AS column_name, "
+                         f"(SELECT count(*) FROM ({sql})) AS violations")
+    return "\nUNION ALL\n".join(parts)
+
+
+final("constraint_violations", _constraints_sql())
+
+# ---------------------------------------------------------------- load statistics / monitoring
+final("load_row_counts", """
+SELECT 'raw.clients' AS table_name, (SELECT count(*) FROM raw_clients) AS row_count
+UNION ALL SELECT 'raw.transactions', (SELECT count(*) FROM raw_transactions)
+UNION ALL SELECT 'raw.contrats', (SELECT count(*) FROM raw_contrats)
+UNION ALL SELECT 'raw.sinistres', (SELECT count(*) FROM raw_sinistres)
+UNION ALL SELECT 'raw.primes', (SELECT count(*) FROM raw_primes)
+UNION ALL SELECT 'staging.stg_clients', (SELECT count(*) FROM stg_clients)
+UNION ALL SELECT 'staging.stg_transactions', (SELECT count(*) FROM stg_transactions)
+UNION ALL SELECT 'marts.fct_anomalies_transactions', (SELECT count(*) FROM fat)
+UNION ALL SELECT 'marts.fct_churn_predictions', (SELECT count(*) FROM churn)""")
+final("stat_avg_trans_per_client", """
+SELECT CAST(round(avg(nb_trans)) AS INTEGER) AS avg_trans
+FROM (SELECT client_id, count(*) AS nb_trans FROM raw_transactions GROUP BY client_id)""")
+final("stat_avg_amount", "SELECT CAST(avg(montant) AS DECIMAL(10,2)) AS avg_montant FROM raw_transactions")
+final("stat_active_contracts", "SELECT count(*) AS contrats_actifs FROM raw_contrats WHERE statut = 'Actif'")
+final("stat_claim_rate", """
+SELECT CAST(round(CAST(count(DISTINCT s.contrat_id) AS DOUBLE) / NULLIF(count(DISTINCT c.contrat_id), 0) * 100, 2)
+            AS DECIMAL(5,2)) AS ratio
+FROM raw_contrats c LEFT JOIN raw_sinistres s ON s.contrat_id = c.contrat_id""")
+final("dq_anomaly_counts", """
+SELECT count(*) AS total, count(*) FILTER (WHERE niveau_severite = 'Critique') AS critiques FROM fat""")
+final("dq_churn_distribution", """
+SELECT segment_risque, count(*) AS nb_clients FROM churn GROUP BY segment_risque ORDER BY nb_clients DESC""")
+_CHECKED = f"TIMESTAMP '{AS_OF} 06:00:00'"
+final("dq_freshness", f"""
+SELECT last_loaded_at, {_CHECKED} AS checked_at, round(age, 6) AS age_hours,
+       CASE WHEN last_loaded_at IS NULL THEN 'error' WHEN age > 24 THEN 'error' WHEN age > 12 THEN 'warn'
+            ELSE 'pass' END AS freshness_status,
+       coalesce(age > 48, FALSE) AS alert_48h
+FROM (SELECT max(loaded_at) AS last_loaded_at,
+             CAST(date_diff('second', max(loaded_at), {_CHECKED}) AS DOUBLE) / 3600.0 AS age
+      FROM raw_transactions)""")
+
+# ---------------------------------------------------------------- ingestion round trips
+final("ingest_csv", """
+SELECT t.transaction_id, t.client_id,
+       CASE WHEN event_id % 23 = 0 OR (event_id % 29 <> 0 AND event_id % 31 = 0) THEN NULL
+            ELSE t.date_transaction END AS date_transaction,
+       CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 7 = 0 THEN substr(t.heure_transaction, 1, 5) || ':00'
+            ELSE t.heure_transaction END AS heure_transaction,
+       CASE WHEN event_id % 13 = 0 OR event_id % 17 = 0 THEN NULL
+            WHEN event_id % 19 = 0 THEN t.montant + 0.01 ELSE t.montant END AS montant,
+       CASE WHEN event_id % 37 = 0 OR event_id % 43 = 0 THEN NULL ELSE t.devise END AS devise,
+       t.type_transaction, t.canal, t.categorie, t.pays_beneficiaire, t.statut, t.loaded_at
+FROM (SELECT *, CAST(substr(transaction_id, 5) AS BIGINT) AS event_id FROM raw_transactions) t""")
+final("ingest_csv_clients", """
+SELECT client_id, CAST(CAST(date_creation AS DATE) AS TIMESTAMP) AS date_creation, nom, prenom,
+       CASE WHEN CAST(substr(client_id, 5) AS BIGINT) % 5 = 0 THEN NULL ELSE email END AS email,
+       telephone, date_naissance, adresse, code_postal, ville, pays, segment_client, score_credit, loaded_at
+FROM raw_clients""")

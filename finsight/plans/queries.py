@@ -24,9 +24,6 @@ def raw(spark: SparkSession, sf_dir: str, p: Params | None = None) -> dict[str,
     return fixtures.raw_tables(spark, sf_dir, p or Params())
 
 
-def staged(spark: SparkSession, sf_dir: str, p: Params | None = None) -> dict[str, DataFrame]:
-    p = p or Params()
-    return staging.stage_all(raw(spark, sf_dir, p), p)
 
 
 def _stg(name: str):
@@ -247,3 +244,204 @@ def q_fct_kpis_portefeuille(spark, sf_dir):
     m = _m(spark, sf_dir)
     return published(marts.fct_kpis_portefeuille(m.stg("clients"), m.stg("contrats"), m.stg("sinistres"),
                                                  m.stg("primes"), m.churn(), m.p))
+
+
+# ---------------------------------------------------------------- column functions (H)
+from finsight.functions import (age_month_part, age_total_months, age_year_part, pg_initcap,  # noqa: E402
+                                surrogate_key)
+from finsight.operators import monitoring, quality  # noqa: E402
+from finsight.sources import csv_ingest, schedule  # noqa: E402
+
+
+@query("surrogate_key")
+def q_surrogate_key(spark, sf_dir):
+    t = raw(spark, sf_dir)["transactions"]
+    return t.select("transaction_id",
+                    surrogate_key("transaction_id").alias("key_1"),
+                    surrogate_key("client_id", "date_transaction").alias("key_2"),
+                    surrogate_key("transaction_id", "pays_beneficiaire", "montant").alias("key_3"))
+
+
+@query("pg_initcap")
+def q_pg_initcap(spark, sf_dir):
+    c = raw(spark, sf_dir)["clients"]
+    return c.select("client_id", pg_initcap("nom").alias("nom_initcap"), pg_initcap("prenom").alias("prenom_initcap"),
+                    pg_initcap("ville").alias("ville_initcap"), pg_initcap("email").alias("email_initcap"))
+
+
+@query("age_months")
+def q_age_months(spark, sf_dir):
+    p = Params()
+    c = raw(spark, sf_dir, p)["contrats"]
+    now = F.lit(p.as_of)
+    return c.select("contrat_id",
+                    age_total_months("date_echeance", "date_effet").alias("months_term"),
+                    age_total_months(now, "date_effet").alias("months_since_start"),
+                    age_total_months("date_effet", "date_echeance").alias("months_reversed"),
+                    age_month_part("date_echeance", now).alias("month_part_remaining"),
+                    age_year_part("date_echeance", now).alias("year_part_remaining"))
+
+
+@query("age_months_ts")
+def q_age_months_ts(spark, sf_dir):
+    t = staging.stg_transactions(raw(spark, sf_dir)["transactions"], Params())
+    ref = F.lit("2023-11-30 12:00:00").cast("timestamp_ntz")
+    return t.select("transaction_id",
+                    age_total_months("timestamp_transaction", ref).alias("months_after_ref"),
+                    age_total_months(ref, "timestamp_transaction").alias("months_before_ref"),
+                    age_month_part("timestamp_transaction", ref).alias("month_part"))
+
+
+# ---------------------------------------------------------------- schedule, joins (A20, D)
+@query("prime_schedule")
+def q_prime_schedule(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return schedule.premium_schedule(m.stg("contrats"), m.p.as_of)
+
+
+@query("join_left_unknown_segment")
+def q_join_left_unknown_segment(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    seg = m.stg("clients").select("client_id", "segment_client")
+    return (m.stg("contrats").select("contrat_id", "client_id").join(seg, "client_id", "left")
+            .select("contrat_id", F.coalesce(F.col("segment_client"), F.lit("Unknown")).alias("segment_client")))
+
+
+@query("join_fanout")
+def q_join_fanout(spark, sf_dir):
+    """Per client: rows, premiums and indemnities of clients LEFT JOIN contracts LEFT JOIN claims
+    LEFT JOIN instalments, from per-contract counts (the product is never built)."""
+    m = _m(spark, sf_dir)
+    s_by = m.stg("sinistres").groupBy("contrat_id").agg(F.count(F.lit(1)).alias("ns"),
+                                                        F.sum("montant_indemnise").alias("ind"))
+    p_by = m.stg("primes").groupBy("contrat_id").agg(
+        F.count(F.lit(1)).alias("np"),
+        F.sum(F.when(F.col("is_paye"), F.col("montant_prime")).otherwise(F.lit(0))).alias("paid"))
+    ct = m.stg("contrats").select("client_id", "contrat_id").join(s_by, "contrat_id", "left").join(p_by, "contrat_id", "left")
+    j = m.stg("clients").select("client_key", "client_id").join(ct, "client_id", "left")
+    ns, np_ = F.coalesce(F.col("ns"), F.lit(1)), F.coalesce(F.col("np"), F.lit(1))
+    return j.groupBy("client_key").agg(
+        F.sum(F.when(F.col("contrat_id").isNull(), F.lit(1)).otherwise(ns * np_)).cast("long").alias("nb_rows"),
+        F.sum(ns * F.coalesce(F.col("paid"), F.lit(0))).alias("primes_payees_fanout"),
+        F.sum(np_ * F.col("ind")).alias("indemnites_fanout"))
+
+
+# ---------------------------------------------------------------- data checks (J)
+class _LazyTables(dict):
+    def __init__(self, builders):
+        super().__init__()
+        self._b = builders
+
+    def __missing__(self, k):
+        v = self[k] = self._b[k]()
+        return v
+
+
+def check_tables(m: Models) -> dict[str, DataFrame]:
+    """Every relation a declared check may read, built on first use only."""
+    b = {k: (lambda k=k: m.raw[k]) for k in ("clients", "transactions", "contrats", "sinistres", "primes")}
+    b.update({f"stg_{n}": (lambda n=n: m.stg(n)) for n in staging.STAGING})
+    b.update({
+        "int_client_activity": m.client_activity,
+        "int_transaction_features": m.transaction_features,
+        "int_contrat_performance": m.contrat_performance,
+        "fct_anomalies_transactions": m.anomalies,
+        "fct_churn_predictions": m.churn,
+        "fct_performance_contrats": lambda: marts.fct_performance_contrats(m.contrat_performance(), m.p),
+        "fct_sinistralite": lambda: marts.fct_sinistralite(m.stg("contrats"), m.stg("clients"), m.stg("sinistres"),
+                                                           m.stg("primes"), m.p),
+    })
+    return _LazyTables(b)
+
+
+def _checks_of(kind: str):
+    def fn(spark, sf_dir):
+        m = _m(spark, sf_dir)
+        checks = [c for c in quality.ALL_CHECKS if c.kind == kind]
+        return quality.summary(checks, check_tables(m))
+    fn.__name__ = f"checks_{kind}"
+    return fn
+
+
+for _kind, _key in [("unique", "test_unique"), ("not_null", "test_not_null"),
+                    ("accepted_values", "test_accepted_values"), ("accepted_range", "test_accepted_range"),
+                    ("relationships", "orphan_check")]:
+    QUERIES[_key] = _checks_of(_kind)
+
+
+@query("constraint_violations")
+def q_constraint_violations(spark, sf_dir):
+    return quality.constraint_violations(raw(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- load statistics / monitoring
+@query("load_row_counts")
+def q_load_row_counts(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    tables = {f"raw.{k}": m.raw[k] for k in ("clients", "transactions", "contrats", "sinistres", "primes")}
+    tables.update({"staging.stg_clients": m.stg("clients"), "staging.stg_transactions": m.stg("transactions"),
+                   "marts.fct_anomalies_transactions": m.anomalies(), "marts.fct_churn_predictions": m.churn()})
+    return monitoring.row_counts(tables)
+
+
+@query("stat_avg_trans_per_client")
+def q_stat_avg_trans_per_client(spark, sf_dir):
+    return monitoring.avg_transactions_per_client(raw(spark, sf_dir)["transactions"])
+
+
+@query("stat_avg_amount")
+def q_stat_avg_amount(spark, sf_dir):
+    return monitoring.avg_amount(raw(spark, sf_dir)["transactions"])
+
+
+@query("stat_active_contracts")
+def q_stat_active_contracts(spark, sf_dir):
+    return monitoring.active_contracts(raw(spark, sf_dir)["contrats"])
+
+
+@query("stat_claim_rate")
+def q_stat_claim_rate(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    return monitoring.claim_rate(r["contrats"], r["sinistres"])
+
+
+@query("dq_anomaly_counts")
+def q_dq_anomaly_counts(spark, sf_dir):
+    return monitoring.anomaly_counts(_m(spark, sf_dir).anomalies())
+
+
+@query("dq_churn_distribution")
+def q_dq_churn_distribution(spark, sf_dir):
+    return monitoring.churn_distribution(_m(spark, sf_dir).churn())
+
+
+@query("dq_freshness")
+def q_dq_freshness(spark, sf_dir):
+    p = Params()
+    return monitoring.freshness(raw(spark, sf_dir, p)["transactions"], p.as_of)
+
+
+# ---------------------------------------------------------------- ingestion round trips
+def _scratch(spark) -> str:
+    import uuid
+    from finsight.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/finsight-scratch/{uuid.uuid4().hex}"
+
+
+@query("ingest_csv")
+def q_ingest_csv(spark, sf_dir):
+    """Transactions exported as CSV text with deterministic defects, then ingested back."""
+    path = _scratch(spark) + "/transactions"
+    text = fixtures.transactions_csv_text(fixtures.read_driver_table(spark, sf_dir, "events"))
+    csv_ingest.write_csv(text, path)
+    return csv_ingest.ingest_csv(spark, "transactions", path)
+
+
+@query("ingest_csv_clients")
+def q_ingest_csv_clients(spark, sf_dir):
+    """Clients with date-time text in a date column (truncated to the day), blank e-mails and
+    float-formatted integers, ingested back."""
+    path = _scratch(spark) + "/clients"
+    text = fixtures.clients_csv_text(fixtures.read_driver_table(spark, sf_dir, "customer"))
+    csv_ingest.write_csv(text, path)
+    return csv_ingest.ingest_csv(spark, "clients", path)

@@ -59,8 +59,24 @@ def _shift(d: Column) -> Column:
     return F.date_add(d.cast("date"), DATE_SHIFT_DAYS)
 
 
+# Pinned read schemas of the driver tables (columns the mapping uses): no footer-based inference.
+DRIVER_SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+                "l_shipdate TIMESTAMP_NTZ",
+}
+
+
+def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
 def load_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in DRIVER_TABLES}
+    return {t: read_driver_table(spark, sf_dir, t) for t in DRIVER_TABLES}
 
 
 def clients(customer: DataFrame) -> DataFrame:
@@ -164,8 +180,17 @@ def sinistres(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """The schedule expansion multiplies rows ~25x: when the contract input arrives in fewer
+    splits than there are cores (one small file), spread the narrow contract rows first. Inputs
+    already split into many partitions are left untouched (no extra shuffle)."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
 def primes(orders: DataFrame, horizon: dt.date) -> DataFrame:
-    c = _contract_columns(orders)
+    c = _spread(_contract_columns(orders).select("o_orderkey", "contrat_id", "prime_mensuelle",
+                                                 "date_effet", "date_echeance"))
     x = c.select("o_orderkey", "contrat_id", "prime_mensuelle",
                  F.explode(due_dates(F.col("date_effet"), F.col("date_echeance"), horizon)).alias("d"))
     d = F.col("d")
@@ -184,14 +209,83 @@ def primes(orders: DataFrame, horizon: dt.date) -> DataFrame:
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str, p: Params | None = None) -> dict[str, DataFrame]:
-    """The five raw tables, lazily derived from ``sf_dir``."""
-    p = p or Params()
-    d = load_driver_tables(spark, sf_dir)
-    return {
-        "clients": clients(d["customer"]),
-        "transactions": transactions(d["events"]),
-        "contrats": contrats(d["orders"]),
-        "sinistres": sinistres(d["lineitem"], d["orders"]),
-        "primes": primes(d["orders"], p.as_of),
+class RawTables(dict):
+    """The five raw tables derived from ``sf_dir``; each is built on first access only."""
+
+    BUILDERS = {
+        "clients": lambda d, p: clients(d("customer")),
+        "transactions": lambda d, p: transactions(d("events")),
+        "contrats": lambda d, p: contrats(d("orders")),
+        "sinistres": lambda d, p: sinistres(d("lineitem"), d("orders")),
+        "primes": lambda d, p: primes(d("orders"), p.as_of),
     }
+
+    def __init__(self, spark: SparkSession, sf_dir: str, p: Params):
+        super().__init__()
+        self._spark, self._dir, self._p = spark, sf_dir, p
+        self._drv: dict[str, DataFrame] = {}
+
+    def _driver(self, name: str) -> DataFrame:
+        if name not in self._drv:
+            self._drv[name] = read_driver_table(self._spark, self._dir, name)
+        return self._drv[name]
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in self.BUILDERS:
+            raise KeyError(name)
+        df = self.BUILDERS[name](self._driver, self._p)
+        self[name] = df
+        return df
+
+    def keys(self):
+        return self.BUILDERS.keys()
+
+    def __iter__(self):
+        return iter(self.BUILDERS)
+
+    def items(self):
+        return [(k, self[k]) for k in self.BUILDERS]
+
+
+def raw_tables(spark: SparkSession, sf_dir: str, p: Params | None = None) -> RawTables:
+    """The five raw tables, lazily derived from ``sf_dir``."""
+    return RawTables(spark, sf_dir, p or Params())
+
+
+# ---------------------------------------------------------------- CSV exports with defects
+# Fixture for the ingestion path: the raw rows rendered as CSV text with deterministic defects
+# (bad / short times, unparsable or over-precise numbers, blank and NA tokens, dates with a time
+# of day). Which row gets which defect depends only on its id.
+def transactions_csv_text(events: DataFrame) -> DataFrame:
+    t = transactions(events)
+    e = F.substring(F.col("transaction_id"), 5, 64).cast("long")
+    h = F.col("heure_transaction")
+    m = F.col("montant").cast("string")
+    d = F.col("date_transaction").cast("string")
+    return t.select(
+        "transaction_id", "client_id",
+        F.when(e % 23 == 0, F.lit("bad-date")).when(e % 29 == 0, F.concat(d, F.lit(" 13:45:00")))
+        .when(e % 31 == 0, F.lit("")).otherwise(d).alias("date_transaction"),
+        F.when(e % 11 == 0, F.lit("25:99")).when(e % 7 == 0, F.substring(h, 1, 5)).otherwise(h)
+        .alias("heure_transaction"),
+        F.when(e % 13 == 0, F.lit("abc")).when(e % 17 == 0, F.lit("   ")).when(e % 19 == 0, F.concat(m, F.lit("5")))
+        .otherwise(m).alias("montant"),
+        F.when(e % 37 == 0, F.lit("NA")).when(e % 43 == 0, F.lit("null")).otherwise(F.col("devise")).alias("devise"),
+        "type_transaction", "canal", "categorie", "pays_beneficiaire", "statut",
+        F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss").alias("loaded_at"),
+    )
+
+
+def clients_csv_text(customer: DataFrame) -> DataFrame:
+    c = clients(customer).withColumn("k", F.substring(F.col("client_id"), 5, 64).cast("long"))
+    return c.select(
+        "client_id",
+        F.concat(F.col("date_creation").cast("date").cast("string"), F.lit(" 14:30:00")).alias("date_creation"),
+        "nom", "prenom",
+        F.when(F.col("k") % 5 == 0, F.lit("   ")).otherwise(F.col("email")).alias("email"),
+        "telephone", F.col("date_naissance").cast("string").alias("date_naissance"), "adresse", "code_postal",
+        "ville", "pays", "segment_client",
+        F.when(F.col("k") % 3 == 0, F.concat(F.col("score_credit").cast("string"), F.lit(".0")))
+        .otherwise(F.col("score_credit").cast("string")).alias("score_credit"),
+        F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss").alias("loaded_at"),
+    )
