@@ -943,3 +943,6 @@ SELECT client_id, CAST(CAST(date_creation AS DATE) AS TIMESTAMP) AS date_creatio
        CASE WHEN CAST(substr(client_id, 5) AS BIGINT) % 5 = 0 THEN NULL ELSE email END AS email,
        telephone, date_naissance, adresse, code_postal, ville, pays, segment_client, score_credit, loaded_at
 FROM raw_clients""")
+
+# the streaming load of the same defect export must equal the batch ingest
+final("stream_ingest_csv", FINAL["ingest_csv"])

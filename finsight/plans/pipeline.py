@@ -3,8 +3,9 @@
 Every model is a function of upstream DataFrames and ``Params``. ``run_pipeline`` walks the
 layers in order: build the layer's models (staging and intermediate as lazy views, marts
 written as Parquet tables and read back, which also cuts their lineage), run the layer's
-declared checks, store failing rows under ``<root>/test_failures/<test_id>``, and stop before the
-next layer when a check of severity ``error`` fails. Models can be selected by tag.
+declared checks (the source checks run with the staging layer), store failing rows under
+``<root>/test_failures/<test_id>``, and stop before the next layer when a check of severity
+``error`` fails. Models can be selected by tag.
 """
 
 from __future__ import annotations
@@ -105,9 +106,6 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], p: Params, root
     rel: dict[str, DataFrame] = dict(raw)
     log: list[StepResult] = []
     root = root.rstrip("/")
-    if run_tests:
-        if not _test(spark, quality.SOURCE_CHECKS, rel, root, log):
-            return _stop(rel, log, "raw", raise_on_failure)
     for layer in layers or LAYERS:
         for m in select(layer, tags):
             df = m.build(*[rel[d] for d in m.deps], p)
@@ -118,7 +116,10 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], p: Params, root
             rel[m.name] = df
             log.append(StepResult("run", m.name, "ok", m.materialized))
         if run_tests:
-            checks = [c for c in quality.CHECKS_BY_LAYER[layer] if c.model in rel]
+            declared = quality.CHECKS_BY_LAYER[layer]
+            if layer == "staging":  # source tests are declared with, and run by, the staging layer
+                declared = quality.SOURCE_CHECKS + declared
+            checks = [c for c in declared if c.model in rel and (c.to_model is None or c.to_model in rel)]
             if not _test(spark, checks, rel, root, log):
                 return _stop(rel, log, layer, raise_on_failure)
     return rel, log

@@ -24,12 +24,16 @@ def raw(spark: SparkSession, sf_dir: str, p: Params | None = None) -> dict[str,
     return fixtures.raw_tables(spark, sf_dir, p or Params())
 
 
+def shared_raw(spark: SparkSession, sf_dir: str, p: Params | None = None) -> dict[str, DataFrame]:
+    return Models(spark, sf_dir, p).raw
+
+
 
 
 def _stg(name: str):
     def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
         p = Params()
-        return staging.STAGING[name](raw(spark, sf_dir, p)[name], p)
+        return Models(spark, sf_dir, p).stg(name)
     fn.__name__ = f"stg_{name}"
     return fn
 
@@ -55,6 +59,9 @@ def keyed(df: DataFrame, id_col: str, key_col: str) -> DataFrame:
     return published(agg.with_key(df, id_col, key_col).drop(id_col))
 
 
+_SHARED: dict[tuple, dict[str, DataFrame]] = {}
+
+
 class Models:
     """Lazily built model DataFrames for one (spark, sf_dir, params); each model is built once
     per instance so that a mart and its upstream share one logical plan."""
@@ -62,18 +69,23 @@ class Models:
     def __init__(self, spark: SparkSession, sf_dir: str, p: Params | None = None):
         self.spark, self.sf_dir, self.p = spark, sf_dir, p or Params()
         self._cache: dict[str, DataFrame] = {}
+        # raw and staging plans are pure projections of the inputs (no data-dependent planning):
+        # build them once per session and input directory
+        key = (spark.sparkContext.applicationId, sf_dir, self.p)
+        self._shared = _SHARED.setdefault(key, {})
 
-    def _get(self, name, build):
-        if name not in self._cache:
-            self._cache[name] = build()
-        return self._cache[name]
+    def _get(self, name, build, shared: bool = False):
+        cache = self._shared if shared else self._cache
+        if name not in cache:
+            cache[name] = build()
+        return cache[name]
 
     @property
     def raw(self) -> dict[str, DataFrame]:
-        return self._get("raw", lambda: raw(self.spark, self.sf_dir, self.p))
+        return self._get("raw", lambda: raw(self.spark, self.sf_dir, self.p), shared=True)
 
     def stg(self, name: str) -> DataFrame:
-        return self._get(f"stg_{name}", lambda: staging.STAGING[name](self.raw[name], self.p))
+        return self._get(f"stg_{name}", lambda: staging.STAGING[name](self.raw[name], self.p), shared=True)
 
     def transaction_features(self) -> DataFrame:
         return self._get("itf", lambda: features.transaction_features(self.stg("transactions"), self.p))
@@ -255,7 +267,7 @@ from finsight.sources import csv_ingest, schedule  # noqa: E402
 
 @query("surrogate_key")
 def q_surrogate_key(spark, sf_dir):
-    t = raw(spark, sf_dir)["transactions"]
+    t = shared_raw(spark, sf_dir)["transactions"]
     return t.select("transaction_id",
                     surrogate_key("transaction_id").alias("key_1"),
                     surrogate_key("client_id", "date_transaction").alias("key_2"),
@@ -264,7 +276,7 @@ def q_surrogate_key(spark, sf_dir):
 
 @query("pg_initcap")
 def q_pg_initcap(spark, sf_dir):
-    c = raw(spark, sf_dir)["clients"]
+    c = shared_raw(spark, sf_dir)["clients"]
     return c.select("client_id", pg_initcap("nom").alias("nom_initcap"), pg_initcap("prenom").alias("prenom_initcap"),
                     pg_initcap("ville").alias("ville_initcap"), pg_initcap("email").alias("email_initcap"))
 
@@ -272,7 +284,7 @@ def q_pg_initcap(spark, sf_dir):
 @query("age_months")
 def q_age_months(spark, sf_dir):
     p = Params()
-    c = raw(spark, sf_dir, p)["contrats"]
+    c = shared_raw(spark, sf_dir, p)["contrats"]
     now = F.lit(p.as_of)
     return c.select("contrat_id",
                     age_total_months("date_echeance", "date_effet").alias("months_term"),
@@ -284,7 +296,7 @@ def q_age_months(spark, sf_dir):
 
 @query("age_months_ts")
 def q_age_months_ts(spark, sf_dir):
-    t = staging.stg_transactions(raw(spark, sf_dir)["transactions"], Params())
+    t = Models(spark, sf_dir).stg("transactions")
     ref = F.lit("2023-11-30 12:00:00").cast("timestamp_ntz")
     return t.select("transaction_id",
                     age_total_months("timestamp_transaction", ref).alias("months_after_ref"),
@@ -371,7 +383,7 @@ for _kind, _key in [("unique", "test_unique"), ("not_null", "test_not_null"),
 
 @query("constraint_violations")
 def q_constraint_violations(spark, sf_dir):
-    return quality.constraint_violations(raw(spark, sf_dir))
+    return quality.constraint_violations(shared_raw(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- load statistics / monitoring
@@ -386,22 +398,22 @@ def q_load_row_counts(spark, sf_dir):
 
 @query("stat_avg_trans_per_client")
 def q_stat_avg_trans_per_client(spark, sf_dir):
-    return monitoring.avg_transactions_per_client(raw(spark, sf_dir)["transactions"])
+    return monitoring.avg_transactions_per_client(shared_raw(spark, sf_dir)["transactions"])
 
 
 @query("stat_avg_amount")
 def q_stat_avg_amount(spark, sf_dir):
-    return monitoring.avg_amount(raw(spark, sf_dir)["transactions"])
+    return monitoring.avg_amount(shared_raw(spark, sf_dir)["transactions"])
 
 
 @query("stat_active_contracts")
 def q_stat_active_contracts(spark, sf_dir):
-    return monitoring.active_contracts(raw(spark, sf_dir)["contrats"])
+    return monitoring.active_contracts(shared_raw(spark, sf_dir)["contrats"])
 
 
 @query("stat_claim_rate")
 def q_stat_claim_rate(spark, sf_dir):
-    r = raw(spark, sf_dir)
+    r = shared_raw(spark, sf_dir)
     return monitoring.claim_rate(r["contrats"], r["sinistres"])
 
 
@@ -418,7 +430,7 @@ def q_dq_churn_distribution(spark, sf_dir):
 @query("dq_freshness")
 def q_dq_freshness(spark, sf_dir):
     p = Params()
-    return monitoring.freshness(raw(spark, sf_dir, p)["transactions"], p.as_of)
+    return monitoring.freshness(shared_raw(spark, sf_dir, p)["transactions"], p.as_of)
 
 
 # ---------------------------------------------------------------- ingestion round trips
@@ -445,3 +457,28 @@ def q_ingest_csv_clients(spark, sf_dir):
     text = fixtures.clients_csv_text(fixtures.read_driver_table(spark, sf_dir, "customer"))
     csv_ingest.write_csv(text, path)
     return csv_ingest.ingest_csv(spark, "clients", path)
+
+
+@query("stream_ingest_csv")
+def q_stream_ingest_csv(spark, sf_dir):
+    """The defect CSV export of ``ingest_csv`` landed in two batches of files and loaded by two
+    scheduled streaming runs (each run commits only the files it has not seen)."""
+    from finsight.streaming.ingest import run_ingest
+    base = _scratch(spark)
+    text = fixtures.transactions_csv_text(fixtures.read_driver_table(spark, sf_dir, "events"))
+    day = F.col("date_transaction")
+    first = text.filter(day.isNotNull() & (day < "2024-01-16"))
+    csv_ingest.write_csv(first, f"{base}/landing/part=1")
+    run_ingest(spark, "transactions", f"{base}/landing/*", f"{base}/raw", f"{base}/_checkpoint")
+    csv_ingest.write_csv(text.exceptAll(first), f"{base}/landing/part=2")
+    return run_ingest(spark, "transactions", f"{base}/landing/*", f"{base}/raw", f"{base}/_checkpoint")
+
+
+@query("pipeline_run")
+def q_pipeline_run(spark, sf_dir):
+    """Layered run (staging -> tests -> intermediate -> tests -> marts -> tests) with the test
+    gate; returns the step log (model runs, per-test failure counts, stop marker)."""
+    from finsight.plans import pipeline
+    m = _m(spark, sf_dir)
+    _, log = pipeline.run_pipeline(spark, m.raw, m.p, _scratch(spark))
+    return pipeline.log_frame(spark, log).drop("seq")

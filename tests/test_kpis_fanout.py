@@ -1,0 +1,70 @@
+"""Portfolio KPIs: the weighted (no product) plan equals the literal 5-way LEFT JOIN, including the
+fan-out multiplication and the NULL total when no claim exists."""
+
+import datetime as dt
+from decimal import Decimal as D
+
+from pyspark.sql import functions as F
+
+from finsight import schemas
+from finsight.operators import features, staging
+from finsight.params import Params
+from finsight.plans import marts
+
+P = Params()
+TS = dt.datetime(2024, 1, 1)
+
+
+def _raw(spark, with_claims=True):
+    clients = [("C1", TS, "a", "b", "e@x", "1", dt.date(1990, 1, 1), "x", "1", "v", "France", "Jeune", 700, TS),
+               ("C2", TS, "a", "b", "e@x", "1", dt.date(1990, 1, 1), "x", "1", "v", "France", None, 700, TS),
+               ("C3", TS, "a", "b", "e@x", "1", dt.date(1990, 1, 1), "x", "1", "v", "France", None, 700, TS)]
+    contrats = [("K1", "C1", "P", "Auto", dt.date(2023, 1, 1), dt.date(2023, 1, 1), dt.date(2025, 1, 1),
+                 D("100.00"), D("1000.00"), D("0"), "Actif", "Carte", TS),
+                ("K2", "C2", "P", "Vie", dt.date(2023, 1, 1), dt.date(2023, 1, 1), dt.date(2025, 1, 1),
+                 D("50.00"), D("500.00"), D("0"), "Résilié", "Carte", TS)]
+    sin = [("S1", "K1", "C1", dt.date(2023, 6, 1), dt.date(2023, 5, 1), "Vol", D("300.00"), D("200.00"), "Clos", 10, TS),
+           ("S2", "K1", "C1", dt.date(2023, 7, 1), dt.date(2023, 6, 1), "Vol", D("100.00"), D("50.00"), "Clos", 10, TS)]
+    pr = [(f"P{i}", "K1", dt.date(2023, 1 + i, 1), D("100.00"), dt.date(2023, 1 + i, 3), "Payé", TS) for i in range(3)]
+    mk = spark.createDataFrame
+    return {"clients": mk(clients, schemas.CLIENTS), "transactions": mk([], schemas.TRANSACTIONS),
+            "contrats": mk(contrats, schemas.CONTRATS),
+            "sinistres": mk(sin if with_claims else [], schemas.SINISTRES), "primes": mk(pr, schemas.PRIMES)}
+
+
+def _kpis(spark, raw):
+    s = staging.stage_all(raw, P)
+    act = features.client_activity(s["clients"], s["transactions"], s["contrats"], s["sinistres"], P)
+    churn = marts.fct_churn_predictions(act, P)
+    return marts.fct_kpis_portefeuille(s["clients"], s["contrats"], s["sinistres"], s["primes"], churn, P).first(), s, churn
+
+
+def _literal(spark, s, churn):
+    for k, v in s.items():
+        v.createOrReplaceTempView(f"t_{k}")
+    churn.createOrReplaceTempView("t_churn")
+    return spark.sql("""
+        SELECT sum(CASE WHEN p.is_paye THEN p.montant_prime ELSE 0 END) AS paid, sum(s.montant_indemnise) AS ind,
+               sum(CASE WHEN ct.is_actif THEN ct.capital_assure ELSE 0 END) AS enc,
+               avg(ch.ltv_estimee_3ans) AS ltv, count(*) AS n
+        FROM t_clients c LEFT JOIN t_contrats ct ON c.client_key = ct.client_key
+        LEFT JOIN t_sinistres s ON ct.contrat_key = s.contrat_key
+        LEFT JOIN t_primes p ON ct.contrat_key = p.contrat_key
+        LEFT JOIN t_churn ch ON c.client_key = ch.client_key""").first()
+
+
+def test_fanout_weights_match_literal_join(spark):
+    k, s, churn = _kpis(spark, _raw(spark))
+    lit = _literal(spark, s, churn)
+    # contract K1: 2 claims x 3 instalments -> premiums counted twice, indemnities three times
+    assert k.total_primes_collectees == D("600.00") == lit.paid
+    assert k.total_sinistres_payes == D("750.00") == lit.ind
+    assert k.encours_total == lit.enc == D("6000.00")
+    assert abs(k.ltv_moyenne_client - float(lit.ltv)) < 1e-9
+    assert k.nb_clients_actifs == 3 and k.nb_contrats_actifs == 1 and k.nb_contrats_resilies == 1
+
+
+def test_no_claim_gives_null_total(spark):
+    k, s, churn = _kpis(spark, _raw(spark, with_claims=False))
+    assert k.total_sinistres_payes is None and k.marge_nette is None
+    assert k.total_primes_collectees == D("300.00")
