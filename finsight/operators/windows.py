@@ -42,8 +42,8 @@ def _plain(df: DataFrame) -> DataFrame:
             .withColumn("nb_trans_pays", F.count(F.lit(1)).over(Window.partitionBy(K, PAYS))))
 
 
-def _ranged_lag(df: DataFrame) -> DataFrame:
-    r = skew.ranged(df, [F.col(K), F.col(TS).asc_nulls_last(), F.col(ID)], pid="__p1")
+def _ranged_lag(df: DataFrame, n: int) -> DataFrame:
+    r = skew.ranged(df, [F.col(K), F.col(TS).asc_nulls_last(), F.col(ID)], pid="__p1", partitions=n)
     w = Window.partitionBy(K, "__p1").orderBy(F.col(TS).asc_nulls_last(), F.col(ID))
     local = r.withColumn("__prev", F.lag(TS).over(w)).withColumn("__rn", F.row_number().over(w))
     # timestamp of the last row (NULLs sort last, as in the source ordering) of each
@@ -58,9 +58,9 @@ def _ranged_lag(df: DataFrame) -> DataFrame:
             .drop("__prev", "__rn", "__carry", "__p1")
 
 
-def _ranged_percent_rank(df: DataFrame) -> DataFrame:
+def _ranged_percent_rank(df: DataFrame, n: int) -> DataFrame:
     # equal (client, amount) keys always land in the same range partition, so ties never span two
-    r = skew.ranged(df, [K, AMT], pid="__p2")
+    r = skew.ranged(df, [K, AMT], pid="__p2", partitions=n)
     local = r.withColumn("__rk", F.rank().over(Window.partitionBy(K, "__p2").orderBy(F.col(AMT))))
     sizes = r.groupBy(K, "__p2").agg(F.count(F.lit(1)).alias("__cnt"))
     before = Window.partitionBy(K).orderBy("__p2").rowsBetween(Window.unboundedPreceding, -1)
@@ -73,10 +73,11 @@ def _ranged_percent_rank(df: DataFrame) -> DataFrame:
     return j.withColumn("percentile_montant_client", pr).drop("__rk", "__off", "__tot", "__p2")
 
 
-def _hot(df: DataFrame) -> DataFrame:
+def _hot(df: DataFrame, n_rows: int | None) -> DataFrame:
     day = df.groupBy(K, DAY).agg(F.count(F.lit(1)).alias("nb_transactions_client_jour"))
     pays = df.groupBy(K, PAYS).agg(F.count(F.lit(1)).alias("nb_trans_pays"))
-    x = _ranged_percent_rank(_ranged_lag(df))
+    n = skew.range_partitions(df.sparkSession, n_rows)
+    x = _ranged_percent_rank(_ranged_lag(df, n), n)
     x = x.join(day, [K, DAY], "left")
     # null-safe equality: a NULL country is one group, as in the window form
     p2 = pays.select(F.col(K).alias("__k"), F.col(PAYS).alias("__pays"), "nb_trans_pays")
@@ -87,12 +88,12 @@ def _hot(df: DataFrame) -> DataFrame:
 def client_windows(df: DataFrame, p: Params) -> DataFrame:
     """Adds OUT columns to ``df`` (one row per transaction)."""
     threshold = skew.hot_threshold(df.sparkSession, p.hot_key_rows)
-    cold, hot = skew.split_hot(df, [K], threshold)
+    cold, hot, n_hot = skew.split_hot(df, [K], threshold)
     parts = []
     if cold is not None:
         parts.append(_plain(cold))
     if hot is not None:
-        parts.append(_hot(hot).select(*parts[0].columns) if parts else _hot(hot))
+        parts.append(_hot(hot, n_hot).select(*parts[0].columns) if parts else _hot(hot, n_hot))
     out = parts[0]
     for other in parts[1:]:
         out = out.unionByName(other)

@@ -162,14 +162,10 @@ def fct_sinistralite(stg_ct: DataFrame, stg_cl: DataFrame, stg_si: DataFrame, st
     return _ts(out, p, "calculated_at")
 
 
-def fct_kpis_portefeuille(stg_cl: DataFrame, stg_ct: DataFrame, stg_si: DataFrame, stg_pr: DataFrame,
-                          churn: DataFrame, p: Params) -> DataFrame:
-    """Global KPIs over clients LEFT JOIN contracts LEFT JOIN claims LEFT JOIN instalments LEFT JOIN
-    churn, computed exactly without building that product: a contract with ns claim rows and np
-    instalment rows stands for max(ns,1)*max(np,1) joined rows, so each sum is weighted by the
-    count of the *other* side (premiums x claims, indemnities x instalments, capital x both)."""
-    s_by = stg_si.groupBy("contrat_id").agg(F.count(F.lit(1)).alias("ns"),
-                                            F.sum("montant_indemnise").alias("ind"))
+def contract_weights(stg_ct: DataFrame, stg_si: DataFrame, stg_pr: DataFrame) -> DataFrame:
+    """Per contract: ns / np = claim / instalment rows (at least 1: a LEFT JOIN keeps one NULL row)
+    and the sums that the claims x instalments product would produce."""
+    s_by = stg_si.groupBy("contrat_id").agg(F.count(F.lit(1)).alias("ns"), F.sum("montant_indemnise").alias("ind"))
     p_by = stg_pr.groupBy("contrat_id").agg(
         F.count(F.lit(1)).alias("np"),
         F.sum(F.when(F.col("is_paye"), F.col("montant_prime")).otherwise(F.lit(0))).alias("paid"))
@@ -177,27 +173,56 @@ def fct_kpis_portefeuille(stg_cl: DataFrame, stg_ct: DataFrame, stg_si: DataFram
           .join(s_by, "contrat_id", "left").join(p_by, "contrat_id", "left"))
     ns = F.coalesce(F.col("ns"), F.lit(1))
     np_ = F.coalesce(F.col("np"), F.lit(1))
-    ch = churn.select("client_id", "ltv_estimee_3ans", (F.col("score_churn") >= 70).alias("churn70"))
-    cl = stg_cl.select("client_id", "is_nouveau_client")
-    # one row per (client, contract) or (client, no contract)
-    j = cl.join(ct, "client_id", "left").join(ch, "client_id", "left")
-    w = F.when(F.col("contrat_id").isNull(), F.lit(1)).otherwise(ns * np_)
-    ltv = F.col("ltv_estimee_3ans")
-    per_client = j.groupBy("client_id").agg(
+    return ct.select(
+        "client_id", "contrat_id", "is_actif", "is_resilie",
+        (ns * np_).alias("w"),
+        (ns * F.coalesce(F.col("paid"), F.lit(0))).alias("paid_w"),
+        (np_ * F.col("ind")).alias("ind_w"),
+        F.when(F.col("is_actif"), F.col("capital_assure") * ns * np_).otherwise(F.lit(0)).alias("enc_w"))
+
+
+def per_client_fanout(stg_cl: DataFrame, weights: DataFrame) -> DataFrame:
+    """One row per staged client id with the totals of its rows in clients LEFT JOIN contracts LEFT
+    JOIN claims LEFT JOIN instalments. Contracts are summed per client *before* the join, so a
+    client with a huge number of contracts is pre-aggregated map-side instead of landing in one
+    join task; ``n_c`` (rows per client id, 1 when the key is unique) keeps the product exact."""
+    cl = stg_cl.groupBy("client_id").agg(F.count(F.lit(1)).alias("n_c"),
+                                         F.max("is_nouveau_client").alias("is_new"))
+    per = weights.groupBy("client_id").agg(
+        F.sum("w").alias("W"), F.sum("paid_w").alias("PAID"), F.sum("ind_w").alias("IND"),
+        F.sum("enc_w").alias("ENC"), F.max("is_actif").alias("any_active"))
+    return cl.join(per, "client_id", "left")
+
+
+def fct_kpis_portefeuille(stg_cl: DataFrame, stg_ct: DataFrame, stg_si: DataFrame, stg_pr: DataFrame,
+                          churn: DataFrame, p: Params) -> DataFrame:
+    """Global KPIs over clients LEFT JOIN contracts LEFT JOIN claims LEFT JOIN instalments LEFT JOIN
+    churn, computed exactly without building that product: a contract with ns claim rows and np
+    instalment rows stands for max(ns,1)*max(np,1) joined rows, so each sum is weighted by the
+    count of the *other* side (premiums x claims, indemnities x instalments, capital x both).
+    Every join is 1:1 on pre-aggregated keys; distinct counts come from the un-multiplied rows."""
+    weights = contract_weights(stg_ct, stg_si, stg_pr)
+    ch = churn.groupBy("client_id").agg(
+        F.count(F.lit(1)).alias("n_ch"), F.sum("ltv_estimee_3ans").alias("ltv_sum"),
+        F.count("ltv_estimee_3ans").alias("ltv_n"), F.max(F.col("score_churn") >= 70).alias("churn70"))
+    j = per_client_fanout(stg_cl, weights).join(ch, "client_id", "left")
+    rows_c = F.col("n_c") * F.coalesce(F.col("W"), F.lit(1))   # fan-out rows of the client before churn
+    mult = F.col("n_c") * F.greatest(F.coalesce(F.col("n_ch"), F.lit(0)), F.lit(1))
+    per_client = j.select(
         F.lit(1).alias("c_one"),
-        F.max(F.col("is_actif")).cast("int").alias("c_active"),
-        F.max(F.col("is_nouveau_client")).cast("int").alias("c_new"),
-        F.max(F.col("churn70")).cast("int").alias("c_churn"),
-        F.sum(ns * F.coalesce(F.col("paid"), F.lit(0))).alias("paid"),
-        F.sum(np_ * F.col("ind")).alias("ind"),
-        F.sum(F.when(F.col("is_actif"), F.col("capital_assure") * ns * np_).otherwise(F.lit(0))).alias("enc"),
-        F.sum(F.when(ltv.isNotNull(), ltv * w)).alias("ltv_w"),
-        F.sum(F.when(ltv.isNotNull(), w)).alias("w"),
-    )
-    per_contract = (j.filter(F.col("contrat_id").isNotNull()).groupBy("contrat_id")
-                    .agg(F.max("is_actif").cast("int").alias("k_active"),
-                         F.max("is_resilie").cast("int").alias("k_resilie")))
-    both = per_client.drop("client_id").unionByName(per_contract.drop("contrat_id"), allowMissingColumns=True)
+        F.col("any_active").cast("int").alias("c_active"),
+        F.col("is_new").cast("int").alias("c_new"),
+        F.col("churn70").cast("int").alias("c_churn"),
+        (mult * F.coalesce(F.col("PAID"), F.lit(0))).alias("paid"),
+        (mult * F.col("IND")).alias("ind"),
+        (mult * F.coalesce(F.col("ENC"), F.lit(0))).alias("enc"),
+        (rows_c * F.col("ltv_sum")).alias("ltv_w"),
+        (rows_c * F.col("ltv_n")).alias("w"))
+    # contracts of staged clients only (LEFT JOIN from clients); a semi join splits a hot key
+    per_contract = (weights.join(stg_cl.select("client_id"), "client_id", "left_semi")
+                    .groupBy("contrat_id").agg(F.max("is_actif").cast("int").alias("k_active"),
+                                               F.max("is_resilie").cast("int").alias("k_resilie")))
+    both = per_client.unionByName(per_contract.drop("contrat_id"), allowMissingColumns=True)
     g = both.agg(
         F.sum("c_one").cast("long").alias("nb_clients"),
         F.sum("c_active").cast("long").alias("nb_clients_with_active"),

@@ -322,20 +322,17 @@ def q_join_left_unknown_segment(spark, sf_dir):
 @query("join_fanout")
 def q_join_fanout(spark, sf_dir):
     """Per client: rows, premiums and indemnities of clients LEFT JOIN contracts LEFT JOIN claims
-    LEFT JOIN instalments, from per-contract counts (the product is never built)."""
+    LEFT JOIN instalments, from per-contract counts pre-aggregated per client (the product is
+    never built)."""
     m = _m(spark, sf_dir)
-    s_by = m.stg("sinistres").groupBy("contrat_id").agg(F.count(F.lit(1)).alias("ns"),
-                                                        F.sum("montant_indemnise").alias("ind"))
-    p_by = m.stg("primes").groupBy("contrat_id").agg(
-        F.count(F.lit(1)).alias("np"),
-        F.sum(F.when(F.col("is_paye"), F.col("montant_prime")).otherwise(F.lit(0))).alias("paid"))
-    ct = m.stg("contrats").select("client_id", "contrat_id").join(s_by, "contrat_id", "left").join(p_by, "contrat_id", "left")
-    j = m.stg("clients").select("client_key", "client_id").join(ct, "client_id", "left")
-    ns, np_ = F.coalesce(F.col("ns"), F.lit(1)), F.coalesce(F.col("np"), F.lit(1))
-    return j.groupBy("client_key").agg(
-        F.sum(F.when(F.col("contrat_id").isNull(), F.lit(1)).otherwise(ns * np_)).cast("long").alias("nb_rows"),
-        F.sum(ns * F.coalesce(F.col("paid"), F.lit(0))).alias("primes_payees_fanout"),
-        F.sum(np_ * F.col("ind")).alias("indemnites_fanout"))
+    w = marts.contract_weights(m.stg("contrats"), m.stg("sinistres"), m.stg("primes"))
+    j = marts.per_client_fanout(m.stg("clients"), w)
+    keys = m.stg("clients").select("client_key", "client_id")
+    out = keys.join(j, "client_id", "left")
+    return out.groupBy("client_key").agg(
+        F.sum(F.coalesce(F.col("W"), F.lit(1))).cast("long").alias("nb_rows"),
+        F.sum(F.coalesce(F.col("PAID"), F.lit(0))).alias("primes_payees_fanout"),
+        F.sum(F.col("IND")).alias("indemnites_fanout"))
 
 
 # ---------------------------------------------------------------- data checks (J)

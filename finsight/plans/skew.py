@@ -23,6 +23,8 @@ from finsight.session import ensure_checkpoint_dir
 DEFAULT_HOT_KEY_ROWS = 5_000_000
 MAX_HOT_KEYS = 100_000
 CONF_HOT_KEY_ROWS = "finsight.hotKeyRows"
+DEFAULT_ROWS_PER_RANGE = 2_000_000
+CONF_ROWS_PER_RANGE = "finsight.rowsPerRange"
 
 
 def hot_threshold(spark: SparkSession, override: int | None = None) -> int:
@@ -32,27 +34,40 @@ def hot_threshold(spark: SparkSession, override: int | None = None) -> int:
 
 
 def hot_keys(df: DataFrame, keys: list[str], threshold: int, max_hot: int = MAX_HOT_KEYS):
-    """Keys with more than ``threshold`` rows as a small DataFrame, or None when there are none.
-    Returns the string "ALL" when more than ``max_hot`` keys are hot."""
+    """(hot keys as a small DataFrame, total rows of those keys), or (None, 0) when no key has more
+    than ``threshold`` rows. When more than ``max_hot`` keys are hot, returns ("ALL", 0): every
+    key then takes the range path (correct, just without the cheap path for cold keys)."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > threshold)
-    rows = counts.select(*keys).limit(max_hot + 1).collect()
+    rows = counts.limit(max_hot + 1).collect()  # bounded: at most max_hot + 1 rows
     if not rows:
-        return None
+        return None, 0
     if len(rows) > max_hot:
-        return "ALL"
+        return "ALL", 0
     spark = df.sparkSession
-    return spark.createDataFrame(rows, schema=df.select(*keys).schema)
+    key_rows = [tuple(r[k] for k in keys) for r in rows]
+    return spark.createDataFrame(key_rows, schema=df.select(*keys).schema), sum(r["__n"] for r in rows)
 
 
-def split_hot(df: DataFrame, keys: list[str], threshold: int) -> tuple[DataFrame | None, DataFrame | None]:
-    """(cold rows, hot rows); either side may be None when empty."""
-    hk = hot_keys(df, keys, threshold)
+def split_hot(df: DataFrame, keys: list[str], threshold: int):
+    """(cold rows, hot rows, hot row count); either frame may be None when empty. The hot row count
+    sizes the range partitioning of the hot path (None when unknown)."""
+    hk, n_hot = hot_keys(df, keys, threshold)
     if hk is None:
-        return df, None
+        return df, None, 0
     if isinstance(hk, str):
-        return None, df
+        return None, df, None
     b = F.broadcast(hk)  # bounded by MAX_HOT_KEYS rows
-    return df.join(b, keys, "left_anti"), df.join(b, keys, "left_semi")
+    return df.join(b, keys, "left_anti"), df.join(b, keys, "left_semi"), n_hot
+
+
+def range_partitions(spark: SparkSession, rows: int | None) -> int:
+    """Enough range partitions for ``rows`` at ``finsight.rowsPerRange`` rows each (at least the
+    shuffle partition count)."""
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not rows:
+        return base
+    per = int(spark.conf.get(CONF_ROWS_PER_RANGE, str(DEFAULT_ROWS_PER_RANGE)))
+    return max(base, -(-rows // per))
 
 
 def ranged(df: DataFrame, order: list, pid: str = "__pid", partitions: int | None = None) -> DataFrame:

@@ -49,9 +49,22 @@ def test_plain_windows_single_exchange(spark):
     initial = out._jdf.queryExecution().sparkPlan().toString()
     assert plan
     from finsight.plans.skew import hot_keys
-    assert hot_keys(df, ["client_id"], 10**9) is None
+    assert hot_keys(df, ["client_id"], 10**9) == (None, 0)
+    keys, n = hot_keys(df, ["client_id"], 500)
+    assert keys.count() == 1 and n == 2000
     assert sum(1 for line in _explain(out).splitlines() if "Exchange hashpartitioning" in line) == 1, initial
 
 
 def _explain(df):
     return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+
+
+def test_ranged_path_with_many_small_ranges(spark):
+    df = _skewed(spark)
+    plain = _collect(windows.client_windows(df, Params(hot_key_rows=10**9)))
+    spark.conf.set("finsight.rowsPerRange", "97")
+    try:
+        many = _collect(windows.client_windows(df, Params(hot_key_rows=0)))
+    finally:
+        spark.conf.unset("finsight.rowsPerRange")
+    assert plain == many
