@@ -20,33 +20,38 @@ def _month_index(t: Column) -> Column:
     return F.year(t) * 12 + F.month(t)
 
 
-def _offset_in_month(t: Column) -> Column:
-    # seconds since the start of the month (+1 day), with the fractional second
+def _offset_in_month(t: Column, with_time: bool) -> Column:
+    """Position inside the month: the day, plus (with_time) the time of day with fraction."""
+    if not with_time:
+        return F.dayofmonth(t)
     return (F.dayofmonth(t) * 86400 + F.hour(t) * 3600 + F.minute(t) * 60
             + F.date_part(F.lit("SECOND"), t))
 
 
-def age_total_months(end: Column | str, start: Column | str) -> Column:
-    """Signed whole months of AGE(end, start) (= years*12 + months). Dates count as midnight."""
-    e = _c(end).cast("timestamp_ntz")
-    s = _c(start).cast("timestamp_ntz")
-    late = F.greatest(e, s)
-    early = F.least(e, s)
-    borrow = F.when(_offset_in_month(late) < _offset_in_month(early), 1).otherwise(0)
-    magnitude = _month_index(late) - _month_index(early) - borrow
-    sign = F.when(e >= s, 1).otherwise(-1)
-    return F.when(e.isNotNull() & s.isNotNull(), sign * magnitude).cast("int")
+def age_total_months(end: Column | str, start: Column | str, with_time: bool = True) -> Column:
+    """Signed whole months of AGE(end, start) (= years*12 + months).
 
+    With d = month index difference: for end >= start one month is borrowed when end's position in
+    its month is before start's; for end < start the mirror case adds one back. ``with_time=False``
+    is the cheaper form for DATE inputs (midnight on both sides)."""
+    kind = "timestamp_ntz" if with_time else "date"
+    e = _c(end).cast(kind)
+    s = _c(start).cast(kind)
+    oe, os_ = _offset_in_month(e, with_time), _offset_in_month(s, with_time)
+    d = _month_index(e) - _month_index(s)
+    borrow = F.when((e >= s) & (oe < os_), 1).when((e < s) & (oe > os_), -1).otherwise(0)
+    return (d - borrow).cast("int")
 
-def age_year_part(end: Column | str, start: Column | str) -> Column:
+
+def age_year_part(end: Column | str, start: Column | str, with_time: bool = True) -> Column:
     """EXTRACT(YEAR FROM AGE(end, start)); truncates toward zero."""
-    return (age_total_months(end, start) / F.lit(12)).cast("int")
+    return (age_total_months(end, start, with_time) / F.lit(12)).cast("int")
 
 
-def age_month_part(end: Column | str, start: Column | str) -> Column:
+def age_month_part(end: Column | str, start: Column | str, with_time: bool = True) -> Column:
     """EXTRACT(MONTH FROM AGE(end, start)); in -11..11 with the sign of the interval."""
-    total = age_total_months(end, start)
-    return total - age_year_part(end, start) * 12
+    total = age_total_months(end, start, with_time)
+    return total - (total / F.lit(12)).cast("int") * 12
 
 
 def day_of_week0(d: Column | str) -> Column:

@@ -154,8 +154,8 @@ def sinistres_agg(stg_si: DataFrame, p: Params) -> DataFrame:
         .alias("taux_acceptation"),
     )
     first = F.col("date_premier_sinistre")
-    years = (age_year_part(F.lit(p.as_of), first).cast("double")
-             + age_month_part(F.lit(p.as_of), first).cast("double") / 12.0)
+    years = (age_year_part(F.lit(p.as_of), first, with_time=False).cast("double")
+             + age_month_part(F.lit(p.as_of), first, with_time=False).cast("double") / 12.0)
     freq = F.when(first.isNull(), F.lit(0.0)).otherwise(
         F.col("nb_sinistres").cast("double") / F.nullif(years, F.lit(0.0)))
     return base.withColumn("frequence_sinistres_annuelle", freq)

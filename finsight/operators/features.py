@@ -121,7 +121,7 @@ def contrat_performance(stg_ct: DataFrame, stg_si: DataFrame, stg_pr: DataFrame,
     ratio = F.when(paid > 0, ind.cast("double") / paid.cast("double") * 100).otherwise(F.lit(0.0))
     unpaid = F.coalesce(F.col("nb_impayes"), F.lit(0))
     on_time = F.coalesce(F.col("taux_paiement_a_temps"), F.lit(1.0))
-    remaining_months = F.greatest(F.lit(0), age_month_part(F.col("date_echeance"), F.lit(p.as_of)))
+    remaining_months = F.greatest(F.lit(0), age_month_part(F.col("date_echeance"), F.lit(p.as_of), with_time=False))
     marge = paid - ind
 
     # loss-ratio bands decided on exact decimals: ind*100 < t*paid  <=>  ind/paid*100 < t

@@ -59,7 +59,7 @@ def stg_clients(raw: DataFrame, p: Params) -> DataFrame:
         F.upper(F.trim("pays")).alias("pays_code"),
         "segment_client", "score_credit",
         credit_class(F.col("score_credit")).alias("score_credit_categorie"),
-        age_year_part(now, F.col("date_naissance")).alias("age"),
+        age_year_part(now, F.col("date_naissance"), with_time=False).alias("age"),
         age_total_months(now, F.col("date_creation")).alias("anciennete_mois"),
         F.datediff(now, F.col("date_creation").cast("date")).alias("anciennete_jours"),
         _flag(now <= F.date_add(F.col("date_creation").cast("date"), 90)).alias("is_nouveau_client"),
@@ -151,8 +151,8 @@ def stg_contrats(raw: DataFrame, p: Params) -> DataFrame:
         "client_id", "produit_id",
         F.trim("type_produit").alias("type_produit_std"),
         "date_souscription", "date_effet", "date_echeance",
-        age_total_months(F.col("date_echeance"), F.col("date_effet")).alias("duree_mois"),
-        age_total_months(now, F.col("date_effet")).alias("anciennete_mois"),
+        age_total_months(F.col("date_echeance"), F.col("date_effet"), with_time=False).alias("duree_mois"),
+        age_total_months(now, F.col("date_effet"), with_time=False).alias("anciennete_mois"),
         F.datediff(now, F.col("date_effet")).alias("anciennete_jours"),
         prime.alias("prime_mensuelle"),
         (prime * 12).alias("prime_annuelle"),

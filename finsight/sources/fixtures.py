@@ -185,7 +185,8 @@ def _spread(df: DataFrame) -> DataFrame:
     splits than there are cores (one small file), spread the narrow contract rows first. Inputs
     already split into many partitions are left untouched (no extra shuffle)."""
     par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    # hash on the order key: unlike round-robin, needs no sort to be deterministic on retry
+    return df.repartition(par, "o_orderkey") if df.rdd.getNumPartitions() < par else df
 
 
 def primes(orders: DataFrame, horizon: dt.date) -> DataFrame:

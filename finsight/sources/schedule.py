@@ -14,11 +14,13 @@ STEP_DAYS = 30
 
 def due_dates(start: Column, end: Column, horizon: dt.date | Column) -> Column:
     """Array of due dates start, start+30, ... <= least(end, horizon); empty when start is after
-    the last date (no error, unlike a bare ``sequence``)."""
+    the last date. Built from an integer sequence of step indexes (cheaper than a date/interval
+    sequence and never an error)."""
     h = F.lit(horizon) if isinstance(horizon, dt.date) else horizon
     last = F.least(end, h)
-    return F.when(start <= last, F.sequence(start, last, F.expr(f"INTERVAL {STEP_DAYS} DAYS"))) \
-            .otherwise(F.array().cast("array<date>"))
+    n = F.floor(F.datediff(last, start) / STEP_DAYS).cast("int")
+    steps = F.when(n >= 0, F.sequence(F.lit(0), n)).otherwise(F.array().cast("array<int>"))
+    return F.transform(steps, lambda k: F.date_add(start, k * STEP_DAYS))
 
 
 def premium_schedule(contrats: DataFrame, horizon: dt.date) -> DataFrame:

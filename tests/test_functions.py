@@ -76,3 +76,15 @@ def test_seconds_between(spark):
         .select(F.col("a").cast("timestamp_ntz").alias("a"), F.col("b").cast("timestamp_ntz").alias("b"))
     out = [r.s for r in df.select(seconds_between("a", "b").alias("s")).collect()]
     assert out == [59.0, None]
+
+
+def test_date_form_equals_timestamp_form_on_dates(spark):
+    rnd = random.Random(11)
+    base = dt.date(2018, 1, 1)
+    pairs = [(base + dt.timedelta(days=rnd.randint(0, 3000)), base + dt.timedelta(days=rnd.randint(0, 3000)))
+             for _ in range(400)]
+    df = spark.createDataFrame(pairs, "a date, b date")
+    rows = df.select(age_total_months("a", "b").alias("t"), age_total_months("a", "b", with_time=False).alias("d"),
+                     age_month_part("a", "b").alias("mt"), age_month_part("a", "b", with_time=False).alias("md"),
+                     age_year_part("a", "b").alias("yt"), age_year_part("a", "b", with_time=False).alias("yd")).collect()
+    assert all(r.t == r.d and r.mt == r.md and r.yt == r.yd for r in rows)

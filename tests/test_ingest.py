@@ -79,3 +79,26 @@ def test_stream_ingest_exactly_once(spark, scratch_dir):
     out = run_ingest(spark, "transactions", f"{land}/*", target, ckpt)
     assert sorted(r.transaction_id for r in out.collect()) == ["T1", "T2"]
     assert out.filter(F.col("montant") == Decimal("5.00")).count() == 2
+
+
+def test_jdbc_writer_and_reader_options(spark):
+    from finsight.sources import jdbc
+    df = spark.createDataFrame([(1,)], "x int")
+    w = jdbc.writer(df, "jdbc:postgresql://db/x", "raw.clients", {"user": "u"}, num_partitions=4)
+    opts = w._jwrite.getClass()  # constructed without contacting any server
+    assert opts is not None
+    r = jdbc.reader(spark, "jdbc:postgresql://db/x", "raw.clients", partition_column="id",
+                    lower_bound=0, upper_bound=100, num_partitions=4)
+    assert r is not None
+    import pytest
+    with pytest.raises(ValueError):
+        jdbc.reader(spark, "jdbc:postgresql://db/x", "t", partition_column="id")
+
+
+def test_require_non_empty_raises(spark):
+    import pytest
+    from finsight.operators import monitoring
+    counts = monitoring.row_counts({"a": spark.range(3), "b": spark.range(0)})
+    with pytest.raises(monitoring.EmptyTableError):
+        monitoring.require_non_empty(counts)
+    assert monitoring.require_non_empty(monitoring.row_counts({"a": spark.range(3)})) == [("a", 3)]
