@@ -101,20 +101,25 @@ class PipelineFailed(RuntimeError):
 
 def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], p: Params, root: str,
                  layers: list[str] | None = None, tags: set[str] | None = None,
-                 run_tests: bool = True, raise_on_failure: bool = False) -> tuple[dict[str, DataFrame], list[StepResult]]:
-    """K1: run → test → next layer. Returns the built relations and a step log."""
+                 run_tests: bool = True, raise_on_failure: bool = False,
+                 materialize_all: bool = False) -> tuple[dict[str, DataFrame], list[StepResult]]:
+    """K1: run → test → next layer. Returns the built relations and a step log.
+
+    ``materialize_all=True`` writes views too (staging, intermediate): each layer is then computed
+    once and read by every downstream model and test, and every layer boundary cuts the lineage
+    (the recommended mode on large inputs)."""
     rel: dict[str, DataFrame] = dict(raw)
     log: list[StepResult] = []
     root = root.rstrip("/")
     for layer in layers or LAYERS:
         for m in select(layer, tags):
             df = m.build(*[rel[d] for d in m.deps], p)
-            if m.materialized == "table":
+            if m.materialized == "table" or materialize_all:
                 path = f"{root}/{layer}/{m.name}"
                 df.write.mode("overwrite").parquet(path)
                 df = spark.read.parquet(path)
             rel[m.name] = df
-            log.append(StepResult("run", m.name, "ok", m.materialized))
+            log.append(StepResult("run", m.name, "ok", "table" if materialize_all else m.materialized))
         if run_tests:
             declared = quality.CHECKS_BY_LAYER[layer]
             if layer == "staging":  # source tests are declared with, and run by, the staging layer

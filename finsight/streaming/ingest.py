@@ -33,11 +33,14 @@ def landed_csv_stream(spark: SparkSession, table: str, landing_dir: str, truncat
 def start_ingest(spark: SparkSession, table: str, landing_dir: str, target_dir: str, checkpoint_dir: str,
                  truncate_dates: bool = True) -> StreamingQuery:
     """Start one ``availableNow`` run; call ``.awaitTermination()`` on the result."""
+    from finsight.sources.loader import PARTITION_BY
     stream = landed_csv_stream(spark, table, landing_dir, truncate_dates)
-    return (stream.writeStream.format("parquet").outputMode("append")
-            .option("checkpointLocation", checkpoint_dir)
-            .trigger(availableNow=True)
-            .start(target_dir))
+    w = (stream.writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", checkpoint_dir)
+         .trigger(availableNow=True))
+    if table in PARTITION_BY:
+        w = w.partitionBy(PARTITION_BY[table])
+    return w.start(target_dir)
 
 
 def run_ingest(spark: SparkSession, table: str, landing_dir: str, target_dir: str, checkpoint_dir: str,
@@ -47,4 +50,5 @@ def run_ingest(spark: SparkSession, table: str, landing_dir: str, target_dir: st
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.schema(schemas.RAW_SCHEMAS[table]).parquet(target_dir)
+    schema = schemas.RAW_SCHEMAS[table]
+    return spark.read.schema(schema).parquet(target_dir).select(*schema.fieldNames())

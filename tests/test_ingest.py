@@ -102,3 +102,19 @@ def test_require_non_empty_raises(spark):
     with pytest.raises(monitoring.EmptyTableError):
         monitoring.require_non_empty(counts)
     assert monitoring.require_non_empty(monitoring.row_counts({"a": spark.range(3)})) == [("a", 3)]
+
+
+def test_transactions_partitioned_and_pruned(spark, scratch_dir):
+    ts = dt.datetime(2024, 1, 1, 2, 0)
+    rows = [(f"T{i}", "C1", dt.date(2024, 1, 1 + i), "10:00:00", Decimal("5.00"), "EUR", "Carte", "Web", "x",
+             "France", "ok", ts) for i in range(5)]
+    df = spark.createDataFrame(rows, schemas.TRANSACTIONS)
+    path = _write(spark, df, f"{scratch_dir}/t")
+    root = f"{scratch_dir}/raw"
+    res = loader.load_raw(spark, {"transactions": path}, root)
+    assert res[0].status == "loaded" and res[0].rows == 5
+    back = loader.read_table(spark, root, "transactions")
+    assert back.columns == schemas.TRANSACTIONS.fieldNames()
+    q = back.filter(F.col("date_transaction") >= dt.date(2024, 1, 4))
+    plan = q._sc._jvm.PythonSQLUtils.explainString(q._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [isnotnull(date_transaction" in plan and q.count() == 2

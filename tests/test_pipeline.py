@@ -31,3 +31,15 @@ def test_full_run_without_gate(spark, scratch_dir):
     assert rel["fct_kpis_portefeuille"].count() == 1
     assert os.path.isdir(os.path.join(scratch_dir, "marts", "fct_churn_predictions"))
     assert sum(1 for s in log if s.step == "run") == len(pipeline.REGISTRY)
+
+
+def test_materialized_pipeline_equals_query_path(spark, scratch_dir):
+    from finsight import testing
+    from finsight.plans.queries import QUERIES, published
+    m = Models(spark, SF_SMOKE)
+    rel, log = pipeline.run_pipeline(spark, m.raw, Params(), scratch_dir, run_tests=False, materialize_all=True)
+    assert all(s.detail == "table" for s in log if s.step == "run")
+    for key in ["fct_churn_predictions", "fct_kpis_portefeuille", "fct_sinistralite", "fct_anomalies_summary"]:
+        a = testing.fingerprint(*testing.spark_rows(published(rel[key])))
+        b = testing.fingerprint(*testing.spark_rows(QUERIES[key](spark, SF_SMOKE)))
+        assert a == b, key
