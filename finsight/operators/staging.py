@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finsight.functions import (age_month_part, age_total_months, age_year_part, day_of_week0,
+from finsight.functions import (age_total_months, age_year_part, day_of_week0,
                                 pg_initcap, pub, surrogate_key)
 from finsight.params import Params
 

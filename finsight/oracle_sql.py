@@ -8,7 +8,6 @@ assembled from named CTEs; ``build(key)`` pulls in the dependencies of a final S
 
 from __future__ import annotations
 
-import datetime as dt
 import re
 
 from finsight.params import DEFAULT_AS_OF

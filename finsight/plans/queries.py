@@ -1,14 +1,26 @@
-"""Query registry: key -> callable(spark, sf_dir) -> DataFrame, over the fixture-mapped tables."""
+"""Query registry: key -> callable(spark, sf_dir) -> DataFrame, over the fixture-mapped tables.
+
+``Models`` builds the model DataFrames of one (session, input directory, params): raw and staging
+plans are pure projections and are shared per session; models with data-dependent planning
+(hot-key detection of the window path) are built per query.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from finsight.operators import staging
+from finsight.functions import (age_month_part, age_total_months, age_year_part, pg_initcap,
+                                surrogate_key)
+from finsight.operators import aggregates as agg
+from finsight.operators import features, monitoring, quality, staging, windows
 from finsight.params import Params
-from finsight.sources import fixtures
+from finsight.plans import marts
+from finsight.session import ensure_checkpoint_dir
+from finsight.sources import csv_ingest, fixtures, schedule
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -28,28 +40,6 @@ def shared_raw(spark: SparkSession, sf_dir: str, p: Params | None = None) -> dic
     return Models(spark, sf_dir, p).raw
 
 
-
-
-def _stg(name: str):
-    def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
-        p = Params()
-        return Models(spark, sf_dir, p).stg(name)
-    fn.__name__ = f"stg_{name}"
-    return fn
-
-
-for _name in staging.STAGING:
-    QUERIES[f"stg_{_name}"] = _stg(_name)
-
-
-# ---------------------------------------------------------------- shared model builders
-from pyspark.sql import functions as F  # noqa: E402
-
-from finsight.operators import aggregates as agg  # noqa: E402
-from finsight.operators import features, windows  # noqa: E402
-from finsight.plans import marts  # noqa: E402
-
-
 def published(df: DataFrame) -> DataFrame:
     return agg.publish(df, agg.double_columns(df))
 
@@ -69,8 +59,6 @@ class Models:
     def __init__(self, spark: SparkSession, sf_dir: str, p: Params | None = None):
         self.spark, self.sf_dir, self.p = spark, sf_dir, p or Params()
         self._cache: dict[str, DataFrame] = {}
-        # raw and staging plans are pure projections of the inputs (no data-dependent planning):
-        # build them once per session and input directory
         key = (spark.sparkContext.applicationId, sf_dir, self.p)
         self._shared = _SHARED.setdefault(key, {})
 
@@ -109,6 +97,18 @@ def _m(spark, sf_dir, **kw) -> Models:
     return Models(spark, sf_dir, Params(**kw) if kw else None)
 
 
+# ---------------------------------------------------------------- staging (C)
+def _stg(name: str):
+    def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _m(spark, sf_dir).stg(name)
+    fn.__name__ = f"stg_{name}"
+    return fn
+
+
+for _name in staging.STAGING:
+    QUERIES[f"stg_{_name}"] = _stg(_name)
+
+
 # ---------------------------------------------------------------- aggregates (E)
 @query("trans_activity")
 def q_trans_activity(spark, sf_dir):
@@ -259,10 +259,6 @@ def q_fct_kpis_portefeuille(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- column functions (H)
-from finsight.functions import (age_month_part, age_total_months, age_year_part, pg_initcap,  # noqa: E402
-                                surrogate_key)
-from finsight.operators import monitoring, quality  # noqa: E402
-from finsight.sources import csv_ingest, schedule  # noqa: E402
 
 
 @query("surrogate_key")
@@ -432,8 +428,7 @@ def q_dq_freshness(spark, sf_dir):
 
 # ---------------------------------------------------------------- ingestion round trips
 def _scratch(spark) -> str:
-    import uuid
-    from finsight.session import ensure_checkpoint_dir
+    """A fresh folder under the (shared) checkpoint directory."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/finsight-scratch/{uuid.uuid4().hex}"
 
 
