@@ -19,7 +19,7 @@ from finsight.operators import aggregates as agg
 from finsight.operators import features, monitoring, quality, staging, windows
 from finsight.params import Params
 from finsight.plans import marts
-from finsight.session import ensure_checkpoint_dir
+from finsight.session import ensure_checkpoint_dir, session_id
 from finsight.sources import csv_ingest, fixtures, schedule
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,7 +59,7 @@ class Models:
     def __init__(self, spark: SparkSession, sf_dir: str, p: Params | None = None):
         self.spark, self.sf_dir, self.p = spark, sf_dir, p or Params()
         self._cache: dict[str, DataFrame] = {}
-        key = (spark.sparkContext.applicationId, sf_dir, self.p)
+        key = (session_id(spark), sf_dir, self.p)
         self._shared = _SHARED.setdefault(key, {})
 
     def _get(self, name, build, shared: bool = False):

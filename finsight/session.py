@@ -32,15 +32,26 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    if _context(spark) is not None:
+        spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a remote (Connect) session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions expose no SparkContext
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; create a private one only when unset
     (local tests), never override a configured one."""
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:  # remote session: the server side owns the checkpoint directory
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -51,6 +62,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def session_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else str(id(spark))
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    return sc.defaultParallelism if sc is not None else int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def configure_for_models(spark: SparkSession) -> None:
     """Apply the session settings the models need on a session created elsewhere
     (e.g. by the driver); runtime-modifiable SQL settings only."""

@@ -184,9 +184,14 @@ def _spread(df: DataFrame) -> DataFrame:
     """The schedule expansion multiplies rows ~25x: when the contract input arrives in fewer
     splits than there are cores (one small file), spread the narrow contract rows first. Inputs
     already split into many partitions are left untouched (no extra shuffle)."""
-    par = df.sparkSession.sparkContext.defaultParallelism
+    from finsight.session import default_parallelism
+    par = default_parallelism(df.sparkSession)
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view on a remote session: leave the plan as is
+        return df
     # hash on the order key: unlike round-robin, needs no sort to be deterministic on retry
-    return df.repartition(par, "o_orderkey") if df.rdd.getNumPartitions() < par else df
+    return df.repartition(par, "o_orderkey") if splits < par else df
 
 
 def primes(orders: DataFrame, horizon: dt.date) -> DataFrame:
