@@ -85,3 +85,30 @@ def diff(spark_res, duck_res, limit: int = 5) -> str:
                 bad.append(c)
         out.append(f"  differing columns: {bad}")
     return "\n".join(out)
+
+
+def _strict(v):
+    """Type-and-text form of a value, as a hash over ``str(value)`` would see it."""
+    if isinstance(v, float):
+        return ("float", repr(round(v, 9)))
+    return (type(v).__name__, str(v))
+
+
+def strict_diff(spark_res, duck_res) -> list[str]:
+    """Columns whose Python value types or exact text differ between the two results
+    (rows matched by sorting on the lenient normal form)."""
+    (sc, sr), (dc, dr) = spark_res, duck_res
+    if sorted(sc) != sorted(dc) or len(sr) != len(dr):
+        return ["<shape>"]
+    order = sorted(sc)
+    si = [sc.index(c) for c in order]
+    di = [dc.index(c) for c in order]
+    key = lambda idx: (lambda r: repr(tuple(_norm(r[i]) for i in idx)))
+    ar = sorted(sr, key=key(si))
+    br = sorted(dr, key=key(di))
+    bad = []
+    for j, c in enumerate(order):
+        if any(_strict(x[si[j]]) != _strict(y[di[j]]) for x, y in zip(ar, br)):
+            ex = next((x[si[j]], y[di[j]]) for x, y in zip(ar, br) if _strict(x[si[j]]) != _strict(y[di[j]]))
+            bad.append(f"{c}: spark={ex[0]!r} oracle={ex[1]!r}")
+    return bad
