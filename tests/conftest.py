@@ -17,6 +17,7 @@ def spark():
     s = build_session("local[4]", 8, app_name="finsight-tests",
                       extra={"spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
                              "spark.local.dir": os.path.join(scratch, "local"),
+                             "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
                              "spark.driver.memory": "8g"})
     yield s
     s.stop()

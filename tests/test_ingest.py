@@ -118,3 +118,15 @@ def test_transactions_partitioned_and_pruned(spark, scratch_dir):
     q = back.filter(F.col("date_transaction") >= dt.date(2024, 1, 4))
     plan = q._sc._jvm.PythonSQLUtils.explainString(q._jdf.queryExecution(), "formatted")
     assert "PartitionFilters: [isnotnull(date_transaction" in plan and q.count() == 2
+
+
+def test_load_into_catalog_tables(spark, scratch_dir):
+    ts = dt.datetime(2024, 1, 1)
+    clients = spark.createDataFrame([("C9", ts, "n", "p", "e", "t", dt.date(1990, 1, 1), "a", "1", "v", "France",
+                                      "Jeune", 700, ts)], schemas.CLIENTS)
+    spark.sql("CREATE DATABASE IF NOT EXISTS raw_test")
+    res = loader.load_raw(spark, {"clients": _write(spark, clients, f"{scratch_dir}/c")}, database="raw_test")
+    assert res[0].status == "loaded" and res[0].rows == 1
+    assert spark.table("raw_test.clients").first().client_id == "C9"
+    # dependents were emptied as tables of the same database
+    assert spark.table("raw_test.transactions").count() == 0

@@ -25,6 +25,7 @@ def test_query_matches_oracle(spark, con, key):
     s = testing.spark_rows(QUERIES[key](spark, SF_SMOKE))
     d = testing.duck_rows(con, ORACLES[key])
     assert testing.fingerprint(*s) == testing.fingerprint(*d), testing.diff(s, d)
+    assert testing.strict_diff(s, d) == []  # same value types, decimal scales and text
 
 
 def test_entry_smoke(spark):
