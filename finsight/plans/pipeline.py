@@ -31,10 +31,11 @@ class Model:
     build: Callable[..., DataFrame]
     tags: frozenset = field(default_factory=frozenset)
     materialized: str = "view"
+    partition_by: tuple[str, ...] = ()
 
 
-def _m(name, layer, deps, build, tags=(), materialized="view"):
-    return Model(name, layer, tuple(deps), build, frozenset((layer, *tags)), materialized)
+def _m(name, layer, deps, build, tags=(), materialized="view", partition_by=()):
+    return Model(name, layer, tuple(deps), build, frozenset((layer, *tags)), materialized, tuple(partition_by))
 
 
 REGISTRY: dict[str, Model] = {m.name: m for m in [
@@ -50,7 +51,7 @@ REGISTRY: dict[str, Model] = {m.name: m for m in [
     _m("int_contrat_performance", "intermediate", ["stg_contrats", "stg_sinistres", "stg_primes"],
        features.contrat_performance, ["contrats", "portefeuille"]),
     _m("fct_anomalies_transactions", "marts", ["int_transaction_features"], marts.fct_anomalies_transactions,
-       ["anomalies"], "table"),
+       ["anomalies"], "table", partition_by=["date_detection"]),
     _m("fct_anomalies_summary", "marts", ["fct_anomalies_transactions"], marts.fct_anomalies_summary,
        ["anomalies", "summary"], "table"),
     _m("fct_churn_predictions", "marts", ["int_client_activity"], marts.fct_churn_predictions, ["churn"], "table"),
@@ -116,8 +117,11 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], p: Params, root
             df = m.build(*[rel[d] for d in m.deps], p)
             if m.materialized == "table" or materialize_all:
                 path = f"{root}/{layer}/{m.name}"
-                df.write.mode("overwrite").parquet(path)
-                df = spark.read.parquet(path)
+                w = df.write.mode("overwrite")
+                if m.partition_by:  # the largest mart: one directory per detection date
+                    w = w.partitionBy(*m.partition_by)
+                w.parquet(path)
+                df = spark.read.parquet(path).select(*df.columns)
             rel[m.name] = df
             log.append(StepResult("run", m.name, "ok", "table" if materialize_all else m.materialized))
         if run_tests:
