@@ -1,8 +1,9 @@
 """Query registry: key -> callable(spark, sf_dir) -> DataFrame, over the fixture-mapped tables.
 
-``Models`` builds the model DataFrames of one (session, input directory, params): raw and staging
-plans are pure projections and are shared per session; models with data-dependent planning
-(hot-key detection of the window path) are built per query.
+``Models`` builds the model DataFrames of one (session, input directory, params): plans that are
+pure functions of the inputs (raw, staging, client activity, contract performance, churn) are
+shared per session; the transaction-feature chain, whose plan follows the hot-key detection of
+the window path, is built per query.
 """
 
 from __future__ import annotations
@@ -78,19 +79,22 @@ class Models:
     def transaction_features(self) -> DataFrame:
         return self._get("itf", lambda: features.transaction_features(self.stg("transactions"), self.p))
 
+    # plans that do not depend on the data are shared per session; the transaction-feature chain
+    # is rebuilt per query because its plan follows the hot-key detection
     def client_activity(self) -> DataFrame:
         return self._get("ica", lambda: features.client_activity(
-            self.stg("clients"), self.stg("transactions"), self.stg("contrats"), self.stg("sinistres"), self.p))
+            self.stg("clients"), self.stg("transactions"), self.stg("contrats"), self.stg("sinistres"), self.p),
+            shared=True)
 
     def contrat_performance(self) -> DataFrame:
         return self._get("icp", lambda: features.contrat_performance(
-            self.stg("contrats"), self.stg("sinistres"), self.stg("primes"), self.p))
+            self.stg("contrats"), self.stg("sinistres"), self.stg("primes"), self.p), shared=True)
 
     def anomalies(self) -> DataFrame:
         return self._get("fat", lambda: marts.fct_anomalies_transactions(self.transaction_features(), self.p))
 
     def churn(self) -> DataFrame:
-        return self._get("fcp", lambda: marts.fct_churn_predictions(self.client_activity(), self.p))
+        return self._get("fcp", lambda: marts.fct_churn_predictions(self.client_activity(), self.p), shared=True)
 
 
 def _m(spark, sf_dir, **kw) -> Models:
