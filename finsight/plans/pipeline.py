@@ -112,9 +112,17 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], p: Params, root
     rel: dict[str, DataFrame] = dict(raw)
     log: list[StepResult] = []
     root = root.rstrip("/")
+    def ensure(name: str) -> DataFrame:
+        """An upstream relation that was not selected is built on demand as a lazy view."""
+        if name not in rel:
+            up = REGISTRY[name]
+            rel[name] = up.build(*[ensure(d) for d in up.deps], p)
+            log.append(StepResult("run", name, "ok", "upstream view"))
+        return rel[name]
+
     for layer in layers or LAYERS:
         for m in select(layer, tags):
-            df = m.build(*[rel[d] for d in m.deps], p)
+            df = m.build(*[ensure(d) for d in m.deps], p)
             if m.materialized == "table" or materialize_all:
                 path = f"{root}/{layer}/{m.name}"
                 w = df.write.mode("overwrite")

@@ -43,3 +43,12 @@ def test_materialized_pipeline_equals_query_path(spark, scratch_dir):
         a = testing.fingerprint(*testing.spark_rows(published(rel[key])))
         b = testing.fingerprint(*testing.spark_rows(QUERIES[key](spark, SF_SMOKE)))
         assert a == b, key
+
+
+def test_tag_selection_builds_upstream_views(spark, scratch_dir):
+    m = Models(spark, SF_SMOKE)
+    rel, log = pipeline.run_pipeline(spark, m.raw, Params(), scratch_dir, tags={"churn"}, run_tests=False)
+    runs = [(s.name, s.detail) for s in log if s.step == "run"]
+    assert ("fct_churn_predictions", "table") in runs and ("dim_client_segments", "table") in runs
+    assert ("int_client_activity", "upstream view") in runs
+    assert "fct_kpis_portefeuille" not in rel
