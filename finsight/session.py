@@ -34,7 +34,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark = builder.getOrCreate()
     if _context(spark) is not None:
         spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -46,9 +45,16 @@ def _context(spark: SparkSession):
         return None
 
 
+class CheckpointDirMissing(RuntimeError):
+    pass
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; create a private one only when unset
-    (local tests), never override a configured one."""
+    """The shared checkpoint directory named by ``spark.checkpoint.dir`` (never overridden).
+
+    Only when it is unset *and* the session runs in local mode (tests, a single machine) is a
+    private temporary directory created; on a cluster an unset setting is an error, because a
+    machine-local folder is not reachable from the executors."""
     sc = _context(spark)
     if sc is None:  # remote session: the server side owns the checkpoint directory
         return spark.conf.get("spark.checkpoint.dir", "")
@@ -57,6 +63,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise CheckpointDirMissing("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's "
+                                       "distributed file system) before running this job")
         configured = tempfile.mkdtemp(prefix="finsight-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return configured
@@ -74,11 +83,11 @@ def default_parallelism(spark: SparkSession) -> int:
 
 def configure_for_models(spark: SparkSession) -> None:
     """Apply the session settings the models need on a session created elsewhere
-    (e.g. by the driver); runtime-modifiable SQL settings only."""
+    (e.g. by the driver); runtime-modifiable SQL settings only. The checkpoint directory is
+    resolved lazily, where a checkpoint is actually taken."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
               "spark.sql.adaptive.skewJoin.enabled", "spark.sql.ansi.enabled"):
         try:
             spark.conf.set(k, BASE_CONF[k])
-        except Exception:  # static or locked setting on a managed session
+        except Exception:  # noqa: BLE001 - static or locked setting on a managed session
             pass
-    ensure_checkpoint_dir(spark)
