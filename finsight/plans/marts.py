@@ -126,6 +126,12 @@ def fct_performance_contrats(perf: DataFrame, p: Params) -> DataFrame:
     return _ts(out, p, "calculated_at")
 
 
+def client_segments(stg_cl: DataFrame) -> DataFrame:
+    """(client_id, segment_client, copies): staged client rows per id and segment (copies is 1 when
+    the id is unique). A partial aggregate, so a heavily duplicated id is combined map-side."""
+    return stg_cl.groupBy("client_id", "segment_client").agg(F.count(F.lit(1)).alias("copies"))
+
+
 def fct_sinistralite(stg_ct: DataFrame, stg_cl: DataFrame, stg_si: DataFrame, stg_pr: DataFrame,
                      p: Params) -> DataFrame:
     s_by = stg_si.groupBy("contrat_id").agg(
@@ -134,18 +140,21 @@ def fct_sinistralite(stg_ct: DataFrame, stg_cl: DataFrame, stg_si: DataFrame, st
         F.sum("montant_indemnise").alias("ind"))
     p_by = stg_pr.groupBy("contrat_id").agg(
         F.sum(F.when(F.col("is_paye"), F.col("montant_prime")).otherwise(F.lit(0))).alias("paid"))
-    seg = stg_cl.select("client_id", "segment_client")
+    # client rows collapsed to (client, segment, copies): the join cannot fan out on a client id
+    # that occurs many times, and each contract row is weighted by the copies it would meet
+    seg = client_segments(stg_cl)
     base = (stg_ct.select("contrat_id", "client_id", "is_actif", F.col("type_produit_std").alias("type_produit"))
             .join(seg, "client_id", "left")
             .withColumn("segment_client", F.coalesce(F.col("segment_client"), F.lit("Unknown")))
             .join(s_by, "contrat_id", "left").join(p_by, "contrat_id", "left"))
+    n = F.coalesce(F.col("copies"), F.lit(1))
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     g = base.groupBy("type_produit", "segment_client").agg(
         F.count_distinct(F.when(F.col("is_actif"), F.col("contrat_id"))).alias("nb_contrats_actifs"),
-        F.sum(z("nb")).alias("nb_sinistres"),
-        F.sum(z("paid")).alias("total_primes_collectees"),
-        F.sum(z("decl")).alias("total_sinistres_declares"),
-        F.sum(z("ind")).alias("total_sinistres_indemnises"))
+        F.sum(n * z("nb")).alias("nb_sinistres"),
+        F.sum(n * z("paid")).alias("total_primes_collectees"),
+        F.sum(n * z("decl")).alias("total_sinistres_declares"),
+        F.sum(n * z("ind")).alias("total_sinistres_indemnises"))
     nb, paid, ind = F.col("nb_sinistres"), F.col("total_primes_collectees"), F.col("total_sinistres_indemnises")
     sp = ind.cast("double") / F.nullif(paid, F.lit(0)).cast("double") * 100
     periode = F.trunc(F.lit(p.as_of), "MM")

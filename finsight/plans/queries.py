@@ -314,8 +314,11 @@ def q_prime_schedule(spark, sf_dir):
 @query("join_left_unknown_segment")
 def q_join_left_unknown_segment(spark, sf_dir):
     m = _m(spark, sf_dir)
-    seg = m.stg("clients").select("client_id", "segment_client")
-    return (m.stg("contrats").select("contrat_id", "client_id").join(seg, "client_id", "left")
+    seg = marts.client_segments(m.stg("clients"))
+    j = m.stg("contrats").select("contrat_id", "client_id").join(seg, "client_id", "left")
+    # one output row per matching client row: the copies are generated next to the contract row
+    copies = F.coalesce(F.col("copies"), F.lit(1)).cast("int")
+    return (j.select("contrat_id", "segment_client", F.explode(F.array_repeat(F.lit(1), copies)).alias("_c"))
             .select("contrat_id", F.coalesce(F.col("segment_client"), F.lit("Unknown")).alias("segment_client")))
 
 

@@ -68,3 +68,29 @@ def test_no_claim_gives_null_total(spark):
     k, s, churn = _kpis(spark, _raw(spark, with_claims=False))
     assert k.total_sinistres_payes is None and k.marge_nette is None
     assert k.total_primes_collectees == D("300.00")
+
+
+def test_duplicated_client_rows_weight_the_loss_ratio_mart(spark):
+    raw = _raw(spark)
+    dup = raw["clients"].filter("client_id = 'C1'")
+    raw["clients"] = raw["clients"].unionByName(dup).unionByName(dup)  # C1 three times
+    s = staging.stage_all(raw, P)
+    got = {(r.type_produit, r.segment_client): r for r in
+           marts.fct_sinistralite(s["contrats"], s["clients"], s["sinistres"], s["primes"], P).collect()}
+    for k, v in s.items():
+        v.createOrReplaceTempView(f"d_{k}")
+    lit = {(r.t, r.seg): r for r in spark.sql("""
+        SELECT c.type_produit_std AS t, coalesce(cl.segment_client, 'Unknown') AS seg,
+               count(DISTINCT CASE WHEN c.is_actif THEN c.contrat_id END) AS act,
+               sum(coalesce(sb.nb, 0)) AS nb, sum(coalesce(pb.paid, 0)) AS paid
+        FROM d_contrats c LEFT JOIN d_clients cl ON c.client_key = cl.client_key
+        LEFT JOIN (SELECT contrat_key, count(DISTINCT sinistre_id) AS nb FROM d_sinistres GROUP BY 1) sb
+               ON c.contrat_key = sb.contrat_key
+        LEFT JOIN (SELECT contrat_key, sum(CASE WHEN is_paye THEN montant_prime ELSE 0 END) AS paid
+                   FROM d_primes GROUP BY 1) pb ON c.contrat_key = pb.contrat_key
+        GROUP BY 1, 2""").collect()}
+    assert set(got) == set(lit)
+    for k in got:
+        assert (got[k].nb_contrats_actifs, got[k].nb_sinistres, got[k].total_primes_collectees) == \
+            (lit[k].act, lit[k].nb, lit[k].paid), k
+    assert got[("Auto", "Jeune")].nb_sinistres == 6  # 2 claims x 3 client copies
