@@ -50,7 +50,19 @@ def cmd_load(args) -> int:
     res = loader.load_raw(spark, paths, os.path.join(args.root, "raw"), truncate_dates=not args.keep_time)
     for r in res:
         print(json.dumps(r.__dict__))
-    return 0 if loader.all_loaded(res) else 1
+    if not loader.all_loaded(res) or len(res) < len(schemas.LOAD_ORDER):
+        return 1
+    # statistics only after a complete load (one-row aggregates)
+    from finsight.operators import monitoring
+    raw = _raw(spark, args.root)
+    stats = {
+        "avg_trans_per_client": monitoring.avg_transactions_per_client(raw["transactions"]).first().avg_trans,
+        "avg_amount": str(monitoring.avg_amount(raw["transactions"]).first().avg_montant),
+        "active_contracts": monitoring.active_contracts(raw["contrats"]).first().contrats_actifs,
+        "claim_rate_pct": str(monitoring.claim_rate(raw["contrats"], raw["sinistres"]).first().ratio),
+    }
+    print(json.dumps({"load_statistics": stats}))
+    return 0
 
 
 def _raw(spark, root):
