@@ -330,7 +330,10 @@ def build(key: str) -> str:
         visit(d)
     if not order:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in order) + "\n" + body
+    head = ",\n".join(f"{n} AS ({CTES[n]})" for n in order)
+    if body.lstrip().upper().startswith("WITH "):  # merge the body's own CTEs into one WITH list
+        return "WITH " + head + ",\n" + body.lstrip()[5:]
+    return "WITH " + head + "\n" + body
 
 
 def all_queries() -> dict[str, str]:
@@ -945,3 +948,33 @@ FROM raw_clients""")
 
 # the streaming load of the same defect export must equal the batch ingest
 final("stream_ingest_csv", FINAL["ingest_csv"])
+
+
+# ---------------------------------------------------------------- layered run (step log)
+def _layer_tests_sql(checks) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT {_lit(ch.test_id)} AS name, (SELECT count(*) FROM ({_failing_sql(ch)})) AS failures" for ch in checks)
+
+
+def _pipeline_sql() -> str:
+    from finsight.operators.quality import CHECKS_BY_LAYER, SOURCE_CHECKS
+    from finsight.plans.pipeline import select
+    layer_checks = {"staging": SOURCE_CHECKS + CHECKS_BY_LAYER["staging"],
+                    "intermediate": CHECKS_BY_LAYER["intermediate"], "marts": CHECKS_BY_LAYER["marts"]}
+    ctes, parts = [], []
+    gate = "TRUE"  # the layer runs when every earlier layer passed its tests
+    for layer, checks in layer_checks.items():
+        runs = ", ".join(f"({_lit(m.name)}, {_lit(m.materialized)})" for m in select(layer))
+        ctes.append(f"t_{layer} AS ({_layer_tests_sql(checks)})")
+        parts.append(f"SELECT 'run' AS step, name, 'ok' AS status, detail FROM (VALUES {runs}) v(name, detail) "
+                     f"WHERE {gate}")
+        parts.append(f"SELECT 'test', name, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END, "
+                     f"CAST(failures AS VARCHAR) FROM t_{layer} WHERE {gate}")
+        failed = f"EXISTS (SELECT 1 FROM t_{layer} WHERE failures > 0)"
+        parts.append(f"SELECT 'stop', {_lit(layer)}, 'failed', 'a test of this layer failed' WHERE {gate} AND {failed}")
+        gate = f"{gate} AND NOT {failed}"
+    return ",\n".join(ctes), "\nUNION ALL\n".join(parts)
+
+
+_P_CTES, _P_BODY = _pipeline_sql()
+final("pipeline_run", f"WITH {_P_CTES}\n{_P_BODY}")
