@@ -33,10 +33,12 @@ def hot_threshold(spark: SparkSession, override: int | None = None) -> int:
     return int(spark.conf.get(CONF_HOT_KEY_ROWS, str(DEFAULT_HOT_KEY_ROWS)))
 
 
-def hot_keys(df: DataFrame, keys: list[str], threshold: int, max_hot: int = MAX_HOT_KEYS):
+def hot_keys(df: DataFrame, keys: list[str], threshold: int, max_hot: int | None = None):
     """(hot keys as a small DataFrame, total rows of those keys), or (None, 0) when no key has more
-    than ``threshold`` rows. When more than ``max_hot`` keys are hot, returns ("ALL", 0): every
-    key then takes the range path (correct, just without the cheap path for cold keys)."""
+    than ``threshold`` rows. When more than ``max_hot`` (default ``MAX_HOT_KEYS``) keys are hot,
+    returns ("ALL", 0): every key then takes the range path (correct, just without the cheap path
+    for cold keys)."""
+    max_hot = MAX_HOT_KEYS if max_hot is None else max_hot
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > threshold)
     rows = counts.limit(max_hot + 1).collect()  # bounded: at most max_hot + 1 rows
     if not rows:
@@ -54,8 +56,8 @@ def split_hot(df: DataFrame, keys: list[str], threshold: int):
     hk, n_hot = hot_keys(df, keys, threshold)
     if hk is None:
         return df, None, 0
-    if isinstance(hk, str):
-        return None, df, None
+    if isinstance(hk, str):  # too many hot keys to list: every row takes the range path
+        return None, df, df.count()
     b = F.broadcast(hk)  # bounded by MAX_HOT_KEYS rows
     return df.join(b, keys, "left_anti"), df.join(b, keys, "left_semi"), n_hot
 

@@ -68,3 +68,17 @@ def test_ranged_path_with_many_small_ranges(spark):
     finally:
         spark.conf.unset("finsight.rowsPerRange")
     assert plain == many
+
+
+def test_all_hot_when_too_many_keys(spark):
+    from finsight.plans import skew
+    df = _skewed(spark)
+    old = skew.MAX_HOT_KEYS
+    skew.MAX_HOT_KEYS = 3
+    try:
+        cold, hot, n = skew.split_hot(df, ["client_id"], 10)
+        assert cold is None and n == df.count()
+        got = _collect(windows.client_windows(df, Params(hot_key_rows=10)))
+    finally:
+        skew.MAX_HOT_KEYS = old
+    assert got == _collect(windows.client_windows(df, Params(hot_key_rows=10**9)))
