@@ -8,6 +8,8 @@ result, so AGE(a, b) = -AGE(b, a). ``months_between`` differs (e.g. it gives 1.0
 
 from __future__ import annotations
 
+import datetime as dt  # noqa: F401  (type of ntz_literal's argument)
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,6 +56,12 @@ def age_month_part(end: Column | str, start: Column | str, with_time: bool = Tru
     return total - (total / F.lit(12)).cast("int") * 12
 
 
+def ntz_literal(value: "dt.datetime") -> Column:
+    """A wall-clock TIMESTAMP_NTZ literal. (A Python datetime literal would be read as an instant
+    in the Python process's local time zone.)"""
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def day_of_week0(d: Column | str) -> Column:
     """EXTRACT(DOW): 0 = Sunday ... 6 = Saturday."""
     return F.dayofweek(_c(d)) - 1

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from finsight.functions import ntz_literal
+
 # Freshness targets (hours).
 FRESHNESS_WARN_HOURS = 12
 FRESHNESS_ERROR_HOURS = 24
@@ -69,11 +71,11 @@ def freshness(raw_tx: DataFrame, as_of: dt.date, check_time: dt.time = CHECK_TIM
     freshness status (warn after 12 h, error after 24 h) and the 48 h alert flag."""
     checked_at = dt.datetime.combine(as_of, check_time)
     g = raw_tx.agg(F.max("loaded_at").alias("last_loaded_at"))
-    age = F.timestamp_diff("SECOND", F.col("last_loaded_at"), F.lit(checked_at).cast("timestamp_ntz")) \
+    age = F.timestamp_diff("SECOND", F.col("last_loaded_at"), ntz_literal(checked_at)) \
         .cast("double") / 3600.0
     return g.select(
         "last_loaded_at",
-        F.lit(checked_at).cast("timestamp_ntz").alias("checked_at"),
+        ntz_literal(checked_at).alias("checked_at"),
         F.round(age, 6).alias("age_hours"),
         F.when(F.col("last_loaded_at").isNull(), "error").when(age > FRESHNESS_ERROR_HOURS, "error")
         .when(age > FRESHNESS_WARN_HOURS, "warn").otherwise("pass").alias("freshness_status"),

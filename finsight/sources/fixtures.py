@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finsight import schemas
+from finsight.functions import ntz_literal
 from finsight.params import Params
 from finsight.sources.schedule import due_dates
 
@@ -97,7 +98,7 @@ def clients(customer: DataFrame) -> DataFrame:
         F.lit(" France").alias("pays"),
         _map(F.col("c_mktsegment"), SEGMENTS).alias("segment_client"),
         (F.lit(500) + k * 17 % 351).cast("int").alias("score_credit"),
-        F.lit(LOADED_AT).cast("timestamp_ntz").alias("loaded_at"),
+        ntz_literal(LOADED_AT).alias("loaded_at"),
     )
 
 
@@ -120,7 +121,7 @@ def transactions(events: DataFrame) -> DataFrame:
         F.lit(" Loisirs ").alias("categorie"),
         pays.alias("pays_beneficiaire"),
         F.when(e % 50 == 0, F.lit("Refusé")).otherwise(F.lit("Validé")).alias("statut"),
-        F.lit(LOADED_AT).cast("timestamp_ntz").alias("loaded_at"),
+        ntz_literal(LOADED_AT).alias("loaded_at"),
     )
 
 
@@ -145,7 +146,7 @@ def _contract_columns(orders: DataFrame) -> DataFrame:
         (F.lit(100) * (k % 4)).cast("decimal(10,2)").alias("franchise"),
         F.when(F.col("o_orderstatus") == "F", F.lit("Résilié")).otherwise(F.lit("Actif")).alias("statut"),
         _pick(k % 3, MODES_PAIEMENT).alias("mode_paiement"),
-        F.lit(LOADED_AT).cast("timestamp_ntz").alias("loaded_at"),
+        ntz_literal(LOADED_AT).alias("loaded_at"),
     )
 
 
@@ -176,7 +177,7 @@ def sinistres(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         indemnise.alias("montant_indemnise"),
         F.when(ln == 7, F.lit("Rejeté")).otherwise(F.lit("Clos")).alias("statut"),
         (F.lit(5) + F.col("l_partkey") % 60).cast("int").alias("delai_traitement_jours"),
-        F.lit(LOADED_AT).cast("timestamp_ntz").alias("loaded_at"),
+        ntz_literal(LOADED_AT).alias("loaded_at"),
     )
 
 
@@ -211,7 +212,7 @@ def primes(orders: DataFrame, horizon: dt.date) -> DataFrame:
         .when(kk == 2, F.date_add(d, 7)).otherwise(F.date_add(d, 3)).alias("date_paiement"),
         F.when(kk == 0, F.lit("Impayé")).when(kk == 1, F.lit("Retard")).when(kk == 2, F.lit(" payé"))
         .otherwise(F.lit("Payé")).alias("statut_paiement"),
-        F.lit(LOADED_AT).cast("timestamp_ntz").alias("loaded_at"),
+        ntz_literal(LOADED_AT).alias("loaded_at"),
     )
 
 

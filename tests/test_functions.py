@@ -88,3 +88,21 @@ def test_date_form_equals_timestamp_form_on_dates(spark):
                      age_month_part("a", "b").alias("mt"), age_month_part("a", "b", with_time=False).alias("md"),
                      age_year_part("a", "b").alias("yt"), age_year_part("a", "b", with_time=False).alias("yd")).collect()
     assert all(r.t == r.d and r.mt == r.md and r.yt == r.yd for r in rows)
+
+
+def test_ntz_literal_is_wall_clock_in_any_process_zone(spark):
+    import os
+    import time
+    from finsight.functions import ntz_literal
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "Europe/Paris"
+    time.tzset()
+    try:
+        v = spark.range(1).select(ntz_literal(dt.datetime(2024, 2, 15, 2, 0)).alias("t")).first().t
+    finally:
+        if old is None:
+            os.environ.pop("TZ", None)
+        else:
+            os.environ["TZ"] = old
+        time.tzset()
+    assert v == dt.datetime(2024, 2, 15, 2, 0)
