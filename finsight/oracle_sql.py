@@ -977,4 +977,4 @@ def _pipeline_sql() -> str:
 
 
 _P_CTES, _P_BODY = _pipeline_sql()
-final("pipeline_run", f"WITH {_P_CTES}\n{_P_BODY}")
+final("layered_run", f"WITH {_P_CTES}\n{_P_BODY}")

@@ -473,8 +473,8 @@ def q_stream_ingest_csv(spark, sf_dir):
     return run_ingest(spark, "transactions", f"{base}/landing/*", f"{base}/raw", f"{base}/_checkpoint")
 
 
-@query("pipeline_run")
-def q_pipeline_run(spark, sf_dir):
+@query("layered_run")
+def q_layered_run(spark, sf_dir):
     """Layered run (staging -> tests -> intermediate -> tests -> marts -> tests) with the test
     gate; returns the step log (model runs, per-test failure counts, stop marker)."""
     from finsight.plans import pipeline
