@@ -106,3 +106,28 @@ def test_ntz_literal_is_wall_clock_in_any_process_zone(spark):
             os.environ["TZ"] = old
         time.tzset()
     assert v == dt.datetime(2024, 2, 15, 2, 0)
+
+
+def _initcap_rule(s):
+    """INITCAP rule, one character at a time: upper after a non-alphanumeric character, else lower."""
+    out, prev = [], False
+    for ch in s:
+        out.append(ch.lower() if prev else ch.upper())
+        prev = ch.isalnum()
+    return "".join(out)
+
+
+def test_pg_initcap_matches_rule_on_random_text(spark):
+    from hypothesis import given, settings, strategies as st
+    alphabet = "abcXYZéÉèàÀçÇôÿŸ019 -'._@#"
+    samples = []
+
+    @settings(max_examples=300, database=None, deadline=None)
+    @given(st.text(alphabet=alphabet, max_size=24))
+    def collect(s):
+        samples.append(s)
+
+    collect()
+    df = spark.createDataFrame([(s,) for s in samples], "s string")
+    got = df.select("s", pg_initcap("s").alias("c")).collect()
+    assert all(r.c == _initcap_rule(r.s) for r in got), [(r.s, r.c) for r in got if r.c != _initcap_rule(r.s)][:5]
