@@ -1,0 +1 @@
+"""Incremental (file-triggered) loads as Structured Streaming jobs."""
