@@ -100,3 +100,28 @@ def test_each_check_kind_flags_violations_not_nulls(spark):
     assert count(quality.Check("relationships", "m", "k", to_model="p", to_column="k")) == 1  # 'b'
     assert count(quality.Check("accepted_range", "m", "n", min_value=16, max_value=120)) == 2  # 5, 200
     assert count(quality.Check("accepted_range", "m", "n", min_value=5, inclusive=False)) == 1  # 5
+
+
+def test_quarantine_splits_row_local_violations(spark):
+    rows = [("C1", TS, "n", "p", "e", "t", dt.date(1990, 1, 1), "a", "1", "v", "France", "Jeune", 700, TS),
+            (None, TS, "n", "p", "e", "t", dt.date(1990, 1, 1), "a", "1", "v", "France", "Jeune", 700, TS),
+            ("C3", TS, "n", "p", "e", "0" * 21, dt.date(1990, 1, 1), "a", "1", "v", "France", "Jeune", 700, TS)]
+    ok, rejected = quality.quarantine(spark.createDataFrame(rows, schemas.CLIENTS), "clients")
+    assert [r.client_id for r in ok.collect()] == ["C1"]
+    assert sorted(str(r.client_id) for r in rejected.collect()) == ["C3", "None"]
+
+
+def test_audit_columns_only_when_asked(spark):
+    from finsight.plans import marts
+    from finsight.plans.queries import Models
+    from conftest import SF_SMOKE
+    m = Models(spark, SF_SMOKE)
+    audited = Params(audit_columns=True)
+    stg = staging.stg_clients(m.raw["clients"], audited)
+    assert "updated_at" in stg.columns and "updated_at" not in m.stg("clients").columns
+    act = features.client_activity(stg, staging.stg_transactions(m.raw["transactions"], audited),
+                                   staging.stg_contrats(m.raw["contrats"], audited),
+                                   staging.stg_sinistres(m.raw["sinistres"], audited), audited)
+    churn = marts.fct_churn_predictions(act, audited)
+    assert "calculated_at" in act.columns and "predicted_at" in churn.columns
+    assert churn.filter(F.col("predicted_at").isNull()).count() == 0
