@@ -2,7 +2,9 @@
 
 ``heure_transaction`` is kept as an ``HH:mm:ss`` string: Spark's TIME type is not enabled by
 default; the staged timestamp is derived from date + time. Length limits of the source DDL
-are kept in ``MAX_LENGTHS`` and enforced as a data check, not by the type.
+are kept in ``MAX_LENGTHS`` and enforced as a data check, not by the type. Every field is
+nullable: the raw layer accepts what arrives, and the key / not-null checks (``PRIMARY_KEYS``,
+``finsight.operators.quality``) report violations.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ def _dec(p: int, s: int) -> T.DecimalType:
 
 
 CLIENTS = T.StructType([
-    T.StructField("client_id", S, False),
+    T.StructField("client_id", S),
     T.StructField("date_creation", TS),
     T.StructField("nom", S),
     T.StructField("prenom", S),
@@ -34,7 +36,7 @@ CLIENTS = T.StructType([
 ])
 
 TRANSACTIONS = T.StructType([
-    T.StructField("transaction_id", S, False),
+    T.StructField("transaction_id", S),
     T.StructField("client_id", S),
     T.StructField("date_transaction", D),
     T.StructField("heure_transaction", S),
@@ -49,7 +51,7 @@ TRANSACTIONS = T.StructType([
 ])
 
 CONTRATS = T.StructType([
-    T.StructField("contrat_id", S, False),
+    T.StructField("contrat_id", S),
     T.StructField("client_id", S),
     T.StructField("produit_id", S),
     T.StructField("type_produit", S),
@@ -65,7 +67,7 @@ CONTRATS = T.StructType([
 ])
 
 SINISTRES = T.StructType([
-    T.StructField("sinistre_id", S, False),
+    T.StructField("sinistre_id", S),
     T.StructField("contrat_id", S),
     T.StructField("client_id", S),
     T.StructField("date_declaration", D),
@@ -79,7 +81,7 @@ SINISTRES = T.StructType([
 ])
 
 PRIMES = T.StructType([
-    T.StructField("prime_id", S, False),
+    T.StructField("prime_id", S),
     T.StructField("contrat_id", S),
     T.StructField("date_echeance", D),
     T.StructField("montant_prime", _dec(10, 2)),
