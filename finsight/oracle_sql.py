@@ -978,3 +978,44 @@ def _pipeline_sql() -> str:
 
 _P_CTES, _P_BODY = _pipeline_sql()
 final("layered_run", f"WITH {_P_CTES}\n{_P_BODY}")
+
+# ---------------------------------------------------------------- normalisation steps
+cte("defect_text", """
+SELECT transaction_id, event_id,
+       CASE WHEN event_id % 23 = 0 THEN 'bad-date'
+            WHEN event_id % 29 = 0 THEN CAST(date_transaction AS VARCHAR) || ' 13:45:00'
+            WHEN event_id % 31 = 0 THEN ''
+            ELSE CAST(date_transaction AS VARCHAR) END AS date_text,
+       CASE WHEN event_id % 11 = 0 THEN '25:99' WHEN event_id % 7 = 0 THEN substr(heure_transaction, 1, 5)
+            ELSE heure_transaction END AS heure_text,
+       CASE WHEN event_id % 13 = 0 THEN 'abc' WHEN event_id % 17 = 0 THEN '   '
+            WHEN event_id % 19 = 0 THEN CAST(montant AS VARCHAR) || '5' ELSE CAST(montant AS VARCHAR) END AS montant_text,
+       CASE WHEN event_id % 37 = 0 THEN 'NA' WHEN event_id % 43 = 0 THEN 'null' ELSE devise END AS devise_text,
+       date_transaction, heure_transaction, montant, loaded_at
+FROM (SELECT *, CAST(substr(transaction_id, 5) AS BIGINT) AS event_id FROM raw_transactions)""")
+
+_NA = "('', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', '<NA>', 'N/A', " \
+      "'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null')"
+
+
+def _blank_null(c: str) -> str:
+    return f"CASE WHEN {c} IN {_NA} OR regexp_matches({c}, '^\\s*$') THEN NULL ELSE {c} END"
+
+
+final("normalize_blanks", f"""
+SELECT transaction_id, {_blank_null('date_text')} AS date_transaction, {_blank_null('heure_text')} AS heure_transaction,
+       {_blank_null('montant_text')} AS montant, {_blank_null('devise_text')} AS devise
+FROM defect_text""")
+final("normalize_time", """
+SELECT transaction_id,
+       CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 7 = 0 THEN substr(heure_transaction, 1, 5) || ':00'
+            ELSE heure_transaction END AS heure_transaction
+FROM defect_text""")
+final("normalize_types", """
+SELECT transaction_id,
+       CASE WHEN event_id % 23 = 0 OR (event_id % 29 <> 0 AND event_id % 31 = 0) THEN NULL
+            ELSE date_transaction END AS date_transaction,
+       CASE WHEN event_id % 13 = 0 OR event_id % 17 = 0 THEN NULL
+            WHEN event_id % 19 = 0 THEN montant + 0.01 ELSE montant END AS montant,
+       loaded_at
+FROM defect_text""")

@@ -481,3 +481,34 @@ def q_layered_run(spark, sf_dir):
     m = _m(spark, sf_dir)
     _, log = pipeline.run_pipeline(spark, m.raw, m.p, _scratch(spark))
     return pipeline.log_frame(spark, log).drop("seq")
+
+
+# ---------------------------------------------------------------- normalisation steps
+def _defect_text(spark, sf_dir) -> DataFrame:
+    return fixtures.transactions_csv_text(fixtures.read_driver_table(spark, sf_dir, "events"))
+
+
+@query("normalize_blanks")
+def q_normalize_blanks(spark, sf_dir):
+    """A1+A2 on the text columns: NA tokens and blank strings become NULL, other text is kept."""
+    t = _defect_text(spark, sf_dir)
+    return t.select("transaction_id", *[csv_ingest.na_to_null(F.col(c)).alias(c)
+                                        for c in ("date_transaction", "heure_transaction", "montant", "devise")])
+
+
+@query("normalize_time")
+def q_normalize_time(spark, sf_dir):
+    """A3: 'H:mm[:ss]' text to 'HH:mm:ss', anything else NULL."""
+    t = _defect_text(spark, sf_dir)
+    return t.select("transaction_id",
+                    csv_ingest.parse_time(csv_ingest.na_to_null(F.col("heure_transaction"))).alias("heure_transaction"))
+
+
+@query("normalize_types")
+def q_normalize_types(spark, sf_dir):
+    """Lenient date (truncated to the day), timestamp and decimal parsing to the raw types."""
+    from finsight import schemas
+    t = _defect_text(spark, sf_dir).select("transaction_id", "date_transaction", "montant", "loaded_at")
+    target = schemas.TRANSACTIONS
+    sub = type(target)([target[c] for c in t.columns])
+    return csv_ingest.normalize(t, sub)
