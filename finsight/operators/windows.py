@@ -42,8 +42,8 @@ def _plain(df: DataFrame) -> DataFrame:
             .withColumn("nb_trans_pays", F.count(F.lit(1)).over(Window.partitionBy(K, PAYS))))
 
 
-def _ranged_lag(df: DataFrame, n: int) -> DataFrame:
-    r = skew.ranged(df, [F.col(K), F.col(TS).asc_nulls_last(), F.col(ID)], pid="__p1", partitions=n)
+def _ranged_lag(r: DataFrame) -> DataFrame:
+    """LAG over the checkpointed range partitions ``r`` of (client, timestamp, id)."""
     w = Window.partitionBy(K, "__p1").orderBy(F.col(TS).asc_nulls_last(), F.col(ID))
     local = r.withColumn("__prev", F.lag(TS).over(w)).withColumn("__rn", F.row_number().over(w))
     # timestamp of the last row (NULLs sort last, as in the source ordering) of each
@@ -74,10 +74,12 @@ def _ranged_percent_rank(df: DataFrame, n: int) -> DataFrame:
 
 
 def _hot(df: DataFrame, n_rows: int | None) -> DataFrame:
-    day = df.groupBy(K, DAY).agg(F.count(F.lit(1)).alias("nb_transactions_client_jour"))
-    pays = df.groupBy(K, PAYS).agg(F.count(F.lit(1)).alias("nb_trans_pays"))
     n = skew.range_partitions(df.sparkSession, n_rows)
-    x = _ranged_percent_rank(_ranged_lag(df, n), n)
+    # the hot rows are read from the source once; the counts and LAG read the checkpoint
+    r = skew.ranged(df, [F.col(K), F.col(TS).asc_nulls_last(), F.col(ID)], pid="__p1", partitions=n)
+    day = r.groupBy(K, DAY).agg(F.count(F.lit(1)).alias("nb_transactions_client_jour"))
+    pays = r.groupBy(K, PAYS).agg(F.count(F.lit(1)).alias("nb_trans_pays"))
+    x = _ranged_percent_rank(_ranged_lag(r), n)
     x = x.join(day, [K, DAY], "left")
     # null-safe equality: a NULL country is one group, as in the window form
     p2 = pays.select(F.col(K).alias("__k"), F.col(PAYS).alias("__pays"), "nb_trans_pays")
