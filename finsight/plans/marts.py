@@ -190,13 +190,18 @@ def contract_weights(stg_ct: DataFrame, stg_si: DataFrame, stg_pr: DataFrame) ->
         F.when(F.col("is_actif"), F.col("capital_assure") * ns * np_).otherwise(F.lit(0)).alias("enc_w"))
 
 
-def per_client_fanout(stg_cl: DataFrame, weights: DataFrame) -> DataFrame:
+def client_rows(stg_cl: DataFrame) -> DataFrame:
+    """One row per staged client id: ``n_c`` rows carry it (1 when the key is unique)."""
+    return stg_cl.groupBy("client_id").agg(F.count(F.lit(1)).alias("n_c"),
+                                           F.max("is_nouveau_client").alias("is_new"))
+
+
+def per_client_fanout(stg_cl: DataFrame, weights: DataFrame, cl: DataFrame | None = None) -> DataFrame:
     """One row per staged client id with the totals of its rows in clients LEFT JOIN contracts LEFT
     JOIN claims LEFT JOIN instalments. Contracts are summed per client *before* the join, so a
     client with a huge number of contracts is pre-aggregated map-side instead of landing in one
     join task; ``n_c`` (rows per client id, 1 when the key is unique) keeps the product exact."""
-    cl = stg_cl.groupBy("client_id").agg(F.count(F.lit(1)).alias("n_c"),
-                                         F.max("is_nouveau_client").alias("is_new"))
+    cl = client_rows(stg_cl) if cl is None else cl
     per = weights.groupBy("client_id").agg(
         F.sum("w").alias("W"), F.sum("paid_w").alias("PAID"), F.sum("ind_w").alias("IND"),
         F.sum("enc_w").alias("ENC"), F.max("is_actif").alias("any_active"))
@@ -211,10 +216,11 @@ def fct_kpis_portefeuille(stg_cl: DataFrame, stg_ct: DataFrame, stg_si: DataFram
     count of the *other* side (premiums x claims, indemnities x instalments, capital x both).
     Every join is 1:1 on pre-aggregated keys; distinct counts come from the un-multiplied rows."""
     weights = contract_weights(stg_ct, stg_si, stg_pr)
+    cl = client_rows(stg_cl)
     ch = churn.groupBy("client_id").agg(
         F.count(F.lit(1)).alias("n_ch"), F.sum("ltv_estimee_3ans").alias("ltv_sum"),
         F.count("ltv_estimee_3ans").alias("ltv_n"), F.max(F.col("score_churn") >= 70).alias("churn70"))
-    j = per_client_fanout(stg_cl, weights).join(ch, "client_id", "left")
+    j = per_client_fanout(stg_cl, weights, cl).join(ch, "client_id", "left")
     rows_c = F.col("n_c") * F.coalesce(F.col("W"), F.lit(1))   # fan-out rows of the client before churn
     mult = F.col("n_c") * F.greatest(F.coalesce(F.col("n_ch"), F.lit(0)), F.lit(1))
     per_client = j.select(
@@ -228,7 +234,7 @@ def fct_kpis_portefeuille(stg_cl: DataFrame, stg_ct: DataFrame, stg_si: DataFram
         (rows_c * F.col("ltv_sum")).alias("ltv_w"),
         (rows_c * F.col("ltv_n")).alias("w"))
     # contracts of staged clients only (LEFT JOIN from clients); a semi join splits a hot key
-    per_contract = (weights.join(stg_cl.select("client_id"), "client_id", "left_semi")
+    per_contract = (weights.join(cl.select("client_id"), "client_id", "left_semi")
                     .groupBy("contrat_id").agg(F.max("is_actif").cast("int").alias("k_active"),
                                                F.max("is_resilie").cast("int").alias("k_resilie")))
     both = per_client.unionByName(per_contract.drop("contrat_id"), allowMissingColumns=True)
