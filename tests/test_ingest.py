@@ -130,3 +130,16 @@ def test_load_into_catalog_tables(spark, scratch_dir):
     assert spark.table("raw_test.clients").first().client_id == "C9"
     # dependents were emptied as tables of the same database
     assert spark.table("raw_test.transactions").count() == 0
+
+
+def test_missing_csv_columns_come_back_null(spark, scratch_dir):
+    df = spark.createDataFrame([("K1", "C1", "Auto", "2024-01-05", "12.50")],
+                               "contrat_id string, client_id string, type_produit string, date_effet string, "
+                               "prime_mensuelle string")
+    path = f"{scratch_dir}/partial_contrats"
+    csv_ingest.write_csv(df, path)
+    out = csv_ingest.ingest_csv(spark, "contrats", path)
+    assert out.columns == schemas.CONTRATS.fieldNames()
+    r = out.first()
+    assert r.prime_mensuelle == Decimal("12.50") and r.date_effet == dt.date(2024, 1, 5)
+    assert r.franchise is None and r.statut is None and r.loaded_at is None
