@@ -125,3 +125,15 @@ def test_audit_columns_only_when_asked(spark):
     churn = marts.fct_churn_predictions(act, audited)
     assert "calculated_at" in act.columns and "predicted_at" in churn.columns
     assert churn.filter(F.col("predicted_at").isNull()).count() == 0
+
+
+def test_trailing_window_has_lower_bound_only(spark):
+    from finsight.operators import aggregates
+    inside, future, old = dt.date(2024, 2, 1), dt.date(2024, 3, 1), dt.date(2023, 12, 1)
+    spec = [("A", inside, "10:00:00", "10", "Web", "France"), ("A", future, "10:00:00", "30", "Web", "France"),
+            ("A", old, "10:00:00", "1000", "Web", "France")]
+    tx = staging.stg_transactions(spark.createDataFrame(_tx_rows(spec), schemas.TRANSACTIONS), P)
+    r = aggregates.client_stats_30d(tx, P).first()
+    assert r.avg_montant_30j == 20.0 and r.max_montant_historique == D("30.00")  # future row counted, old not
+    t = aggregates.trans_activity(tx, P).first()
+    assert t.nb_transactions_30j == 2 and t.nb_transactions_total == 3
