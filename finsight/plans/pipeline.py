@@ -103,7 +103,8 @@ class PipelineFailed(RuntimeError):
 def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], p: Params, root: str,
                  layers: list[str] | None = None, tags: set[str] | None = None,
                  run_tests: bool = True, raise_on_failure: bool = False,
-                 materialize_all: bool = False) -> tuple[dict[str, DataFrame], list[StepResult]]:
+                 materialize_all: bool = False,
+                 reuse_materialized: bool = True) -> tuple[dict[str, DataFrame], list[StepResult]]:
     """K1: run → test → next layer. Returns the built relations and a step log.
 
     ``materialize_all=True`` writes views too (staging, intermediate): each layer is then computed
@@ -113,11 +114,18 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], p: Params, root
     log: list[StepResult] = []
     root = root.rstrip("/")
     def ensure(name: str) -> DataFrame:
-        """An upstream relation that was not selected is built on demand as a lazy view."""
+        """An upstream relation that was not selected resolves to the table an earlier run wrote
+        under ``root`` (like a reference to an existing relation); otherwise it is built on demand
+        as a lazy view."""
         if name not in rel:
             up = REGISTRY[name]
-            rel[name] = up.build(*[ensure(d) for d in up.deps], p)
-            log.append(StepResult("run", name, "ok", "upstream view"))
+            stored = _read_stored(spark, f"{root}/{up.layer}/{name}") if reuse_materialized else None
+            if stored is not None:
+                rel[name] = stored
+                log.append(StepResult("read", name, "ok", "stored table"))
+            else:
+                rel[name] = up.build(*[ensure(d) for d in up.deps], p)
+                log.append(StepResult("run", name, "ok", "upstream view"))
         return rel[name]
 
     for layer in layers or LAYERS:
@@ -142,6 +150,13 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], p: Params, root
     return rel, log
 
 
+def _read_stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - no table written there yet
+        return None
+
+
 def _test(spark: SparkSession, checks, rel, root: str, log: list[StepResult]) -> bool:
     if not checks:
         return True

@@ -52,3 +52,14 @@ def test_tag_selection_builds_upstream_views(spark, scratch_dir):
     assert ("fct_churn_predictions", "table") in runs and ("dim_client_segments", "table") in runs
     assert ("int_client_activity", "upstream view") in runs
     assert "fct_kpis_portefeuille" not in rel
+
+
+def test_layer_by_layer_runs_reuse_stored_tables(spark, scratch_dir):
+    m = Models(spark, SF_SMOKE)
+    _, log1 = pipeline.run_pipeline(spark, m.raw, Params(), scratch_dir, layers=["staging"], run_tests=False,
+                                    materialize_all=True)
+    assert all(s.detail == "table" for s in log1)
+    rel, log2 = pipeline.run_pipeline(spark, m.raw, Params(), scratch_dir, layers=["intermediate"], run_tests=False)
+    reads = {s.name for s in log2 if s.step == "read"}
+    assert {"stg_clients", "stg_transactions", "stg_contrats", "stg_sinistres", "stg_primes"} == reads
+    assert rel["int_client_activity"].count() == m.client_activity().count()
