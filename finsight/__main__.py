@@ -4,6 +4,7 @@
   python -m finsight load --csv-dir /data/landing --root /data/warehouse [--keep-time]
   python -m finsight run --root /data/warehouse [--as-of 2024-02-15] [--select TAG ...]
                          [--layers staging intermediate marts] [--materialize-all] [--no-tests]
+                         [--z-threshold 3] [--freq-threshold 5] [--fix-night] [--audit-columns]
   python -m finsight check --root /data/warehouse [--as-of 2024-02-15]
 
 ``load`` reads ``<csv-dir>/<table>.csv`` (file or folder) for the five raw tables into
@@ -29,7 +30,17 @@ def _session(args):
 
 
 def _params(args) -> Params:
-    return Params(as_of=dt.date.fromisoformat(args.as_of)) if getattr(args, "as_of", None) else Params()
+    kw = {}
+    if getattr(args, "as_of", None):
+        kw["as_of"] = dt.date.fromisoformat(args.as_of)
+    for name in ("z_threshold", "freq_threshold"):
+        if getattr(args, name, None) is not None:
+            kw[name] = getattr(args, name)
+    if getattr(args, "fix_night", False):
+        kw["fix_night"] = True
+    if getattr(args, "audit_columns", False):
+        kw["audit_columns"] = True
+    return Params(**kw)
 
 
 def cmd_export_fixture(args) -> int:
@@ -132,6 +143,10 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--select", nargs="*", help="tags a model must carry")
     r.add_argument("--materialize-all", action="store_true")
     r.add_argument("--no-tests", action="store_true")
+    r.add_argument("--z-threshold", type=float, help="amount anomaly when |z| is above (default 3)")
+    r.add_argument("--freq-threshold", type=int, help="frequency anomaly above this many per day (default 5)")
+    r.add_argument("--fix-night", action="store_true", help="night = hour >= 22 or <= 6 (default: literal rule)")
+    r.add_argument("--audit-columns", action="store_true", help="add wall-clock audit columns")
     c = sub.add_parser("check")
     c.add_argument("--root", required=True)
     c.add_argument("--as-of")
