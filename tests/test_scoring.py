@@ -83,3 +83,13 @@ def test_probabilities_priority_segments(spark):
     assert [str(r.p90) for r in out] == ["0.95", "0.95", "0.95", "0.35"]
     assert [r.seg for r in out] == ["Critique", "Critique", "Critique", "Faible"]
     assert [r.val for r in out] == ["Gold", "Gold", "Bronze", "Bronze"]
+
+
+def test_thresholds_are_parameters(spark):
+    from decimal import Decimal as D
+    df = spark.createDataFrame([(2.6, 5, False, False, False, False, None, D("1"))], FEAT)
+    default = df.select(*[c.alias(k) for k, c in scoring.anomaly_flags(Params()).items()]).first()
+    tuned = df.select(*[c.alias(k) for k, c in
+                        scoring.anomaly_flags(Params(z_threshold=2.5, freq_threshold=4)).items()]).first()
+    assert not default.is_anomalie_montant and not default.is_anomalie_frequence
+    assert tuned.is_anomalie_montant and tuned.is_anomalie_frequence
