@@ -31,9 +31,9 @@ def transaction_features(stg_tx: DataFrame, p: Params) -> DataFrame:
                          "timestamp_transaction", "montant_eur", "type_transaction_std", "canal_std",
                          "categorie_std", "pays_beneficiaire", "is_international", "is_nocturne",
                          "is_weekend", "plage_horaire")
-    win = client_windows(base, p)
     cs = agg.client_stats_30d(stg_tx, p)
-    j = win.join(cs, "client_id", "left")
+    # the per-client stats are joined inside each window branch (see client_windows)
+    j = client_windows(base, p, per_branch=lambda w: w.join(cs, "client_id", "left"))
     m = F.col("montant_eur").cast("double")
     avg, std = F.col("avg_montant_30j"), F.col("std_montant_30j")
     out = j.select(

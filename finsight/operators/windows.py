@@ -13,6 +13,8 @@ Hot-key path (keys above the threshold of ``finsight.plans.skew``):
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,15 +89,22 @@ def _hot(df: DataFrame, n_rows: int | None) -> DataFrame:
     return x.drop("__k", "__pays")
 
 
-def client_windows(df: DataFrame, p: Params) -> DataFrame:
-    """Adds OUT columns to ``df`` (one row per transaction)."""
+def client_windows(df: DataFrame, p: Params,
+                   per_branch: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Adds OUT columns to ``df`` (one row per transaction).
+
+    ``per_branch`` is applied to the cold and the hot result *before* they are unioned: a join on
+    ``client_id`` there reuses the cold branch's ``client_id`` partitioning, whereas after the
+    union the partitioning is lost and every row would be shuffled again."""
     threshold = skew.hot_threshold(df.sparkSession, p.hot_key_rows)
     cold, hot, n_hot = skew.split_hot(df, [K], threshold)
+    step = per_branch or (lambda x: x)
     parts = []
     if cold is not None:
-        parts.append(_plain(cold))
+        parts.append(step(_plain(cold)))
     if hot is not None:
-        parts.append(_hot(hot, n_hot).select(*parts[0].columns) if parts else _hot(hot, n_hot))
+        h = step(_hot(hot, n_hot))
+        parts.append(h.select(*parts[0].columns) if parts else h)
     out = parts[0]
     for other in parts[1:]:
         out = out.unionByName(other)

@@ -82,3 +82,26 @@ def test_all_hot_when_too_many_keys(spark):
     finally:
         skew.MAX_HOT_KEYS = old
     assert got == _collect(windows.client_windows(df, Params(hot_key_rows=10**9)))
+
+
+def test_transaction_features_equal_on_both_paths(spark):
+    from finsight import schemas
+    from finsight.operators import features, staging
+    rnd = random.Random(5)
+    base = dt.datetime(2024, 1, 20)
+    rows = []
+    for i in range(1500):
+        client = "HOT" if i % 3 else f"C{i % 25}"
+        ts = base + dt.timedelta(seconds=rnd.randint(0, 86400 * 30))
+        rows.append((f"T{i:05d}", client, ts.date(), ts.strftime("%H:%M:%S"), Decimal(str(rnd.randint(1, 900))),
+                     "EUR", "Carte", "Web", "x", rnd.choice(["France", "Italie", None]), "ok",
+                     dt.datetime(2024, 2, 15, 2)))
+    tx = staging.stg_transactions(spark.createDataFrame(rows, schemas.TRANSACTIONS), Params())
+
+    def run(p):
+        cols = ["transaction_id", "z_score_montant", "ratio_vs_moyenne_client", "nb_transactions_client_jour",
+                "delai_depuis_derniere_sec", "is_pays_inhabituel", "percentile_montant_client", "avg_montant_30j"]
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r)
+                      for r in features.transaction_features(tx, p).select(*cols).collect())
+
+    assert run(Params(hot_key_rows=10**9)) == run(Params(hot_key_rows=100))
