@@ -15,6 +15,8 @@ while all other keys keep the single-shuffle window plan.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,8 +60,10 @@ def split_hot(df: DataFrame, keys: list[str], threshold: int):
         return df, None, 0
     if isinstance(hk, str):  # too many hot keys to list: every row takes the range path
         return None, df, df.count()
-    b = F.broadcast(hk)  # bounded by MAX_HOT_KEYS rows
-    return df.join(b, keys, "left_anti"), df.join(b, keys, "left_semi"), n_hot
+    b = F.broadcast(hk.select(*[F.col(k).alias(f"__hk_{k}") for k in keys]))  # <= MAX_HOT_KEYS rows
+    # null-safe: a NULL key with many rows is hot too
+    on = reduce(lambda a, c: a & c, [F.col(k).eqNullSafe(F.col(f"__hk_{k}")) for k in keys])
+    return df.join(b, on, "left_anti"), df.join(b, on, "left_semi"), n_hot
 
 
 def range_partitions(spark: SparkSession, rows: int | None) -> int:

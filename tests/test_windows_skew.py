@@ -102,3 +102,10 @@ def test_transaction_features_equal_on_both_paths(spark):
                       for r in features.transaction_features(tx, p).select(*cols).collect())
 
     assert run(Params(hot_key_rows=10**9)) == run(Params(hot_key_rows=100))
+
+
+def test_null_key_can_be_hot(spark):
+    from finsight.plans import skew
+    df = spark.createDataFrame([(None, i) for i in range(50)] + [("a", 1)], "k string, v int")
+    cold, hot, n = skew.split_hot(df, ["k"], 10)
+    assert n == 50 and hot.count() == 50 and cold.count() == 1
