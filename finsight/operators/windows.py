@@ -33,6 +33,18 @@ OUT = ["nb_transactions_client_jour", "delai_depuis_derniere_sec", "percentile_m
        "nb_trans_pays"]
 
 
+def _ns_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """LEFT join on ``keys`` with NULL-safe equality (a NULL client or day is a group of its own,
+    as in the window form)."""
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    on = None
+    for k in keys:
+        term = F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+        on = term if on is None else on & term
+    return left.join(r, on, "left").drop(*[f"__r_{k}" for k in keys])
+
+
 def _plain(df: DataFrame) -> DataFrame:
     by_client_ts = Window.partitionBy(K).orderBy(F.col(TS).asc_nulls_last(), F.col(ID))
     by_client_amt = Window.partitionBy(K).orderBy(F.col(AMT))
@@ -54,7 +66,7 @@ def _ranged_lag(r: DataFrame) -> DataFrame:
                                     .alias("__last"))
     carry = last.withColumn("__carry", F.lag("__last").over(Window.partitionBy(K).orderBy("__p1"))) \
                 .select(K, "__p1", "__carry")
-    j = local.join(carry, [K, "__p1"], "left")
+    j = _ns_join(local, carry, [K, "__p1"])
     prev = F.when(F.col("__rn") == 1, F.col("__carry")).otherwise(F.col("__prev"))
     return j.withColumn("delai_depuis_derniere_sec", seconds_between(prev, F.col(TS))) \
             .drop("__prev", "__rn", "__carry", "__p1")
@@ -68,7 +80,7 @@ def _ranged_percent_rank(df: DataFrame, n: int) -> DataFrame:
     before = Window.partitionBy(K).orderBy("__p2").rowsBetween(Window.unboundedPreceding, -1)
     offs = sizes.select(K, "__p2", F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"),
                         F.sum("__cnt").over(Window.partitionBy(K)).alias("__tot"))
-    j = local.join(offs, [K, "__p2"], "left")
+    j = _ns_join(local, offs, [K, "__p2"])
     rank = F.col("__rk") + F.col("__off")
     pr = F.when(F.col("__tot") <= 1, F.lit(0.0)).otherwise(
         (rank - 1).cast("double") / (F.col("__tot") - 1).cast("double"))
@@ -82,11 +94,8 @@ def _hot(df: DataFrame, n_rows: int | None) -> DataFrame:
     day = r.groupBy(K, DAY).agg(F.count(F.lit(1)).alias("nb_transactions_client_jour"))
     pays = r.groupBy(K, PAYS).agg(F.count(F.lit(1)).alias("nb_trans_pays"))
     x = _ranged_percent_rank(_ranged_lag(r), n)
-    x = x.join(day, [K, DAY], "left")
-    # null-safe equality: a NULL country is one group, as in the window form
-    p2 = pays.select(F.col(K).alias("__k"), F.col(PAYS).alias("__pays"), "nb_trans_pays")
-    x = x.join(p2, (F.col(K) == F.col("__k")) & F.col(PAYS).eqNullSafe(F.col("__pays")), "left")
-    return x.drop("__k", "__pays")
+    x = _ns_join(x, day, [K, DAY])
+    return _ns_join(x, pays, [K, PAYS])  # a NULL country is one group, as in the window form
 
 
 def client_windows(df: DataFrame, p: Params,

@@ -5,6 +5,8 @@ import datetime as dt
 import random
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from finsight.operators import windows
 from finsight.params import Params
 
@@ -109,3 +111,11 @@ def test_null_key_can_be_hot(spark):
     df = spark.createDataFrame([(None, i) for i in range(50)] + [("a", 1)], "k string, v int")
     cold, hot, n = skew.split_hot(df, ["k"], 10)
     assert n == 50 and hot.count() == 50 and cold.count() == 1
+
+
+def test_hot_null_client_matches_plain_path(spark):
+    df = _skewed(spark).withColumn("client_id", F.when(F.col("client_id") == "HOT", F.lit(None))
+                                   .otherwise(F.col("client_id")))
+    plain = _collect(windows.client_windows(df, Params(hot_key_rows=10**9)))
+    hot = _collect(windows.client_windows(df, Params(hot_key_rows=500)))
+    assert plain == hot
