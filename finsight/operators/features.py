@@ -60,7 +60,9 @@ def client_activity(stg_cl: DataFrame, stg_tx: DataFrame, stg_ct: DataFrame, stg
     t = agg.trans_activity(stg_tx, p)
     cp = agg.contrats_portfolio(stg_ct, p)
     s = agg.sinistres_history(stg_si, p)
-    c = stg_cl.select("client_key", "client_id", "segment_client", "age", "anciennete_mois")
+    # keys are derived from the ids after the joins: md5 runs once per output row, after the
+    # shuffle, and the shuffled rows stay narrow
+    c = stg_cl.select("client_id", "segment_client", "age", "anciennete_mois")
     j = c.join(t, "client_id", "left").join(cp, "client_id", "left").join(s, "client_id", "left")
 
     def z(col: str):
@@ -71,7 +73,7 @@ def client_activity(stg_cl: DataFrame, stg_tx: DataFrame, stg_ct: DataFrame, stg
     n30, n90, nact = z("nb_transactions_30j"), z("nb_transactions_90j"), z("nb_contrats_actifs")
     web, mob, agc = F.col("nb_trans_web"), F.col("nb_trans_mobile"), F.col("nb_trans_agence")
     out = j.select(
-        "client_key", "client_id", "segment_client", "age",
+        surrogate_key("client_id").alias("client_key"), "client_id", "segment_client", "age",
         F.col("anciennete_mois").alias("anciennete_client_mois"),
         z("nb_transactions_total").alias("nb_transactions_total"),
         z("montant_total_transactions").alias("montant_total_transactions"),
@@ -109,7 +111,7 @@ def client_activity(stg_cl: DataFrame, stg_tx: DataFrame, stg_ct: DataFrame, stg
 def contrat_performance(stg_ct: DataFrame, stg_si: DataFrame, stg_pr: DataFrame, p: Params) -> DataFrame:
     s = agg.sinistres_agg(stg_si, p)
     pr = agg.primes_agg(stg_pr, p)
-    c = stg_ct.select("contrat_key", "contrat_id", "client_key", "client_id", "type_produit_std",
+    c = stg_ct.select("contrat_id", "client_id", "type_produit_std",
                       "categorie_produit", "date_souscription", "date_effet", "date_echeance",
                       "anciennete_mois", "prime_mensuelle", "capital_assure", "is_actif")
     j = c.join(s, "contrat_id", "left").join(pr, "contrat_id", "left")
@@ -129,7 +131,8 @@ def contrat_performance(stg_ct: DataFrame, stg_si: DataFrame, stg_pr: DataFrame,
         return F.when(paid > 0, ind * 100 < paid * t).otherwise(F.lit(0 < t))
 
     out = j.select(
-        "contrat_key", "contrat_id", "client_key", "client_id", "type_produit_std", "categorie_produit",
+        surrogate_key("contrat_id").alias("contrat_key"), "contrat_id",
+        surrogate_key("client_id").alias("client_key"), "client_id", "type_produit_std", "categorie_produit",
         "date_souscription", "date_effet", "date_echeance", "anciennete_mois", "prime_mensuelle",
         "capital_assure", "is_actif",
         F.coalesce(F.col("montant_total_primes"), F.lit(0)).alias("primes_collectees"),
