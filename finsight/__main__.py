@@ -137,12 +137,12 @@ def main(argv: list[str] | None = None) -> int:
     ld.add_argument("--root", required=True)
     ld.add_argument("--keep-time", action="store_true", help="keep the time of day in date columns")
     r = sub.add_parser("run")
-    r.add_argument("--root", required=True)
-    r.add_argument("--as-of")
-    r.add_argument("--layers", nargs="*")
+    r.add_argument("--root", required=True, help="warehouse root: reads <root>/raw, writes the layers under it")
+    r.add_argument("--as-of", help="as-of date YYYY-MM-DD (default 2024-02-15)")
+    r.add_argument("--layers", nargs="*", help="subset of: staging intermediate marts")
     r.add_argument("--select", nargs="*", help="tags a model must carry")
-    r.add_argument("--materialize-all", action="store_true")
-    r.add_argument("--no-tests", action="store_true")
+    r.add_argument("--materialize-all", action="store_true", help="write staging and intermediate too")
+    r.add_argument("--no-tests", action="store_true", help="skip the declared checks (no gate)")
     r.add_argument("--z-threshold", type=float, help="amount anomaly when |z| is above (default 3)")
     r.add_argument("--freq-threshold", type=int, help="frequency anomaly above this many per day (default 5)")
     r.add_argument("--fix-night", action="store_true", help="night = hour >= 22 or <= 6 (default: literal rule)")
