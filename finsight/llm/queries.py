@@ -4,10 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from finsight.llm import decontaminate, langid, toxicity
+from finsight.llm import (attention_lm, decontaminate, html_extract, langid, minhash, packing, quality_ratio, toxicity,
+                          url_filter, warc_revisit)
 from finsight.llm.common import table
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.report(table(spark, sf_dir, "pages"))
+
+
+def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_revisit.report(table(spark, sf_dir, "pages"))
+
+
+def op4_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_ratio.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.report(table(spark, sf_dir, "pages"))
+
+
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.report(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -20,4 +45,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op7_decontaminate, op8_language_id, op9_toxicity)}
+def op10_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_best_fit_packing, op2_html_extraction, op3_warc_revisits, op4_quality_ratio, op5_url_filter, op6_minhash,
+    op7_decontaminate, op8_language_id, op9_toxicity, op10_attention_lm)}
