@@ -14,7 +14,6 @@ training row every text does. Rows with a null language do not train. Repeated r
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,41 +26,107 @@ from finsight.llm.common import crc_mod, prepare, ship_by_value
 PROFILE = 300
 ORDERS = (1, 2, 3)
 UNKNOWN = "und"
-#: Distinct words held by a task at a time; beyond it counts are handed on, or the cache starts anew.
-HELD_WORDS = 200_000
+#: Distinct n-grams a task numbers at a time; beyond it counts are handed on and the numbering starts anew.
+HELD_GRAMS = 1_000_000
+LETTERS = 127
+CODES = (LETTERS + 1) ** 3
 
 
-def grams_of(token: str) -> list[str]:
-    """n-grams of the letter runs of a token (lower case)."""
+def grams_of(text: str) -> list[str]:
+    """n-grams of the letter runs of a lower-case text."""
     out = []
-    for run in "".join(c if c.isalpha() else " " for c in token).split():
+    for run in "".join(c if c.isalpha() else " " for c in text).split():
         padded = f" {run} "
         for n in ORDERS:
             out += [padded[i:i + n] for i in range(len(padded) - n + 1)]
     return [g for g in out if g != " "]
 
 
+class Grams:
+    """Numbers n-grams. The first ``LETTERS`` letters met are coded in arrays; texts with further letters go one by one."""
+
+    def __init__(self):
+        size = LETTERS + 1
+        self.codes = np.full(0x110000, 255, np.uint8)  # of characters: 0 no letter, 254 beyond, 255 not met yet
+        self.letters = [" "]
+        self.number_of: dict[str, int] = {}
+        self.names: list[str] = []
+        self.known = np.full(CODES + size * size + size, -1, np.int32)
+
+    def number(self, gram: str) -> int:
+        at = self.number_of.get(gram)
+        if at is None:
+            at = self.number_of[gram] = len(self.names)
+            self.names.append(gram)
+        return at
+
+    def name(self, code: int) -> str:
+        size, letters = LETTERS + 1, self.letters
+        if code < CODES:
+            return letters[code // size ** 2] + letters[code // size % size] + letters[code % size]
+        code -= CODES
+        if code < size * size:
+            return letters[code // size] + letters[code % size]
+        return letters[code - size * size]
+
+    def of(self, text: str) -> np.ndarray:
+        """Numbers of all n-grams of a text, repeated as they repeat."""
+        text = text.lower()
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        codes = self.codes[points]
+        if (codes >= 254).any():
+            for point in np.unique(points[codes == 255]).tolist():
+                if not chr(point).isalpha():
+                    self.codes[point] = 0
+                elif len(self.letters) <= LETTERS:
+                    self.codes[point] = len(self.letters)
+                    self.letters.append(chr(point))
+                else:
+                    self.codes[point] = 254
+            codes = self.codes[points]
+            if (codes == 254).any():
+                return np.array([self.number(g) for g in grams_of(text)], np.int64)
+        size = LETTERS + 1
+        c = np.zeros(len(codes) + 2, np.int32)
+        c[1:-1] = codes
+        pair = c[:-1] * size + c[1:]
+        inner = np.flatnonzero(codes)
+        found = np.concatenate([CODES + size * size + c[inner + 1], CODES + pair[pair > 0],
+                                pair[inner] * size + c[inner + 2]])
+        numbers = self.known[found]
+        if (numbers < 0).any():
+            for code in np.unique(found[numbers < 0]).tolist():
+                self.known[code] = self.number(self.name(code))
+            numbers = self.known[found]
+        return numbers
+
+
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[str, Counter] = {}
+    grams, held = Grams(), {}
 
     def drained() -> pa.RecordBatch:
-        rows: list[tuple[str, str, int]] = []
-        for lang, words in held.items():
-            grams: dict[str, int] = {}
-            for word, k in words.items():
-                for g in grams_of(word):
-                    grams[g] = grams.get(g, 0) + k
-            rows += [(lang, g, k) for g, k in grams.items()]
+        cols: tuple[list, list, list] = ([], [], [])
+        for lang, counts in held.items():
+            found = np.flatnonzero(counts)
+            cols[0].extend([lang] * len(found))
+            cols[1].extend(grams.names[i] for i in found)
+            cols[2].extend(counts[found].tolist())
         held.clear()
-        cols = list(zip(*rows, strict=True)) or [(), (), ()]
         return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()),
                                            pa.array(cols[2], pa.int64())], ["lang", "gram", "n"])
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            held.setdefault(lang, Counter()).update(text.lower().split())
-            if sum(map(len, held.values())) > HELD_WORDS:
+            new = np.bincount(grams.of(text))
+            old = held.get(lang)
+            if old is None or len(old) < len(new):
+                new[:0 if old is None else len(old)] += 0 if old is None else old
+                held[lang] = new
+            else:
+                old[:len(new)] += new
+            if len(held) * len(grams.names) > 8 * HELD_GRAMS or len(grams.names) > HELD_GRAMS:
                 yield drained()
+                grams = Grams()
     yield drained()
 
 
@@ -87,42 +152,36 @@ class Identifier:
 
     def __init__(self, profiles: dict[str, list[str]], length: int):
         self.langs, self.length = sorted(profiles), length
-        self.base = sorted({g for p in profiles.values() for g in p})
-        index = {g: i for i, g in enumerate(self.base)}
-        self.ranks = np.full((len(self.langs), len(self.base) + 1), -1, np.int64)  # last column: not in any profile
+        self.places: dict[str, np.ndarray] = {}  # rank of an n-gram in each profile; the length where it has none
         for k, lang in enumerate(self.langs):
             for at, g in enumerate(profiles[lang]):
-                self.ranks[k, index[g]] = at
+                self.places.setdefault(g, np.full(len(self.langs), length))[k] = at
         self.restart()
 
     def restart(self) -> None:
-        self.index = {g: i for i, g in enumerate(self.base)}
-        self.cache: dict[str, np.ndarray] = {}
-
-    def codes(self, word: str) -> np.ndarray:
-        index = self.index
-        out = np.array([index.setdefault(g, len(index)) for g in grams_of(word)], np.int64)
-        self.cache[word] = out
-        return out
+        self.grams = Grams()
+        self.ranks = np.zeros((0, len(self.langs)), np.int64)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not self.langs:
             return UNKNOWN, 0.0
-        if len(self.cache) > HELD_WORDS or len(self.index) > len(self.base) + 4 * HELD_WORDS:
+        if len(self.grams.names) > HELD_GRAMS:
             self.restart()
-        words, cache = Counter(text.lower().split()), self.cache
-        codes = [cache[w] if w in cache else self.codes(w) for w in words]
-        if not any(map(len, codes)):
-            return UNKNOWN, 0.0
-        times = np.repeat(np.fromiter(words.values(), float, len(words)), list(map(len, codes)))
-        counts = np.bincount(np.concatenate(codes), times)
+        counts = np.bincount(self.grams.of(text))
         found = np.flatnonzero(counts)
+        if not len(found):
+            return UNKNOWN, 0.0
+        if len(self.ranks) < len(self.grams.names):
+            none = np.full(len(self.langs), self.length)
+            more = [self.places.get(g, none) for g in self.grams.names[len(self.ranks):]]
+            self.ranks = np.concatenate([self.ranks, np.array(more, np.int64)])
         counts = counts[found]
         ordered = np.sort(counts)
         rank = len(ordered) - np.searchsorted(ordered, counts, "right")
-        found, rank = found[rank < self.length], rank[rank < self.length]
-        theirs = self.ranks[:, np.minimum(found, len(self.base))]
-        away = np.where(theirs < 0, self.length, np.abs(theirs - rank)).sum(1)
+        top = rank < self.length
+        found, rank = found[top], rank[top]
+        theirs = self.ranks[found]
+        away = np.where(theirs == self.length, self.length, np.abs(theirs - rank[:, None])).sum(0)
         best = int(away.argmin())
         return self.langs[best], float(1 - away[best] / (self.length * len(found)))
 
