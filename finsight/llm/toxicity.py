@@ -17,7 +17,6 @@ and trains with each of its rows. The hash order makes the sample, and with a fi
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,25 +28,65 @@ from finsight.llm.common import crc_mod, prepare, ship_by_value
 
 BUCKETS = 1 << 16
 DIM = 8
-SPAN = 24
+SPAN = 6
 SAMPLE = 2500
 THRESHOLD = 0.7
-HELD_WORDS = 200_000
-
-
-def plain(word: str) -> str:
-    return "".join(c for c in word if c.isalnum())
-
-
-def subwords(word: str) -> list[int]:
-    """Embedding rows of a plain lower-case word."""
-    marked = f"<{word}>"
-    parts = [marked[i:i + n] for n in (3, 4, 5) for i in range(len(marked) - n + 1)]
-    return [zlib.crc32(p.encode()) % BUCKETS for p in [*parts, f"={marked}"]]
+_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+
+
+_KINDS: list[np.ndarray] = []
+
+
+def kinds() -> np.ndarray:
+    """Of each character: 2 letter or digit, 1 white space, 0 anything else (dropped)."""
+    if not _KINDS:
+        _KINDS.append(np.array([2 * chr(i).isalnum() or int(chr(i).isspace()) for i in range(0x110000)], np.uint8))
+    return _KINDS[0]
+
+
+def subwords(text: str) -> tuple[np.ndarray, np.ndarray, int]:
+    """Embedding rows of all subwords of a text, the word that each belongs to, and the number of words.
+
+    Words are lower-case and keep letters and digits only; the rows come from polynomial hashes of their characters."""
+    points = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32)
+    kind = kinds()[points]
+    points, kind = points[kind > 0], kind[kind > 0]
+    letter = kind == 2
+    starts = letter & ~np.concatenate([[False], letter[:-1]])
+    count = int(starts.sum())
+    if not count:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+    word = (np.cumsum(starts) - 1)[letter]
+    sizes = np.bincount(word, minlength=count) + 2  # with a mark on either side
+    owner = np.repeat(np.arange(count), sizes)
+    marked = np.full(len(owner), 1, np.uint64)
+    first = np.cumsum(sizes) - sizes
+    marked[first] = 2
+    marked[np.arange(len(word)) + 2 * word + 1] = points[letter]
+    rows, owners = [], []
+    with np.errstate(over="ignore"):
+        powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(int(sizes.max()), _MULTIPLIER)]), dtype=np.uint64)
+        codes = np.add.reduceat(marked * powers[np.arange(len(owner)) - np.repeat(first, sizes)], first)
+        rows.append(_bucket(codes))
+        owners.append(np.arange(count))
+        for n in (3, 4, 5):
+            if len(marked) >= n:
+                inside = np.flatnonzero(owner[n - 1:] == owner[:len(owner) - n + 1])
+                codes = np.full(len(inside), n, np.uint64)
+                for k in range(n):
+                    codes = codes * _MULTIPLIER + marked[inside + k]
+                rows.append(_bucket(codes))
+                owners.append(owner[inside])
+    return np.concatenate(rows), np.concatenate(owners), count
+
+
+def _bucket(codes: np.ndarray) -> np.ndarray:
+    codes = (codes ^ (codes >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return (codes >> np.uint64(48)).astype(np.int64) % BUCKETS
 
 
 def tokens(text: str | None) -> list[str]:
-    return [w for w in map(plain, text.lower().split()) if w] if text else []
+    return [w for w in ("".join(c for c in x if c.isalnum()) for x in text.lower().split()) if w] if text else []
 
 
 class Bags:
@@ -56,10 +95,11 @@ class Bags:
     def __init__(self, texts: list[list[str]]):
         index: dict[str, int] = {}
         self.docs = [np.array([index.setdefault(w, len(index)) for w in words], np.int64) for words in texts]
-        rows = [subwords(w) for w in index]
-        self.sizes = np.array([len(r) for r in rows], np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(np.int64)
-        self.flat = np.array([x for r in rows for x in r], np.int64)
+        rows, owner, count = subwords(" ".join(index))
+        assert count == len(index)
+        self.flat = rows[np.argsort(owner, kind="stable")]
+        self.sizes = np.bincount(owner, minlength=count)
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
     def words(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Subword ids of the given words, and the position in ``which`` that each belongs to."""
@@ -91,7 +131,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0] / scale), float(w[1] - w[0] * mean / scale)
 
 
-def train(texts: list[str], labels: list[int], seed: int = 7, rounds: int = 5) -> dict | None:
+def train(texts: list[str], labels: list[int], seed: int = 7, rounds: int = 10, least_steps: int = 60) -> dict | None:
     """Model of subword scores; None without texts of both classes."""
     held = [(tokens(t), int(y)) for t, y in zip(texts, labels, strict=True)]
     held = [(w, y) for w, y in held if w]
@@ -123,9 +163,10 @@ def train(texts: list[str], labels: list[int], seed: int = 7, rounds: int = 5) -
             if turn:
                 cuts = [highest(scores[words])[1], *cuts[: 1 - y[d]]]  # the run that speaks for the document
             else:
-                cuts = list(range(0, max(1, len(words) - SPAN // 2), SPAN))[:40] if y[d] else cuts
+                cuts = rng.permutation(range(0, len(words), SPAN))[:20].tolist() if y[d] else cuts
             runs += [(words[c:c + SPAN], int(y[d])) for c in cuts]
-        order = rng.permutation(len(runs))
+        # a few rows are gone through several times, so that they too get enough steps
+        order = np.concatenate([rng.permutation(len(runs)) for _ in range(max(1, least_steps * 64 // len(runs)))])
         rate = 0.5 / (1 + turn / 2)
         for at in range(0, len(order), 64):
             part = [runs[i] for i in order[at:at + 64]]
@@ -159,28 +200,16 @@ def train(texts: list[str], labels: list[int], seed: int = 7, rounds: int = 5) -
     return {"gap": (table @ (out[:, 1] - out[:, 0])).astype(np.float32), "slope": slope, "offset": offset}
 
 
-class Scorer:
-    def __init__(self, model: dict | None):
-        self.model, self.cache = model, {}
-
-    def word(self, raw: str) -> float | None:
-        word = plain(raw)
-        out = float(self.model["gap"][subwords(word)].mean()) if word else None
-        self.cache[raw] = out
-        return out
-
-    def score(self, text: str | None) -> float:
-        if self.model is None or not text:
-            return 0.0
-        if len(self.cache) > HELD_WORDS:
-            self.cache = {}
-        cache = self.cache
-        values = [cache[w] if w in cache else self.word(w) for w in text.lower().split()]
-        found = np.array([v for v in values if v is not None])
-        if not len(found):
-            return 0.0
-        at = self.model["slope"] * highest(found)[0] + self.model["offset"]
-        return float(1 / (1 + np.exp(-np.clip(at, -30, 30))))
+def score(text: str | None, model: dict | None) -> float:
+    """Probability that the most toxic run of words of a text is toxic."""
+    if model is None or not text:
+        return 0.0
+    rows, owner, count = subwords(text)
+    if not count:
+        return 0.0
+    words = np.bincount(owner, model["gap"][rows], count) / np.bincount(owner, minlength=count)
+    at = model["slope"] * highest(words)[0] + model["offset"]
+    return float(1 / (1 + np.exp(-np.clip(at, -30, 30))))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", label_col: str = "toxic",
@@ -203,9 +232,8 @@ def toxic_score(text: Column, model: dict | None) -> Column:
 
     @F.arrow_udf("double")
     def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        scorer = Scorer(model)
         for texts in batches:
-            yield pa.array([scorer.score(t) for t in texts.to_pylist()], pa.float64())
+            yield pa.array([score(t, model) for t in texts.to_pylist()], pa.float64())
 
     return judge(text)
 
