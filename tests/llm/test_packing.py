@@ -1,0 +1,73 @@
+from collections import defaultdict
+
+from llm_util import generator, make_docs, sentence
+
+from finsight.llm import packing as op
+
+
+def brute_block(pieces, capacity):
+    """Tightest compatible bin by looking at every bin."""
+    bins, out = [], []
+    for size, source, cluster in pieces:
+        fits = [(capacity - b["used"], k) for k, b in enumerate(bins) if b["used"] + size <= capacity
+                and (source is None or source not in b["s"]) and (cluster is None or cluster not in b["c"])]
+        k = min(fits)[1] if fits else len(bins)
+        if not fits:
+            bins.append({"used": 0, "s": set(), "c": set()})
+        out.append((k, bins[k]["used"]))
+        bins[k]["used"] += size
+        bins[k]["s"].add(source)
+        bins[k]["c"].add(cluster)
+    return out
+
+
+def test_block_matches_brute_force():
+    rng = generator()
+    for _ in range(30):
+        pieces = sorted(((rng.randint(1, 50), rng.choice([None, "a", "a", "a", *"bcdefgh"]), rng.choice([None, *range(40)]))
+                         for _ in range(200)), key=lambda p: -p[0])
+        assert op.pack_block(pieces, 50) == brute_block(pieces, 50)
+
+
+def corpus(rng):
+    docs = [(i, sentence(rng, rng.randint(0, 120)), "en", "hot" if i % 3 == 0 else f"s{i % 11}") for i in range(300)]
+    docs += [(1000, None, "en", "x"), (1001, "", "en", None), (None, "a b c", None, None), (None, "a b c", None, None),
+             (1002, sentence(rng, 5000), "en", "y"), (1003, docs[5][1], "en", "z"), (1003, docs[5][1].upper(), "en", "z")]
+    return docs
+
+
+def test_every_token_once_and_no_conflict(spark):
+    docs = corpus(generator())
+    for block in (10 ** 6, 40):
+        rows = op.pack(make_docs(spark, docs), capacity=128, block=block).collect()
+        want = defaultdict(int)
+        for d in docs:
+            want[d[0]] += len((d[1] or "").split()) + 1
+        got, bins = defaultdict(int), defaultdict(list)
+        for r in rows:
+            got[r.doc_id] += r.n_tokens
+            bins[r.bin_id].append(r)
+            assert r.first_token == r.piece * 128
+        assert got == want
+        for held in bins.values():
+            held.sort(key=lambda r: r.bin_offset)
+            assert all(a.bin_offset + a.n_tokens == b.bin_offset for a, b in zip(held, held[1:]))
+            assert held[0].bin_offset == 0 and sum(r.n_tokens for r in held) <= 128
+            sources = [r.source for r in held if r.source is not None]
+            assert len(sources) == len(set(sources))
+            ids = [r.doc_id for r in held if r.doc_id is not None]
+            assert len(ids) == len(set(ids)) and not {5, 1003} <= set(ids)  # the same words: one cluster
+
+
+def test_whole_block_is_best_fit(spark):
+    rng = generator()
+    docs = [(i, sentence(rng, rng.randint(1, 60)), "en", f"s{rng.randrange(6)}") for i in range(200)]
+    rows = op.pack(make_docs(spark, docs), capacity=64, block=10 ** 6).collect()
+    placed = {r.doc_id: (r.bin_id, r.bin_offset) for r in rows}
+    order = sorted(docs, key=lambda d: (-len(d[1].split()) - 1, str(d[0])))
+    want = brute_block([(len(d[1].split()) + 1, d[3], d[1]) for d in order], 64)
+    assert [placed[d[0]] for d in order] == want
+
+
+def test_empty_table(spark):
+    assert op.pack(make_docs(spark, [])).count() == 0
