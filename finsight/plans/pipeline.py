@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,12 +115,12 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], p: Params, root
     log: list[StepResult] = []
     root = root.rstrip("/")
     def ensure(name: str) -> DataFrame:
-        """An upstream relation that was not selected resolves to the table an earlier run wrote
-        under ``root`` (like a reference to an existing relation); otherwise it is built on demand
-        as a lazy view."""
+        """An upstream relation that was not selected resolves to the table an earlier run with the
+        same parameters wrote under ``root`` (like a reference to an existing relation); otherwise,
+        and for a table of another as-of date or other parameters, it is built on demand as a lazy view."""
         if name not in rel:
             up = REGISTRY[name]
-            stored = _read_stored(spark, f"{root}/{up.layer}/{name}") if reuse_materialized else None
+            stored = _read_stored(spark, root, up, p) if reuse_materialized else None
             if stored is not None:
                 rel[name] = stored
                 log.append(StepResult("read", name, "ok", "stored table"))
@@ -132,12 +133,7 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], p: Params, root
         for m in select(layer, tags):
             df = m.build(*[ensure(d) for d in m.deps], p)
             if m.materialized == "table" or materialize_all:
-                path = f"{root}/{layer}/{m.name}"
-                w = df.write.mode("overwrite")
-                if m.partition_by:  # the largest mart: one directory per detection date
-                    w = w.partitionBy(*m.partition_by)
-                w.parquet(path)
-                df = spark.read.parquet(path).select(*df.columns)
+                df = _store(spark, df, root, m, p)
             rel[m.name] = df
             log.append(StepResult("run", m.name, "ok", "table" if materialize_all else m.materialized))
         if run_tests:
@@ -150,11 +146,39 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], p: Params, root
     return rel, log
 
 
-def _read_stored(spark: SparkSession, path: str) -> DataFrame | None:
+def run_key(p: Params) -> str:
+    """What a stored table depends on besides the raw rows: the as-of date and every parameter."""
+    return repr(p)
+
+
+def _marker(root: str, m: Model) -> str:
+    return f"{root}/_runs/{m.layer}/{m.name}"
+
+
+def _store(spark: SparkSession, df: DataFrame, root: str, m: Model, p: Params) -> DataFrame:
+    """Write a model's table; its marker names the run that wrote it and is blank while it is written."""
+    path = f"{root}/{m.layer}/{m.name}"
+    mark = lambda key: spark.range(1).select(F.lit(key).alias("run_key")).write.mode("overwrite") \
+        .parquet(_marker(root, m))
+    mark("")
+    w = df.hint("rebalance", *m.partition_by) if m.partition_by else df
+    w = w.write.mode("overwrite")
+    if m.partition_by:  # the largest mart: one directory per detection date
+        w = w.partitionBy(*m.partition_by)
+    w.parquet(path)
+    mark(run_key(p))
+    return spark.read.parquet(path).select(*df.columns)
+
+
+def _read_stored(spark: SparkSession, root: str, m: Model, p: Params) -> DataFrame | None:
+    """The stored table of a model if a run with the same parameters wrote it, else None."""
     try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no table written there yet
+        keys = {r["run_key"] for r in spark.read.parquet(_marker(root, m)).collect()}  # one row
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
+    return spark.read.parquet(f"{root}/{m.layer}/{m.name}") if keys == {run_key(p)} else None
 
 
 def _test(spark: SparkSession, checks, rel, root: str, log: list[StepResult]) -> bool:

@@ -63,3 +63,17 @@ def test_layer_by_layer_runs_reuse_stored_tables(spark, scratch_dir):
     reads = {s.name for s in log2 if s.step == "read"}
     assert {"stg_clients", "stg_transactions", "stg_contrats", "stg_sinistres", "stg_primes"} == reads
     assert rel["int_client_activity"].count() == m.client_activity().count()
+
+
+def test_stored_tables_of_another_date_are_not_reused(spark, scratch_dir):
+    import datetime as dt
+
+    from finsight import testing
+    early, late = Params(), Params(as_of=dt.date(2024, 8, 15))
+    m = Models(spark, SF_SMOKE, late)
+    pipeline.run_pipeline(spark, Models(spark, SF_SMOKE).raw, early, scratch_dir, layers=["staging", "intermediate"],
+                          run_tests=False, materialize_all=True)
+    rel, log = pipeline.run_pipeline(spark, m.raw, late, scratch_dir, layers=["marts"], tags={"churn"}, run_tests=False)
+    assert not [s for s in log if s.step == "read"]
+    fresh = testing.fingerprint(*testing.spark_rows(m.churn()))
+    assert testing.fingerprint(*testing.spark_rows(rel["fct_churn_predictions"])) == fresh
