@@ -126,39 +126,77 @@ def range_ok(c: Column, check: Check) -> Column:
     return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
 
 
+def row_fails(check: Check) -> Column:
+    """TRUE for a failing row of a row-local check (not_null, accepted_range)."""
+    c = F.col(check.column)
+    return c.isNull() if check.kind == "not_null" else ~range_ok(c, check)
+
+
+def _counted(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """(rule, failures): how many rows each condition holds for, all in one pass over ``df``."""
+    counts = df.agg(*[F.count_if(cond).alias(f"r{k}") for k, cond in enumerate(rules.values())])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(name).alias("rule"), F.col(f"r{k}").alias("failures"))
+                                            for k, name in enumerate(rules)])))
+
+
+def _distinct_bad_values(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """(rule, failures): distinct values outside the list of each accepted_values check, one pass over ``df``."""
+    bad = [F.when(~F.col(ch.column).isin(list(ch.values)),
+                  F.struct(F.lit(ch.test_id).alias("rule"), F.col(ch.column).cast("string").alias("v"))) for ch in checks]
+    return df.select(F.explode(F.array_compact(F.array(*bad))).alias("x")).select("x.rule", "x.v").distinct() \
+        .groupBy("rule").agg(F.count(F.lit(1)).alias("failures"))
+
+
 def summary(checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per check: (test_id, kind, model, column_name, failures)."""
-    parts = [failing_rows(ch, tables).agg(F.count(F.lit(1)).alias("failures"))
-             .select(F.lit(ch.test_id).alias("test_id"), F.lit(ch.kind).alias("kind"),
-                     F.lit(ch.model).alias("model"), F.lit(ch.column).alias("column_name"), "failures")
-             for ch in checks]
-    return reduce(DataFrame.unionByName, parts)
+    """One row per check: (test_id, kind, model, column_name, failures).
+
+    The row-local checks of a table share one pass, its accepted_values checks another; unique and
+    relationships checks need an exchange of their own."""
+    parts = []
+    for model in dict.fromkeys(ch.model for ch in checks):
+        own = [ch for ch in checks if ch.model == model]
+        local = {ch.test_id: row_fails(ch) for ch in own if ch.kind in ("not_null", "accepted_range")}
+        if local:
+            parts.append(_counted(tables[model], local))
+        listed = [ch for ch in own if ch.kind == "accepted_values"]
+        if listed:
+            parts.append(_distinct_bad_values(tables[model], listed))
+        parts += [failing_rows(ch, tables).agg(F.count(F.lit(1)).alias("failures"))
+                  .select(F.lit(ch.test_id).alias("rule"), "failures")
+                  for ch in own if ch.kind in ("unique", "relationships")]
+    counts = reduce(DataFrame.unionByName, parts)
+    declared = counts.sparkSession.range(1).select(F.inline(F.array(*[F.struct(
+        F.lit(ch.test_id).alias("test_id"), F.lit(ch.kind).alias("kind"), F.lit(ch.model).alias("model"),
+        F.lit(ch.column).alias("column_name")) for ch in checks])))
+    return declared.join(F.broadcast(counts), declared["test_id"] == counts["rule"], "left") \
+        .select("test_id", "kind", "model", "column_name", F.coalesce("failures", F.lit(0)).alias("failures"))
 
 
 # ---------------------------------------------------------------- J10 load-time constraints
 def constraint_violations(raw: dict[str, DataFrame]) -> DataFrame:
     """What the source DDL would reject at load: duplicate / NULL primary keys, orphan foreign
     keys, over-long strings and numbers overflowing their declared precision. One row per
-    (table, constraint, column) with its violation count."""
-    rows = []
+    (table, constraint, column) with its violation count; the row-local ones share one pass per table."""
+    parts = []
+    named = lambda d, t: d.select(
+        F.lit(t).alias("table_name"), F.split("rule", "\\|")[0].alias("constraint_name"),
+        F.split("rule", "\\|")[1].alias("column_name"), F.col("failures").alias("violations"))
     for table in schemas.LOAD_ORDER:
         df = raw[table]
         pk = schemas.PRIMARY_KEYS[table]
-        rows.append((table, "primary_key_unique", pk, failing_rows(Check("unique", table, pk), raw)))
-        rows.append((table, "primary_key_not_null", pk, failing_rows(Check("not_null", table, pk), raw)))
-        for col, parent, pcol in schemas.FOREIGN_KEYS.get(table, []):
-            rows.append((table, "foreign_key", col,
-                         failing_rows(Check("relationships", table, col, to_model=parent, to_column=pcol), raw)))
+        local = {f"primary_key_not_null|{pk}": F.col(pk).isNull()}
         for col, n in schemas.MAX_LENGTHS[table].items():
-            rows.append((table, f"max_length_{n}", col, df.filter(F.length(F.col(col)) > n)))
+            local[f"max_length_{n}|{col}"] = F.length(F.col(col)) > n
         for f in schemas.RAW_SCHEMAS[table].fields:
             if f.dataType.typeName() == "decimal":
                 bound = 10 ** (f.dataType.precision - f.dataType.scale)
-                rows.append((table, f"precision_{f.dataType.simpleString()}", f.name,
-                             df.filter(F.abs(F.col(f.name)) >= bound)))
-    parts = [d.agg(F.count(F.lit(1)).alias("violations"))
-             .select(F.lit(t).alias("table_name"), F.lit(k).alias("constraint_name"), F.lit(c).alias("column_name"),
-                     "violations") for t, k, c, d in rows]
+                local[f"precision_{f.dataType.simpleString()}|{f.name}"] = F.abs(F.col(f.name)) >= bound
+        parts.append(named(_counted(df, local), table))
+        spread = [(f"primary_key_unique|{pk}", Check("unique", table, pk))] + [
+            (f"foreign_key|{col}", Check("relationships", table, col, to_model=parent, to_column=pcol))
+            for col, parent, pcol in schemas.FOREIGN_KEYS.get(table, [])]
+        parts += [named(failing_rows(ch, raw).agg(F.count(F.lit(1)).alias("failures"))
+                        .select(F.lit(rule).alias("rule"), "failures"), table) for rule, ch in spread]
     return reduce(DataFrame.unionByName, parts)
 
 
