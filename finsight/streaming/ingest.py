@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from finsight import schemas
-from finsight.sources.csv_ingest import normalize
+from finsight.sources.csv_ingest import FREE_TEXT, QUOTING, normalize
 
 
 def string_schema(table: str) -> T.StructType:
@@ -24,7 +24,9 @@ def string_schema(table: str) -> T.StructType:
 def landed_csv_stream(spark: SparkSession, table: str, landing_dir: str, truncate_dates: bool = True,
                       max_files_per_trigger: int | None = None) -> DataFrame:
     reader = (spark.readStream.schema(string_schema(table)).option("header", "true")
-              .option("mode", "PERMISSIVE").option("nullValue", ""))
+              .options(**QUOTING).option("multiLine", str(table in FREE_TEXT).lower())
+              # a file whose header names other columns, or in another order, fails instead of being misread
+              .option("enforceSchema", "false").option("mode", "PERMISSIVE").option("nullValue", ""))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return normalize(reader.csv(landing_dir), schemas.RAW_SCHEMAS[table], truncate_dates)
@@ -35,6 +37,8 @@ def start_ingest(spark: SparkSession, table: str, landing_dir: str, target_dir:
     """Start one ``availableNow`` run; call ``.awaitTermination()`` on the result."""
     from finsight.sources.loader import PARTITION_BY
     stream = landed_csv_stream(spark, table, landing_dir, truncate_dates)
+    if table in PARTITION_BY:  # a day's rows meet in one task: one file per day and run, not one per task
+        stream = stream.repartition(PARTITION_BY[table])
     w = (stream.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True))

@@ -143,3 +143,68 @@ def test_missing_csv_columns_come_back_null(spark, scratch_dir):
     r = out.first()
     assert r.prime_mensuelle == Decimal("12.50") and r.date_effet == dt.date(2024, 1, 5)
     assert r.franchise is None and r.statut is None and r.loaded_at is None
+
+
+def test_quotes_line_breaks_and_backslashes(spark, scratch_dir):
+    import os
+
+    from finsight.sources import csv_ingest
+    text = 'client_id,nom,adresse\r\nC1,"A ""B"" C","1 rue X\nBat 2"\r\nC2,"D, E","C:\\"\r\nC3,F,\\\r\n'
+    path = os.path.join(scratch_dir, "clients.csv")
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        f.write(text)
+    rows = [tuple(r) for r in csv_ingest.read_csv_strings(spark, path).collect()]
+    assert rows == [("C1", 'A "B" C', "1 rue X\nBat 2"), ("C2", "D, E", "C:\\"), ("C3", "F", "\\")]
+    df = csv_ingest.read_csv_strings(spark, path)
+    csv_ingest.write_csv(df, os.path.join(scratch_dir, "again"))
+    again = csv_ingest.read_csv_strings(spark, os.path.join(scratch_dir, "again"))
+    assert sorted(map(tuple, again.collect())) == sorted(rows)
+
+
+def test_number_suffixes_and_hexadecimals_are_no_numbers(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from finsight.sources import csv_ingest
+    df = spark.createDataFrame([(x,) for x in ("12d", "12f", "0x1p3", "1e2", " 7.50 ", "-.5", "+3.", "nan")], "x string")
+    got = [r[0] for r in df.select(csv_ingest.parse_number(F.col("x"), T.DecimalType(10, 2))).collect()]
+    assert [None if v is None else float(v) for v in got] == [None, None, None, 100.0, 7.5, -0.5, 3.0, None]
+
+
+def test_stream_refuses_files_with_columns_in_another_order(spark, scratch_dir):
+    import os
+
+    import pytest
+
+    from finsight import schemas
+    from finsight.streaming.ingest import run_ingest
+    names = schemas.TRANSACTIONS.fieldNames()
+    swapped = [names[1], names[0], *names[2:]]
+    os.makedirs(os.path.join(scratch_dir, "landing"))
+    with open(os.path.join(scratch_dir, "landing", "a.csv"), "w", encoding="utf-8") as f:
+        f.write(",".join(swapped) + "\nCLI_1,TRX_1" + "," * (len(names) - 2) + "\n")
+    with pytest.raises(Exception, match="STREAM_FAILED|FAILED_READ_FILE|header"):
+        run_ingest(spark, "transactions", os.path.join(scratch_dir, "landing"), os.path.join(scratch_dir, "raw"),
+                   os.path.join(scratch_dir, "ckpt"))
+
+
+def test_child_whose_load_fails_is_left_empty(spark, scratch_dir):
+    import os
+
+    from finsight import schemas
+    from finsight.sources import csv_ingest, loader
+    root = os.path.join(scratch_dir, "raw")
+    paths = {}
+    for t in ("clients", "transactions"):
+        row = {c: None for c in schemas.RAW_SCHEMAS[t].fieldNames()} | {"client_id": "C1"}
+        if t == "transactions":
+            row |= {"transaction_id": "T1", "date_transaction": "2024-01-01", "montant": "5"}
+        df = spark.createDataFrame([tuple(row.values())], ", ".join(f"{c} string" for c in row))
+        paths[t] = os.path.join(scratch_dir, f"{t}.csv")
+        csv_ingest.write_csv(df, paths[t])
+    assert loader.all_loaded(loader.load_raw(spark, paths, root))
+    assert loader.read_table(spark, root, "transactions").count() == 1
+    paths["transactions"] = os.path.join(scratch_dir, "missing.csv")
+    status = {r.table: r.status for r in loader.load_raw(spark, paths, root)}
+    assert status == {"clients": "loaded", "transactions": "failed"}
+    assert loader.read_table(spark, root, "transactions").count() == 0
