@@ -6,9 +6,10 @@ hash exchange on ``client_id`` serves all four; the ordered ones only add local
 Hot-key path (keys above the threshold of ``finsight.plans.skew``):
 * the two whole-partition counts are hash aggregates (map-side combined) joined back on
   (client, date) / (client, country) — AQE's skew-join splits a hot join partition;
-* LAG and PERCENT_RANK run on range partitions of (client, order key): each range partition is
-  processed on its own (window over (client, partition id)), then a small per-(client,
-  partition) table carries the boundary information across partitions.
+* LAG runs on range partitions of (client, order key): each range partition is processed on its own
+  (window over (client, partition id)), then a small per-(client, partition) table carries the
+  boundary information across partitions;
+* PERCENT_RANK is computed over the (client, amount) counts in the same manner and joined back.
 """
 
 from __future__ import annotations
@@ -72,19 +73,23 @@ def _ranged_lag(r: DataFrame) -> DataFrame:
             .drop("__prev", "__rn", "__carry", "__p1")
 
 
-def _ranged_percent_rank(df: DataFrame, n: int) -> DataFrame:
-    # equal (client, amount) keys always land in the same range partition, so ties never span two
-    r = skew.ranged(df, [K, AMT], pid="__p2", partitions=n)
-    local = r.withColumn("__rk", F.rank().over(Window.partitionBy(K, "__p2").orderBy(F.col(AMT))))
-    sizes = r.groupBy(K, "__p2").agg(F.count(F.lit(1)).alias("__cnt"))
+def _percent_rank_by_counts(df: DataFrame, n: int) -> DataFrame:
+    """PERCENT_RANK from a (client, amount, rows) table: rows below / (rows - 1). Only that table is range
+    partitioned, so any number of rows with one amount costs one row there; the rows join it on
+    (client, amount), a join whose skewed partitions AQE splits."""
+    t = df.groupBy(K, AMT).agg(F.count(F.lit(1)).alias("__c"))
+    r = skew.ranged(t, [K, AMT], pid="__p2", partitions=n)
+    earlier = Window.partitionBy(K, "__p2").orderBy(F.col(AMT)).rowsBetween(Window.unboundedPreceding, -1)
+    local = r.withColumn("__in", F.coalesce(F.sum("__c").over(earlier), F.lit(0)))
+    sizes = r.groupBy(K, "__p2").agg(F.sum("__c").alias("__cnt"))
     before = Window.partitionBy(K).orderBy("__p2").rowsBetween(Window.unboundedPreceding, -1)
     offs = sizes.select(K, "__p2", F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"),
                         F.sum("__cnt").over(Window.partitionBy(K)).alias("__tot"))
-    j = _ns_join(local, offs, [K, "__p2"])
-    rank = F.col("__rk") + F.col("__off")
-    pr = F.when(F.col("__tot") <= 1, F.lit(0.0)).otherwise(
-        (rank - 1).cast("double") / (F.col("__tot") - 1).cast("double"))
-    return j.withColumn("percentile_montant_client", pr).drop("__rk", "__off", "__tot", "__p2")
+    below = F.col("__in") + F.col("__off")
+    ranks = _ns_join(local, offs, [K, "__p2"]).select(
+        K, AMT, F.when(F.col("__tot") <= 1, F.lit(0.0)).otherwise(
+            below.cast("double") / (F.col("__tot") - 1).cast("double")).alias("percentile_montant_client"))
+    return _ns_join(df, ranks, [K, AMT])
 
 
 def _hot(df: DataFrame, n_rows: int | None) -> DataFrame:
@@ -93,7 +98,7 @@ def _hot(df: DataFrame, n_rows: int | None) -> DataFrame:
     r = skew.ranged(df, [F.col(K), F.col(TS).asc_nulls_last(), F.col(ID)], pid="__p1", partitions=n)
     day = r.groupBy(K, DAY).agg(F.count(F.lit(1)).alias("nb_transactions_client_jour"))
     pays = r.groupBy(K, PAYS).agg(F.count(F.lit(1)).alias("nb_trans_pays"))
-    x = _ranged_percent_rank(_ranged_lag(r), n)
+    x = _percent_rank_by_counts(_ranged_lag(r), n)
     x = _ns_join(x, day, [K, DAY])
     return _ns_join(x, pays, [K, PAYS])  # a NULL country is one group, as in the window form
 

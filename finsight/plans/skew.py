@@ -5,9 +5,8 @@ every row of a key in one task. The helpers here route keys with more than ``thr
 ("hot" keys) to a range-partitioned plan whose tasks are bounded by the range-partition size,
 while all other keys keep the single-shuffle window plan.
 
-* ``hot_keys``: one partial-aggregated count per key; the hot list is bounded by
-  ``max_hot`` (beyond that, every key takes the range path - correct, just slower), so the
-  broadcast used to split the input has a proven size bound.
+* ``hot_keys``: one partial-aggregated count per key; the hot keys stay a (checkpointed) frame of any
+  length, and the input is split by joins with it, which Spark broadcasts when it is small.
 * ``ranged``: ``repartitionByRange`` on (key, order...) + partition id, then ``checkpoint()``
   into the shared checkpoint directory, so both branches that read the partition ids see
   the same assignment even if a stage is recomputed after an executor loss.
@@ -23,7 +22,6 @@ from pyspark.sql import functions as F
 from finsight.session import ensure_checkpoint_dir
 
 DEFAULT_HOT_KEY_ROWS = 5_000_000
-MAX_HOT_KEYS = 100_000
 CONF_HOT_KEY_ROWS = "finsight.hotKeyRows"
 DEFAULT_ROWS_PER_RANGE = 2_000_000
 CONF_ROWS_PER_RANGE = "finsight.rowsPerRange"
@@ -35,32 +33,22 @@ def hot_threshold(spark: SparkSession, override: int | None = None) -> int:
     return int(spark.conf.get(CONF_HOT_KEY_ROWS, str(DEFAULT_HOT_KEY_ROWS)))
 
 
-def hot_keys(df: DataFrame, keys: list[str], threshold: int, max_hot: int | None = None):
-    """(hot keys as a small DataFrame, total rows of those keys), or (None, 0) when no key has more
-    than ``threshold`` rows. When more than ``max_hot`` (default ``MAX_HOT_KEYS``) keys are hot,
-    returns ("ALL", 0): every key then takes the range path (correct, just without the cheap path
-    for cold keys)."""
-    max_hot = MAX_HOT_KEYS if max_hot is None else max_hot
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > threshold)
-    rows = counts.limit(max_hot + 1).collect()  # bounded: at most max_hot + 1 rows
-    if not rows:
-        return None, 0
-    if len(rows) > max_hot:
-        return "ALL", 0
-    spark = df.sparkSession
-    key_rows = [tuple(r[k] for k in keys) for r in rows]
-    return spark.createDataFrame(key_rows, schema=df.select(*keys).schema), sum(r["__n"] for r in rows)
+def hot_keys(df: DataFrame, keys: list[str], threshold: int):
+    """(hot keys as a DataFrame, total rows of those keys), or (None, 0) when no key has more than
+    ``threshold`` rows."""
+    ensure_checkpoint_dir(df.sparkSession)
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > threshold).checkpoint()
+    total = hot.agg(F.sum("__n").alias("n")).first()["n"]
+    return (hot.select(*keys), total) if total else (None, 0)
 
 
 def split_hot(df: DataFrame, keys: list[str], threshold: int):
-    """(cold rows, hot rows, hot row count); either frame may be None when empty. The hot row count
-    sizes the range partitioning of the hot path (None when unknown)."""
+    """(cold rows, hot rows, hot row count); the hot frame is None when no key is hot. The hot row count
+    sizes the range partitioning of the hot path."""
     hk, n_hot = hot_keys(df, keys, threshold)
     if hk is None:
         return df, None, 0
-    if isinstance(hk, str):  # too many hot keys to list: every row takes the range path
-        return None, df, df.count()
-    b = F.broadcast(hk.select(*[F.col(k).alias(f"__hk_{k}") for k in keys]))  # <= MAX_HOT_KEYS rows
+    b = hk.select(*[F.col(k).alias(f"__hk_{k}") for k in keys])
     # null-safe: a NULL key with many rows is hot too
     on = reduce(lambda a, c: a & c, [F.col(k).eqNullSafe(F.col(f"__hk_{k}")) for k in keys])
     return df.join(b, on, "left_anti"), df.join(b, on, "left_semi"), n_hot

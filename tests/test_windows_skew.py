@@ -69,18 +69,21 @@ def test_ranged_path_with_many_small_ranges(spark):
     assert plain == many
 
 
-def test_all_hot_when_too_many_keys(spark):
+def test_many_hot_keys_are_split_too(spark):
     from finsight.plans import skew
     df = _skewed(spark)
-    old = skew.MAX_HOT_KEYS
-    skew.MAX_HOT_KEYS = 3
-    try:
-        cold, hot, n = skew.split_hot(df, ["client_id"], 10)
-        assert cold is None and n == df.count()
-        got = _collect(windows.client_windows(df, Params(hot_key_rows=10)))
-    finally:
-        skew.MAX_HOT_KEYS = old
-    assert got == _collect(windows.client_windows(df, Params(hot_key_rows=10**9)))
+    cold, hot, n = skew.split_hot(df, ["client_id"], 10)
+    assert n == hot.count() and cold.count() + n == df.count()
+    assert _collect(windows.client_windows(df, Params(hot_key_rows=10))) == \
+        _collect(windows.client_windows(df, Params(hot_key_rows=10**9)))
+
+
+def test_one_client_with_one_amount(spark):
+    rows = [("HOT", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i), f"T{i:05d}", Decimal("9.99") if i else Decimal("1.00"),
+             dt.date(2024, 1, 1), "FRANCE") for i in range(2000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert _collect(windows.client_windows(df, Params(hot_key_rows=0))) == \
+        _collect(windows.client_windows(df, Params(hot_key_rows=10**9)))
 
 
 def test_transaction_features_equal_on_both_paths(spark):
