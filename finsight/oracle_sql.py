@@ -138,8 +138,7 @@ SELECT 'SIN_' || CAST(l_orderkey AS VARCHAR) || '_' || CAST(l_linenumber AS VARC
        CASE WHEN l_linenumber = 7 THEN 'Rejeté' ELSE 'Clos' END AS statut,
        CAST(5 + l_partkey % 60 AS INTEGER) AS delai_traitement_jours,
        {LOADED} AS loaded_at
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-WHERE l_returnflag = 'R' AND l_linestatus = 'F'""")
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 
 cte("schedule", f"""
 SELECT o_orderkey, contrat_id, prime_mensuelle,

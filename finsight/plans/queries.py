@@ -1,9 +1,7 @@
 """Query registry: key -> callable(spark, sf_dir) -> DataFrame, over the fixture-mapped tables.
 
-``Models`` builds the model DataFrames of one (session, input directory, params): plans that are
-pure functions of the inputs (raw, staging, client activity, contract performance, churn) are
-shared per session; the transaction-feature chain, whose plan follows the hot-key detection of
-the window path, is built per query.
+``Models`` builds the model DataFrames of one (session, input directory, params), each once per query, so
+that a mart and its upstream share one logical plan and every query lists its input files anew.
 """
 
 from __future__ import annotations
@@ -20,7 +18,7 @@ from finsight.operators import aggregates as agg
 from finsight.operators import features, monitoring, quality, staging, windows
 from finsight.params import Params
 from finsight.plans import marts
-from finsight.session import ensure_checkpoint_dir, session_id
+from finsight.session import ensure_checkpoint_dir
 from finsight.sources import csv_ingest, fixtures, schedule
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,51 +48,42 @@ def keyed(df: DataFrame, id_col: str, key_col: str) -> DataFrame:
     return published(agg.with_key(df, id_col, key_col).drop(id_col))
 
 
-_SHARED: dict[tuple, dict[str, DataFrame]] = {}
-
-
 class Models:
     """Lazily built model DataFrames for one (spark, sf_dir, params); each model is built once
     per instance so that a mart and its upstream share one logical plan."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, p: Params | None = None):
         self.spark, self.sf_dir, self.p = spark, sf_dir, p or Params()
-        self._cache: dict[str, DataFrame] = {}
-        key = (session_id(spark), sf_dir, self.p)
-        self._shared = _SHARED.setdefault(key, {})
+        self._cache: dict[str, DataFrame] = {}  # of this instance only: files that land later are listed anew
 
-    def _get(self, name, build, shared: bool = False):
-        cache = self._shared if shared else self._cache
-        if name not in cache:
-            cache[name] = build()
-        return cache[name]
+    def _get(self, name, build):
+        if name not in self._cache:
+            self._cache[name] = build()
+        return self._cache[name]
 
     @property
     def raw(self) -> dict[str, DataFrame]:
-        return self._get("raw", lambda: raw(self.spark, self.sf_dir, self.p), shared=True)
+        return self._get("raw", lambda: raw(self.spark, self.sf_dir, self.p))
 
     def stg(self, name: str) -> DataFrame:
-        return self._get(f"stg_{name}", lambda: staging.STAGING[name](self.raw[name], self.p), shared=True)
+        return self._get(f"stg_{name}", lambda: staging.STAGING[name](self.raw[name], self.p))
 
     def transaction_features(self) -> DataFrame:
         return self._get("itf", lambda: features.transaction_features(self.stg("transactions"), self.p))
 
-    # plans that do not depend on the data are shared per session; the transaction-feature chain
-    # is rebuilt per query because its plan follows the hot-key detection
     def client_activity(self) -> DataFrame:
         return self._get("ica", lambda: features.client_activity(
-            self.stg("clients"), self.stg("transactions"), self.stg("contrats"), self.stg("sinistres"), self.p),
-            shared=True)
+            self.stg("clients"), self.stg("transactions"), self.stg("contrats"), self.stg("sinistres"), self.p))
 
     def contrat_performance(self) -> DataFrame:
         return self._get("icp", lambda: features.contrat_performance(
-            self.stg("contrats"), self.stg("sinistres"), self.stg("primes"), self.p), shared=True)
+            self.stg("contrats"), self.stg("sinistres"), self.stg("primes"), self.p))
 
     def anomalies(self) -> DataFrame:
         return self._get("fat", lambda: marts.fct_anomalies_transactions(self.transaction_features(), self.p))
 
     def churn(self) -> DataFrame:
-        return self._get("fcp", lambda: marts.fct_churn_predictions(self.client_activity(), self.p), shared=True)
+        return self._get("fcp", lambda: marts.fct_churn_predictions(self.client_activity(), self.p))
 
 
 def _m(spark, sf_dir, **kw) -> Models:

@@ -67,8 +67,7 @@ DRIVER_SCHEMAS = {
     "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
               "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
     "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
-                "l_extendedprice DOUBLE, l_discount DOUBLE, l_returnflag STRING, l_linestatus STRING, "
-                "l_shipdate TIMESTAMP_NTZ",
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_shipdate TIMESTAMP_NTZ",
 }
 
 
@@ -155,7 +154,7 @@ def contrats(orders: DataFrame) -> DataFrame:
 
 
 def sinistres(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    li = lineitem.filter((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"))
+    li = lineitem
     o = orders.select(F.col("o_orderkey"), F.col("o_custkey"))
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
     ln = F.col("l_linenumber")
