@@ -56,8 +56,8 @@ def cmd_export_fixture(args) -> int:
 def cmd_load(args) -> int:
     from finsight.sources import loader
     spark = _session(args)
-    paths = {t: os.path.join(args.csv_dir, f"{t}.csv") for t in schemas.LOAD_ORDER
-             if os.path.exists(os.path.join(args.csv_dir, f"{t}.csv"))}
+    paths = {t: os.path.join(args.csv_dir, f"{t}.csv") for t in schemas.LOAD_ORDER}
+    paths = {t: path for t, path in paths.items() if _readable(lambda: spark.read.text(path))}
     res = loader.load_raw(spark, paths, os.path.join(args.root, "raw"), truncate_dates=not args.keep_time)
     for r in res:
         print(json.dumps(r.__dict__))
@@ -76,6 +76,18 @@ def cmd_load(args) -> int:
     return 0
 
 
+def _readable(read) -> bool:
+    """Whether Spark finds the files (whatever store the path names)."""
+    from pyspark.errors import AnalysisException
+    try:
+        read()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def _raw(spark, root):
     from finsight.sources import loader
     return {t: loader.read_table(spark, os.path.join(root, "raw"), t) for t in schemas.LOAD_ORDER}
@@ -93,30 +105,31 @@ def cmd_run(args) -> int:
 
 
 def cmd_check(args) -> int:
-    from finsight.operators import monitoring
+    from finsight.operators import monitoring, staging
     spark = _session(args)
     p = _params(args)
     raw = _raw(spark, args.root)
     tables = {f"raw.{t}": raw[t] for t in ("clients", "transactions")}
-    marts_dir = os.path.join(args.root, "marts")
+    for t in ("clients", "transactions"):  # staging relations are views unless a run stored them
+        tables[f"staging.stg_{t}"] = staging.STAGING[t](raw[t], p)
     for name in ("fct_anomalies_transactions", "fct_churn_predictions"):
-        path = os.path.join(marts_dir, name)
-        if os.path.exists(path):
-            tables[f"marts.{name}"] = spark.read.parquet(path)
+        path = os.path.join(args.root, "marts", name)
+        if not _readable(lambda path=path: spark.read.parquet(path)):
+            print(f"ERROR table marts.{name} is missing")
+            return 1
+        tables[f"marts.{name}"] = spark.read.parquet(path)
     try:
         counts = monitoring.require_non_empty(monitoring.row_counts(tables))
     except monitoring.EmptyTableError as e:
         print(f"ERROR {e}")
         return 1
     print(json.dumps({"row_counts": dict(counts)}))
-    if "marts.fct_anomalies_transactions" in tables:
-        r = monitoring.anomaly_counts(tables["marts.fct_anomalies_transactions"]).first()
-        print(json.dumps({"anomalies": r.total, "critical": r.critiques}))
-        if r.total == 0:
-            print("WARN no anomaly detected")
-    if "marts.fct_churn_predictions" in tables:
-        dist = monitoring.churn_distribution(tables["marts.fct_churn_predictions"]).collect()  # <= 4 rows
-        print(json.dumps({"churn_distribution": {x.segment_risque: x.nb_clients for x in dist}}))
+    r = monitoring.anomaly_counts(tables["marts.fct_anomalies_transactions"]).first()
+    print(json.dumps({"anomalies": r.total, "critical": r.critiques}))
+    if r.total == 0:
+        print("WARN no anomaly detected")
+    dist = monitoring.churn_distribution(tables["marts.fct_churn_predictions"]).collect()  # <= 4 rows
+    print(json.dumps({"churn_distribution": {x.segment_risque: x.nb_clients for x in dist}}))
     f = monitoring.freshness(raw["transactions"], p.as_of).first()
     print(json.dumps({"last_loaded_at": str(f.last_loaded_at), "age_hours": f.age_hours,
                       "status": f.freshness_status, "alert_48h": f.alert_48h}))

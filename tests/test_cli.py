@@ -13,6 +13,7 @@ def test_cli_flow(spark, scratch_dir):
     assert spark.read.parquet(os.path.join(root, "raw", "primes")).count() > 0
     # raw e-mails contain NULLs: the gated run stops after staging (exit code 1)
     assert main(["run", "--root", root]) == 1
+    assert main(["check", "--root", root]) == 1  # no mart was written
     assert main(["run", "--root", root, "--no-tests", "--select", "churn"]) == 0
     assert main(["run", "--root", root, "--no-tests"]) == 0
     assert os.path.isdir(os.path.join(root, "marts", "fct_kpis_portefeuille"))
