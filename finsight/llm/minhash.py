@@ -4,17 +4,19 @@ A document's set is its distinct 5-word shingles (fewer words: the whole sequenc
 sequence form one class; every later step sees a class once, so copies are never paired.
 
 1. One scan gives each document its class (128-bit digest of its words), set size and MinHash signature.
-2. Signatures are cut into bands; classes that share a band are candidates. Each class first meets one hub only: the
-   smallest class of the bands it is in, taking the hub that most of its bands name.
+2. Signatures are cut into bands; classes that share a band are candidates. Each class first meets one hub only, the
+   class in the middle of its candidates: of each band bucket the member whose buckets are the largest over all bands
+   (in a group of near copies, the text that the others stem from), then the one that most of its buckets name.
 3. Candidates are compared signature batch by signature batch. With a uniform prior the similarity after m
    matches in n hashes is Beta(m+1, n-m+1) distributed; as soon as P(similarity >= threshold) is below ``miss``, the
    pair is dropped. Survivors are verified exactly on the full sets, hub by hub in bounded chunks.
 4. Connected components (alternating large and small stars) over the verified links.
-5. Candidates whose classes are still in different components are compared in blocks of bounded size: of each band
-   bucket the classes outside its largest component against all its classes. Their survivors are verified in the same way and
-   the components joined. A pair inside one component needs no comparison: it cannot change the result.
+5. Candidates whose classes are still in different components are compared and verified in blocks of bounded size:
+   the classes of a hub form a cluster, visited by the candidates from other clusters; its classes outside its largest component
+   and the visitors meet all its classes. A pair inside one component needs no comparison: it cannot change the result. Only
+   the links that join components leave a block.
 
-So a bucket of n near copies costs about n comparisons, not n squared, and nothing is capped. The chance that a
+So n near copies of a text cost about n comparisons, not n squared, no list of pairs of a group is ever made, and nothing is capped. The chance that a
 pair at the threshold shares no band is ``missed_by_bands`` (8e-7 at 0.85, 1e-7 at 0.8).
 
 Edge cases: without words or text a document has an empty set, is its own component and is linked with nothing. Ties do not arise:
@@ -44,6 +46,7 @@ BATCH = 24
 MISS = 1e-6
 #: Rows of a verification chunk, and of each side of a comparison block.
 CHUNK = 256
+BLOCK, BLOCK_SHINGLES = 1024, 1_000_000
 HELD_WORDS = 300_000
 _SEEDS = np.random.default_rng(20240215).integers(0, 1 << 63, (2, HASHES), np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -111,6 +114,15 @@ def signature(codes: np.ndarray) -> bytes:
     return (low >> np.uint64(32)).astype("<u4").tobytes()
 
 
+def shared(ours: np.ndarray, theirs: np.ndarray) -> int:
+    """How many codes two sorted sets have in common."""
+    if not len(ours) or not len(theirs):
+        return 0
+    at = theirs.searchsorted(ours)
+    at[at == len(theirs)] = 0
+    return int((theirs[at] == ours).sum())
+
+
 def digest(words: list[bytes]) -> bytes | None:
     return hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None
 
@@ -204,7 +216,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold_pct: int) -> DataFram
                         hub, held = a, shingles(words_of(data), hashes)
                 elif hub == a:
                     own = shingles(words_of(data), hashes)
-                    both = len(np.intersect1d(own, held, assume_unique=True))
+                    both = shared(own, held)
                     if 100 * both >= threshold_pct * (len(own) + len(held) - both):
                         rows.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.binary()),
@@ -234,59 +246,110 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def buckets_of(classes: DataFrame, rows: int) -> DataFrame:
-    """(key, cls, hub, size) of every band bucket with two classes or more."""
+    """(key, cls, size) of every band bucket with two classes or more."""
     keys = F.transform(F.sequence(F.lit(0), F.lit(HASHES // rows - 1)), lambda k: F.xxhash64(
         k, F.substring(F.col("sig"), k * (4 * rows) + 1, F.lit(4 * rows))))
     bands = classes.select("cls", F.explode(keys).alias("key"))
-    shared = bands.groupBy("key").agg(F.min("cls").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     return bands.join(shared, "key")
 
 
-def apart(members: DataFrame, classes: DataFrame, comps: DataFrame, threshold: float) -> DataFrame:
-    """Plausible pairs of one bucket whose classes are in different components, compared in blocks."""
+def hubs_of(members: DataFrame) -> DataFrame:
+    """(cls, hub): a class's hub is the one that most of its buckets name. A bucket names its member with the largest
+    buckets over all bands: of a group of near copies the text in their middle."""
+    weight = members.groupBy("cls").agg(F.sum("size").alias("weight"))
+    named = members.join(weight, "cls").groupBy("key").agg(F.max(F.struct("weight", "cls")).alias("top"))
+    votes = members.join(named, "key").groupBy("cls", "top").agg(F.count(F.lit(1)).alias("votes"))
+    return votes.groupBy("cls").agg(F.max_by(F.col("top.cls"), F.struct("votes", "top")).alias("hub"))
+
+
+def apart(members: DataFrame, hubs: DataFrame, classes: DataFrame, comps: DataFrame, texts: DataFrame,
+          threshold_pct: int) -> DataFrame:
+    """Links (a, b) between different components among all candidates, found and verified in blocks.
+
+    The classes of one hub are a cluster. A class visits the other clusters that its buckets reach. Of each cluster, the
+    classes outside its largest component and the visitors are compared with all its classes, block by block."""
+    threshold = threshold_pct / 100
     needed = _needed(threshold)
-    own = members.select("key", "cls").join(comps, "cls", "left") \
-        .select("key", "cls", F.coalesce("comp", "cls").alias("comp"))
-    counts = own.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
-    mixed = counts.groupBy("key").agg(F.sum("c").alias("size"), F.max(F.struct("c", "comp")).alias("top"),
-                                      F.count(F.lit(1)).alias("comps")).filter("comps > 1") \
-        .select("key", F.col("top.comp").alias("main"),
-                F.ceil(F.col("size") / CHUNK).cast("int").alias("wide"),
-                F.ceil((F.col("size") - F.col("top.c")) / CHUNK).cast("int").alias("deep"))
-    rest = own.join(mixed, "key").checkpoint()
+    placed = hubs.join(comps, "cls", "left").join(classes.select("cls", "n"), "cls") \
+        .select("cls", "hub", "n", F.coalesce("comp", "cls").alias("comp"))
+    near = members.select("key", "cls").join(hubs, "cls")
+    reach = near.select("key", "hub").distinct()
+    crossed = reach.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
+    visits = near.join(crossed, "key").select("key", "cls", F.col("hub").alias("own")) \
+        .join(reach, "key").filter("hub <> own").select("cls", "hub").distinct() \
+        .join(placed.select("cls", "n", "comp"), "cls").select("cls", "hub", "n", "comp", F.lit(True).alias("visitor"))
+    rows = placed.select("cls", "hub", "n", "comp", F.lit(False).alias("visitor")).unionByName(visits).checkpoint()
+    counts = rows.groupBy("hub", "comp").agg(F.count_if(~F.col("visitor")).alias("own"), F.count_if("visitor").alias("guests"),
+                                              F.sum("n").alias("n"))
+    mixed = counts.groupBy("hub").agg(
+        F.sum("own").alias("size"), F.sum("guests").alias("guests"), F.count(F.lit(1)).alias("comps"),
+        F.sum("n").alias("n"), F.max(F.struct("own", "comp")).alias("top")).filter("comps > 1") \
+        .withColumn("long", F.ceil(F.col("n") / BLOCK_SHINGLES)) \
+        .select("hub", F.col("top.comp").alias("main"),
+                F.greatest(F.ceil(F.col("size") / BLOCK), "long", F.lit(1)).cast("int").alias("wide"),
+                F.greatest(F.ceil((F.col("size") - F.col("top.own") + F.col("guests")) / BLOCK),
+                           F.least("long", F.col("size") + F.col("guests")), F.lit(1)).cast("int").alias("deep"))
+    open_rows = rows.join(mixed, "hub")
     upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    held = rest.withColumn("i", F.pmod(F.xxhash64("cls"), F.col("wide")).cast("int")).withColumn("j", upto("deep")) \
-        .select("key", "i", "j", F.lit(0).alias("role"), "cls", "comp", (F.col("comp") == F.col("main")).alias("inside"))
-    asking = rest.filter("comp <> main").withColumn("j", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("deep")).cast("int")) \
-        .withColumn("i", upto("wide")).select("key", "i", "j", F.lit(1).alias("role"), "cls", "comp", F.lit(False).alias("inside"))
-    rows = held.unionByName(asking).join(classes.select("cls", "n", "sig"), "cls") \
-        .select("key", "i", "j", "role", "cls", "comp", "inside", "n", "sig")
+    held = open_rows.filter(~F.col("visitor")).withColumn("i", F.pmod(F.xxhash64("cls"), F.col("wide")).cast("int")) \
+        .withColumn("j", upto("deep")).select("hub", "i", "j", F.lit(0).alias("role"), "cls", "comp",
+                                             (F.col("comp") == F.col("main")).alias("settled"))
+    asking = open_rows.filter(F.col("visitor") | (F.col("comp") != F.col("main"))) \
+        .withColumn("j", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("deep")).cast("int")).withColumn("i", upto("wide")) \
+        .select("hub", "i", "j", F.lit(1).alias("role"), "cls", "comp", "visitor")
+    block_rows = held.unionByName(asking.withColumnRenamed("visitor", "settled")) \
+        .join(classes.select("cls", "n", "sig"), "cls").join(texts, "cls") \
+        .select("hub", "i", "j", "role", "cls", "comp", "settled", "n", "sig", "data")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+
         def each():
             for batch in batches:
                 yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
 
-        for _, block in groupby(each(), key=lambda r: r[:3]):  # a block has at most about 2 * CHUNK rows
-            block = list(block)
-            ours = [r for r in block if r[3] == 0]
-            if not ours:
+        for _, block in groupby(each(), key=lambda r: r[:3]):  # about 2 * BLOCK rows at most
+            ours, queries = [], []
+            for r in block:
+                (queries if r[3] else ours).append(r)
+            if not ours or not queries:
                 continue
+            sets: dict[bytes, np.ndarray] = {}
+            root: dict[bytes, bytes] = {}
+
+            def set_of(r):
+                if r[4] not in sets:
+                    sets[r[4]] = shingles(words_of(r[9]), hashes)
+                return sets[r[4]]
+
+            def find(c):
+                while root.get(c, c) != c:
+                    root[c] = root.get(root[c], root[c])
+                    c = root[c]
+                return c
+
             found: list[tuple[bytes, bytes]] = []
             sigs, n = unpacked([r[8] for r in ours]), np.array([r[7] for r in ours])
-            comp, inside = np.array([r[5] for r in ours], object), np.array([r[6] for r in ours])
-            cls = np.array([r[4] for r in ours], object)
-            for r in block:
-                if r[3]:
-                    fits = (comp != r[5]) & (np.minimum(n, r[7]) >= threshold * np.maximum(n, r[7]) - 1e-9)
-                    at = np.flatnonzero(fits & (inside | (cls < r[4])))
-                    mine = np.frombuffer(r[8], "<u4")
-                    found += [(r[4], ours[k][4]) for k in at[agree(sigs[at], mine, needed)]]
+            cls = np.array([int.from_bytes(r[4][:7], "big") for r in ours])
+            settled = np.array([r[6] for r in ours])
+            for r in queries:
+                fits = np.minimum(n, r[7]) >= threshold * np.maximum(n, r[7]) - 1e-9
+                if not r[6]:  # two classes of the cluster that both ask meet once
+                    fits &= settled | (cls <= int.from_bytes(r[4][:7], "big"))
+                at = np.flatnonzero(fits)
+                for k in at[agree(sigs[at], np.frombuffer(r[8], "<u4"), needed)].tolist():
+                    mine, theirs = find(r[5]), find(ours[k][5])
+                    if mine != theirs:  # inside one component a link changes nothing
+                        both = shared(set_of(r), set_of(ours[k]))
+                        if 100 * both >= threshold_pct * (r[7] + ours[k][7] - both):
+                            found.append((r[4], ours[k][4]))
+                            root[max(mine, theirs)] = min(mine, theirs)
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.binary()),
                                               pa.array([y for _, y in found], pa.binary())], ["a", "b"])
 
-    dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(compare, "a binary, b binary").distinct()
+    dealt = block_rows.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
+    return dealt.mapInArrow(compare, "a binary, b binary").distinct().checkpoint()
 
 
 def near_duplicates(docs: DataFrame, threshold_pct: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -304,11 +367,11 @@ def near_duplicates(docs: DataFrame, threshold_pct: int = 85, id_col: str = "doc
     own = written(texts.withColumn("cls", classes_of(F.col("data"))).filter("cls is not null").alias("t").join(
         meant.alias("m"), (F.col("t.cls") == F.col("m.cls")) & F.col("t.id").eqNullSafe(F.col("m.id"))
     ).select(F.col("t.cls").alias("cls"), F.col("t.data").alias("data")))
-    first = members.filter("hub <> cls").groupBy("cls", "hub").agg(F.count(F.lit(1)).alias("c")) \
-        .groupBy(F.col("cls").alias("b")).agg(F.max_by("hub", F.struct("c", "hub")).alias("a"))
-    links = verified(plausible(first.select("a", "b"), classes, threshold), own, threshold_pct)
+    hubs = hubs_of(members).checkpoint()
+    first = hubs.filter("hub <> cls").select(F.col("hub").alias("a"), F.col("cls").alias("b"))
+    links = verified(plausible(first, classes, threshold), own, threshold_pct)
     comps = components(links).checkpoint()
-    more = verified(apart(members, classes, comps, threshold), own, threshold_pct)
+    more = apart(members, hubs, classes, comps, own, threshold_pct)
     if not more.isEmpty():
         comps = components(links.unionByName(more)).checkpoint()
     placed = classes.select("cls", "id").join(comps, "cls", "left").select("cls", "id", F.coalesce("comp", "cls").alias("group"))

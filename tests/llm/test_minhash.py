@@ -75,6 +75,7 @@ def test_components_match_brute_force(spark):
 
 def test_small_blocks_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(op, "CHUNK", 3)  # every group is split
+    monkeypatch.setattr(op, "BLOCK", 3)
     docs = corpus(generator())
     assert rows_of(op.report(make_docs(spark, docs), threshold_pct=80)) == brute(docs, 80)
 
