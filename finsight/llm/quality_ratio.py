@@ -93,8 +93,9 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id",
 
     ``trusted``: the ids of the trusted documents."""
     marks = trusted.select(F.col(id_col).alias("__id")).dropna().distinct().withColumn("__good", F.lit(1))
-    # the text moves once, as text: hashes or n-grams would be larger
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(marks, "__id", "left")
+    # the text moves once, as text (hashes or n-grams would be larger), in the same way for any number of ids
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(
+        marks.hint("shuffle_hash"), "__id", "left")
     counts = texts.select(F.explode(let(hashes_of(words_of(F.col("__text"))), n_grams)).alias("bucket"),
                           F.coalesce("__good", F.lit(0)).alias("good")) \
         .groupBy("bucket", "good").agg(F.count(F.lit(1)).alias("n")) \
