@@ -141,6 +141,8 @@ class Lines(HTMLParser):
             self.end_line()
         found = self.at
         while found.up is not None and found.tag != tag:
+            if found.tag in ("article", "main") and tag not in ("article", "main", "body", "html"):
+                return  # a stray end tag does not end the article
             if tag not in BREAKS and found.tag in BREAKS:
                 return
             found = found.up

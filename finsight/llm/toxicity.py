@@ -5,11 +5,14 @@ embedding table; its vector is the mean of those rows, so an unseen misspelling
 word it distorts. The vectors of a run of ``SPAN`` words are averaged and go through a linear softmax. A document is
 as toxic as its most toxic run of words, whole text included, so an insult deep in a long text weighs as much as one
 in a short text. Training alternates between fitting runs and picking the runs that speak for each document; a last
-logistic fit on rows kept apart turns the highest run score into a probability.
+logistic fit on rows kept apart turns the highest run score and the length into a probability.
 
 The classifier is fitted on the driver on at most ``sample`` labelled rows of each class, drawn by hash of the
 id from all training rows; the bound is a parameter. Every document is scored.
 
+A clean text far longer than every labelled one can be flagged by chance: the highest of very many runs is compared with what
+shorter texts showed.
+
 Edge cases: null and empty texts and texts without letters or digits score 0. Without a labelled row of both classes
 all scores are 0 (nothing to tell apart). Null labels do not train. A repeated id is sampled once
 and trains with each of its rows. The hash order makes the sample, and with a fixed seed the model, deterministic.
@@ -119,16 +122,22 @@ def highest(values: np.ndarray, span: int = SPAN) -> tuple[float, int]:
     return float(means[at]), at
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of y on standardised x, by Newton steps with a small ridge."""
-    mean, scale = float(x.mean()), float(x.std()) or 1.0
-    z, w = np.stack([(x - mean) / scale, np.ones_like(x)], 1), np.zeros(2)
+def features(words: np.ndarray) -> list[float]:
+    """What the last fit sees of a text: its highest run, and its length (the highest of more runs is higher by chance)."""
+    return [highest(words)[0], float(np.log(len(words) + SPAN))]
+
+
+def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Slopes and offset of y on standardised columns of x, by Newton steps with a small ridge; both classes weigh the same."""
+    mean, scale = x.mean(0), np.where(x.std(0) > 0, x.std(0), 1)
+    z, w = np.hstack([(x - mean) / scale, np.ones((len(x), 1))]), np.zeros(x.shape[1] + 1)
     weight = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * len(y)
+    ridge = np.array([0.05, 20, 0])  # a few rows say little about the length
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        h = (z * (weight * p * (1 - p))[:, None]).T @ z + 0.05 * np.eye(2)
-        w = w - np.linalg.solve(h, z.T @ (weight * (p - y)) + 0.05 * w * [1, 0])
-    return float(w[0] / scale), float(w[1] - w[0] * mean / scale)
+        h = (z * (weight * p * (1 - p))[:, None]).T @ z + np.diag(ridge + 1e-6)
+        w = w - np.linalg.solve(h, z.T @ (weight * (p - y)) + ridge * w)
+    return w[:-1] / scale, float(w[-1] - (w[:-1] * mean / scale).sum())
 
 
 def train(texts: list[str], labels: list[int], seed: int = 7, rounds: int = 10, least_steps: int = 60) -> dict | None:
@@ -196,7 +205,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7, rounds: int = 10,
             table[touched] -= rate * (change / np.sqrt(seen_table[touched])[:, None] + 1e-3 * table[touched])
     scores = word_scores()
     last = np.flatnonzero(apart) if apart.any() else fit
-    slope, offset = _logistic(np.array([highest(scores[bags.docs[d]])[0] for d in last]), y[last].astype(float))
+    slope, offset = _logistic(np.array([features(scores[bags.docs[d]]) for d in last]), y[last].astype(float))
     return {"gap": (table @ (out[:, 1] - out[:, 0])).astype(np.float32), "slope": slope, "offset": offset}
 
 
@@ -208,7 +217,7 @@ def score(text: str | None, model: dict | None) -> float:
     if not count:
         return 0.0
     words = np.bincount(owner, model["gap"][rows], count) / np.bincount(owner, minlength=count)
-    at = model["slope"] * highest(words)[0] + model["offset"]
+    at = float(model["slope"] @ features(words)) + model["offset"]
     return float(1 / (1 + np.exp(-np.clip(at, -30, 30))))
 
 
