@@ -10,7 +10,8 @@ sequence form one class; every later step sees a class once, so copies are never
 3. Candidates are compared signature batch by signature batch. With a uniform prior the similarity after m
    matches in n hashes is Beta(m+1, n-m+1) distributed; as soon as P(similarity >= threshold) is below ``miss``, the
    pair is dropped. Survivors are verified exactly on the full sets, hub by hub in bounded chunks.
-4. Connected components (alternating large and small stars) over the verified links.
+4. Components of the verified links: trees of hubs first, by pointer jumping, and large and small stars in turn where
+   step 5 adds links.
 5. Candidates whose classes are still in different components are compared and verified in blocks of bounded size:
    the classes of a hub form a cluster, visited by the candidates from other clusters; its classes outside its largest component
    and the visitors meet all its classes. A pair inside one component needs no comparison: it cannot change the result. Only
@@ -226,6 +227,19 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold_pct: int) -> DataFram
     return dealt.mapInArrow(confirm, "a binary, b binary").distinct().checkpoint()
 
 
+def trees(links: DataFrame) -> DataFrame:
+    """(cls, comp) of links (a: hub, b: class) in which every class has one hub, by pointer jumping: the hub of the hub,
+    until nothing moves. Hubs cannot form a cycle, as a hub's buckets weigh more than those of the class that names it."""
+    up = links.select(F.col("b").alias("cls"), F.col("a").alias("comp")).checkpoint()
+    while True:
+        above = up.select(F.col("cls").alias("comp"), F.col("comp").alias("higher"))
+        moved = up.join(above, "comp", "left").select("cls", F.coalesce("higher", "comp").alias("comp"),
+                                                      F.col("higher").isNotNull().alias("moved")).checkpoint()
+        up = moved.select("cls", "comp")
+        if moved.filter("moved").isEmpty():
+            return up.unionByName(up.select(F.col("comp").alias("cls"), "comp").distinct()).checkpoint()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(cls, comp): for every class with a link, the smallest class of its connected component."""
     edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().checkpoint()
@@ -370,10 +384,11 @@ def near_duplicates(docs: DataFrame, threshold_pct: int = 85, id_col: str = "doc
     hubs = hubs_of(members).checkpoint()
     first = hubs.filter("hub <> cls").select(F.col("hub").alias("a"), F.col("cls").alias("b"))
     links = verified(plausible(first, classes, threshold), own, threshold_pct)
-    comps = components(links).checkpoint()
+    comps = trees(links)
     more = apart(members, hubs, classes, comps, own, threshold_pct)
     if not more.isEmpty():
-        comps = components(links.unionByName(more)).checkpoint()
+        stars = comps.filter("cls <> comp").select(F.col("comp").alias("a"), F.col("cls").alias("b"))
+        comps = components(stars.unionByName(more)).checkpoint()
     placed = classes.select("cls", "id").join(comps, "cls", "left").select("cls", "id", F.coalesce("comp", "cls").alias("group"))
     smallest = placed.groupBy("group").agg(F.min("id").alias("component_id"))
     found = placed.select("cls", "group").join(smallest, "group")
