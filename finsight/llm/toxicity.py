@@ -98,10 +98,12 @@ class Bags:
     def __init__(self, texts: list[list[str]]):
         index: dict[str, int] = {}
         self.docs = [np.array([index.setdefault(w, len(index)) for w in words], np.int64) for words in texts]
-        rows, owner, count = subwords(" ".join(index))
-        assert count == len(index)
-        self.flat = rows[np.argsort(owner, kind="stable")]
-        self.sizes = np.bincount(owner, minlength=count)
+        flat, sizes, words = [], [], list(index)
+        for at in range(0, len(words), 20_000):  # in parts, to bound the arrays of characters
+            rows, owner, count = subwords(" ".join(words[at:at + 20_000]))
+            flat.append(rows[np.argsort(owner, kind="stable")].astype(np.int32))
+            sizes.append(np.bincount(owner, minlength=count))
+        self.flat, self.sizes = np.concatenate(flat), np.concatenate(sizes)
         self.starts = np.cumsum(self.sizes) - self.sizes
 
     def words(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
