@@ -91,3 +91,26 @@ def test_runs_without_python_workers(spark):
     df = op.report(make_docs(spark, [(1, "a b")]), labels)
     plan = df._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_verdicts_do_not_depend_on_the_size_of_the_corpus(spark):
+    rng = generator()
+    common, rare, odd = ([f"{stem}{i}" for i in range(n)] for stem, n in (("c", 60), ("r", 4000), ("x", 400)))
+    good = lambda: " ".join(rng.choice(common if rng.random() < 0.6 else rare) for _ in range(120))
+    poor = lambda: " ".join(rng.choice(odd if rng.random() < 0.6 else rare) for _ in range(120))
+    kinds = ["good"] * 40 + ["plain"] * 40 + ["poor"] * 20  # labelled 1, not labelled, labelled 0
+
+    def drawn(start, times):
+        return [(start + i, poor() if kind == "poor" else good(), kind) for i, kind in enumerate(kinds * times)]
+
+    fixed = drawn(0, 1)
+    kept = {}
+    for name, rows in (("small", fixed), ("large", fixed + drawn(1000, 15))):
+        labels = spark.createDataFrame([(i, int(k == "good"), 0) for i, _, k in rows if k != "plain"],
+                                       "doc_id long, quality int, toxic int")
+        got = op.report(make_docs(spark, [r[:2] for r in rows]), labels).filter("doc_id < 1000").collect()
+        kept[name] = {r.doc_id: r.kept for r in got}
+        for kind, least, most in (("good", 0.85, 1), ("plain", 0.85, 1), ("poor", 0, 0.1)):
+            own = [kept[name][i] for i, _, k in fixed if k == kind]
+            assert least <= sum(own) / len(own) <= most, (name, kind, sum(own) / len(own))
+    assert sum(kept["small"][i] == kept["large"][i] for i, *_ in fixed) >= 0.95 * len(fixed)
