@@ -43,14 +43,25 @@ def crc_mod(column: str, divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % F.lit(divisor)
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Materialise in the shared checkpoint folder and read back: cuts lineage, survives lost executors."""
+def written(df: DataFrame, **options: str) -> DataFrame:
+    """Materialise in the shared checkpoint folder and read back: cuts lineage, survives lost executors.
+
+    ``options`` are those of the Parquet writer."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/finsight-llm/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a frame that ``written`` gave, once nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getParent().getName() == "finsight-llm":
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh(df: DataFrame, stem: str) -> str:
     """A column name that the frame does not have yet."""
     taken = {c.lower() for c in df.columns}

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from finsight.llm import (attention_lm, decontaminate, html_extract, langid, minhash, packing, quality_ratio, toxicity,
-                          url_filter, warc_revisit)
+from finsight.llm import (attention_lm, decontaminate, html_extract, langid, minhash, mixture_packing, packing, quality_ratio,
+                          token_alignment, toxicity, url_filter, vector_codes, warc_revisit)
 from finsight.llm.common import table
 
 
@@ -49,6 +49,19 @@ def op10_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attention_lm.report(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture_packing.report(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_html_extraction, op3_warc_revisits, op4_quality_ratio, op5_url_filter, op6_minhash,
-    op7_decontaminate, op8_language_id, op9_toxicity, op10_attention_lm)}
+    op7_decontaminate, op8_language_id, op9_toxicity, op10_attention_lm, op11_vector_codes,
+    op12_mixture_packing, op13_token_alignment)}
