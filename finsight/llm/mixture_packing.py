@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from finsight.llm.common import prepare, ship_by_value, written
-from finsight.llm.subwords import by_words, json_encoder
+from finsight.llm.subwords import word_encoder
 
 TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 WINDOW, GRAIN, END_ID = 2048, 64, 1
@@ -141,7 +141,7 @@ class Schedule:
 
 def tokenized(docs: DataFrame, tokenizer: bytes, id_col: str, text_col: str, source_col: str, end_id: int) -> DataFrame:
     """id, source, ids (unsigned little-endian 32 bits), n, part (task), key, and the tokens of the same source before it in the task."""
-    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
+    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"),
                          F.col(source_col).cast("string").alias("source"))
     schema = StructType([chosen.schema["id"], StructField("source", StringType()), StructField("key", StringType()),
                          StructField("ids", BinaryType()), StructField("n", LongType()), StructField("part", LongType()),
@@ -151,8 +151,8 @@ def tokenized(docs: DataFrame, tokenizer: bytes, id_col: str, text_col: str, sou
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, encoder, seen = TaskContext.get().partitionId(), None, {}
         for batch in batches:
-            encoder = encoder or json_encoder(shipped.value, by_words)
-            flat, offsets = encoder.ids([t or "" for t in batch.column(1).to_pylist()])
+            encoder = encoder or word_encoder(shipped.value)
+            flat, offsets = encoder.ids([t or b"" for t in batch.column(1).to_pylist()])
             sources = batch.column(2).to_pylist()
             keys, ids, sizes, before = [], [], (np.diff(offsets) + 1).tolist(), []
             end = np.asarray([end_id], "<u4").tobytes()

@@ -4,14 +4,16 @@ A text is cut where the tokenizer cannot join what lies on both sides, so the id
 a row, and a chunk that a task has met before is not encoded again. The tokenizer files are parameters; the driver reads
 them and ships their bytes.
 
-Where texts are cut: ``by_words`` at runs of ASCII white space, for tokenizers that drop white space and never look across it;
+Where texts are cut: ``by_words`` (of UTF-8 bytes) at runs of ASCII white space, for tokenizers that drop white space and never look across it;
 ``by_spaces`` before a single space between two characters that are no white space, for tokenizers whose pieces hold white space
 in front only."""
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -24,30 +26,35 @@ HELD_CHUNKS, LONG_CHUNK = 1_500_000, 64
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
-def by_words(text: str) -> list[str]:
-    return [w.decode() for w in text.encode().split()]
+def by_words(text: bytes) -> list[bytes]:
+    return text.split()
 
 
 def by_spaces(text: str) -> list[str]:
     return _SINGLE_SPACE.split(text)
 
 
+def packed(ids: Sequence[int]) -> bytes:
+    """Ids as 32-bit integers."""
+    return array("i", ids).tobytes()
+
+
 class ChunkEncoder:
-    """Ids of texts; ``encode`` maps a list of chunks to a list of id lists."""
+    """Ids of texts; ``encode`` maps a list of chunks (of the type that ``cut`` gives) to their ids as ``packed`` gives them."""
 
-    def __init__(self, cut: Callable[[str], list[str]], encode: Callable[[list[str]], list[Sequence[int]]]):
+    def __init__(self, cut: Callable, encode: Callable[[list], list[bytes]]):
         self.cut, self.encode = cut, encode
-        self.held: dict[str, bytes] = {}
+        self.held: dict[str | bytes, bytes] = {}
 
-    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def ids(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and the n + 1 offsets of the texts in them."""
         chunks = [self.cut(t) for t in texts]
         if len(self.held) > HELD_CHUNKS:
             self.held.clear()
         known, passing = self.held, {}
-        new = list({c for cs in chunks for c in cs if c not in known})
+        new = list(set().union(*chunks).difference(known))
         for chunk, got in zip(new, self.encode(new), strict=True):
-            (known if len(chunk) <= LONG_CHUNK else passing)[chunk] = np.asarray(got, np.int32).tobytes()
+            (known if len(chunk) <= LONG_CHUNK else passing)[chunk] = got
         find = known.__getitem__ if not passing else lambda c: known[c] if c in known else passing[c]
         joined = [b"".join(map(find, cs)) for cs in chunks]
         offsets = np.zeros(len(texts) + 1, np.int64)
@@ -63,21 +70,73 @@ def json_encoder(data: bytes, cut: Callable, prefix: str = "", plain_specials: b
     tokenizer = Tokenizer.from_buffer(data)
     tokenizer.encode_special_tokens = plain_specials
 
-    def encode(chunks: list[str]) -> list[Sequence[int]]:
+    def encode(chunks: list[str]) -> list[bytes]:
         out = []
         for at in range(0, len(chunks), 4096):
             part = [prefix + c for c in chunks[at:at + 4096]]
-            out += [e.ids for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            out += [packed(e.ids) for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
         return out
 
     return ChunkEncoder(cut, encode)
 
 
+#: The settings under which a run of these characters is one unit of a word-end BPE file (see ``word_encoder``).
+_FOLDING = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_UNITS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LETTERS, _SIGNS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
+_PLAIN, _RUNS = re.compile(f"[{_LETTERS}{_SIGNS}]+"), re.compile(f"[{_LETTERS}]+|[{_SIGNS}]+")
+
+
+def word_encoder(data: bytes) -> ChunkEncoder:
+    """A BPE file that lower-cases words and marks their ends; texts are UTF-8 bytes.
+
+    Under the settings above, a word of Latin letters and ASCII signs (no digit, no apostrophe) falls into units at each change between
+    letters and signs, so its runs go to the BPE model directly and are kept; all other words, and files with other settings,
+    take the whole way. "<|" may begin a special token, so words with it do too."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    tokenizer = Tokenizer.from_buffer(data)
+    settings = json.loads(data)
+    cutter = (settings.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    direct = settings.get("normalizer") == _FOLDING and cutter[0].get("pattern") == {"Regex": _UNITS} \
+        and [c.get("type") for c in cutter] == ["Split", "ByteLevel"] and not settings["model"].get("dropout") \
+        and all(t["content"].startswith("<|") for t in settings.get("added_tokens") or ())
+    byte_level = {ord(c): "".join(chr(b) if b >= 0xA1 and b != 0xAD else chr(0x100 + 33 + b - 0x7F) if b < 0xA1 else chr(0x143)
+                                  for b in c.encode()) for c in map(chr, range(0xC0, 0x100))}
+    runs: dict[str, bytes] = {}
+
+    model = tokenizer.model
+
+    def ids_of(run: str) -> bytes:
+        runs[run] = got = packed([t.id for t in model.tokenize(run if run.isascii() else run.translate(byte_level))])
+        return got
+
+    def encode(chunks: list[bytes]) -> list[bytes]:
+        if len(runs) > HELD_CHUNKS:
+            runs.clear()
+        out, other, known = [], [], runs.get
+        for chunk in chunks:
+            word = chunk.decode()
+            if not direct or "<|" in word or not _PLAIN.fullmatch(word):
+                other.append((len(out), word))
+                out.append(b"")
+            elif word.isalpha():
+                out.append(known(run := word.lower()) or ids_of(run))
+            else:
+                out.append(b"".join([known(run) or ids_of(run) for run in _RUNS.findall(word.lower())]))
+        for at in range(0, len(other), 4096):
+            part = other[at:at + 4096]
+            for (k, _), got in zip(part, tokenizer.encode_batch_fast([w for _, w in part], add_special_tokens=False), strict=True):
+                out[k] = packed(got.ids)
+        return out
+
+    return ChunkEncoder(by_words, encode)
+
+
 def piece_encoder(data: bytes) -> ChunkEncoder:
     """A sentencepiece model; texts are cut at single spaces if none of its pieces crosses one."""
     model = sentencepiece.SentencePieceProcessor(model_proto=data)
     crossing = any("▁" in model.id_to_piece(i).lstrip("▁") for i in range(model.get_piece_size()))
-    return ChunkEncoder((lambda text: [text]) if crossing else by_spaces, lambda chunks: model.encode(chunks, num_threads=1))
+    return ChunkEncoder((lambda text: [text]) if crossing else by_spaces, lambda chunks: list(map(packed, model.encode(chunks, num_threads=1))))
 
 
 ship_by_value(__name__)

@@ -110,10 +110,18 @@ def test_chunks_give_the_ids_of_whole_texts():
     model = sentencepiece.SentencePieceProcessor(model_proto=data[1])
     flat, offsets = subwords.piece_encoder(data[1]).ids(given)
     assert [flat[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == model.encode(given)
+
+
+def test_words_give_the_ids_of_whole_texts():
+    rng = generator()
+    odd = ["".join(rng.choice(list("aXéÉÿÀßñ×÷»''.,#<|>09 \n　́·ªµªİKÅ") + ["'s", "<|endoftext|>", "<|STARTOFTEXT|>", "H̱", "'LL"])
+                   for _ in range(rng.randint(1, 16))) for _ in range(4000)]
+    given = [t or "" for t in texts()] + odd + ["".join(map(chr, range(0x20, 0x180))), " ".join(map(chr, range(0x20, 0x180)))]
     words = Tokenizer.from_file("/opt/tokenizers/word_bpe_49k.json")
-    flat, offsets = subwords.json_encoder(open("/opt/tokenizers/word_bpe_49k.json", "rb").read(), subwords.by_words).ids(given)
-    assert [flat[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] \
-        == [words.encode(t, add_special_tokens=False).ids for t in given]
+    encoder = subwords.word_encoder(open("/opt/tokenizers/word_bpe_49k.json", "rb").read())
+    flat, offsets = encoder.ids([t.encode() for t in given])
+    for t, a, b in zip(given, offsets, offsets[1:], strict=False):
+        assert flat[a:b].tolist() == words.encode(t, add_special_tokens=False).ids, t
 
 
 def test_groups_are_text(spark):
