@@ -1,12 +1,4 @@
-"""Subword ids of whole texts with public tokenizers, a chunk at a time.
-
-A text is cut where the tokenizer cannot join what lies on both sides, so the ids of a text are those of its chunks in
-a row, and a chunk that a task has met before is not encoded again. The tokenizer files are parameters; the driver reads
-them and ships their bytes.
-
-Where texts are cut: ``by_words`` (of UTF-8 bytes) at runs of ASCII white space, for tokenizers that drop white space and never look across it;
-``by_spaces`` before a single space between two characters that are no white space, for tokenizers whose pieces hold white space
-in front only."""
+"""Subword ids of whole texts by public tokenizers, whose files are parameters: the driver reads them and ships their bytes."""
 
 from __future__ import annotations
 
@@ -15,23 +7,20 @@ import os
 import re
 from array import array
 from collections.abc import Callable, Sequence
+from itertools import chain
+from typing import Any
 
 import numpy as np
+import pyarrow as pa
 import sentencepiece
+import tiktoken
 from tokenizers import Tokenizer
 
 from finsight.llm.common import ship_by_value
 
 HELD_CHUNKS, LONG_CHUNK = 1_500_000, 64
-_SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-
-
-def by_words(text: bytes) -> list[bytes]:
-    return text.split()
-
-
-def by_spaces(text: str) -> list[str]:
-    return _SINGLE_SPACE.split(text)
+#: Fixed value: how a byte-level BPE file with ``use_regex`` cuts texts.
+BYTE_LEVEL_UNITS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def packed(ids: Sequence[int]) -> bytes:
@@ -39,45 +28,83 @@ def packed(ids: Sequence[int]) -> bytes:
     return array("i", ids).tobytes()
 
 
-class ChunkEncoder:
-    """Ids of texts; ``encode`` maps a list of chunks (of the type that ``cut`` gives) to their ids as ``packed`` gives them."""
+def listed(ids: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids in a row, and the n + 1 offsets of the lists in them."""
+    return np.frombuffer(b"".join(map(packed, ids)), np.int32), np.cumsum([0, *map(len, ids)])
+
+
+class WordEncoder:
+    """Ids of texts by a tokenizer that never looks across the places where ``cut`` cuts them.
 
-    def __init__(self, cut: Callable, encode: Callable[[list], list[bytes]]):
-        self.cut, self.encode = cut, encode
-        self.held: dict[str | bytes, bytes] = {}
+    The ids of a text are those of its words in a row; ``encode`` maps a list of words (all strings or all bytes) to their ids as ``packed``
+    gives them. At most ``held`` words are kept between calls, none longer than ``LONG_CHUNK``."""
+
+    def __init__(self, cut: Callable[[Any], list], encode: Callable[[list], list[bytes]], held: int = HELD_CHUNKS):
+        self.cut, self.encode, self.most, self.held = cut, encode, held, {}
 
     def ids(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and the n + 1 offsets of the texts in them."""
-        chunks = [self.cut(t) for t in texts]
-        if len(self.held) > HELD_CHUNKS:
+        words = [self.cut(t) for t in texts]
+        kind = pa.large_binary() if texts and isinstance(texts[0], bytes) else pa.large_string()
+        coded = pa.array(list(chain.from_iterable(words)), kind).dictionary_encode()
+        distinct, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        if len(self.held) > self.most:
             self.held.clear()
-        known, passing = self.held, {}
-        new = list(set().union(*chunks).difference(known))
-        for chunk, got in zip(new, self.encode(new), strict=True):
-            (known if len(chunk) <= LONG_CHUNK else passing)[chunk] = got
-        find = known.__getitem__ if not passing else lambda c: known[c] if c in known else passing[c]
-        joined = [b"".join(map(find, cs)) for cs in chunks]
-        offsets = np.zeros(len(texts) + 1, np.int64)
-        np.cumsum([len(j) // 4 for j in joined], out=offsets[1:])
-        return np.frombuffer(b"".join(joined), np.int32), offsets
+        new = [c for c in distinct if c not in self.held]
+        fresh = dict(zip(new, self.encode(new), strict=True))
+        parts = [fresh[c] if c in fresh else self.held[c] for c in distinct]
+        self.held |= {c: ids for c, ids in fresh.items() if len(c) <= LONG_CHUNK}
+        size = np.asarray([len(p) // 4 for p in parts], np.int64)
+        each = size[code]
+        ends = np.concatenate([[0], np.cumsum(each)]).astype(np.int64)
+        at = np.repeat((np.cumsum(size) - size)[code] - ends[:-1], each) + np.arange(ends[-1])
+        return np.frombuffer(b"".join(parts), np.int32)[at], ends[np.cumsum([0, *map(len, words)])]
+
+
+def byte_table(tokenizer: Tokenizer) -> list[bytes]:
+    """Bytes of each id of a byte-level vocabulary, whose characters each stand for one byte."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # stand for themselves
+    other = [b for b in range(256) if b not in set(plain)]
+    byte_of = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
+    return [bytes(byte_of.get(c, 0) for c in tokenizer.id_to_token(i) or "")
+            for i in range(tokenizer.get_vocab_size(with_added_tokens=True))]
+
+
+def byte_level_encode(data: bytes) -> Callable[[list[str]], list[list[int]]]:
+    """Ids of texts by a byte-level BPE file in JSON; strings of special tokens in texts are plain text.
+
+    Where the file has the usual settings and its merges make the ids in order, the same vocabulary as ranks gives the same ids faster."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    tokenizer, settings = Tokenizer.from_buffer(data), json.loads(data)
+    tokenizer.encode_special_tokens = True
+    cutter, model, table = settings.get("pre_tokenizer") or {}, settings["model"], byte_table(tokenizer)
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model.get("merges") or ()]
+    usual = not settings.get("normalizer") and not model.get("dropout") and not model.get("ignore_merges") \
+        and (cutter.get("type"), cutter.get("use_regex"), cutter.get("add_prefix_space")) == ("ByteLevel", True, False) \
+        and [model["vocab"].get(m) for m in merged] == list(range(256, 256 + len(merged)))
+    if not usual:
+        return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    ranks = {table[i]: i for i in range(256 + len(merged))}
+    by_rank = tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_UNITS, mergeable_ranks=ranks, special_tokens={})
+    return lambda texts: [by_rank.encode_ordinary(t) for t in texts]
 
 
-def json_encoder(data: bytes, cut: Callable, prefix: str = "", plain_specials: bool = False) -> ChunkEncoder:
-    """A tokenizer file in JSON; ``prefix`` goes in front of every chunk.
+_SPACE = re.compile("(?<=[^ ]) (?=.)", re.DOTALL)
 
-    With ``plain_specials`` the strings of special tokens inside texts are ordinary text."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    tokenizer = Tokenizer.from_buffer(data)
-    tokenizer.encode_special_tokens = plain_specials
 
-    def encode(chunks: list[str]) -> list[bytes]:
-        out = []
-        for at in range(0, len(chunks), 4096):
-            part = [prefix + c for c in chunks[at:at + 4096]]
-            out += [packed(e.ids) for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-        return out
+def by_spaces(text: str) -> list[str]:
+    """The text cut at the first space of each run of spaces, but not at its very end."""
+    return text.split(" ") if "  " not in text and text[:1] != " " and text[-1:] != " " else _SPACE.split(text)
 
-    return ChunkEncoder(cut, encode)
+
+def piece_encoder(data: bytes, held: int = 400_000) -> WordEncoder:
+    """A sentencepiece model that puts a space in front of what it encodes.
+
+    If no piece holds a space behind anything else, no merge crosses the place before a run of spaces, and texts are cut there."""
+    model = sentencepiece.SentencePieceProcessor(model_proto=data)
+    crossing = any("▁" in model.id_to_piece(i).lstrip("▁") for i in range(model.get_piece_size()))
+    return WordEncoder((lambda text: [text]) if crossing else by_spaces,
+                       lambda words: list(map(packed, model.encode(words, num_threads=1))), held)
 
 
 #: The settings under which a run of these characters is one unit of a word-end BPE file (see ``word_encoder``).
@@ -87,7 +114,7 @@ _LETTERS, _SIGNS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
 _PLAIN, _RUNS = re.compile(f"[{_LETTERS}{_SIGNS}]+"), re.compile(f"[{_LETTERS}]+|[{_SIGNS}]+")
 
 
-def word_encoder(data: bytes) -> ChunkEncoder:
+def word_encoder(data: bytes) -> WordEncoder:
     """A BPE file that lower-cases words and marks their ends; texts are UTF-8 bytes.
 
     Under the settings above, a word of Latin letters and ASCII signs (no digit, no apostrophe) falls into units at each change between
@@ -129,14 +156,7 @@ def word_encoder(data: bytes) -> ChunkEncoder:
                 out[k] = packed(got.ids)
         return out
 
-    return ChunkEncoder(by_words, encode)
-
-
-def piece_encoder(data: bytes) -> ChunkEncoder:
-    """A sentencepiece model; texts are cut at single spaces if none of its pieces crosses one."""
-    model = sentencepiece.SentencePieceProcessor(model_proto=data)
-    crossing = any("▁" in model.id_to_piece(i).lstrip("▁") for i in range(model.get_piece_size()))
-    return ChunkEncoder((lambda text: [text]) if crossing else by_spaces, lambda chunks: list(map(packed, model.encode(chunks, num_threads=1))))
+    return WordEncoder(bytes.split, encode)
 
 
 ship_by_value(__name__)

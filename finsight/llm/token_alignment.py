@@ -6,7 +6,7 @@ both end at the same byte, the text is cut into groups, and those two tokens are
 
 A batch of documents is one Arrow pipeline: the token lists are flattened with their parent indices; token lengths are taken from
 a table by id and summed up, less the sum before the document, to the end of each token in its document; an Acero hash join on
-(document, end) gives the links; their positions cut the tokens into groups, joined to text list by list; ``Table.group_by`` counts
+document-end keys gives the links; their positions cut the tokens into groups, joined to text list by list; ``Table.group_by`` counts
 the id pairs, first a document, then over many documents, and Spark adds up these partial counts.
 
 An id pair's count is the number of links in the whole corpus that hold it. Pairs with at least 1/``FREQUENT`` of all links (so at
@@ -32,28 +32,20 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 from tokenizers import Tokenizer
 
 from finsight.llm.common import prepare, ship_by_value, written
-from finsight.llm.subwords import ChunkEncoder, by_spaces, json_encoder, piece_encoder
+from finsight.llm.subwords import byte_level_encode, byte_table, listed, piece_encoder
 
 TOKENIZER_A = "/opt/tokenizers/byte_bpe_50k.json"
 TOKENIZER_B = "/opt/tokenizers/piece_bpe_32k.model"
 FREQUENT = 1 << 17
 HELD_PAIRS = 1 << 20
-SLICE_BYTES = 4 << 20  # of text in one run of the pipeline (a longer text is a run of its own)
+SLICE_BYTES = 1 << 20  # of text in one run of the pipeline (a longer text is a run of its own)
 PAIR = 1 << 32  # a pair of ids is a * PAIR + b
+END = 1 << 32  # a document-end key is document * END + end
 #: Pairs recur from document to document: a large dictionary page lets the file hold short references.
 PAIR_FILES = {"compression": "zstd", "parquet.dictionary.page.size": str(8 << 20)}
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
 
-def byte_level_table(tokenizer: Tokenizer) -> pa.Array:
-    """Bytes of each id of a byte-level vocabulary, whose characters each stand for one byte."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # stand for themselves
-    other = [b for b in range(256) if b not in set(plain)]
-    byte_of = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
-    return pa.array([bytes(byte_of.get(c, 0) for c in tokenizer.id_to_token(i) or "")
-                     for i in range(tokenizer.get_vocab_size(with_added_tokens=True))], pa.binary())
-
-
 def piece_table(model: sentencepiece.SentencePieceProcessor) -> pa.Array:
     """Bytes of each id of a sentencepiece model."""
     return pa.array([bytes([int(p[3:-1], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode()
@@ -64,16 +56,16 @@ class Aligner:
     """Both tokenizers and the bytes of their ids."""
 
     def __init__(self, a: bytes, b: bytes):
-        self.encoders: tuple[ChunkEncoder, ChunkEncoder] = \
-            (json_encoder(a, by_spaces, prefix=" ", plain_specials=True), piece_encoder(b))
-        self.bytes = (byte_level_table(Tokenizer.from_buffer(a)),
-                      piece_table(sentencepiece.SentencePieceProcessor(model_proto=b)))
+        model = sentencepiece.SentencePieceProcessor(model_proto=b)
+        encode = byte_level_encode(a)
+        self.encoders = (lambda texts: listed(encode([" " + t for t in texts])), piece_encoder(b).ids)
+        self.bytes = pa.array(byte_table(Tokenizer.from_buffer(a)), pa.binary()), piece_table(model)
         self.lengths = tuple(pc.cast(pc.binary_length(t), pa.int64()) for t in self.bytes)
 
     def lists(self, texts: list[str]) -> tuple[pa.Array, list[pa.ListArray]]:
         """Which texts both tokenizers give back byte for byte, and the token lists of these."""
         sides = [pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(flat)) for flat, offsets in
-                 (e.ids(texts) for e in self.encoders)]
+                 (encode(texts) for encode in self.encoders)]
         whole = pa.array([b" " + t.encode() for t in texts], pa.large_binary())
         good = pc.fill_null(pc.not_equal(pc.binary_length(whole), 1), False)
         for side, table in zip(sides, self.bytes, strict=True):
@@ -83,11 +75,11 @@ class Aligner:
         return good, [side.filter(good) for side in sides]
 
     def ends(self, side: pa.ListArray, lengths: pa.Array, start: pa.Array, id_name: str) -> pa.Table:
-        """A row per token: its document, where it ends in it, its place in the flat list, and its id."""
+        """A row per token: the key of its document and where it ends in it, its place in the flat list, and its id."""
         flat = side.flatten()
         doc = pc.list_parent_indices(side)
         end = pc.subtract(pc.cumulative_sum(pc.take(lengths, flat)), pc.take(start, doc))
-        return pa.table({"doc": doc, "end": end, f"at_{id_name}": np.arange(len(flat)), id_name: flat})
+        return pa.table({"key": pc.add(pc.multiply(doc, END), end), f"at_{id_name}": np.arange(len(flat), dtype=np.int32), id_name: flat})
 
     def align(self, texts: list[str | None]) -> dict[str, pa.Array]:
         """Columns n_a, n_b, n_groups, n_links, groups, pairs and times (how often the document links each pair)."""
@@ -97,8 +89,8 @@ class Aligner:
         size = pc.add(size, 1)
         start = pc.subtract(pc.cumulative_sum(size), size)
         ta, tb = self.ends(la, self.lengths[0], start, "a"), self.ends(lb, self.lengths[1], start, "b")
-        links = ta.join(tb, keys=["doc", "end"], join_type="inner", use_threads=False).sort_by("at_a")
-        doc = links["doc"].combine_chunks().to_numpy() if len(links) else np.zeros(0, np.int64)
+        links = ta.join(tb, keys="key", join_type="inner", use_threads=False).sort_by("at_a")
+        doc = links["key"].to_numpy() // END
         per_doc = np.bincount(doc, minlength=n)
 
         def joined(values: pa.Array, border: np.ndarray, separator: str) -> pa.Array:
@@ -111,7 +103,7 @@ class Aligner:
             pa.scalar("|", pa.large_string()))
         groups = joined(group, np.cumsum(per_doc) - 1, ";")
         pair = pc.add(pc.multiply(links["a"].cast(pa.int64()), PAIR), links["b"].cast(pa.int64()))
-        counted = pa.table({"doc": links["doc"], "pair": pair}).group_by(["doc", "pair"], use_threads=False) \
+        counted = pa.table({"doc": doc, "pair": pair}).group_by(["doc", "pair"], use_threads=False) \
             .aggregate([([], "count_all")]).sort_by([("doc", "ascending"), ("pair", "ascending")])
         runs = pa.array(np.searchsorted(counted["doc"].to_numpy(), np.arange(n + 1)).astype(np.int32))
         lists = [pa.ListArray.from_arrays(runs, counted[c].combine_chunks().cast(pa.int64())) for c in ("pair", "count_all")]

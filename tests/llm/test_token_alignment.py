@@ -100,16 +100,27 @@ def test_matches_brute_force(spark, monkeypatch, frequent):
         assert tuple(r)[1:] == want[r.doc_id], given[r.doc_id]
 
 
-def test_chunks_give_the_ids_of_whole_texts():
-    given = [t for t in texts() if t and "▁" not in t]
-    data = open(op.TOKENIZER_A, "rb").read(), open(op.TOKENIZER_B, "rb").read()
-    whole = Tokenizer.from_buffer(data[0])
+def test_ranks_give_the_ids_of_the_file():
+    data = open(op.TOKENIZER_A, "rb").read()
+    whole = Tokenizer.from_buffer(data)
     whole.encode_special_tokens = True
-    flat, offsets = subwords.json_encoder(data[0], subwords.by_spaces, " ", True).ids(given)
-    assert [flat[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == [whole.encode(" " + t).ids for t in given]
-    model = sentencepiece.SentencePieceProcessor(model_proto=data[1])
-    flat, offsets = subwords.piece_encoder(data[1]).ids(given)
-    assert [flat[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == model.encode(given)
+    marks = [f"a{c}1{c} {c}{c}\n{c}x" for c in map(chr, range(0x3000)) if c.isprintable() or c.isspace()]
+    given = [" " + t for t in [t or "" for t in texts()] + marks]
+    assert subwords.byte_level_encode(data)(given) == [whole.encode(t).ids for t in given]
+    other = data.replace(b'"use_regex":true', b'"use_regex": false', 1) if b'"use_regex":true' in data else data
+    if other != data:  # other settings take the file's own way
+        assert subwords.byte_level_encode(other)(["a b"]) == [Tokenizer.from_buffer(other).encode("a b").ids]
+
+
+def test_words_of_the_piece_model_give_the_ids_of_whole_texts():
+    data = open(op.TOKENIZER_B, "rb").read()
+    rng = generator()
+    odd = ["".join(rng.choice(list("ab  \n\t　é.") + ["   ", "the", "x y"]) for _ in range(rng.randint(1, 14))) for _ in range(3000)]
+    given = [t for t in texts() + odd if t and "▁" not in t]
+    model, encoder = sentencepiece.SentencePieceProcessor(model_proto=data), subwords.piece_encoder(data, held=10)
+    for _ in range(2):
+        flat, offsets = encoder.ids(given)
+        assert [flat[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == model.encode(given)
 
 
 def test_words_give_the_ids_of_whole_texts():
