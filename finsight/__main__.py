@@ -3,7 +3,7 @@
   python -m finsight export-fixture --sf-dir /root/testdata/sf0.01 --out /data/landing
   python -m finsight load --csv-dir /data/landing --root /data/warehouse [--keep-time]
   python -m finsight run --root /data/warehouse [--as-of 2024-02-15] [--select TAG ...]
-                         [--layers staging intermediate marts] [--materialize-all] [--no-tests]
+                         [--layers staging intermediate marts] [--materialize-all] [--quarantine] [--no-tests]
                          [--z-threshold 3] [--freq-threshold 5] [--fix-night] [--audit-columns]
   python -m finsight check --root /data/warehouse [--as-of 2024-02-15]
 
@@ -95,10 +95,13 @@ def _raw(spark, root):
 
 def cmd_run(args) -> int:
     from finsight.plans import pipeline
+    from finsight.sources import loader
     spark = _session(args)
     rel, log = pipeline.run_pipeline(spark, _raw(spark, args.root), _params(args), args.root,
                                      layers=args.layers, tags=set(args.select) if args.select else None,
-                                     run_tests=not args.no_tests, materialize_all=args.materialize_all)
+                                     run_tests=not args.no_tests, materialize_all=args.materialize_all,
+                                     raw_id=loader.snapshot_id(spark, os.path.join(args.root, "raw")),
+                                     quarantine=args.quarantine)
     for step in log:
         print(json.dumps(step.__dict__))
     return 1 if log and log[-1].step == "stop" else 0
@@ -106,6 +109,7 @@ def cmd_run(args) -> int:
 
 def cmd_check(args) -> int:
     from finsight.operators import monitoring, staging
+    from finsight.plans import pipeline
     spark = _session(args)
     p = _params(args)
     raw = _raw(spark, args.root)
@@ -113,11 +117,10 @@ def cmd_check(args) -> int:
     for t in ("clients", "transactions"):  # staging relations are views unless a run stored them
         tables[f"staging.stg_{t}"] = staging.STAGING[t](raw[t], p)
     for name in ("fct_anomalies_transactions", "fct_churn_predictions"):
-        path = os.path.join(args.root, "marts", name)
-        if not _readable(lambda path=path: spark.read.parquet(path)):
+        if not _readable(lambda name=name: pipeline.read_model(spark, args.root, name)):
             print(f"ERROR table marts.{name} is missing")
             return 1
-        tables[f"marts.{name}"] = spark.read.parquet(path)
+        tables[f"marts.{name}"] = pipeline.read_model(spark, args.root, name)
     try:
         counts = monitoring.require_non_empty(monitoring.row_counts(tables))
     except monitoring.EmptyTableError as e:
@@ -155,6 +158,8 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--layers", nargs="*", help="subset of: staging intermediate marts")
     r.add_argument("--select", nargs="*", help="tags a model must carry")
     r.add_argument("--materialize-all", action="store_true", help="write staging and intermediate too")
+    r.add_argument("--quarantine", action="store_true",
+                   help="set raw rows that break a declared rule aside and go on with the others")
     r.add_argument("--no-tests", action="store_true", help="skip the declared checks (no gate)")
     r.add_argument("--z-threshold", type=float, help="amount anomaly when |z| is above (default 3)")
     r.add_argument("--freq-threshold", type=int, help="frequency anomaly above this many per day (default 5)")

@@ -306,13 +306,17 @@ for _t in ("clients", "transactions", "contrats", "sinistres", "primes"):
 _IDENT = re.compile(r"\b([a-z_][a-z0-9_]*)\b")
 
 
-def _deps(sql: str) -> list[str]:
-    return [w for w in dict.fromkeys(_IDENT.findall(sql)) if w in CTES]
+#: CTEs that a key sees in place of, or beside, the common ones.
+OWN_CTES: dict[str, dict[str, str]] = {}
 
 
 def build(key: str) -> str:
     """Full SQL for ``key``: the needed CTEs in dependency order + the final SELECT."""
-    body = FINAL[key]
+    body, ctes = FINAL[key], {**CTES, **OWN_CTES.get(key, {})}
+
+    def _deps(sql: str) -> list[str]:
+        return [w for w in dict.fromkeys(_IDENT.findall(sql)) if w in ctes]
+
     order: list[str] = []
     seen: set[str] = set()
 
@@ -320,7 +324,7 @@ def build(key: str) -> str:
         if name in seen:
             return
         seen.add(name)
-        for d in _deps(CTES[name]):
+        for d in _deps(ctes[name]):
             if d != name:
                 visit(d)
         order.append(name)
@@ -329,7 +333,7 @@ def build(key: str) -> str:
         visit(d)
     if not order:
         return body
-    head = ",\n".join(f"{n} AS ({CTES[n]})" for n in order)
+    head = ",\n".join(f"{n} AS ({ctes[n]})" for n in order)
     if body.lstrip().upper().startswith("WITH "):  # merge the body's own CTEs into one WITH list
         return "WITH " + head + ",\n" + body.lstrip()[5:]
     return "WITH " + head + "\n" + body
@@ -978,6 +982,75 @@ def _pipeline_sql() -> str:
 _P_CTES, _P_BODY = _pipeline_sql()
 final("layered_run", f"WITH {_P_CTES}\n{_P_BODY}")
 
+# ---------------------------------------------------------------- load-time rejects
+def _rejects_sql() -> str:
+    from finsight import schemas
+    from finsight.sources.fixtures import OTHER_TWICE, REFUSED, SAME_TWICE
+    # what each defect is to the declared table; a padded text that fits without its padding is nothing
+    meaning = {("clients", "client_id"): "key_missing", ("clients", "nom"): "too_long", ("clients", "ville"): None,
+               ("transactions", "client_id"): None, ("transactions", "canal"): "too_long",
+               ("transactions", "date_transaction"): "coerced", ("contrats", "statut"): "too_long"}
+    ctes, parts = [], []
+    for t in schemas.LOAD_ORDER:
+        pk, flags, seen, fk_value = schemas.PRIMARY_KEYS[t], {}, {}, {}
+        for column, modulus, remainder, text in REFUSED[t]:
+            hit = f"(k % {modulus} = {remainder}" + "".join(f" AND NOT {h}" for h in seen.get(column, [])) + ")"
+            seen.setdefault(column, []).append(hit)
+            kind = "coerced" if text == "unknown" else meaning.get((t, column), "overflow")
+            if kind:
+                flags[f"{kind}|{column}"] = hit
+            if (t, column) == ("transactions", "client_id"):
+                fk_value[column] = f"CASE WHEN {hit} THEN 'CLI_none' ELSE client_id END"
+        local = " OR ".join(h for n, h in flags.items() if not n.startswith("coerced")) or "FALSE"
+        ctes.append(f"n_{t} AS (SELECT *, CAST(regexp_extract({pk}, '([0-9]+)', 1) AS BIGINT) AS k FROM raw_{t})")
+        ctes.append(f"x_{t} AS (SELECT *, 0 AS copy FROM n_{t} UNION ALL SELECT *, 1 FROM n_{t} WHERE k % {SAME_TWICE} = 0 "
+                    f"UNION ALL SELECT *, 2 FROM n_{t} WHERE k % {OTHER_TWICE} = 0)")
+        late = {f"duplicate|{pk}": f"(NOT is_local AND row_number() OVER (PARTITION BY {pk}, is_local ORDER BY copy) > 1)"}
+        for column, parent, parent_col in schemas.FOREIGN_KEYS.get(t, []):
+            value = fk_value.get(column, column)
+            late[f"orphan|{column}"] = f"({value} IS NOT NULL AND {value} NOT IN (SELECT {parent_col} FROM ok_{parent}))"
+        ctes.append(f"l_{t} AS (SELECT *, ({local}) AS is_local FROM x_{t})")
+        named = ", ".join(f'{h} AS "{n}"' for n, h in {**flags, **late}.items())
+        bad = " OR ".join(f'"{n}"' for n in [*flags, *late] if not n.startswith("coerced"))
+        ctes.append(f"f_{t} AS (SELECT *, {named} FROM l_{t})")
+        ctes.append(f"j_{t} AS (SELECT *, ({bad}) AS is_rejected FROM f_{t})")
+        ctes.append(f"ok_{t} AS (SELECT DISTINCT {pk} FROM j_{t} WHERE NOT is_rejected)")
+        for n, cond in {**{n: f'"{n}"' for n in [*flags, *late]}, "rejected": "is_rejected", "accepted": "NOT is_rejected"}.items():
+            parts.append(f"SELECT '{t}' AS table_name, '{n}' AS rule, count(*) AS n_rows FROM j_{t} WHERE {cond} HAVING count(*) > 0")
+    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(parts)
+
+
+final("ingest_rejects", _rejects_sql())
+
+
+# ---------------------------------------------------------------- layered run on quarantined input
+def _clean_run() -> None:
+    """Raw tables without the rows that break a rule, parents first; every model and test reads those."""
+    from finsight import schemas
+    from finsight.operators.quality import SOURCE_CHECKS
+    own, counted = {}, []
+    for t in schemas.LOAD_ORDER:
+        pk = schemas.PRIMARY_KEYS[t]
+        rules = {f"key_missing|{pk}": f"{pk} IS NULL"}
+        rules |= {f"too_long|{c}": f"length(trim({c})) > {n}" for c, n in schemas.MAX_LENGTHS[t].items()}
+        for ch in SOURCE_CHECKS:
+            if ch.model == t and ch.column != pk and ch.kind == "not_null":
+                rules[f"not_null|{ch.column}"] = f"{ch.column} IS NULL"
+            elif ch.model == t and ch.kind == "accepted_values":
+                rules[f"accepted_values|{ch.column}"] = f"{ch.column} NOT IN ({', '.join(_lit(v) for v in ch.values)})"
+        rules |= {f"orphan|{c}": f"{c} IS NOT NULL AND {c} NOT IN (SELECT {pc} FROM raw_{parent})"
+                  for c, parent, pc in schemas.FOREIGN_KEYS.get(t, [])}
+        own[f"all_{t}"] = CTES[f"raw_{t}"]
+        own[f"raw_{t}"] = f"SELECT * FROM all_{t} WHERE " + " AND ".join(f"NOT coalesce({r}, FALSE)" for r in rules.values())
+        counted += [f"SELECT 'quarantine' AS step, {_lit(f'{t}.{n}')} AS name, 'rejected' AS status, CAST(count(*) AS VARCHAR) AS detail "
+                    f"FROM all_{t} WHERE {r} HAVING count(*) > 0" for n, r in rules.items()]
+        counted.append(f"SELECT 'quarantine', {_lit(t)}, 'accepted', CAST(count(*) AS VARCHAR) FROM raw_{t}")
+    OWN_CTES["layered_run_clean"] = own
+    final("layered_run_clean", f"WITH {_P_CTES}\n" + "\nUNION ALL\n".join([*counted, _P_BODY]))
+
+
+_clean_run()
+
 # ---------------------------------------------------------------- normalisation steps
 cte("defect_text", """
 SELECT transaction_id, event_id,

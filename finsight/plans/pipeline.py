@@ -6,6 +6,13 @@ written as Parquet tables and read back, which also cuts their lineage), run the
 declared checks (the source checks run with the staging layer), store failing rows under
 ``<root>/test_failures/<test_id>``, and stop before the next layer when a check of severity
 ``error`` fails. Models can be selected by tag.
+
+With ``quarantine`` the run goes on instead: raw rows that break a declared rule of their table (keys, lengths, foreign keys, and
+the source checks) are set aside under ``<root>/quarantine`` before the first layer, with those that refer to them, and the
+layers are built and tested on the others.
+
+Tables are published in one step (``sources.snapshots``); each says which raw rows and parameters it was made from, and a later run takes
+it only if both are its own.
 """
 
 from __future__ import annotations
@@ -13,13 +20,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finsight import schemas
 from finsight.operators import features, quality, staging
 from finsight.params import Params
 from finsight.plans import marts
+from finsight.sources import loader, rejects, snapshots
 
 LAYERS = ["staging", "intermediate", "marts"]
 
@@ -104,23 +112,29 @@ class PipelineFailed(RuntimeError):
 def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], p: Params, root: str,
                  layers: list[str] | None = None, tags: set[str] | None = None,
                  run_tests: bool = True, raise_on_failure: bool = False,
-                 materialize_all: bool = False,
-                 reuse_materialized: bool = True) -> tuple[dict[str, DataFrame], list[StepResult]]:
+                 materialize_all: bool = False, reuse_materialized: bool = True,
+                 raw_id: str | None = None, quarantine: bool = False) -> tuple[dict[str, DataFrame], list[StepResult]]:
     """K1: run → test → next layer. Returns the built relations and a step log.
 
     ``materialize_all=True`` writes views too (staging, intermediate): each layer is then computed
     once and read by every downstream model and test, and every layer boundary cuts the lineage
-    (the recommended mode on large inputs)."""
-    rel: dict[str, DataFrame] = dict(raw)
+    (the recommended mode on large inputs). ``raw_id`` names the state of the raw rows (``loader.snapshot_id``): tables
+    of an earlier run are only taken, and those of this run only offered, with such a name. ``quarantine`` sets bad raw rows
+    aside and goes on with the others."""
     log: list[StepResult] = []
     root = root.rstrip("/")
+    if quarantine:
+        raw = _quarantined(spark, raw, root, log)
+    rel: dict[str, DataFrame] = dict(raw)
+    key = None if raw_id is None else run_key(p, f"{raw_id} quarantined" if quarantine else raw_id)
+
     def ensure(name: str) -> DataFrame:
         """An upstream relation that was not selected resolves to the table an earlier run with the
-        same parameters wrote under ``root`` (like a reference to an existing relation); otherwise,
-        and for a table of another as-of date or other parameters, it is built on demand as a lazy view."""
+        same raw rows and parameters wrote under ``root`` (like a reference to an existing relation); otherwise
+        it is built on demand as a lazy view."""
         if name not in rel:
             up = REGISTRY[name]
-            stored = _read_stored(spark, root, up, p) if reuse_materialized else None
+            stored = _read_stored(spark, root, up, key) if reuse_materialized else None
             if stored is not None:
                 rel[name] = stored
                 log.append(StepResult("read", name, "ok", "stored table"))
@@ -133,7 +147,7 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], p: Params, root
         for m in select(layer, tags):
             df = m.build(*[ensure(d) for d in m.deps], p)
             if m.materialized == "table" or materialize_all:
-                df = _store(spark, df, root, m, p)
+                df = _store(spark, df, root, m, key)
             rel[m.name] = df
             log.append(StepResult("run", m.name, "ok", "table" if materialize_all else m.materialized))
         if run_tests:
@@ -146,39 +160,50 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], p: Params, root
     return rel, log
 
 
-def run_key(p: Params) -> str:
-    """What a stored table depends on besides the raw rows: the as-of date and every parameter."""
-    return repr(p)
+def run_key(p: Params, raw_id: str) -> str:
+    """What a stored table depends on: the raw rows, the as-of date and every parameter."""
+    return f"{raw_id} {p!r}"
+
+
+def _store(spark: SparkSession, df: DataFrame, root: str, m: Model, key: str | None) -> DataFrame:
+    """Publish a model's table under the key of this run (none: no later run takes it)."""
+    rows = df.hint("rebalance", *m.partition_by) if m.partition_by else df
+    found = snapshots.publish(rows, root, f"{m.layer}/{m.name}", key or "", m.partition_by)
+    return spark.read.parquet(found.path).select(*df.columns)
+
+
+def _read_stored(spark: SparkSession, root: str, m: Model, key: str | None) -> DataFrame | None:
+    """The stored table of a model if a run on the same raw rows with the same parameters published it, else None."""
+    found = snapshots.current(spark, root, f"{m.layer}/{m.name}")
+    return spark.read.parquet(found.path) if found is not None and key and found.key == key else None
 
 
-def _marker(root: str, m: Model) -> str:
-    return f"{root}/_runs/{m.layer}/{m.name}"
+def read_model(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The stored table of a model, whichever run published it."""
+    m = REGISTRY[name]
+    return snapshots.read(spark, root, f"{m.layer}/{m.name}")
 
 
-def _store(spark: SparkSession, df: DataFrame, root: str, m: Model, p: Params) -> DataFrame:
-    """Write a model's table; its marker names the run that wrote it and is blank while it is written."""
-    path = f"{root}/{m.layer}/{m.name}"
-    mark = lambda key: spark.range(1).select(F.lit(key).alias("run_key")).write.mode("overwrite") \
-        .parquet(_marker(root, m))
-    mark("")
-    w = df.hint("rebalance", *m.partition_by) if m.partition_by else df
-    w = w.write.mode("overwrite")
-    if m.partition_by:  # the largest mart: one directory per detection date
-        w = w.partitionBy(*m.partition_by)
-    w.parquet(path)
-    mark(run_key(p))
-    return spark.read.parquet(path).select(*df.columns)
+def source_rules(table: str) -> dict[str, Column]:
+    """The declared source checks of a table that a row breaks by itself, beyond its key."""
+    own = [c for c in quality.SOURCE_CHECKS if c.model == table and c.column != schemas.PRIMARY_KEYS[table]]
+    rules = {f"not_null|{c.column}": F.col(c.column).isNull() for c in own if c.kind == "not_null"}
+    return rules | {f"accepted_values|{c.column}": F.col(c.column).isNotNull() & ~F.col(c.column).isin(list(c.values))
+                    for c in own if c.kind == "accepted_values"}
 
 
-def _read_stored(spark: SparkSession, root: str, m: Model, p: Params) -> DataFrame | None:
-    """The stored table of a model if a run with the same parameters wrote it, else None."""
-    try:
-        keys = {r["run_key"] for r in spark.read.parquet(_marker(root, m)).collect()}  # one row
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return spark.read.parquet(f"{root}/{m.layer}/{m.name}") if keys == {run_key(p)} else None
+def _quarantined(spark: SparkSession, raw: dict[str, DataFrame], root: str, log: list[StepResult]) -> dict[str, DataFrame]:
+    """The raw rows that break no rule, parents first; the others stay under ``<root>/quarantine`` with their reasons."""
+    kept: dict[str, DataFrame] = {}
+    given = set(raw.keys())
+    for table in [t for t in schemas.LOAD_ORDER if t in given]:
+        rules = source_rules(table)
+        got = loader.load_table(spark, table, rejects.typed_rules(raw[table], table, rules), f"{root}/quarantine", more=rules,
+                                cascade=False, checked=set(kept))
+        kept[table] = loader.read_table(spark, f"{root}/quarantine", table)
+        log += [StepResult("quarantine", f"{table}.{rule}", "rejected", str(n)) for rule, n in sorted(got.counts.items())]
+        log.append(StepResult("quarantine", table, "accepted", str(got.rows)))
+    return kept
 
 
 def _test(spark: SparkSession, checks, rel, root: str, log: list[StepResult]) -> bool:

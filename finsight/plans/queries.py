@@ -462,6 +462,29 @@ def q_stream_ingest_csv(spark, sf_dir):
     return run_ingest(spark, "transactions", f"{base}/landing/*", f"{base}/raw", f"{base}/_checkpoint")
 
 
+@query("ingest_rejects")
+def q_ingest_rejects(spark, sf_dir):
+    """All five tables exported with values that the declared tables refuse (no key, over-long text, numbers beyond their
+    precision, rows that come twice, foreign keys to nothing) and loaded: rows accepted, rejected, and by reason."""
+    from finsight.sources import loader
+    base, raw = _scratch(spark), shared_raw(spark, sf_dir)
+    for t, df in raw.items():
+        csv_ingest.write_csv(fixtures.refused_csv_text(df, t), f"{base}/landing/{t}")
+    results = loader.load_raw(spark, {t: f"{base}/landing/{t}" for t in raw}, f"{base}/raw")
+    if not loader.all_loaded(results):
+        raise RuntimeError(f"load failed: {[r for r in results if r.status != 'loaded']}")
+    return loader.reject_counts(spark, f"{base}/raw")
+
+
+@query("layered_run_clean")
+def q_layered_run_clean(spark, sf_dir):
+    """Layered run that sets raw rows breaking a declared rule aside and goes on to the marts; returns the step log."""
+    from finsight.plans import pipeline
+    m = _m(spark, sf_dir)
+    _, log = pipeline.run_pipeline(spark, m.raw, m.p, _scratch(spark), quarantine=True)
+    return pipeline.log_frame(spark, log).drop("seq")
+
+
 @query("layered_run")
 def q_layered_run(spark, sf_dir):
     """Layered run (staging -> tests -> intermediate -> tests -> marts -> tests) with the test

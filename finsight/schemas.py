@@ -98,6 +98,10 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
     "primes": PRIMES,
 }
 
+# Text columns that hold a time of day, and timestamps that a load truncates to the day.
+TIME_COLUMNS = {"heure_transaction"}
+DAY_COLUMNS = {"date_creation"}
+
 # Primary key and foreign keys of the raw layer (parent table, parent column).
 PRIMARY_KEYS = {
     "clients": "client_id",

@@ -295,3 +295,36 @@ def clients_csv_text(customer: DataFrame) -> DataFrame:
         .otherwise(F.col("score_credit").cast("string")).alias("score_credit"),
         F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss").alias("loaded_at"),
     )
+
+
+# Fixed values: (column, modulus, remainder, text) of the defects that a declared table refuses; of a column's defects the first counts.
+REFUSED = {
+    "clients": [("client_id", 71, 3, ""), ("nom", 41, 5, "x" * 120), ("ville", 43, 7, " " * 60 + "Lyon" + " " * 60),
+                ("score_credit", 53, 9, "99999999999"), ("score_credit", 59, 1, "unknown")],
+    "transactions": [("montant", 61, 2, "123456789012345678.9"), ("client_id", 67, 4, "CLI_none"), ("canal", 73, 5, "y" * 51),
+                     ("date_transaction", 79, 6, "31/31/2024")],
+    "contrats": [("capital_assure", 37, 2, "1e15"), ("statut", 47, 1, "z" * 60)],
+    "sinistres": [("montant_declare", 83, 3, "-99999999999.99"), ("delai_traitement_jours", 89, 2, "2147483648")],
+    "primes": [("montant_prime", 97, 0, "100000000")],
+}
+# Rows whose number is a multiple come twice, as they are or with another text in a column.
+SAME_TWICE, OTHER_TWICE = 31, 29
+OTHER_COLUMN = {"clients": "adresse", "transactions": "categorie", "contrats": "mode_paiement",
+                "sinistres": "type_sinistre", "primes": "statut_paiement"}
+
+
+def refused_csv_text(raw: DataFrame, table: str) -> DataFrame:
+    """The rows of a raw table as CSV text, some of them with values that the declared table refuses, some twice.
+
+    Which row gets what depends on the number in its id only."""
+    from finsight.schemas import PRIMARY_KEYS
+    from finsight.sources.csv_ingest import to_csv_strings
+    k = F.regexp_extract(PRIMARY_KEYS[table], "([0-9]+)", 1).cast("long")
+    text = to_csv_strings(raw).withColumn("_k", k)
+    out = {c: F.col(c) for c in raw.columns}
+    for column, modulus, remainder, defect in reversed(REFUSED[table]):
+        out[column] = F.when(F.col("_k") % modulus == remainder, F.lit(defect)).otherwise(out[column])
+    text = text.select(*[c.alias(n) for n, c in out.items()], "_k")
+    again = text.where(F.col("_k") % SAME_TWICE == 0)
+    other = text.where(F.col("_k") % OTHER_TWICE == 0).withColumn(OTHER_COLUMN[table], F.lit("copy"))
+    return text.unionByName(again).unionByName(other).drop("_k")
