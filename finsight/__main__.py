@@ -104,6 +104,10 @@ def cmd_run(args) -> int:
                                      quarantine=args.quarantine)
     for step in log:
         print(json.dumps(step.__dict__))
+    if args.catalog is not None:
+        from finsight.plans import catalog
+        for layer, name, kind in catalog.register(spark, args.root, os.path.join(args.root, "raw"), args.catalog):
+            print(json.dumps({"registered": f"{args.catalog}{layer}.{name}", "kind": kind}))
     return 1 if log and log[-1].step == "stop" else 0
 
 
@@ -160,6 +164,8 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--materialize-all", action="store_true", help="write staging and intermediate too")
     r.add_argument("--quarantine", action="store_true",
                    help="set raw rows that break a declared rule aside and go on with the others")
+    r.add_argument("--catalog", nargs="?", const="", metavar="PREFIX",
+                   help="register the stored relations, one database a layer (names begin with PREFIX)")
     r.add_argument("--no-tests", action="store_true", help="skip the declared checks (no gate)")
     r.add_argument("--z-threshold", type=float, help="amount anomaly when |z| is above (default 3)")
     r.add_argument("--freq-threshold", type=int, help="frequency anomaly above this many per day (default 5)")

@@ -1051,6 +1051,25 @@ def _clean_run() -> None:
 
 _clean_run()
 
+# ---------------------------------------------------------------- catalog
+def _catalog_sql() -> tuple[str, str]:
+    from finsight import descriptions, schemas
+    from finsight.plans.pipeline import REGISTRY
+    named = [("raw", t, "table", f"SELECT * FROM raw_{t}") for t in schemas.LOAD_ORDER]
+    for m in REGISTRY.values():
+        rows = FINAL[m.name] if m.layer == "marts" or m.name.startswith("int_") else f"SELECT * FROM {m.name}"
+        named.append((m.layer, m.name, m.materialized, rows))
+    counts = "\nUNION ALL\n".join(f"SELECT '{layer}' AS layer, '{n}' AS relation, '{kind}' AS kind, count(*) AS n_rows FROM ({sql})"
+                                  for layer, n, kind, sql in named)
+    said = [(f"{layer}.{n}", c, text) for layer, n, _, _ in named for c, text in
+            [("", descriptions.of(n)[0]), *descriptions.of(n)[1].items()] if text]
+    values = ", ".join(f"({_lit(r)}, {_lit(c)}, {_lit(t)})" for r, c, t in said)
+    return counts, f"SELECT relation, column_name, comment FROM (VALUES {values}) v(relation, column_name, comment)"
+
+
+for _key, _sql in zip(("catalog_relations", "catalog_comments"), _catalog_sql(), strict=True):
+    final(_key, _sql)
+
 # ---------------------------------------------------------------- normalisation steps
 cte("defect_text", """
 SELECT transaction_id, event_id,

@@ -485,6 +485,38 @@ def q_layered_run_clean(spark, sf_dir):
     return pipeline.log_frame(spark, log).drop("seq")
 
 
+def _catalogued(spark, sf_dir, read):
+    """What ``read`` finds in the catalog after a load and a run were registered there under a prefix of their own."""
+    from finsight.plans import catalog, pipeline
+    from finsight.sources import loader, rejects
+    m, root, prefix = _m(spark, sf_dir), _scratch(spark), f"fs_{uuid.uuid4().hex[:12]}_"
+    for t, df in m.raw.items():
+        loader.load_table(spark, t, rejects.typed_rules(df, t), f"{root}/raw", cascade=False)
+    raw = {t: loader.read_table(spark, f"{root}/raw", t) for t in m.raw}
+    pipeline.run_pipeline(spark, raw, m.p, root, run_tests=False, materialize_all=True)
+    try:
+        catalog.register(spark, root, f"{root}/raw", prefix)
+        return read(catalog, prefix)
+    finally:
+        catalog.unregister(spark, prefix)
+
+
+@query("catalog_relations")
+def q_catalog_relations(spark, sf_dir):
+    """Every relation of the four layers as the catalog lists it, and its rows counted by name in SQL."""
+    def read(catalog, prefix):
+        return [(layer, name, kind, spark.sql(f"SELECT count(*) FROM `{prefix}{layer}`.`{name}`").first()[0])
+                for layer, name, kind in catalog.relations(spark, prefix)]
+    return spark.createDataFrame(_catalogued(spark, sf_dir, read), "layer string, relation string, kind string, n_rows long")
+
+
+@query("catalog_comments")
+def q_catalog_comments(spark, sf_dir):
+    """The descriptions of relations and columns as the catalog holds them."""
+    rows = _catalogued(spark, sf_dir, lambda catalog, prefix: catalog.comments(spark, prefix))
+    return spark.createDataFrame(rows, "relation string, column_name string, comment string")
+
+
 @query("layered_run")
 def q_layered_run(spark, sf_dir):
     """Layered run (staging -> tests -> intermediate -> tests -> marts -> tests) with the test
