@@ -68,3 +68,37 @@ FROM documents JOIN least USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
 ORACLES = {"op3_warc_revisits": OP3, "op6_minhash": OP6, "op7_decontaminate": OP7}
+
+
+def _op11(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Plain k-means: every part against every entry of its codebook in every round."""
+    ctes = [f"""kept AS MATERIALIZED (
+SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS r, vec_id, label,
+       list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+FROM embeddings WHERE embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0)""",
+            f"""pts AS MATERIALIZED (SELECT r, p, list_slice(v, p * (len(v) // {parts}) + 1, (p + 1) * (len(v) // {parts})) AS x
+FROM kept, (SELECT unnest(range({parts})) AS p))""",
+            f"book0 AS MATERIALIZED (SELECT p, r AS e, x AS c FROM pts WHERE r < {entries})"]
+    for n in range(rounds + 1):
+        ctes.append(f"""near{n} AS MATERIALIZED (
+SELECT r, p, CAST(k AS BIGINT) % {entries} AS e, CAST(k AS BIGINT) // {entries} AS d
+FROM (SELECT r, pts.p, min({entries} * (list_dot_product(x, x) - 2 * list_dot_product(x, c) + list_dot_product(c, c)) + e) AS k
+      FROM pts JOIN book{n} b ON b.p = pts.p GROUP BY r, pts.p))""")
+        if n < rounds:
+            ctes.append(f"""mean{n} AS MATERIALIZED (
+SELECT p, e, list(m ORDER BY i) AS c FROM (
+  SELECT p, e, i, floor(sum(y) / count(*)) AS m
+  FROM (SELECT near{n}.p, near{n}.e, unnest(x) AS y, unnest(range(len(x))) AS i FROM near{n} JOIN pts USING (r, p)) GROUP BY p, e, i)
+GROUP BY p, e)""")
+            ctes.append(f"""book{n + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{n} b LEFT JOIN mean{n} m USING (p, e))""")
+    return "WITH " + ",\n".join(ctes) + f""",
+said AS (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda y: CAST(CAST(y AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY p, e)) AS h
+         FROM book{rounds}),
+coded AS (SELECT r, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM near{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM kept JOIN coded USING (r), said
+"""
+
+
+ORACLES["op11_vector_codes"] = _op11()
