@@ -62,6 +62,11 @@ def discard(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def by_value(thing: object) -> bytes:
+    """An object of this subpackage as bytes that a task can load without the package (``cloudpickle.loads``)."""
+    return cloudpickle.dumps(thing)
+
+
 def fresh(df: DataFrame, stem: str) -> str:
     """A column name that the frame does not have yet."""
     taken = {c.lower() for c in df.columns}

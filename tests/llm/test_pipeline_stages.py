@@ -1,0 +1,121 @@
+"""The pipeline on a planted corpus: every stage against a plain version of its rule on what its predecessor kept."""
+
+import re
+
+import pytest
+from llm_util import generator, sentence
+
+import corpus_pipeline as pipeline
+
+CLEAN = {"en": "the of and to in is that it was for on with as his they be at one have this from by hot but some what there we can out other",
+         "fr": "le de un être et à il avoir ne je son que se qui ce dans en du elle au pour pas vous par sur faire plus dire me on mon lui"}
+BAD = "filthy worthless scum"
+
+
+def word_text(rng, lang, n):
+    return " ".join(f"{rng.choice(CLEAN[lang].split())}{rng.randrange(60)}" for _ in range(n))
+
+
+def planted():
+    """(documents, labels, benchmark, roles): roles name what each doc_id was planted as."""
+    rng, docs, labels, roles = generator(), [], [], {}
+
+    def add(text, lang, role):
+        docs.append((len(docs), text, lang, f"src{len(docs) % 5}", len(text or "")))
+        roles[len(docs) - 1] = role
+        return len(docs) - 1
+
+    for k in range(160):
+        lang = "en" if k % 2 else "fr"
+        labels.append((add(word_text(rng, lang, rng.randint(40, 90)), lang, "clean"), 1, 0))
+    for k in range(60):
+        words = word_text(rng, "en", 50).split()
+        words[20:20] = (BAD + " ").split() * 4
+        labels.append((add(" ".join(words), "en", "toxic"), 0, 1))
+    add("12345 67890 !!! ???", None, "no language")
+    add(None, None, "no language")
+    base = docs[3][1]
+    add(base, "en", "copy of 3")
+    add(base.upper(), "en", "copy of 3")
+    near = docs[5][1].split()
+    near += word_text(rng, "en", 2).split()
+    add(" ".join(near), "en", "near copy of 5")
+    test = sentence(rng, 30)
+    add(word_text(rng, "en", 30) + " " + test + " " + word_text(rng, "en", 30), "en", "leak")
+    return docs, labels, [(1, test), (2, sentence(rng, 4))], roles
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    """What every stage kept, by name, and the planted roles."""
+    docs, labels, benchmark, roles = planted()
+    base = str(tmp_path_factory.mktemp("planted"))
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{base}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{base}/labels.parquet")
+    spark.createDataFrame(benchmark, "item_id long, text string").write.parquet(f"{base}/benchmark.parquet")
+    now, kept = spark.read.parquet(f"{base}/documents.parquet"), {}
+    for k, (name, stage) in enumerate(pipeline.STAGES):
+        stage(spark, now, base).write.parquet(f"{base}/stage{k}")
+        now = spark.read.parquet(f"{base}/stage{k}")
+        kept[name] = now.collect()
+    return docs, benchmark, roles, kept, base
+
+
+def ids(rows):
+    return {r.doc_id for r in rows}
+
+
+def shingles(text):
+    w = re.findall(r"[^ \t-\r]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
+    return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def test_order_and_columns(stages):
+    _, _, _, kept, _ = stages
+    assert [n for n, _ in pipeline.STAGES] == ["language ID", "toxicity", "near-duplicates", "decontamination", "packing"]
+    for name, _ in pipeline.STAGES[:-1]:
+        assert list(kept[name][0].asDict()) == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_each_stage_against_its_rule(stages):
+    docs, benchmark, roles, kept, _ = stages
+    start = set(roles)
+    assert ids(kept["language ID"]) == {i for i in start if roles[i] != "no language"}
+    # toxicity: all planted ones go, clean ones stay
+    before, after = ids(kept["language ID"]), ids(kept["toxicity"])
+    assert not {i for i in after if roles[i] == "toxic"} and before - after <= {i for i in before if roles[i] == "toxic"}
+    # near duplicates: components of all pairs with similarity of 0.8 or more, the smallest id of each stays
+    texts = {i: shingles(docs[i][1]) for i in after}
+    root = {i: i for i in after}
+    for i in sorted(after):
+        for j in sorted(after):
+            if i < j and texts[i] and 100 * len(texts[i] & texts[j]) >= 80 * len(texts[i] | texts[j]):
+                a, b = sorted((root[i], root[j]))
+                root = {k: a if r == b else r for k, r in root.items()}
+    assert ids(kept["near-duplicates"]) == {i for i, r in root.items() if i == r}
+    assert sum(roles[i].startswith(("copy", "near")) for i in ids(kept["near-duplicates"])) == 0
+    # decontamination: no window of ten words (or a whole shorter item) of the benchmark
+    plain = lambda t: [w.lower() for w in re.findall(r"[0-9A-Za-z\u0080-\U0010ffff]+", t or "")]
+    grams = set()
+    for _, t in benchmark:
+        w = plain(t)
+        grams |= {tuple(w[i:i + 10]) for i in range(max(1, len(w) - 9))}
+    clean = {i for i in ids(kept["near-duplicates"]) if not any(
+        tuple(plain(docs[i][1])[k:k + n]) in grams for n in {len(g) for g in grams} for k in range(len(plain(docs[i][1]))))}
+    assert ids(kept["decontamination"]) == clean and not {i for i in clean if roles[i] == "leak"}
+    # packing: every document that is left, whole, in bins without overlap
+    packed = kept["packing"]
+    assert ids(packed) == clean
+    for i in clean:
+        assert sum(r.n_tokens for r in packed if r.doc_id == i) == len(re.findall(r"[^ \t-\r]+", docs[i][1])) + 1
+    bins = {}
+    for r in packed:
+        bins.setdefault(r.bin_id, []).append((r.bin_offset, r.n_tokens))
+    for spans in bins.values():
+        spans.sort()
+        assert all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:], strict=False)) and spans[-1][0] + spans[-1][1] <= 2048
+
+
+def test_run_gives_the_last_stage(spark, stages):
+    _, _, _, kept, base = stages
+    assert sorted(map(str, pipeline.run(spark, base).collect())) == sorted(map(str, kept["packing"]))
