@@ -455,10 +455,11 @@ def q_stream_ingest_csv(spark, sf_dir):
     base = _scratch(spark)
     text = fixtures.transactions_csv_text(fixtures.read_driver_table(spark, sf_dir, "events"))
     day = F.col("date_transaction")
-    first = text.filter(day.isNotNull() & (day < "2024-01-16"))
+    early = F.coalesce(day < "2024-01-16", F.lit(False))
+    first = text.filter(early)
     csv_ingest.write_csv(first, f"{base}/landing/part=1")
     run_ingest(spark, "transactions", f"{base}/landing/*", f"{base}/raw", f"{base}/_checkpoint")
-    csv_ingest.write_csv(text.exceptAll(first), f"{base}/landing/part=2")
+    csv_ingest.write_csv(text.filter(~early), f"{base}/landing/part=2")
     return run_ingest(spark, "transactions", f"{base}/landing/*", f"{base}/raw", f"{base}/_checkpoint")
 
 

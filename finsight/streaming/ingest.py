@@ -10,6 +10,7 @@ committed, so a re-run after a failure neither loses nor duplicates a file.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,6 +18,10 @@ from finsight import schemas
 from finsight.sources.csv_ingest import FREE_TEXT, QUOTING, normalize
 
 
+#: Tasks (and files) that share the rows of one day in a run.
+FILES_PER_DAY = 8
+
+
 def string_schema(table: str) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schemas.RAW_SCHEMAS[table].fields])
 
@@ -37,8 +42,9 @@ def start_ingest(spark: SparkSession, table: str, landing_dir: str, target_dir:
     """Start one ``availableNow`` run; call ``.awaitTermination()`` on the result."""
     from finsight.sources.loader import PARTITION_BY
     stream = landed_csv_stream(spark, table, landing_dir, truncate_dates)
-    if table in PARTITION_BY:  # a day's rows meet in one task: one file per day and run, not one per task
-        stream = stream.repartition(PARTITION_BY[table])
+    if table in PARTITION_BY:  # a day's rows meet in a few tasks: few files per day and run, and no day in one task
+        part = F.pmod(F.xxhash64(schemas.PRIMARY_KEYS[table]), F.lit(FILES_PER_DAY))
+        stream = stream.repartition(F.col(PARTITION_BY[table]), part)
     w = (stream.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True))
