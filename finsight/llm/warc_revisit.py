@@ -13,8 +13,8 @@ each (range, URL), a small table that carries it on to the later ranges of that
 metadata moves; a body is joined by the resolved id when it is wanted (``attach_body``).
 
 Edge cases: a null url or time never resolves (``no_original``) and a full response with either is never an original.
-Of full responses at one time the one with the largest id counts as the latest. Header names are given in lower case;
-a null header map is empty. Repeated rows are resolved each on its own.
+Of full responses at one time the one with the largest id counts as the latest. Header names match in any case and keep
+theirs; a null header map is empty. Page ids beyond 2^60 give record ids by hash. Repeated rows are resolved each on its own.
 """
 
 from __future__ import annotations
@@ -42,17 +42,18 @@ def canonical_url(url: Column) -> Column:
 
 
 def merged_headers(original: Column, update: Column) -> Column:
-    """The stored headers with the permitted ones of the not-modified response laid over them."""
+    """The stored headers with the permitted ones of the not-modified response laid over them, whatever the case of their names."""
     none = F.create_map().cast("map<string,string>")
     stored = F.coalesce(original, none)
-    laid = F.map_filter(F.coalesce(update, none), lambda k, v: ~k.isin(*KEPT_FIELDS))
-    return F.map_concat(F.map_filter(stored, lambda k, v: ~F.array_contains(F.map_keys(laid), k)), laid)
+    laid = F.map_filter(F.coalesce(update, none), lambda k, v: ~F.lower(k).isin(*KEPT_FIELDS))
+    names = F.transform(F.map_keys(laid), F.lower)
+    return F.map_concat(F.map_filter(stored, lambda k, v: ~F.array_contains(names, F.lower(k))), laid)
 
 
 def resolve(records: DataFrame) -> DataFrame:
     """One row per revisit record: record_id, canonical, ts, state, original_id, original_ts, headers.
 
-    ``records``: record_id, url, ts, is_full, etag, last_modified, headers (map of lower-case names)."""
+    ``records``: record_id, url, ts, is_full, etag, last_modified, headers (map of names to values)."""
     spark = prepare(records.sparkSession)
     rec = records.select(
         F.col("record_id").alias("rid"), canonical_url(F.col("url")).alias("curl"), F.col("ts").alias("ts"),
@@ -96,12 +97,17 @@ def attach_body(resolved: DataFrame, bodies: DataFrame, id_col: str = "record_id
                          "original_id", "left")
 
 
+FITS = (1 << 60) - 1
+
+
 def captures_of(pages: DataFrame) -> DataFrame:
     """Capture records of a crawl that visits each page several times, derived from the page rows.
 
     A page is visited 1 + page_id % 5 times. The first visit is a full response (but for every seventh page, whose
     first one is lost), a later one in most cases a not-modified revisit; some miss a validator or have another etag."""
-    visits = pages.select("page_id", "url", F.md5(F.coalesce(F.col("html"), F.lit("")).cast("binary")).alias("digest"),
+    wide = F.col("page_id").between(-FITS, FITS)  # eight times it is a long
+    visits = pages.select(F.when(wide, F.col("page_id")).otherwise(F.col("page_id") % FITS).alias("page_id"),
+                          F.when(~wide, F.col("page_id")).alias("far_id"), "url", F.md5(F.coalesce(F.col("html"), F.lit("")).cast("binary")).alias("digest"),
                           F.length(F.coalesce(F.col("html"), F.lit(""))).alias("size"),
                           F.explode(F.sequence(F.lit(0), F.coalesce(F.col("page_id") % 5, F.lit(0)))).alias("visit"))
     mark = (F.col("page_id") + F.col("visit")) % 11
@@ -115,7 +121,8 @@ def captures_of(pages: DataFrame) -> DataFrame:
         F.when(full, F.lit("content-type")).otherwise(F.lit("x-cache")),
         F.when(full, F.lit("text/html")).otherwise(F.lit("hit")))
     return visits.select(
-        (F.col("page_id") * 8 + F.col("visit")).alias("record_id"), "url",
+        F.when(F.col("far_id").isNull(), F.col("page_id") * 8 + F.col("visit"))
+        .otherwise(F.xxhash64("far_id", "visit")).alias("record_id"), "url",
         (F.col("page_id") % 1000 * 10 + F.col("visit") * 3600).cast("long").alias("ts"), full.alias("is_full"),
         F.when(mark != 7, F.when(mark == 9, F.concat(F.lit("W/"), etag)).otherwise(etag)).alias("etag"),
         F.when(mark != 8, modified).alias("last_modified"), headers.alias("headers"))

@@ -66,3 +66,20 @@ def test_body_of_the_original(spark):
     rows = [(0, "http://a.b/", 1, True, "e", None, None, "s"), (1, "http://a.b/", 5, False, "e", None, None, "s")]
     found = op.attach_body(op.resolve(spark.createDataFrame(rows, SCHEMA)), spark.createDataFrame([(0, "text")], "record_id long, body string"))
     assert [(r.record_id, r.body) for r in found.collect()] == [(1, "text")]
+
+
+def test_header_names_in_any_case(spark):
+    rows = [({"Content-Type": "text/html", "ETag": "a", "Date": "1"}, {"CONTENT-TYPE": "x", "Content-Length": "0", "date": "2", "X-New": "n"}),
+            ({"ETag": "a", "etag": "b"}, None), (None, {"Connection": "close", "A": "1"})]
+    df = spark.createDataFrame(rows, "o map<string,string>, u map<string,string>")
+    got = [r[0] for r in df.select(op.merged_headers(df["o"], df["u"])).collect()]
+    assert got == [{"Content-Type": "text/html", "ETag": "a", "date": "2", "X-New": "n"}, {"ETag": "a", "etag": "b"}, {"A": "1"}]
+
+
+def test_page_ids_of_any_size(spark):
+    ids = [2 ** 62, 2 ** 63 - 1, -2 ** 63, 2 ** 60, -2 ** 62 + 3, None, 9]
+    df = spark.createDataFrame([(i, "http://a/x", "h") for i in ids], "page_id long, url string, html string")
+    records = op.captures_of(df).collect()
+    named = [r.record_id for r in records if r.record_id is not None]
+    assert len(set(named)) == len(named) and {72, 73, 74, 75, 76} <= set(named)
+    assert op.report(df).count() == sum(not r.is_full for r in records)
