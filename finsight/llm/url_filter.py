@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finsight.llm.common import prepare, ship_by_value, text_bytes
+from finsight.llm.common import fresh, prepare, ship_by_value, text_bytes
 
 ORDER = 4
 CONTEXTS = 1 << 14
@@ -167,15 +167,18 @@ def fit(ruled: DataFrame) -> Model | None:
     share = hist / hist.sum(1, keepdims=True)
     above = np.cumsum(share[1][::-1])[::-1]            # accepted urls at or above the bin
     under = np.concatenate([[0], np.cumsum(share[0])[:-1]])  # rejected urls below it
-    best = above + under
-    at = np.flatnonzero(best >= best.max() - 1e-12)
-    # of the equally good bins the middle of the run nearest to zero
-    near = at[np.abs(at - SPREAD).argmin()]
-    run = at[(at >= near - 1) | (at <= near + 1)]
-    model.threshold = float((int(np.median(run)) - SPREAD) * BIN)
+    model.threshold = float((best_bin(above + under) - SPREAD) * BIN)
     return model
 
 
+def best_bin(gain: np.ndarray) -> int:
+    """Of the equally good bins the middle of the run nearest to zero (the middle of ``gain``)."""
+    at = np.flatnonzero(gain >= gain.max() - 1e-12)
+    runs = np.split(at, np.flatnonzero(np.diff(at) > 1) + 1)
+    nearest = min(runs, key=lambda run: np.abs(run - len(gain) // 2).min())
+    return int(np.median(nearest))
+
+
 def judge_urls(pages: DataFrame, url_col: str = "url", rules=RULES) -> DataFrame:
     """``pages`` with host, path, rule, verdict and url_score as a struct column ``url_judged``."""
     prepare(pages.sparkSession)
@@ -184,13 +187,14 @@ def judge_urls(pages: DataFrame, url_col: str = "url", rules=RULES) -> DataFrame
     model = fit(ruled.select("url", rule_of(F.col("host"), F.col("path"), rules)[1].alias("verdict")))
     host, path = host_of(url), path_of(url)
     score = llr(F.coalesce(url, F.lit("")), model) if model else F.lit(None).cast("double")
-    parts = pages.withColumn("__url", F.struct(host.alias("host"), path.alias("path"))) \
-        .withColumn("__score", score)
-    rule, verdict = rule_of(F.col("__url")["host"], F.col("__url")["path"], rules)
-    own = F.when(F.col("__score") < (model.threshold if model else 0.0), "block").otherwise("allow")
+    parts_col = fresh(pages, "url_parts")
+    parts = pages.withColumn(parts_col, F.struct(host.alias("host"), path.alias("path"), score.alias("score")))
+    part = F.col(parts_col)
+    rule, verdict = rule_of(part["host"], part["path"], rules)
+    own = F.when(part["score"] < (model.threshold if model else 0.0), "block").otherwise("allow")
     return parts.withColumn("url_judged", F.struct(
-        F.col("__url")["host"].alias("host"), F.col("__url")["path"].alias("path"), rule.alias("rule"),
-        F.coalesce(verdict, own).alias("verdict"), F.col("__score").alias("score"))).drop("__url", "__score")
+        part["host"].alias("host"), part["path"].alias("path"), rule.alias("rule"),
+        F.coalesce(verdict, own).alias("verdict"), part["score"].alias("score"))).drop(parts_col)
 
 
 def report(pages: DataFrame) -> DataFrame:

@@ -93,3 +93,22 @@ def test_threshold_separates_and_no_training(spark):
     model = op.fit(ruled.withColumn("verdict", F.when(F.col("url").contains("good"), "allow").otherwise("block")))
     s = op.scores([u.encode() for u in URLS], model.tables())
     assert np.all((s >= model.threshold) == (np.arange(80) < 40))
+
+
+def test_threshold_among_two_runs_of_ties():
+    gain = np.zeros(301)
+    gain[[20, 21, 22, 23]] = 1.9   # as good, but farther from zero
+    gain[[140, 141, 142, 143, 144]] = 1.9
+    assert op.best_bin(gain) == 142
+    gain[100] = 2.0
+    assert op.best_bin(gain) == 100
+    assert op.best_bin(np.ones(301)) == 150
+
+
+def test_columns_of_any_name_are_kept(spark):
+    names = ("__url", "__score", "url_parts", "url_parts_", "verdict", "rule")
+    df = pages(spark, URLS[:4])
+    for n in names:
+        df = df.withColumn(n, df["page_id"].cast("string"))
+    for r in op.judge_urls(df).collect():
+        assert all(r[n] == str(r.page_id) for n in names)
