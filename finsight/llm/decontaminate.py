@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finsight.llm.common import prepare, ship_by_value, text_bytes
+from finsight.llm.common import fresh, prepare, ship_by_value, text_bytes
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -179,8 +179,9 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **opti
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents in which no benchmark window occurs, with their own columns."""
-    scanned = scan_documents(docs, benchmark, out="__scan", **options)
-    return scanned.filter(F.col("__scan")["n_hit"] == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    out = fresh(docs, "scan")
+    scanned = scan_documents(docs, benchmark, out=out, **options)
+    return scanned.filter(F.col(out)["n_hit"] == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _cutter():

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from finsight.llm.common import crc_mod, prepare, ship_by_value
+from finsight.llm.common import crc_mod, fresh, prepare, ship_by_value
 
 PROFILE = 300
 ORDERS = (1, 2, 3)
@@ -216,12 +216,12 @@ def report(docs: DataFrame, id_col: str = "doc_id", folds: int = 4, held: int =
 def keep_identified(docs: DataFrame, training: DataFrame, accepted: list[str] | None = None,
                     least: float = 0.0) -> DataFrame:
     """The documents whose language is known (and among ``accepted``, when given) with a score of ``least`` or more."""
-    profiles = fit_profiles(training)
-    verdict = F.col("__lang")
+    profiles, judged = fit_profiles(training), fresh(docs, "language")
+    verdict = F.col(judged)
     keep = (verdict["lang"] != UNKNOWN) & (verdict["score"] >= least)
     if accepted is not None:
         keep &= verdict["lang"].isin(accepted)
-    return docs.withColumn("__lang", identify(F.col("text"), profiles)).filter(keep) \
+    return docs.withColumn(judged, identify(F.col("text"), profiles)).filter(keep) \
         .select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

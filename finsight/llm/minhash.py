@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finsight.llm.common import prepare, ship_by_value, text_bytes, written
+from finsight.llm.common import fresh, prepare, ship_by_value, text_bytes, written
 from finsight.session import ensure_checkpoint_dir
 
 SHINGLE = 5
@@ -413,8 +413,9 @@ def keep_one(docs: DataFrame, threshold_pct: int = 80, id_col: str = "doc_id", t
     twice = found.filter("group is not null").filter(F.col("id").eqNullSafe(F.col("component_id"))) \
         .groupBy("group").agg(F.count(F.lit(1)).alias("c"), F.min("cls").alias("__cls"), F.first("component_id").alias("__id")) \
         .filter("c > 1").select("__id", "__cls", "group").checkpoint()
-    marked = docs.withColumn("__cls", classes_of(text_bytes(text_col)))
-    same = lambda other: F.col(f"`{id_col}`").eqNullSafe(other["__id"]) & (marked["__cls"] == other["__cls"])
+    mark, of_group = fresh(docs, "cls"), fresh(docs, "group")
+    marked = docs.withColumn(mark, classes_of(text_bytes(text_col)))
+    same = lambda other: marked[f"`{id_col}`"].eqNullSafe(other["__id"]) & (marked[mark] == other["__cls"])
     kept = marked.join(gone, same(gone), "left_anti")
     if twice.isEmpty():
         return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
@@ -422,9 +423,9 @@ def keep_one(docs: DataFrame, threshold_pct: int = 80, id_col: str = "doc_id", t
         .filter(F.col("id").eqNullSafe(F.col("component_id"))).select(
             F.col("id").alias("__id"), F.col("cls").alias("__cls"), "group").distinct().checkpoint()
     whole = kept.join(again.drop("group"), same(again), "left_anti")
-    one = kept.alias("k").join(again.select(F.col("__id").alias("__rid"), F.col("__cls").alias("__rcls"), "group").alias("g"),
-                               F.col(f"k.`{id_col}`").eqNullSafe(F.col("g.__rid")) & (F.col("k.__cls") == F.col("g.__rcls"))) \
-        .dropDuplicates(["group"]).select(*[F.col(f"k.`{c}`") for c in docs.columns])
+    one = kept.alias("k").join(again.select(F.col("__id").alias("__rid"), F.col("__cls").alias("__rcls"), F.col("group").alias(of_group)).alias("g"),
+                               F.col(f"k.`{id_col}`").eqNullSafe(F.col("g.__rid")) & (F.col(f"k.{mark}") == F.col("g.__rcls"))) \
+        .dropDuplicates([of_group]).select(*[F.col(f"k.`{c}`") for c in docs.columns])
     return whole.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(one)
 
 

@@ -119,3 +119,22 @@ def test_each_stage_against_its_rule(stages):
 def test_run_gives_the_last_stage(spark, stages):
     _, _, _, kept, base = stages
     assert sorted(map(str, pipeline.run(spark, base).collect())) == sorted(map(str, kept["packing"]))
+
+
+def test_working_columns_never_replace_those_of_the_input(spark):
+    from pyspark.sql import functions as F
+
+    from finsight.llm import decontaminate, langid, minhash
+    rng = generator()
+    one, two = word_text(rng, "en", 30), word_text(rng, "fr", 30)
+    rows = [(1, one, "en", "a", 1), (2, two, "fr", "a", 1), (3, one + " more", "en", "a", 1), (1, one, "en", "b", 1), (None, two, "fr", "b", 1)]
+    names = ("__lang", "language", "__scan", "scan", "__cls", "cls", "__id", "__rid", "__rcls", "group", "c", "id")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long") \
+        .withColumns({n: F.concat(F.lit(n), F.col("source")) for n in names})
+    bench = spark.createDataFrame([("q", "nothing of the kind at all")], "item_id string, text string")
+    for kept in (langid.keep_identified(docs, langid.training_rows(docs)), decontaminate.clean_documents(docs, bench),
+                 minhash.keep_one(docs)):
+        assert kept.columns == docs.columns
+        got = kept.collect()
+        assert got and all(r[n] == n + r.source for r in got for n in names)
+    assert len(got) == 2  # one of the English, one of the French
