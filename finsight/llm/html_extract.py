@@ -5,18 +5,23 @@ line has a text-to-tag ratio (its characters over the tags met in it), the seque
 a Gaussian and split into content and boilerplate by threshold clustering (two means in one dimension). The content lines
 select the region: the innermost ``article`` or ``main`` that holds most of their text, else the deepest container
 with nearly all of it. Of that region every line is returned except those inside menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles and reader comments, which are known by element, role, or a word of the
-class or id. Outside an ``article`` or ``main``, lines that are mostly links, and lines before the first or after the last content line,
-are not part of the article either.
+sidebars, notices, adverts, forms, scripts, styles and reader comments, which are known by element, role, or a class or id
+that consists of the words for them (``share-buttons``, but not ``social-policy``). An id names noise on containers only: on a
+paragraph or heading it is an anchor. Outside an ``article`` or ``main``, link lists are not part of the article either, nor, before the first and
+after the last content line, is text that stands in no paragraph, heading, list or table cell.
+
+Noise inside a line (a hidden ``span``, an ``svg``, a ``button``, a ``script``) is left out and does not end the line.
 
 Edge cases: null or empty html gives an empty text; a page without any content line too. Unclosed and misnested elements are closed
 where the next fitting end tag closes them; an unknown reference stays as written. ``br`` is white space inside a line.
-Every page row gives one row, repeated ones too; other columns pass through or are ignored.
+Every page row gives one row, repeated ones too; other columns pass through or are ignored. The time is linear in the length of
+the page, however deep it is nested and however many end tags fit nothing.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -30,10 +35,9 @@ from finsight.llm.common import prepare, ship_by_value
 #: Fixed values of HTML: elements without an end tag; elements that break a line; elements whose same-named sibling closes them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BREAKS = frozenset(
-    "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption "
-    "figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe legend li main menu nav noscript "
-    "ol optgroup option p pre script search section select style summary svg table tbody td template textarea tfoot "
-    "th thead title tr ul video audio object canvas".split())
+    "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
+    "footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre "
+    "search section summary table tbody td tfoot th thead title tr ul".split())
 CLOSES_ITSELF = frozenset("dd dt li option p td th tr".split())
 #: Elements, roles and words of a class or id that mark what is not the article.
 NOISE_TAGS = frozenset(
@@ -42,12 +46,20 @@ NOISE_TAGS = frozenset(
 NOISE_ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 NOISE_WORDS = frozenset(
-    "ad ads adbox adsense adslot adv banner colophon consent copyright crumbs disclaimer dialog gdpr login masthead menu "
-    "modal nav navbar notice notices notification overlay pager pagination paywall popup promo rail reply replies "
-    "respond search share sharing sidenav signin signup skip social sponsor teaser toolbar topbar warning widget "
-    "widgets".split())
-NOISE_STEMS = ("advert", "breadcrumb", "comment", "cookie", "disqus", "footer", "header", "navig", "newsletter",
-               "promot", "recommend", "related", "sidebar", "sponsored", "subscri")
+    "ad ads adbox adsense adslot adv advert adverts advertisement advertising banner breadcrumb breadcrumbs colophon "
+    "comment commentlist comments consent cookie cookies copyright crumbs dialog disclaimer disqus footer gdpr header "
+    "login masthead menu modal nav navbar navigation newsletter notice notices notification notifications overlay pager "
+    "pagination paywall popup promo promotion recommendations recommended related replies reply respond search share "
+    "sharing sidebar sidenav signin signup skip social sponsor sponsored subscribe subscription teaser toolbar topbar "
+    "warning widget widgets".split())
+#: Words that say nothing about what an element holds: a class may add them to a word above.
+NEUTRAL_WORDS = frozenset(
+    "area article articles bar block blog body bottom box btn button buttons card col column container content entry "
+    "form global group icons inner item items large layer left link links list main mobile module outer panel page "
+    "placeholder post posts primary right row secondary section site slot small sticky story thread to top unit user "
+    "view wrap wrapper".split())
+TEXT_TAGS = frozenset("blockquote dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre td th".split())
+ANCHORED = TEXT_TAGS | {"tr", "caption"}
 CONTAINERS = frozenset("article body center div main section table tbody td tr html".split())
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 SIGMA = 1.0
@@ -62,10 +74,21 @@ class Element:
 
 
 class Line:
-    __slots__ = ("text", "tags", "linked", "at")
+    __slots__ = ("text", "tags", "linked", "links", "at")
+
+    def __init__(self, text: str, tags: int, linked: int, links: int, at: Element):
+        self.text, self.tags, self.linked, self.links, self.at = text, tags, linked, links, at
+
+    @property
+    def is_link(self) -> bool:
+        return 2 * self.linked > len(self.text)
+
 
-    def __init__(self, text: str, tags: int, linked: int, at: Element):
-        self.text, self.tags, self.linked, self.at = text, tags, linked, at
+def names_noise(token: str) -> bool:
+    """Whether a class or id consists of words for noise, besides words that say nothing and numbers."""
+    words = [x.lower() for x in WORDS.findall(token)]
+    named = [x in NOISE_WORDS for x in words]
+    return any(named) and all(n or x in NEUTRAL_WORDS or x.isdigit() for n, x in zip(named, words, strict=True))
 
 
 def noise_of(tag: str, attrs: list[tuple[str, str | None]]) -> str:
@@ -75,7 +98,8 @@ def noise_of(tag: str, attrs: list[tuple[str, str | None]]) -> str:
     if tag in ("html", "body", "article", "main"):
         own = dict(attrs)
         words = own.get("class") or ""
-        return "comment" if tag == "article" and "comment" in f"{words} {own.get('id') or ''}".lower() else ""
+        names = f"{words} {own.get('id') or ''}".split()
+        return "comment" if tag == "article" and any("comment" in x.lower() and names_noise(x) for x in names) else ""
     for name, value in attrs:
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return "hidden"
@@ -83,75 +107,114 @@ def noise_of(tag: str, attrs: list[tuple[str, str | None]]) -> str:
             return "hidden"
         if name == "role" and value and value.lower() in NOISE_ROLES:
             return "role"
-        if name in ("class", "id") and value:
-            for word in WORDS.findall(value):
-                word = word.lower()
-                if word in NOISE_WORDS or word.startswith(NOISE_STEMS):
-                    return "words"
+        if (name == "class" or name == "id" and tag not in ANCHORED) and value and any(map(names_noise, value.split())):
+            return "words"
     return ""
 
 
 class Lines(HTMLParser):
-    """Parser events to lines."""
+    """Parser events to lines. ``elements`` lists the block elements, every one after the one around it."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.at = self.root = Element("", None, "")
+        self.elements = [self.root]
+        self.open = Counter()  # elements around the current text, by tag
+        self.scopes = [Counter()]  # the same for each article or main around it
         self.pieces: list[str] = []
-        self.tags = self.linked = 0
+        self.tags = self.linked = self.links = 0
         self.in_link = False
+        self.skipped, self.depth, self.blocks = "", 0, Counter()  # noise inside a line
 
     def end_line(self) -> None:
         text = " ".join("".join(self.pieces).split())
         if text:
-            self.lines.append(Line(text, self.tags, self.linked, self.at))
+            self.lines.append(Line(text, self.tags, self.linked, self.links, self.at))
             self.tags = 0
-        self.pieces, self.linked = [], 0
+        self.pieces, self.linked, self.links = [], 0, 0
+
+    def enter(self, tag: str, noise: str) -> None:
+        self.at = Element(tag, self.at, noise)
+        self.elements.append(self.at)
+        self.open[tag] += 1
+        if tag in ("article", "main"):
+            self.scopes.append(Counter())
+        else:
+            self.scopes[-1][tag] += 1
+
+    def leave(self) -> None:
+        tag = self.at.tag
+        self.open[tag] -= 1
+        if tag in ("article", "main"):
+            self.scopes.pop()
+        else:
+            self.scopes[-1][tag] -= 1
+        self.at = self.at.up
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.skipped:
+            if tag not in ("article", "main"):
+                self.depth += tag == self.skipped
+                self.blocks[tag] += tag in BREAKS and tag not in VOID
+                return
+            self.skipped = ""  # never closed
         self.tags += 1
-        if tag == "a":
-            self.in_link = True
-        elif tag == "br":
-            self.pieces.append(" ")
         if tag not in BREAKS:
-            if tag not in VOID and (why := noise_of(tag, attrs)):
-                self.end_line()
-                self.at = Element(tag, self.at, self.at.noise or why)
+            if tag == "br":
+                self.pieces.append(" ")
+            elif tag not in VOID and noise_of(tag, attrs):
+                self.pieces.append(" " if tag in ("script", "style", "template", "noscript") else "")
+                self.skipped, self.depth, self.blocks = tag, 1, Counter()
+            elif tag == "a":
+                self.in_link = True
+                self.links += 1
             return
         self.end_line()
         if tag in VOID:
             return
         if self.at.tag == "p" or tag in CLOSES_ITSELF and self.at.tag == tag:
-            self.at = self.at.up
+            self.leave()
         why = self.at.noise or noise_of(tag, attrs)
         if tag in ("article", "main") and why == "form":  # a form around the whole page
             why = ""
-        self.at = Element(tag, self.at, why)
+        self.enter(tag, why)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.handle_starttag(tag, attrs)  # the slash means nothing on an HTML element
+        if tag not in ("svg", "math"):  # on an HTML element the slash means nothing
+            self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
+        if self.skipped:
+            if tag == self.skipped:
+                self.depth -= 1
+                if not self.depth:
+                    self.skipped = ""
+                return
+            if tag not in BREAKS:
+                return
+            if self.blocks[tag]:
+                self.blocks[tag] -= 1
+                return
+            if not self.closes(tag):
+                return
+            self.skipped = ""  # the block around it ends
         self.tags += 1
         if tag == "a":
             self.in_link = False
         if tag in BREAKS:
             self.end_line()
-        found = self.at
-        while found.up is not None and found.tag != tag:
-            if found.tag in ("article", "main") and tag not in ("article", "main", "body", "html"):
-                return  # a stray end tag does not end the article
-            if tag not in BREAKS and found.tag in BREAKS:
-                return
-            found = found.up
-        if found.up is not None:
-            self.end_line()
-            self.at = found.up
+            if self.closes(tag):
+                while self.at.tag != tag:
+                    self.leave()
+                self.leave()
+
+    def closes(self, tag: str) -> bool:
+        """Whether the end tag fits an open element; a stray one does not end the article."""
+        return (self.open if tag in ("article", "main", "body", "html") else self.scopes[-1])[tag] > 0
 
     def handle_data(self, data: str) -> None:
-        if self.at.tag not in ("script", "style"):
+        if not self.skipped:
             self.pieces.append(data)
             if self.in_link:
                 self.linked += len(data.strip())
@@ -184,32 +247,36 @@ def content_lines(lines: list[Line], sigma: float = SIGMA) -> np.ndarray:
     return smooth >= (low + high) / 2
 
 
-def region(lines: list[Line], content: np.ndarray, root: Element) -> Element:
+def region(lines: list[Line], content: np.ndarray, elements: list[Element]) -> Element:
     """The element that holds the content lines."""
-    total, below = 0, {}
+    total = 0
     for line, good in zip(lines, content, strict=True):
         if good and not line.at.noise:
             total += len(line.text)
-            at = line.at
-            while at is not None:
-                at.mass += len(line.text)
-                if at.up is not None:
-                    below.setdefault(at.up, {})[at] = None
-                at = at.up
-    found, best = root, None
-    queue = [root]
-    while queue:
-        at = queue.pop()
-        if at.tag in ("article", "main") and at.mass >= MOST * total and (
-                best is None or at.tag == "article" or best.tag == "main"):
-            best = at
-        queue += [x for x in below.get(at, ()) if x.mass >= MOST * total]
-    if best is not None:
-        return best
-    while (down := next((x for x in below.get(found, ()) if x.mass >= NEARLY_ALL * total and x.tag in CONTAINERS),
-                        None)) is not None:
-        found = down
-    return found
+            line.at.mass += len(line.text)
+    for x in reversed(elements):
+        if x.up is not None:
+            x.up.mass += x.mass
+    best, found = None, elements[0]
+    for x in elements:
+        if x.tag in ("article", "main"):
+            if x.mass >= MOST * total and (best is None or x.tag == "article" or best.tag == "main"):
+                best = x
+        elif x.up is found and x.mass >= NEARLY_ALL * total and x.tag in CONTAINERS:
+            found = x
+    return best or found
+
+
+def without_lists_of_links(own: list[tuple[Line, bool]]) -> list[tuple[Line, bool]]:
+    """The lines but those that are mostly links, unless it is a single link in an element for text."""
+    kept = []
+    for k, (x, content) in enumerate(own):
+        if x.is_link:
+            beside = [own[j][0] for j in (k - 1, k + 1) if 0 <= j < len(own)]
+            if x.links > 1 or x.at.tag not in TEXT_TAGS or any(y.is_link and y.at.up is x.at.up for y in beside):
+                continue
+        kept.append((x, content))
+    return kept
 
 
 def extract(html: str | None) -> str:
@@ -224,7 +291,7 @@ def extract(html: str | None) -> str:
     content = content_lines(lines)
     if not any(c and not x.at.noise for c, x in zip(content, lines, strict=True)):
         content = np.array([not x.at.noise for x in lines])
-    held = region(lines, content, parser.root)
+    held = region(lines, content, parser.elements)
     inside = {held: True}
 
     def within(at: Element) -> bool:
@@ -238,13 +305,11 @@ def extract(html: str | None) -> str:
 
     own = [(x, c) for x, c in zip(lines, content, strict=True) if not x.at.noise and within(x.at)]
     if held.tag not in ("article", "main"):
-        kept = [k for k, (x, c) in enumerate(own) if c and 2 * x.linked <= len(x.text)]
-        if not kept:
+        own = without_lists_of_links(own)
+        if not any(c for _, c in own):
             return ""
-        first, last = kept[0], kept[-1]
-        while first and own[first - 1][0].at.tag in ("h1", "h2", "h3"):
-            first -= 1
-        own = [(x, c) for x, c in own[first:last + 1] if 2 * x.linked <= len(x.text)]
+        inner = [k for k, (_, c) in enumerate(own) if c]
+        own = [(x, c) for k, (x, c) in enumerate(own) if x.at.tag in TEXT_TAGS or inner[0] <= k <= inner[-1]]
     return "\n".join(x.text for x, _ in own)
 
 

@@ -51,3 +51,69 @@ def test_query_keeps_every_row(spark):
     text = f"{LONG} é\U0001F600"
     assert got == sorted([(1, "u", text, len(text)), (1, "u", "", 0), (None, None, "", 0), (2, None, "x", 1)], key=repr)
     assert op.report(pages.limit(0)).count() == 0
+
+
+def test_noise_inside_a_line_does_not_end_it():
+    for noise in ("<span hidden>X</span>", "<svg viewBox='0 0 1 1'><path d='M0'/><title>X</title></svg>", "<svg/>",
+                  "<button><div>X</div></button>", '<span class="related">X <span>Y</span></span>', "<script>x()</script>",
+                  "<select><option>X<option>Y</select>", '<span class="ad"><p>X</p></span>'):
+        assert op.extract(f"<article><p>{LONG}</p><p>One {noise} two three</p></article>") == f"{LONG}\nOne two three", noise
+    assert op.extract(f"<article><p>{LONG} <span class=ad>X</p><p>{OTHER}</p></article>") == f"{LONG}\n{OTHER}"
+    assert op.extract(f"<body><a class=skip>Skip<article><p>{LONG}</p></article>") == LONG
+
+
+def test_classes_and_ids_are_read_as_whole_names():
+    for name in ('class="commentary"', 'class="social-policy"', 'class="related-work"', 'class="notice-of-meeting"',
+                 'id="search-results"'):
+        assert op.extract(f"<article><p>{LONG}</p><div {name}><p>{OTHER}</p></div></article>") == f"{LONG}\n{OTHER}", name
+    assert op.extract(f'<article><p>{LONG}</p><p id="ad">{OTHER}</p></article>') == f"{LONG}\n{OTHER}"
+    for name in ('class="shareButtons"', 'id="comments"', 'class="x comment-list"', 'class="sidebar-left"', 'class="ad"',
+                 'id="cookie_notice"', 'class="post-comments"', 'class="ad-slot-3"', 'role="navigation"'):
+        assert op.extract(f"<article><p>{LONG}</p><div {name}><p>{OTHER}</p></div></article>") == LONG, name
+
+
+def test_short_lines_and_single_links_without_article():
+    text = ["Yes.", LONG, "A single link", OTHER, "First point of the list, which is long enough to be content by itself.", "Second.",
+            "The end."]
+    html = page(f"<ul><li><a href=1>Home</a></li><li><a href=2>News</a></li></ul><p>{text[0]}</p><p>{text[1]}</p>"
+                f"<p><a href=3>{text[2]}</a></p><p>{text[3]}</p><ul><li>{text[4]}</li><li>{text[5]}</li></ul>"
+                f"<p>{text[6]}</p><div><a href=4>About</a> <a href=5>Help</a></div><div>Copyright</div>")
+    assert op.extract(html) == "\n".join(text)
+
+
+def test_ratio_smoothing_and_clusters_against_plain_loops():
+    import math
+    import random
+
+    rng = random.Random(5)
+    for _ in range(40):
+        at = [op.Element("p", None, ""), op.Element("div", None, "words")]
+        lines = [op.Line("x" * rng.choice((1, 5, 40, 400)), rng.randint(0, 9), 0, 0, rng.choice(at[:1] * 4 + at[1:]))
+                 for _ in range(rng.randint(1, 30))]
+        ratio = [0.0 if x.at.noise else len(x.text) / max(x.tags, 1) for x in lines]
+        smooth = []
+        for i in range(len(ratio)):
+            near = [(math.exp(-0.5 * (i - j) ** 2), ratio[j]) for j in range(max(0, i - 3), min(len(ratio), i + 4))]
+            smooth.append(math.log1p(sum(w * r for w, r in near) / sum(w for w, _ in near)))
+        low, high = min(smooth), max(smooth)
+        if high - low < 1e-9:
+            want = [True] * len(ratio)
+        else:
+            for _ in range(50):
+                upper = [x for x in smooth if x >= (low + high) / 2]
+                lower = [x for x in smooth if x < (low + high) / 2]
+                low, high = sum(lower) / len(lower), sum(upper) / len(upper)
+            want = [x >= (low + high) / 2 for x in smooth]
+        assert op.content_lines(lines).tolist() == want
+
+
+def test_deep_nesting_and_stray_end_tags_take_linear_time():
+    import time
+
+    def seconds(n):
+        start = time.perf_counter()
+        op.extract("<section><article>" + "<div>x" * n + "</section></b></i>" * n)
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(40000) < 10 * max(seconds(8000), 0.02)
