@@ -209,7 +209,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold_pct: int, parts: int)
     A hub's text goes to each chunk of its partners, a partner's text to the chunk it is in."""
     pairs = pairs.coalesce(parts).checkpoint()
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
-    parts = pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int").alias("chunk")) \
+    partners = pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int").alias("chunk")) \
         .join(texts.select(F.col("cls").alias("b"), "data"), "b").select("a", "chunk", F.lit(1).alias("role"), "b", "data")
     hubs = sizes.join(texts.select(F.col("cls").alias("a"), "data"), "a") \
         .select("a", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("role"),
@@ -231,7 +231,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold_pct: int, parts: int)
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.binary()),
                                               pa.array([y for _, y in rows], pa.binary())], ["a", "b"])
 
-    dealt = parts.unionByName(hubs).repartition(F.col("a"), F.col("chunk")).sortWithinPartitions("a", "chunk", "role")
+    dealt = partners.unionByName(hubs).repartition(F.col("a"), F.col("chunk")).sortWithinPartitions("a", "chunk", "role")
     return dealt.mapInArrow(confirm, "a binary, b binary").distinct().coalesce(parts).checkpoint()
 
 
