@@ -181,11 +181,17 @@ def _needed(threshold: float) -> list[int]:
 
 
 def partitions_for(classes: DataFrame) -> int:
-    """Partitions of a frame with about as many short rows as there are classes. Frames of ids are stored in so few files, not in one for each
-    shuffle partition, as many small ones are stored one after another; a larger number than that of the shuffle changes nothing."""
+    """Files of a frame with about as many short rows as there are classes."""
     return max(default_parallelism(classes.sparkSession), -(-classes.count() // CLASSES_HELD))
 
 
+def stored(ids: DataFrame, parts: int) -> DataFrame:
+    """A checkpointed frame of ids, in ``parts`` files where a shuffle has more partitions than that: many small frames are
+    stored one after another. The rows are dealt anew, as one task that sorted many partitions in turn would hold them all."""
+    fewer = parts < int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (ids.repartition(parts) if fewer else ids).checkpoint()
+
+
 def plausible(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) whose set sizes and signatures leave the threshold possible."""
     needed = _needed(threshold)
@@ -207,7 +213,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold_pct: int, parts: int)
     """Pairs (a, b) whose full shingle sets have 100 * intersection >= threshold_pct * union.
 
     A hub's text goes to each chunk of its partners, a partner's text to the chunk it is in."""
-    pairs = pairs.coalesce(parts).checkpoint()
+    pairs = stored(pairs, parts)
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
     partners = pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int").alias("chunk")) \
         .join(texts.select(F.col("cls").alias("b"), "data"), "b").select("a", "chunk", F.lit(1).alias("role"), "b", "data")
@@ -232,26 +238,26 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold_pct: int, parts: int)
                                               pa.array([y for _, y in rows], pa.binary())], ["a", "b"])
 
     dealt = partners.unionByName(hubs).repartition(F.col("a"), F.col("chunk")).sortWithinPartitions("a", "chunk", "role")
-    return dealt.mapInArrow(confirm, "a binary, b binary").distinct().coalesce(parts).checkpoint()
+    return stored(dealt.mapInArrow(confirm, "a binary, b binary").distinct(), parts)
 
 
 def trees(links: DataFrame, parts: int) -> DataFrame:
     """(cls, comp) of links (a: hub, b: class) in which every class has one hub, by pointer jumping: the hub of the hub,
     until nothing moves. Hubs cannot form a cycle, as a hub's buckets weigh more than those of the class that names it."""
-    up = links.select(F.col("b").alias("cls"), F.col("a").alias("comp")).coalesce(parts).checkpoint()
+    up = links.select(F.col("b").alias("cls"), F.col("a").alias("comp"))
     while True:
         above = up.select(F.col("cls").alias("comp"), F.col("comp").alias("higher"))
-        moved = up.join(above, "comp", "left").select("cls", F.coalesce("higher", "comp").alias("comp"),
-                                                      F.col("higher").isNotNull().alias("moved")).coalesce(parts).checkpoint()
+        moved = stored(up.join(above, "comp", "left").select("cls", F.coalesce("higher", "comp").alias("comp"),
+                                                             F.col("higher").isNotNull().alias("moved")), parts)
         up = moved.select("cls", "comp")
         if moved.filter("moved").isEmpty():
-            return up.unionByName(up.select(F.col("comp").alias("cls"), "comp").distinct()).coalesce(parts).checkpoint()
+            return stored(up.unionByName(up.select(F.col("comp").alias("cls"), "comp").distinct()), parts)
 
 
 def components(links: DataFrame, parts: int = 200) -> DataFrame:
     """(cls, comp): for every class with a link, the smallest class of its connected component."""
-    edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct() \
-        .coalesce(parts).checkpoint()
+    edges = stored(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
+                   parts)
     state = None
     while True:
         now = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
@@ -262,10 +268,10 @@ def components(links: DataFrame, parts: int = 200) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = large.coalesce(parts).checkpoint()
+        large = stored(large, parts)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct().coalesce(parts).checkpoint()
+        edges = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), parts)
 
 
 def buckets_of(classes: DataFrame, rows: int) -> DataFrame:
@@ -302,7 +308,7 @@ def apart(members: DataFrame, hubs: DataFrame, classes: DataFrame, comps: DataFr
     visits = near.join(crossed, "key").select("key", "cls", F.col("hub").alias("own")) \
         .join(reach, "key").filter("hub <> own").select("cls", "hub").distinct() \
         .join(placed.select("cls", "n", "comp"), "cls").select("cls", "hub", "n", "comp", F.lit(True).alias("visitor"))
-    rows = placed.select("cls", "hub", "n", "comp", F.lit(False).alias("visitor")).unionByName(visits).coalesce(parts).checkpoint()
+    rows = stored(placed.select("cls", "hub", "n", "comp", F.lit(False).alias("visitor")).unionByName(visits), parts)
     counts = rows.groupBy("hub", "comp").agg(F.count_if(~F.col("visitor")).alias("own"), F.count_if("visitor").alias("guests"),
                                               F.sum("n").alias("n"))
     mixed = counts.groupBy("hub").agg(
@@ -372,7 +378,7 @@ def apart(members: DataFrame, hubs: DataFrame, classes: DataFrame, comps: DataFr
                                               pa.array([y for _, y in found], pa.binary())], ["a", "b"])
 
     dealt = block_rows.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
-    return dealt.mapInArrow(compare, "a binary, b binary").distinct().coalesce(parts).checkpoint()
+    return stored(dealt.mapInArrow(compare, "a binary, b binary").distinct(), parts)
 
 
 def near_duplicates(docs: DataFrame, threshold_pct: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -386,19 +392,19 @@ def near_duplicates(docs: DataFrame, threshold_pct: int = 85, id_col: str = "doc
     classes = written(sketched.filter("cls is not null").groupBy("cls").agg(
         F.min("id").alias("id"), F.max("n").alias("n"), F.max("sig").alias("sig")))
     parts = partitions_for(classes)
-    members = written(buckets_of(classes, band_rows(threshold)).coalesce(4 * parts))
+    members = written(buckets_of(classes, band_rows(threshold)))
     meant = members.select("cls").distinct().join(classes.select("cls", "id"), "cls")
     own = written(texts.withColumn("cls", classes_of(F.col("data"))).filter("cls is not null").alias("t").join(
         meant.alias("m"), (F.col("t.cls") == F.col("m.cls")) & F.col("t.id").eqNullSafe(F.col("m.id"))
     ).select(F.col("t.cls").alias("cls"), F.col("t.data").alias("data")))
-    hubs = hubs_of(members).coalesce(parts).checkpoint()
+    hubs = stored(hubs_of(members), parts)
     first = hubs.filter("hub <> cls").select(F.col("hub").alias("a"), F.col("cls").alias("b"))
     links = verified(plausible(first, classes, threshold), own, threshold_pct, parts)
     comps = trees(links, parts)
     more = apart(members, hubs, classes, comps, own, threshold_pct, parts)
     if not more.isEmpty():
         stars = comps.filter("cls <> comp").select(F.col("comp").alias("a"), F.col("cls").alias("b"))
-        comps = components(stars.unionByName(more), parts).coalesce(parts).checkpoint()
+        comps = stored(components(stars.unionByName(more), parts), parts)
     placed = classes.select("cls", "id").join(comps, "cls", "left").select("cls", "id", F.coalesce("comp", "cls").alias("group"))
     smallest = placed.groupBy("group").agg(F.min("id").alias("component_id"))
     found = placed.select("cls", "group").join(smallest, "group")
@@ -420,10 +426,9 @@ def keep_one(docs: DataFrame, threshold_pct: int = 80, id_col: str = "doc_id", t
     found = near_duplicates(docs, threshold_pct, id_col, text_col)
     gone = found.filter("group is not null").filter(~F.col("id").eqNullSafe(F.col("component_id"))) \
         .select(F.col("id").alias("__id"), F.col("cls").alias("__cls")).distinct()
-    twice = found.filter("group is not null").filter(F.col("id").eqNullSafe(F.col("component_id"))) \
+    twice = stored(found.filter("group is not null").filter(F.col("id").eqNullSafe(F.col("component_id")))
         .groupBy("group").agg(F.count(F.lit(1)).alias("c"), F.min("cls").alias("__cls"), F.first("component_id").alias("__id")) \
-        .filter("c > 1").select("__id", "__cls", "group") \
-        .coalesce(default_parallelism(docs.sparkSession)).checkpoint()
+        .filter("c > 1").select("__id", "__cls", "group"), default_parallelism(docs.sparkSession))
     mark, of_group = fresh(docs, "cls"), fresh(docs, "group")
     marked = docs.withColumn(mark, classes_of(text_bytes(text_col)))
     same = lambda other: marked[f"`{id_col}`"].eqNullSafe(other["__id"]) & (marked[mark] == other["__cls"])
