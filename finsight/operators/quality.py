@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finsight import schemas
+from finsight.operators import repeats
 
 
 @dataclass(frozen=True)
@@ -147,12 +148,35 @@ def _distinct_bad_values(df: DataFrame, checks: list[Check]) -> DataFrame:
         .groupBy("rule").agg(F.count(F.lit(1)).alias("failures"))
 
 
+def _exchanged(checks: dict[str, Check], tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """One row (failures) for each unique or relationships check, by the rule's name.
+
+    Unique values are told by their hashes first (``repeats``); children are counted by key before they look for their parent."""
+    unique = {rule: tables[ch.model].select(ch.column) for rule, ch in checks.items() if ch.kind == "unique"}
+    again = repeats.repeated(unique) if unique else {}
+    out = {}
+    for rule, ch in checks.items():
+        if ch.kind == "unique" and again[rule].n:
+            suspects = again[rule].suspects(unique[rule], ch.column)
+            out[rule] = failing_rows(ch, {ch.model: suspects}).agg(F.count(F.lit(1)).alias("failures"))
+        elif ch.kind == "unique":
+            out[rule] = unique[rule].sparkSession.range(1).select(F.lit(0).cast("long").alias("failures"))
+        else:
+            children = tables[ch.model].where(F.col(ch.column).isNotNull()).groupBy(F.col(ch.column).alias("__child_key")) \
+                .agg(F.count(F.lit(1)).alias("__n"))
+            parents = tables[ch.to_model].select(F.col(ch.to_column).alias("__parent_key"))
+            out[rule] = children.join(parents, F.col("__child_key") == F.col("__parent_key"), "left_anti") \
+                .agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("failures"))
+    return out
+
+
 def summary(checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
     """One row per check: (test_id, kind, model, column_name, failures).
 
     The row-local checks of a table share one pass, its accepted_values checks another; unique and
     relationships checks need an exchange of their own."""
-    parts = []
+    spread = _exchanged({ch.test_id: ch for ch in checks if ch.kind in ("unique", "relationships")}, tables)
+    parts = [failures.select(F.lit(rule).alias("rule"), "failures") for rule, failures in spread.items()]
     for model in dict.fromkeys(ch.model for ch in checks):
         own = [ch for ch in checks if ch.model == model]
         local = {ch.test_id: row_fails(ch) for ch in own if ch.kind in ("not_null", "accepted_range")}
@@ -161,9 +185,6 @@ def summary(checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
         listed = [ch for ch in own if ch.kind == "accepted_values"]
         if listed:
             parts.append(_distinct_bad_values(tables[model], listed))
-        parts += [failing_rows(ch, tables).agg(F.count(F.lit(1)).alias("failures"))
-                  .select(F.lit(ch.test_id).alias("rule"), "failures")
-                  for ch in own if ch.kind in ("unique", "relationships")]
     counts = reduce(DataFrame.unionByName, parts)
     declared = counts.sparkSession.range(1).select(F.inline(F.array(*[F.struct(
         F.lit(ch.test_id).alias("test_id"), F.lit(ch.kind).alias("kind"), F.lit(ch.model).alias("model"),
@@ -177,7 +198,7 @@ def constraint_violations(raw: dict[str, DataFrame]) -> DataFrame:
     """What the source DDL would reject at load: duplicate / NULL primary keys, orphan foreign
     keys, over-long strings and numbers overflowing their declared precision. One row per
     (table, constraint, column) with its violation count; the row-local ones share one pass per table."""
-    parts = []
+    parts, spread = [], {}
     named = lambda d, t: d.select(
         F.lit(t).alias("table_name"), F.split("rule", "\\|")[0].alias("constraint_name"),
         F.split("rule", "\\|")[1].alias("column_name"), F.col("failures").alias("violations"))
@@ -192,11 +213,11 @@ def constraint_violations(raw: dict[str, DataFrame]) -> DataFrame:
                 bound = 10 ** (f.dataType.precision - f.dataType.scale)
                 local[f"precision_{f.dataType.simpleString()}|{f.name}"] = F.abs(F.col(f.name)) >= bound
         parts.append(named(_counted(df, local), table))
-        spread = [(f"primary_key_unique|{pk}", Check("unique", table, pk))] + [
-            (f"foreign_key|{col}", Check("relationships", table, col, to_model=parent, to_column=pcol))
-            for col, parent, pcol in schemas.FOREIGN_KEYS.get(table, [])]
-        parts += [named(failing_rows(ch, raw).agg(F.count(F.lit(1)).alias("failures"))
-                        .select(F.lit(rule).alias("rule"), "failures"), table) for rule, ch in spread]
+        spread[f"primary_key_unique|{pk}|{table}"] = Check("unique", table, pk)
+        spread |= {f"foreign_key|{col}|{table}": Check("relationships", table, col, to_model=parent, to_column=pcol)
+                   for col, parent, pcol in schemas.FOREIGN_KEYS.get(table, [])}
+    parts += [named(failures.select(F.lit(rule).alias("rule"), "failures"), spread[rule].model)
+              for rule, failures in _exchanged(spread, raw).items()]
     return reduce(DataFrame.unionByName, parts)
 
 
