@@ -180,12 +180,17 @@ def sinistres(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+# Contracts of one task of the schedule expansion (about a million rows out).
+CONTRACTS_PER_TASK = 40_000
+
+
 def _spread(df: DataFrame) -> DataFrame:
     """The schedule expansion multiplies rows ~25x: when the contract input arrives in fewer
-    splits than there are cores (one small file), spread the narrow contract rows first. Inputs
-    already split into many partitions are left untouched (no extra shuffle)."""
+    splits than there are cores (one small file) or than its rows need (a split of Parquet holds millions
+    of contracts), spread the narrow contract rows first. Inputs already split into as many partitions
+    are left untouched (no extra shuffle)."""
     from finsight.session import default_parallelism
-    par = default_parallelism(df.sparkSession)
+    par = max(default_parallelism(df.sparkSession), -(-df.count() // CONTRACTS_PER_TASK))  # footers only
     try:
         splits = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD view on a remote session: leave the plan as is

@@ -48,3 +48,12 @@ def test_children_are_counted_before_they_look_for_their_parent(spark):
     plan = explained(found)
     assert "partial_count(1)" in plan[plan.index("LeftAnti"):]
     assert quality.summary([check], {"c": tables["p"], "p": tables["p"]}).first().failures == 0
+
+
+def test_premiums_are_expanded_in_tasks_of_bounded_rows(spark, monkeypatch):
+    orders = fixtures.read_driver_table(spark, SF_SMOKE, "orders")
+    whole = fixtures.primes(orders, Params().as_of)
+    monkeypatch.setattr(fixtures, "CONTRACTS_PER_TASK", 50)
+    spread = fixtures.primes(orders, Params().as_of)
+    assert spread.rdd.getNumPartitions() == -(-orders.count() // 50) > whole.rdd.getNumPartitions()
+    assert Counter(map(tuple, spread.collect())) == Counter(map(tuple, whole.collect()))
