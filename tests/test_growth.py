@@ -57,3 +57,38 @@ def test_premiums_are_expanded_in_tasks_of_bounded_rows(spark, monkeypatch):
     spread = fixtures.primes(orders, Params().as_of)
     assert spread.rdd.getNumPartitions() == -(-orders.count() // 50) > whole.rdd.getNumPartitions()
     assert Counter(map(tuple, spread.collect())) == Counter(map(tuple, whole.collect()))
+
+
+def test_sound_typed_rows_are_neither_stored_twice_nor_exchanged_whole(spark, scratch_dir, monkeypatch):
+    monkeypatch.setattr(rejects, "stored", lambda *a: (_ for _ in ()).throw(AssertionError("stored")))
+    m = Models(spark, SF_SMOKE)
+    got = {}
+    for t in ("clients", "contrats", "primes"):
+        rows = rejects.typed_rules(m.raw[t], t)
+        got[t] = loader.load_table(spark, t, rows, f"{scratch_dir}/raw", cascade=False, cheap=True)
+        parents = {p: loader.read_table(spark, f"{scratch_dir}/raw", p) for p in got}
+        judged, _ = loader.judge(spark, rows, t, parents, cheap=True)
+        assert "hashpartitioning(prime_id" not in explained(judged) and "SortMergeJoin" not in explained(judged)
+    assert got["primes"].rejected == 0 and got["primes"].rows == m.raw["primes"].count()
+
+
+def test_repeated_and_lost_keys_of_typed_rows(spark, scratch_dir, monkeypatch):
+    """Few or many repeated keys and orphans: the same reasons; nothing is left of the rows stored on the way."""
+    scratch = os.path.join(spark.sparkContext.getCheckpointDir() or loader.ensure_checkpoint_dir(spark), "finsight-load").removeprefix("file:")
+    before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    day = dt.date(2024, 1, 1)
+    names = [f.name for f in schemas.CONTRATS.fields]
+    rows = [("K1", "C1"), ("K1", "C2"), ("K2", "C9"), ("K3", None), (None, "C1"), ("K4", "C9"), ("K5", "C1"), ("K5", "C1")]
+    contrats = spark.createDataFrame([tuple({"contrat_id": k, "client_id": c, "date_effet": day}.get(n) for n in names) for k, c in rows],
+                                     schemas.CONTRATS)
+    seen = []
+    for few in (repeats.FEW, 0):
+        monkeypatch.setattr(repeats, "FEW", few)
+        root = f"{scratch_dir}/raw{few}"
+        one = loader.load_table(spark, "clients", rejects.typed_rules(clients(spark, ["C1", "C2", "C2", None]), "clients"), root, cheap=True)
+        assert (one.rows, one.counts) == (2, {"duplicate|client_id": 1, "key_missing|client_id": 1})
+        two = loader.load_table(spark, "contrats", rejects.typed_rules(contrats, "contrats"), root, cheap=True)
+        assert (two.rows, two.counts) == (3, {"duplicate|contrat_id": 2, "orphan|client_id": 2, "key_missing|contrat_id": 1})
+        seen.append(sorted((r.contrat_id, r.client_id) for r in loader.read_table(spark, root, "contrats").collect() if r.client_id))
+    assert seen[0] == seen[1] == [("K1", "C1"), ("K5", "C1")]
+    assert (set(os.listdir(scratch)) if os.path.isdir(scratch) else set()) == before
