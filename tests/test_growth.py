@@ -92,3 +92,14 @@ def test_repeated_and_lost_keys_of_typed_rows(spark, scratch_dir, monkeypatch):
         seen.append(sorted((r.contrat_id, r.client_id) for r in loader.read_table(spark, root, "contrats").collect() if r.client_id))
     assert seen[0] == seen[1] == [("K1", "C1"), ("K5", "C1")]
     assert (set(os.listdir(scratch)) if os.path.isdir(scratch) else set()) == before
+
+
+def test_usual_dates_are_not_tried_against_every_pattern(spark, monkeypatch):
+    rows = ["2024-02-29", "2023-02-29", "2024-13-01", "2024-02-15 02:00:00", "2024-02-15 24:00:00", " 2024-02-15 ", "2024-02-15\n", "0000-01-01",
+            "0001-01-01", "2024-2-5", "2024/02/05", "02/05/2024", "2024-02-15T02:00:00", "2024-02-15 02:00", "x", "12024-01-01", None]
+    text = spark.createDataFrame([(r,) for r in rows], "t string")
+    tried = csv_ingest._first_parse(F.col("t"), csv_ingest.TIMESTAMP_FORMATS).cast("timestamp_ntz")
+    assert text.where(~csv_ingest.parse_timestamp(F.col("t")).eqNullSafe(tried)).count() == 0
+    monkeypatch.setattr(csv_ingest, "_first_parse", lambda c, formats: F.raise_error(F.lit("tried")).cast("timestamp"))
+    usual = text.where(F.col("t").isin("2024-02-29", "2023-02-29", "2024-02-15 02:00:00", "2024-02-15 24:00:00", " 2024-02-15 "))
+    assert usual.select(csv_ingest.parse_date(F.col("t")).alias("d")).where("d IS NULL").count() == 2  # no such day, no such hour
