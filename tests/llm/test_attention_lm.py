@@ -232,3 +232,36 @@ def test_texts_are_encoded_once(spark):
     assert (op.transitions(kept.select("ids"), b"", class_of) == op.transitions(rows, model, class_of)).all()
     lm = op.Language(b"", np.ones(size), class_of, np.ones((op.CLASSES + 1, size), np.float32))
     assert op.summed_gradients(kept.select("ids"), lm)[1] == sum(map(len, want))
+
+
+def test_all_texts_are_learned_in_steps_of_their_own(spark, monkeypatch):
+    """No sample is collected: every text is in the steps of exactly one replica, and the result does not depend on partitions."""
+    import sentencepiece
+    model, rng = open(op.TOKENIZER, "rb").read(), generator()
+    size = sentencepiece.SentencePieceProcessor(model_proto=model).vocab_size()
+    texts = [(i, sentence(rng, rng.randint(1, 60)).encode()) for i in range(60)] + [(60, None), (61, b""), (62, b"copy"), (63, b"copy")]
+    rows = spark.createDataFrame(texts, "id long, data binary")
+    kept = op.stored(op.hashed(rows), model, size).drop("data").localCheckpoint()
+    seen, real = [], op.learned
+
+    def learned(part, language, replicas, *more):
+        seen.extend((r.id, r.turn % 3, r.key % replicas) for r in part.collect())
+        assert replicas == 4
+        return real(part, language, replicas, *more)
+
+    monkeypatch.setattr(op, "learned", learned)
+    monkeypatch.setattr(op, "BATCH", 4)
+    nets = [op.fit(kept.repartition(n), op.token_counts(rows), op.TOKENIZER, sample=5, steps=15, rounds=3).net.p for n in (1, 4)]
+    for got in (seen[:64], seen[64:]):
+        assert sorted(i for i, _, _ in got) == list(range(64))
+    assert len({(turn, replica) for _, turn, replica in seen}) == 12
+    for k, value in nets[0].items():
+        assert nets[1][k] == pytest.approx(value, abs=1e-5), k
+
+
+def test_training_sees_every_window():
+    lm, texts = language(steps=0)
+    seen, real = Counter(), lm.gradients
+    lm.gradients = lambda pairs, targets: (seen.update(map(bytes, targets)), real(pairs, targets))[1]
+    lm.train(texts * 40, 2)
+    assert all(seen[k] >= n for k, n in Counter(map(bytes, lm.windows(texts * 40)[1])).items())
