@@ -103,3 +103,42 @@ def test_usual_dates_are_not_tried_against_every_pattern(spark, monkeypatch):
     monkeypatch.setattr(csv_ingest, "_first_parse", lambda c, formats: F.raise_error(F.lit("tried")).cast("timestamp"))
     usual = text.where(F.col("t").isin("2024-02-29", "2023-02-29", "2024-02-15 02:00:00", "2024-02-15 24:00:00", " 2024-02-15 "))
     assert usual.select(csv_ingest.parse_date(F.col("t")).alias("d")).where("d IS NULL").count() == 2  # no such day, no such hour
+
+
+def test_sound_typed_rows_are_computed_once(spark, scratch_dir):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        made.add(1)
+        return text
+
+    m = Models(spark, SF_SMOKE)
+    for t in ("clients", "contrats"):
+        made.value = 0
+        rows = m.raw[t].withColumn(schemas.PRIMARY_KEYS[t], counted.asNondeterministic()(schemas.PRIMARY_KEYS[t]))
+        got = loader.load_table(spark, t, rejects.typed_rules(rows, t), f"{scratch_dir}/raw", cascade=False, cheap=True)
+        assert got.rows == made.value == m.raw[t].count()
+
+
+def test_a_typed_load_that_finds_bad_keys_leaves_one_corrected_version(spark, scratch_dir):
+    """The rows are read again from the version that is not published, which is deleted."""
+    two = loader.load_table(spark, "clients", rejects.typed_rules(clients(spark, ["C1", "C1", "C2", None]), "clients"), scratch_dir, cheap=True)
+    assert (two.rows, two.read, two.counts) == (2, 4, {"duplicate|client_id": 1, "key_missing|client_id": 1})
+    assert sorted(r.client_id for r in loader.read_table(spark, scratch_dir, "clients").collect()) == ["C1", "C2"]
+    assert len([d for d in os.listdir(f"{scratch_dir}/clients") if d.startswith("version=")]) == 1
+    none = loader.load_table(spark, "clients", rejects.typed_rules(clients(spark, []), "clients"), scratch_dir, cheap=True)
+    assert (none.rows, none.read) == (0, 0) and loader.read_table(spark, scratch_dir, "clients").count() == 0
+
+
+def test_wide_projections_stay_compilable(spark):
+    from finsight.session import configure_for_models
+    configure_for_models(spark)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"  # HotSpot's own limit
+
+
+def test_reasons_of_rows_with_none_some_and_unknown_conditions(spark):
+    rows = spark.createDataFrame([(1, True, None), (2, None, None), (3, False, True), (4, True, True)], "i int, a boolean, b boolean")
+    got = {r.i: r.found for r in rows.select("i", rejects._listed({"a": F.col("a"), "b": F.col("b")}).alias("found")).collect()}
+    assert got == {1: ["a"], 2: [], 3: ["b"], 4: ["a", "b"]}
+    assert rows.select(rejects._listed({}).alias("found")).first().found == []
