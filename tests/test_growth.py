@@ -137,6 +137,35 @@ def test_wide_projections_stay_compilable(spark):
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"  # HotSpot's own limit
 
 
+def test_copies_of_an_export_are_made_in_one_pass(spark):
+    for t in ("clients", "contrats"):
+        raw = Models(spark, SF_SMOKE).raw[t]
+        text = fixtures.refused_csv_text(raw, t)
+        assert "Union" not in explained(text)
+        k = F.regexp_extract(schemas.PRIMARY_KEYS[t], "([0-9]+)", 1).cast("long")
+        want = raw.select(F.count(F.lit(1)) + F.count_if(k % fixtures.SAME_TWICE == 0) + F.count_if(k % fixtures.OTHER_TWICE == 0)).first()[0]
+        assert text.count() == want
+        assert text.where(F.col(fixtures.OTHER_COLUMN[t]) == "copy").count() == raw.where(k % fixtures.OTHER_TWICE == 0).count()
+
+
+def test_the_text_of_one_table_lies_there_at_a_time(spark, scratch_dir, monkeypatch):
+    from finsight.plans import queries
+    seen = []
+
+    def load_raw(spark, paths, root):
+        (table, path), = paths.items()
+        files = [f for f in os.listdir(path) if f.startswith("part-")]
+        seen.append((table, os.listdir(f"{scratch_dir}/landing"), all(f.endswith(".gz") for f in files)))
+        assert csv_ingest.read_csv_strings(spark, path).count() >= 100
+        return [loader.LoadResult(table, "loaded")]
+
+    monkeypatch.setattr(queries, "_scratch", lambda spark: scratch_dir)
+    monkeypatch.setattr(loader, "load_raw", load_raw)
+    monkeypatch.setattr(loader, "reject_counts", lambda spark, root: root)
+    queries.QUERIES["ingest_rejects"](spark, SF_SMOKE)
+    assert seen == [(t, [t], True) for t in schemas.LOAD_ORDER] and os.listdir(f"{scratch_dir}/landing") == []
+
+
 def test_reasons_of_rows_with_none_some_and_unknown_conditions(spark):
     rows = spark.createDataFrame([(1, True, None), (2, None, None), (3, False, True), (4, True, True)], "i int, a boolean, b boolean")
     got = {r.i: r.found for r in rows.select("i", rejects._listed({"a": F.col("a"), "b": F.col("b")}).alias("found")).collect()}
